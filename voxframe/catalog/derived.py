@@ -1,4 +1,7 @@
-"""Files derived from the given tables by Spark, as inputs for the reader queries."""
+"""Files derived from the given tables by Spark, as inputs for the reader queries.
+
+Each task writes its own files below the shared folder.
+"""
 
 from __future__ import annotations
 
@@ -10,18 +13,51 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxframe.session import scratch_path
+
+
+def _local(path: str) -> str:
+    return path[len("file:") :] if path.startswith("file:") else path
 
-def write_archives(df: DataFrame, folder: str, shard: str, key: str, text: str, payload: str, suffix: str = ".mp3") -> DataFrame:
-    """Write ``shard_NNNNNN.tar`` files of paired members, one per shard number; returns the paths and row counts.
 
-    The rows of a shard are sorted by key and streamed into its archive.
-    """
+def _add(archive: tarfile.TarFile, name: str, data: bytes) -> None:
+    info = tarfile.TarInfo(name)
+    info.size = len(data)
+    archive.addfile(info, io.BytesIO(data))
+
+
+def write_paired_files(pages: DataFrame) -> str:
+    """``pageN.wav`` files with ``.normalized.txt`` siblings where the address has no query; returns the folder."""
+    root = scratch_path(pages.sparkSession, "pairs")
+    local = _local(root)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import os
+
+        for batch in batches:
+            for number, url in zip(batch["page_id"], batch["url"]):
+                folder = f"{local}/{number % 10}/{number % 7}"
+                os.makedirs(folder, exist_ok=True)
+                with open(f"{folder}/page{number}.wav", "wb") as audio:
+                    audio.write(b"RIFF")
+                if "?" not in url:
+                    with open(f"{folder}/page{number}.normalized.txt", "w", encoding="utf-8") as text:
+                        text.write(f"{url}\nsecond line\n")
+            yield pd.DataFrame({"files": [len(batch)]})
+
+    pages.select("page_id", "url").mapInPandas(write, "files int").agg(F.sum("files")).collect()
+    return root
+
+
+def write_archives(df: DataFrame, folder: str, shard: str, key: str, text: str, payload: str, suffix: str = ".mp3") -> DataFrame:
+    """``shard_NNNNNN.tar`` files of paired members, one per shard number; returns rows per shard once run."""
     ordered = df.select(shard, key, text, payload).repartition(F.col(shard)).sortWithinPartitions(shard, key)
+    local = _local(folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
-        os.makedirs(folder, exist_ok=True)
+        os.makedirs(local, exist_ok=True)
         current, archive, rows = None, None, 0
         for batch in batches:
             for number, name, described, content in zip(batch[shard], batch[key], batch[text], batch[payload]):
@@ -30,14 +66,52 @@ def write_archives(df: DataFrame, folder: str, shard: str, key: str, text: str,
                         archive.close()
                         yield pd.DataFrame({"shard": [current], "rows": [rows]})
                     current, rows = number, 0
-                    archive = tarfile.open(f"{folder}/shard_{number:06d}.tar", "w")
-                for ending, data in ((".json", described.encode("utf-8")), (suffix, content)):
-                    info = tarfile.TarInfo(f"{name}{ending}")
-                    info.size = len(data)
-                    archive.addfile(info, io.BytesIO(data))
+                    archive = tarfile.open(f"{local}/shard_{number:06d}.tar", "w")
+                members = [(f"{name}.json", described.encode("utf-8")), (f"{name}{suffix}", content)]
+                for member in members if rows % 2 else reversed(members):
+                    _add(archive, *member)
                 rows += 1
         if archive is not None:
             archive.close()
             yield pd.DataFrame({"shard": [current], "rows": [rows]})
 
     return ordered.mapInPandas(write, "shard int, rows int")
+
+
+def write_sidecar_archives(documents: DataFrame) -> list[str]:
+    """One ``tar.zst`` of JSON-lines members per language; returns the paths."""
+    root = scratch_path(documents.sparkSession, "sidecars")
+    local = _local(root)
+    lines = documents.select("lang", "doc_id", F.to_json(F.struct("doc_id", "lang", "text")).alias("line"))
+    ordered = lines.repartition("lang").sortWithinPartitions("lang", "doc_id")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import os
+
+        import zstandard
+
+        os.makedirs(local, exist_ok=True)
+        current, archive, stream, raw, part = None, None, None, None, 0
+
+        def close() -> None:
+            archive.close()
+            stream.close()
+            raw.close()
+
+        for batch in batches:
+            for lang, group in batch.groupby("lang", sort=False):
+                if lang != current:
+                    if archive is not None:
+                        close()
+                    current, part = lang, 0
+                    raw = open(f"{local}/{lang}.tar.zst", "wb")
+                    stream = zstandard.ZstdCompressor().stream_writer(raw)
+                    archive = tarfile.open(fileobj=stream, mode="w|")
+                    yield pd.DataFrame({"path": [f"{local}/{lang}.tar.zst"]})
+                _add(archive, f"part{part}.jsonl", ("\n".join(group["line"]) + "\n").encode("utf-8"))
+                _add(archive, f"notes{part}.txt", b"not a sidecar")
+                part += 1
+        if archive is not None:
+            close()
+
+    return [r["path"] for r in ordered.mapInPandas(write, "path string").collect()]

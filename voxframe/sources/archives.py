@@ -6,7 +6,6 @@ are read into a row one by one; an archive is never held whole.
 
 from __future__ import annotations
 
-import io
 import json
 import re
 import tarfile
@@ -166,9 +165,9 @@ def _json_lines(path: str) -> Iterator[str]:
             for member in archive:
                 if not member.isfile() or not member.name.endswith(".jsonl"):
                     continue
-                for line in io.TextIOWrapper(archive.extractfile(member), encoding="utf-8"):
+                for line in iter(archive.extractfile(member).readline, b""):
                     if line.strip():
-                        yield line.rstrip("\n")
+                        yield line.decode("utf-8").rstrip("\r\n")
         if path.endswith(".zst"):
             # Drain what follows the tar so that a cut-off frame is noticed.
             try:

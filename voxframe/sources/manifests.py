@@ -147,9 +147,12 @@ def valid_sidecar(spark: SparkSession, path: str, schema: T.StructType, version:
     return fail_on_issue(sidecar(spark, path, schema, version), "sidecar").drop(CORRUPT)
 
 
-def parquet_files(spark: SparkSession, paths: Sequence[str], skip_unreadable: bool = True) -> DataFrame:
-    """Parquet files by path; unreadable files are skipped when asked."""
-    return spark.read.option("ignoreCorruptFiles", skip_unreadable).parquet(*paths)
+def parquet_files(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None, skip_unreadable: bool = True
+) -> DataFrame:
+    """Parquet files by path; unreadable files are skipped (and logged by the tasks) when asked."""
+    reader = spark.read.option("ignoreCorruptFiles", skip_unreadable)
+    return (reader.schema(schema) if schema else reader).parquet(*paths)
 
 
 def listed_files(spark: SparkSession, list_path: str) -> list[str]:
@@ -166,7 +169,8 @@ def parquet_list(spark: SparkSession, list_path: str) -> DataFrame:
 def merged_json_indexes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``(key, value)`` of JSON objects in several files; a later file of the list wins."""
     order = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "file string, place int")
-    documents = spark.read.text(list(paths), wholetext=True).withColumn("file", _bare(F.col("_metadata.file_path")))
+    reader = spark.read.option("recursiveFileLookup", True)
+    documents = reader.text(list(paths), wholetext=True).withColumn("file", _bare(F.col("_metadata.file_path")))
     placed = documents.join(order.withColumn("file", _bare(F.col("file"))), "file")
     entries = placed.select("place", F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
     return entries.groupBy("key").agg(F.max_by("value", "place").alias("value"))

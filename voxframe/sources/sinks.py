@@ -18,7 +18,7 @@ from voxframe.operators.quality import require_schema
 
 # ---- fixed values -----------------------------------------------------------
 ROWS_PER_SHARD = 1000
-POINTER = "_CURRENT"
+POINTER = "CURRENT"
 # -----------------------------------------------------------------------------
 
 PHASE_ROWS = T.StructType(
@@ -149,7 +149,7 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _set_pointer(spark: SparkSession, root: str, version: str) -> None:
-    staged, files = _file_system(spark, f"{root}/.{POINTER}-{uuid.uuid4().hex}")
+    staged, files = _file_system(spark, f"{root}/{POINTER}-{uuid.uuid4().hex}")
     stream = files.create(staged)
     stream.write(bytearray(version, "utf-8"))
     stream.close()
@@ -217,7 +217,7 @@ def published_or_built(
 
     Returns the table and whether it was reused.
     """
-    marker = f"{root}/_IDENTITY"
+    marker = f"{root}/IDENTITY"
     path, files = _file_system(spark, marker)
     if files.exists(path) and current_version(spark, root) and spark.read.text(marker).first()["value"] == identity:
         return read_published(spark, root), True
