@@ -47,10 +47,10 @@ def key_set_difference(spark, folder):
 @query(
     "unexpected_key_set",
     "SET-04",
-    sql="SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders",
+    sql="SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 250000",
 )
 def unexpected_key_set(spark, folder):
-    expected = table(spark, folder, "orders").select(F.col("o_custkey").alias("key"))
+    expected = table(spark, folder, "orders").where("o_totalprice > 250000").select(F.col("o_custkey").alias("key"))
     return unexpected_keys(expected, table(spark, folder, "customer").select(F.col("c_custkey").alias("key")), "key")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values -----------------------------------------------------------
@@ -39,6 +39,12 @@ def l2_normalize(values: Column) -> Column:
     return F.transform(values, lambda v: v.cast("double") / norm)
 
 
+def default_vectors(utterance: Column, speaker: Column, computed: Column) -> tuple[Column, Column]:
+    """Utterance and speaker vector; where both are absent, one computed vector stands for both."""
+    absent = utterance.isNull() & speaker.isNull()
+    return F.when(absent, computed).otherwise(utterance), F.when(absent, computed).otherwise(speaker)
+
+
 def pad_right(values: Column, size: Column | int, fill: Column | int | float = 0) -> Column:
     """Append ``fill`` up to ``size``; longer arrays are kept."""
     value = fill if isinstance(fill, Column) else F.lit(fill)
@@ -212,6 +218,18 @@ def canonical_json(columns: Sequence[str]) -> Column:
     return F.to_json(fields, {"ignoreNullFields": "false"})
 
 
+def finite_json(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Canonical JSON that refuses NaN and infinities in floating-point columns."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    body = canonical_json(columns)
+    for name in columns:
+        if kinds[name] in ("float", "double"):
+            value = F.col(name)
+            bad = F.coalesce(F.isnan(value) | (F.abs(value) == float("inf")), F.lit(False))
+            body = F.when(bad, F.raise_error(F.lit(f"{name} is not a finite number")).cast("string")).otherwise(body)
+    return body
+
+
 def canonical_hash(columns: Sequence[str]) -> Column:
     """SHA-256 of the canonical JSON."""
     return F.sha2(canonical_json(columns), 256)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxframe.functions.arrays import overlap_add
 from voxframe.operators.ordering import previous_row, ranks_of, running_total, spread_sorted
 
 # ---- fixed values -----------------------------------------------------------
@@ -61,3 +62,15 @@ def sessions(df: DataFrame, user: str, ts: str, tie: str, gap_seconds: float) ->
     return numbered.groupBy(user, "session").agg(
         F.min(ts).alias("session_start"), F.max(ts).alias("last_request"), F.count(F.lit(1)).alias("requests")
     )
+
+
+def reassembled(df: DataFrame, request: str, order: str, chunk: str, rate: int, overlap: int = 0) -> DataFrame:
+    """A request's chunks in arrival order as one array, with its duration; empty chunks are skipped.
+
+    With ``overlap`` neighbouring chunks share that many samples and are blended.
+    """
+    arrived = F.transform(F.sort_array(F.collect_list(F.struct(order, chunk))), lambda s: s[chunk])
+    chunks = F.filter(arrived, lambda c: F.size(c) > 0)
+    grouped = df.groupBy(request).agg(chunks.alias("_chunks"))
+    joined = overlap_add(F.col("_chunks"), overlap) if overlap else F.flatten("_chunks")
+    return grouped.select(request, joined.alias("samples")).withColumn("duration", F.size("samples") / float(rate))

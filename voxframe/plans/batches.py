@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxframe.operators.packing import (
@@ -38,7 +38,11 @@ def packed_epoch(
 def padded_batches(batched: DataFrame, rows: str, length: str, arrays: Sequence[str], kept: Sequence[str] = ()) -> DataFrame:
     """Batches as parallel columns, longest row first: kept fields as lists, arrays padded with their lengths."""
     ordered = batched.withColumn("_rows", longest_first(F.col(rows), length))
-    columns = [F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in kept]
+
+    def listed(name: str) -> Column:
+        return F.transform("_rows", lambda row: row[name]).alias(name)
+
+    columns = [listed(name) for name in kept]
     for name in arrays:
         columns.append(padded(F.col("_rows"), name).alias(name))
         columns.append(field_lengths(F.col("_rows"), name).alias(f"{name}_len"))
