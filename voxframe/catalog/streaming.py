@@ -21,16 +21,25 @@ from voxframe.streaming.tokens import rebatched, rebatched_table
 EDGES = [10, 25, 50, 100, 200]
 
 
+# Arbitrary state needs the RocksDB store.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
+# Sessions of a busy user are merged in each task before the shuffle.
+LOCAL_SESSIONS = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
 @contextmanager
-def _rocksdb(spark):
-    """Arbitrary state needs the RocksDB store; the session's own setting is put back."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def _settings(spark, wanted):
+    """Session settings for the time of a run; the session's own are put back."""
+    before = {name: spark.conf.get(name) for name in wanted}
     try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _events(spark, folder):
@@ -104,7 +113,8 @@ def request_lifecycles(spark, folder):
     events = _events(spark, folder).select(
         F.col("user_id").alias("request_id"), "ts", named.when(kind == "error", "error").otherwise("other").alias("kind"), F.col("event_id").alias("bytes")
     )
-    rows = drain(request_lifecycle(events, timeout="12 hours"), "complete")
+    with _settings(spark, LOCAL_SESSIONS):
+        rows = drain(request_lifecycle(events, timeout="12 hours"), "complete")
     return rows.withColumn("opened", _at("opened")).withColumn("rtf", F.round("rtf", 6))
 
 
@@ -124,7 +134,8 @@ _SESSION_ROWS = f"WITH {_sessions_sql('6 hours')} SELECT user_id, epoch_us(min(t
 
 @query("streamed_user_sessions", "STM-05", sql=_SESSION_ROWS)
 def streamed_user_sessions(spark, folder):
-    rows = drain(user_sessions(_events(spark, folder), "user_id", gap="6 hours"), "complete")
+    with _settings(spark, LOCAL_SESSIONS):
+        rows = drain(user_sessions(_events(spark, folder), "user_id", gap="6 hours"), "complete")
     return rows.withColumns({"session_start": F.unix_micros("session_start"), "last_request": F.unix_micros("last_request")})
 
 
@@ -150,7 +161,7 @@ def rebatched_token_stream(spark, folder):
     ends = table(spark, folder, "conversations").groupBy("conv_id").agg(F.max("turn").alias("last"))
     turns = table_stream(spark, folder, "conversations").join(ends, "conv_id")
     rows = turns.select("conv_id", F.col("turn").alias("position"), whitespace_tokens(F.col("text")).alias("tokens"), (F.col("turn") == F.col("last")).alias("final"))
-    with _rocksdb(spark):
+    with _settings(spark, ROCKSDB):
         blocks = drain(rebatched(rows, "conv_id"), "append")
     return _shown_blocks(blocks)
 

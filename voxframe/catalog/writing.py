@@ -8,7 +8,7 @@ from voxframe.catalog.base import PLAN_SQL, TURNS_SQL, query, table, turn_pairs,
 from voxframe.functions.injected import whitespace_tokens
 from voxframe.operators.columns import shard_of
 from voxframe.operators.sets import union_all
-from voxframe.plans.corpus import build_shards
+from voxframe.plans.corpus import build_shards, with_tokens, with_vectors
 from voxframe.plans.split import split_plan
 from voxframe.session import scratch_path
 from voxframe.sources.sinks import (
@@ -82,6 +82,35 @@ def _shards(spark, folder):
 _NUMBERED = "(SELECT doc_id AS utt, source AS spk, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS i FROM documents)"
 
 
+@query(
+    "utterances_with_vectors",
+    "AGG-01",
+    "JOIN-03",
+    "JOIN-04",
+    sql="""WITH m AS (SELECT source, i, avg(x::DOUBLE) AS x FROM (SELECT source, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM documents JOIN embeddings ON vec_id = doc_id) GROUP BY 1, 2),
+s AS (SELECT source, string_agg(printf('%.5f', x + 0.0), ' ' ORDER BY i) AS spk_embedding FROM m GROUP BY 1)
+SELECT doc_id AS utt, source AS spk, array_to_string(list_transform(embedding, lambda v: printf('%.5f', v::DOUBLE + 0.0)), ' ') AS utt_embedding, spk_embedding,
+CASE WHEN l.doc_id IS NOT NULL THEN l.quality || ',' || l.toxic END AS speech_token, NULL::VARCHAR AS reject_speech_token
+FROM documents d LEFT JOIN embeddings ON vec_id = doc_id LEFT JOIN s USING (source) LEFT JOIN labels l USING (doc_id)""",
+)
+def utterances_with_vectors(spark, folder):
+    """Own vector, mean vector of the speaker, tokens where there are some, and no rejected tokens at all."""
+    rows = table(spark, folder, "documents").select(F.col("doc_id").alias("utt"), F.col("source").alias("spk"))
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("utt"), F.col("embedding").alias("vector"))
+    tokens = table(spark, folder, "labels").select(F.col("doc_id").alias("utt"), F.array("quality", "toxic").alias("speech_token"))
+    full = with_tokens(with_vectors(rows, vectors), tokens, None)
+    shown = lambda c: F.array_join(F.transform(c, lambda v: F.format_string("%.5f", v.cast("double") + 0.0)), " ")
+    joined = lambda c: F.array_join(F.transform(c, lambda v: v.cast("string")), ",").alias(c)
+    return full.select(
+        "utt",
+        "spk",
+        shown("utt_embedding").alias("utt_embedding"),
+        shown("spk_embedding").alias("spk_embedding"),
+        joined("speech_token"),
+        joined("reject_speech_token"),
+    )
+
+
 @query("utterance_shard_index", "SNK-03", sql=f"SELECT utt, i::INTEGER AS shard FROM {_NUMBERED}")
 def utterance_shard_index(spark, folder):
     return _shards(spark, folder)["utterances"]

@@ -16,25 +16,17 @@ from voxframe.functions.hashing import hash_index, stable_key
 from voxframe.operators.ordering import with_ordinal
 
 
-def _per_key(df: DataFrame, key: str, columns: Sequence[str], side: str) -> DataFrame:
-    """One row per key with its copies counted, before any shuffle meets a hot key."""
-    payload = [F.first(F.struct(*columns)).alias(side)] if columns else []
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(f"n_{side}"), *payload)
-
-
-def reconcile(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    left_columns: Sequence[str] = (),
-    right_columns: Sequence[str] = (),
-) -> DataFrame:
-    """One row per key of either side: copies on each side, chosen columns and the ``issue`` or null.
+def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """One row per key of either side: copies on each side and the ``issue``, or null.
 
-    Both sides are reduced to one row per key first; the join reuses that
-    partitioning, so each side is shuffled once.
+    Only the keys travel. Copies are counted on the map side, so a key with many copies
+    is one row before anything is shuffled.
     """
-    joined = _per_key(left, key, left_columns, "left").join(_per_key(right, key, right_columns, "right"), key, "full_outer")
+
+    def copies(df: DataFrame, side: str) -> DataFrame:
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(f"n_{side}"))
+
+    joined = copies(left, "left").join(copies(right, "right"), key, "full_outer")
     issue = (
         F.when(F.col("n_left").isNull(), "missing_left")
         .when(F.col("n_right").isNull(), "missing_right")
@@ -45,8 +37,6 @@ def reconcile(
         key,
         F.coalesce("n_left", F.lit(0)).alias("n_left"),
         F.coalesce("n_right", F.lit(0)).alias("n_right"),
-        *[F.col(f"left.{c}").alias(c) for c in left_columns],
-        *[F.col(f"right.{c}").alias(c) for c in right_columns],
         issue.alias("issue"),
     )
 
@@ -66,9 +56,13 @@ def fail_on_issue(df: DataFrame, what: str, issue: str = "issue", key: str | Non
 def strict_join(
     left: DataFrame, right: DataFrame, key: str, left_columns: Sequence[str], right_columns: Sequence[str]
 ) -> DataFrame:
-    """1:1 join; a duplicate or unmatched key on either side stops the job. Checked in the join's own pass."""
-    joined = reconcile(left, right, key, left_columns, right_columns)
-    return fail_on_issue(joined, "strict join", key=key).drop("n_left", "n_right")
+    """1:1 join; a duplicate or unmatched key on either side stops the job.
+
+    The audited keys, the left and the right rows all meet in one partitioning by key,
+    so wide rows are shuffled and sorted once.
+    """
+    sound = fail_on_issue(reconcile(left, right, key), "strict join", key=key).select(key)
+    return left.select(key, *left_columns).join(sound, key).join(right.select(key, *right_columns), key)
 
 
 def enrich(df: DataFrame, lookup: DataFrame, key: str, mandatory: Sequence[str]) -> DataFrame:
@@ -91,26 +85,28 @@ def optional(df: DataFrame, lookup: DataFrame | None, key: str, column: str, kin
     return df.join(lookup.select(key, column), key, "left")
 
 
+def _compared(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], added: Sequence[str] = ()) -> DataFrame:
+    """Left rows joined to the right ones, with ``issue`` naming the first listed column that differs."""
+    renamed = right.select(key, *[F.col(c).alias(f"_r_{c}") for c in columns], *added)
+    differs = [F.when(~F.col(c).eqNullSafe(F.col(f"_r_{c}")), F.lit(f"{c} differs")) for c in columns]
+    joined = left.join(renamed, key).withColumn("issue", F.coalesce(*differs))
+    return joined.drop(*[f"_r_{c}" for c in columns])
+
+
 def mismatches(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Keys whose copies, presence or listed columns differ between two tables, with the reason."""
-    renamed = right.select(key, *[F.col(c).alias(f"_r_{c}") for c in columns])
-    joined = reconcile(left, renamed, key, columns, [f"_r_{c}" for c in columns])
-    reason = F.col("issue")
-    for c in columns:
-        reason = F.coalesce(reason, F.when(~F.col(c).eqNullSafe(F.col(f"_r_{c}")), F.lit(f"{c} differs")))
-    return joined.select(key, reason.alias("issue")).where(F.col("issue").isNotNull())
+    audit = reconcile(left, right, key)
+    sound = audit.where(F.col("issue").isNull()).select(key)
+    differing = _compared(left.join(sound, key), right, key, columns)
+    found = audit.select(key, "issue").unionByName(differing.select(key, "issue"))
+    return found.where(F.col("issue").isNotNull())
 
 
 def reconciled_rows(cache: DataFrame, plan: DataFrame, key: str, equal: Sequence[str], added: Sequence[str]) -> DataFrame:
     """Cache rows with plan columns added; key sets and the ``equal`` columns must agree, else the job stops."""
-    renamed = plan.select(key, *[F.col(c).alias(f"_r_{c}") for c in equal], *added)
-    kept = [c for c in cache.columns if c != key]
-    joined = reconcile(cache, renamed, key, kept, [*[f"_r_{c}" for c in equal], *added])
-    issue = F.col("issue")
-    for c in equal:
-        issue = F.coalesce(issue, F.when(~F.col(c).eqNullSafe(F.col(f"_r_{c}")), F.lit(f"{c} differs")))
-    checked = fail_on_issue(joined.withColumn("issue", issue), "cache and plan disagree", key=key)
-    return checked.select(key, *kept, *added)
+    what = "cache and plan disagree"
+    sound = fail_on_issue(reconcile(cache, plan, key), what, key=key).select(key)
+    return fail_on_issue(_compared(cache.join(sound, key), plan, key, equal, added), what, key=key)
 
 
 def matched_and_unmatched(hypotheses: DataFrame, labels: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 from voxframe.operators.aggregates import mean_vectors
 from voxframe.operators.joins import optional, two_hop
+from voxframe.session import materialize
 from voxframe.sources.sinks import ROWS_PER_SHARD, shard_files, shard_index, sharded, write_shards
 
 
 def with_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
     """Utterance vector where there is one, and the mean vector of the utterance's speaker.
 
-    The mean is taken over the vectors' own (utterance, speaker) pairs, so the
-    utterance rows are joined to one row per speaker.
+    The speakers' means are written first: the planner then knows their size and
+    broadcasts them if they are small, otherwise it joins by speaker and splits the
+    speakers that are too big for one task.
     """
     owned = vectors.join(rows.select("utt", "spk"), "utt")
-    speakers = mean_vectors(owned, ["spk"], "vector", "spk_embedding")
+    speakers = materialize(mean_vectors(owned, ["spk"], "vector", "spk_embedding"), "speakers")
     own = vectors.select("utt", F.col("vector").alias("utt_embedding"))
     return rows.join(own, "utt", "left").join(speakers, "spk", "left")
 
@@ -36,11 +38,9 @@ def with_tokens(rows: DataFrame, tokens: DataFrame | None, rejected: DataFrame |
 def build_shards(rows: DataFrame, path: str, size: int = ROWS_PER_SHARD) -> dict[str, DataFrame]:
     """Write shards of ``size`` utterances; returns the utterance, speaker and shard-file lists.
 
-    Only ids are numbered; the wide rows are shuffled once, to their shard.
+    The rows are shuffled once, into utterance order.
     """
-    numbers = sharded(rows.select("utt"), ["utt"], size)
-    placed = rows.join(numbers, "utt")
-    write_shards(placed, path)
+    write_shards(sharded(rows, ["utt"], size), path)
     written = rows.sparkSession.read.parquet(path)
     return {
         "utterances": shard_index(written, "utt"),

@@ -50,16 +50,17 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 
 def sharded(df: DataFrame, keys: Sequence[str], rows: int = ROWS_PER_SHARD) -> DataFrame:
-    """Shard number of consecutive runs of ``rows`` rows in key order."""
+    """Shard number of consecutive runs of ``rows`` rows in key order; the rows come back in that order."""
     return with_ordinal(df, *keys).withColumn("shard", F.floor(F.col("ordinal") / rows)).drop("ordinal")
 
 
 def write_shards(df: DataFrame, path: str, compression: str = "zstd") -> None:
-    """Write a table with a ``shard`` column, one file per shard."""
-    # Range partitioning keeps a shard whole and places neighbouring shards together.
-    df.repartitionByRange("shard").sortWithinPartitions("shard").write.option("compression", compression).partitionBy(
-        "shard"
-    ).parquet(path)
+    """Write the result of :func:`sharded` by shard.
+
+    Its rows already lie in shard order, so every task writes whole shards but for its
+    first and last one, without another shuffle.
+    """
+    df.write.option("compression", compression).partitionBy("shard").parquet(path)
 
 
 def shard_index(df: DataFrame, key: str) -> DataFrame:
@@ -79,8 +80,12 @@ def phase_rows(plan_with_tokens: DataFrame) -> DataFrame:
 
 
 def write_phase_tables(rows: DataFrame, path: str) -> None:
-    """Write phase tables as zstd Parquet by phase and shard."""
-    rows.repartitionByRange("phase", "shard").write.option("compression", "zstd").partitionBy("phase", "shard").parquet(path)
+    """Write phase tables as zstd Parquet by phase and shard.
+
+    The path is part of the range, so a shard too big for one task becomes several files.
+    """
+    spread = rows.repartitionByRange("phase", "shard", "source_relative_path")
+    spread.write.option("compression", "zstd").partitionBy("phase", "shard").parquet(path)
 
 
 def plan_lines(plan: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -89,8 +94,8 @@ def plan_lines(plan: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def write_plan_lines(lines: DataFrame, path: str) -> None:
-    """Write plan lines as text by shard."""
-    lines.repartitionByRange("shard").write.partitionBy("shard").text(path)
+    """Write plan lines as text by shard; a big shard becomes several files."""
+    lines.repartitionByRange("shard", "value").write.partitionBy("shard").text(path)
 
 
 def result_lines(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
