@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxframe.catalog.aggregating import DISTANCE_SQL
-from voxframe.catalog.base import TURNS_SQL, WORDS_SQL, query, table, turn_pairs
+from voxframe.catalog.base import TURNS_SQL, WORDS_SQL, query, table, texts, turn_pairs
 from voxframe.functions.edit import distance, text_distance, token_distance
 from voxframe.functions.spans import number_span
 from voxframe.functions.text import words
@@ -161,7 +161,7 @@ _PLACED = f"(SELECT conv_id, turn, {WORDS_SQL} AS w, len({WORDS_SQL}) // 2 AS k
 
 def _numbered_sentences(spark, folder):
     """Each turn with a number written in its middle, and with the same number spoken."""
-    turns = table(spark, folder, "conversations").select("conv_id", "turn", words(F.col("text")).alias("w"))
+    turns = texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", words(F.col("text")).alias("w"))
     k = F.floor(F.size("w") / 2).cast("int")
     head, tail = F.slice("w", F.lit(1), k), F.slice("w", k + 1, F.size("w"))
     with_middle = lambda middle: F.array_join(F.concat(head, F.split(F.lit(middle), " "), tail), " ")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxframe.functions.text import words
+from voxframe.session import balanced
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
+    """A table with texts, spread over the cores when it is a single file."""
+    return balanced(table(spark, folder, name), key)
+
+
 def tidy(text: Column) -> Column:
     """A text on one line: whitespace runs as single blanks, trimmed."""
     return F.array_join(words(text), " ")
@@ -61,7 +67,7 @@ def shard_path(doc_id: str = "doc_id") -> Column:
 def utterance_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as utterances with an agreement where they are labelled."""
     labelled = table(spark, folder, "labels").select("doc_id", F.lit(True).alias("labelled"))
-    joined = table(spark, folder, "documents").join(labelled, "doc_id", "left")
+    joined = texts(spark, folder).join(labelled, "doc_id", "left")
     agreement = F.when(F.col("labelled"), (F.col("n_chars") % 100) / 100.0)
     return joined.select(
         shard_path().alias("source_relative_path"),
@@ -109,7 +115,7 @@ TURNS_SQL = r"""turns AS (
 
 def turn_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Each turn as reference and the next turn as hypothesis, as token arrays."""
-    turns = table(spark, folder, "conversations")
+    turns = texts(spark, folder, "conversations", "conv_id")
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), words(F.col("text")).alias("hyp"))
     return turns.select("conv_id", "turn", F.col("role").alias("category"), words(F.col("text")).alias("ref")).join(
         following, ["conv_id", "turn"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxframe.catalog.aggregating import rounded_vector
-from voxframe.catalog.base import WORDS_SQL, query, table
+from voxframe.catalog.base import WORDS_SQL, query, texts
 from voxframe.catalog.listing import TOKENS_SQL
 from voxframe.functions.injected import OutOfMemory, batch_scores, tokenized, tokenizer, vector_extractor, whitespace_tokens
 from voxframe.operators.aggregates import mean_vectors
@@ -47,7 +47,7 @@ SELECT doc_id, len(t)::INTEGER AS text_token_len, list_sum(t)::BIGINT AS token_s
 )
 def declared_stage_chain(spark, folder):
     """Tokenise, filter, batch and pad by declaration; unbatched again, no row and no token is lost."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    docs = texts(spark, folder).select("doc_id", "text", "n_chars")
     batches = STAGES.chain(docs, DECLARED)
     rows = batches.select(F.explode(F.arrays_zip("doc_id", "text_token", "text_token_len")).alias("r"))
     return rows.select(
@@ -62,7 +62,7 @@ def declared_stage_chain(spark, folder):
 )
 def injected_tokenizer(spark, folder):
     encode = tokenizer(lambda s: [len(w) for w in s.split()])
-    docs = table(spark, folder, "documents").withColumn("instruct", F.col("lang"))
+    docs = texts(spark, folder).withColumn("instruct", F.col("lang"))
     rows = tokenized(docs, encode)
     return rows.select("doc_id", F.size("text_token").alias("text_tokens"), F.size("instruct_token").alias("instruct_tokens"))
 
@@ -80,7 +80,7 @@ def _tight_model(texts: list) -> list:
     sql=r"""SELECT doc_id, len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> ''))::INTEGER AS score FROM documents""",
 )
 def batched_model_scores(spark, folder):
-    return batch_scores(table(spark, folder, "documents"), _tight_model, "doc_id", "text", "score", "int")
+    return batch_scores(texts(spark, folder), _tight_model, "doc_id", "text", "score", "int")
 
 
 @query(
@@ -92,5 +92,5 @@ def batched_model_scores(spark, folder):
 def extracted_speaker_means(spark, folder):
     """Length and number of blanks as an injected two-number vector, averaged per source."""
     extract = vector_extractor(lambda text: [len(text), text.count(" ")])
-    docs = table(spark, folder, "documents").select("source", extract(F.col("text")).alias("v"))
+    docs = texts(spark, folder).select("source", extract(F.col("text")).alias("v"))
     return mean_vectors(docs, ["source"], "v").select("source", rounded_vector("mean_vector").alias("mean_vector"))

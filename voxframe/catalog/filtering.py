@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxframe.catalog.base import PLAN_SQL, WORDS_SQL, query, table, utterance_rows
+from voxframe.catalog.base import PLAN_SQL, WORDS_SQL, query, table, texts, utterance_rows
 from voxframe.functions.text import has_cjk, has_markup, has_stress_marks, language_code, language_name, only_punctuation, whitespace_token_count
 from voxframe.operators.filters import (
     capped,
@@ -28,7 +28,7 @@ _COUNTED = f"""counted AS (SELECT d.doc_id, d.n_chars, len({WORDS_SQL}) AS token
 
 
 def _reasons(spark, folder):
-    docs = table(spark, folder, "documents").join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "left")
+    docs = texts(spark, folder).join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id", "left")
     reason = length_drop_reason(
         F.col("n_chars"),
         whitespace_token_count(F.col("text")),
@@ -72,7 +72,7 @@ def long_audio_tokens(spark, folder):
 
     seconds = F.col("n_chars") / 100.0
     kept = tokens_unless_long(whitespace_tokens(F.col("text")), seconds)
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         "doc_id", F.size(kept).alias("tokens"), rejection_sampling_usable(seconds).alias("usable")
     )
 
@@ -110,7 +110,7 @@ SELECT w AS token, count(*) AS rows FROM t WHERE regexp_full_match(w, '[\p{{P}}\
 def punctuation_only_tokens(spark, folder):
     from voxframe.functions.text import words
 
-    tokens = table(spark, folder, "documents").select(F.explode(words(F.col("text"))).alias("token"))
+    tokens = texts(spark, folder).select(F.explode(words(F.col("text"))).alias("token"))
     return tokens.where(only_punctuation(F.col("token"))).groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -121,7 +121,7 @@ def punctuation_only_tokens(spark, folder):
 )
 def cjk_texts(spark, folder):
     text = F.when(F.col("lang") == "de", F.concat("text", F.lit("语"))).otherwise(F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", has_cjk(text).alias("cjk"))
+    return texts(spark, folder).select("doc_id", has_cjk(text).alias("cjk"))
 
 
 @query(
@@ -134,7 +134,7 @@ def supported_languages(spark, folder):
     n = F.col("doc_id") % 3
     lang = F.when(n == 0, F.concat(F.lit(" "), F.upper("lang"), F.lit(" "))).when(n == 1, F.lit("")).otherwise(F.concat(F.lit("x"), "lang"))
     code = language_code(lang)
-    return table(spark, folder, "documents").select("doc_id", code.alias("code"), language_name(code).alias("name"))
+    return texts(spark, folder).select("doc_id", code.alias("code"), language_name(code).alias("name"))
 
 
 @query(
@@ -154,7 +154,7 @@ def short_pcm_outputs(spark, folder):
     sql="SELECT conv_id, turn, length(text) < 0.5 * length(prev) AS short FROM (SELECT a.conv_id, a.turn, a.text, b.text AS prev FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1)",
 )
 def texts_shorter_than_prompt(spark, folder):
-    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    turns = texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", "text")
     prompts = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prompt"))
     return turns.join(prompts, ["conv_id", "turn"]).select(
         "conv_id", "turn", shorter_than_prompt(F.col("text"), F.col("prompt")).alias("short")
@@ -175,7 +175,7 @@ def stress_and_markup(spark, folder):
         .when(n == 2, F.concat(F.lit("<|x|>"), "text"))
         .otherwise(F.concat("text", F.lit("+o")))
     )
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         "doc_id", has_stress_marks(text).alias("stressed"), has_markup(text).alias("markup")
     )
 

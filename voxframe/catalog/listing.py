@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxframe.catalog.aggregating import rounded_vector
-from voxframe.catalog.base import WORDS_SQL, query, table
+from voxframe.catalog.base import WORDS_SQL, query, table, texts
 from voxframe.functions.arrays import (
     align_two_rates,
     contains_run,
@@ -84,7 +84,7 @@ FROM t JOIN m ON m.batch = i // 8 GROUP BY 1""",
 )
 def padded_token_batches(spark, folder):
     """Eight turns per batch, longest first; the optional field is missing in odd turns, so no batch has it."""
-    turns = table(spark, folder, "conversations").select(
+    turns = texts(spark, folder, "conversations", "conv_id").select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("id"), "turn", whitespace_tokens(F.col("text")).alias("t")
     )
     rows = turns.withColumns({"n": F.size("t"), "o": F.when(F.col("turn") % 2 == 0, F.col("t"))})
@@ -116,7 +116,7 @@ def pad_masks(spark, folder):
 SELECT doc_id, md5(array_to_string(CASE WHEN len(t) > 128 THEN t[s + 1 : s + 128] ELSE t || list_transform(range(0, 128 - len(t)), lambda k: 0) END, ',')) AS window_md5 FROM s""",
 )
 def fixed_length_windows(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", whitespace_tokens(F.col("text")).alias("t"))
+    docs = texts(spark, folder).select("doc_id", whitespace_tokens(F.col("text")).alias("t"))
     start = hash_index(stable_key(5, "doc_id"), F.greatest(F.size("t") - 127, F.lit(1)))
     return docs.select("doc_id", F.md5(_joined(crop_or_pad(F.col("t"), 128, start, 0))).alias("window_md5"))
 
@@ -129,7 +129,7 @@ def fixed_length_windows(spark, folder):
 def multiple_length_arrays(spark, folder):
     padded = pad_to_multiple(whitespace_tokens(F.col("text")), 12, 0)
     total = F.aggregate(padded, F.lit(0).cast("bigint"), lambda a, v: a + v)
-    return table(spark, folder, "conversations").select("conv_id", "turn", F.size(padded).alias("n"), total.alias("total"))
+    return texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", F.size(padded).alias("n"), total.alias("total"))
 
 
 @query(
@@ -143,7 +143,7 @@ def aligned_token_rates(spark, folder):
     features = F.array_repeat(F.lit(0), F.floor(F.char_length("text") / 9).cast("int") * 2)
     cut, tokens = align_two_rates(features, whitespace_tokens(F.col("text")))
     total = F.aggregate(tokens, F.lit(0).cast("bigint"), lambda a, v: a + v)
-    return table(spark, folder, "conversations").select(
+    return texts(spark, folder, "conversations", "conv_id").select(
         "conv_id", "turn", F.size(cut).alias("features"), F.size(tokens).alias("tokens"), total.alias("total")
     )
 
@@ -183,7 +183,7 @@ SELECT conv_id, turn, coin < 0.5 AND len(s) / n::DOUBLE > 3 AS interleaved, md5(
 )
 def interleaved_targets(spark, folder):
     """Words as text tokens, character positions as speech tokens."""
-    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text", whitespace_tokens(F.col("text")).alias("t"))
+    turns = texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", "text", whitespace_tokens(F.col("text")).alias("t"))
     speech = F.when(F.char_length("text") > 0, F.sequence(F.lit(0), F.char_length("text") - 1))
     rows = turns.withColumn("s", speech).withColumn(
         "use", interleave_applies(F.col("t"), F.col("s"), hash_fraction(stable_key(9, "conv_id", "turn")))
@@ -201,7 +201,7 @@ SELECT conv_id, turn, c::INTEGER AS chunk, array_to_string(CASE WHEN c < k THEN
 )
 def equal_size_chunks(spark, folder):
     chunks = equal_chunks(whitespace_tokens(F.col("text")), 10, 3)
-    rows = table(spark, folder, "conversations").select("conv_id", "turn", F.posexplode(chunks).alias("chunk", "c"))
+    rows = texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", F.posexplode(chunks).alias("chunk", "c"))
     return rows.select("conv_id", "turn", "chunk", _joined("c").alias("tokens"))
 
 
@@ -215,7 +215,7 @@ SELECT conv_id, turn, c::INTEGER AS chunk, array_to_string(CASE WHEN c < k THEN
 )
 def doubling_size_chunks(spark, folder):
     chunks = doubling_chunks(whitespace_tokens(F.col("text")), 8, 3)
-    rows = table(spark, folder, "conversations").select("conv_id", "turn", F.posexplode(chunks).alias("chunk", "c"))
+    rows = texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", F.posexplode(chunks).alias("chunk", "c"))
     return rows.select("conv_id", "turn", "chunk", _joined("c").alias("tokens"))
 
 
@@ -228,7 +228,7 @@ FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""",
 )
 def contained_runs(spark, folder):
     """Do the first two tokens of the next turn occur together in this one?"""
-    turns = table(spark, folder, "conversations").select("conv_id", "turn", whitespace_tokens(F.col("text")).alias("t"))
+    turns = texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", whitespace_tokens(F.col("text")).alias("t"))
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.slice("t", 1, 2).alias("run"))
     return turns.join(following, ["conv_id", "turn"]).select("conv_id", "turn", contains_run(F.col("t"), F.col("run")).alias("contained"))
 
@@ -269,7 +269,7 @@ def resized_vectors(spark, folder):
 )
 def token_validity(spark, folder):
     declared = F.floor(F.char_length("text") / 6)
-    return table(spark, folder, "conversations").select(
+    return texts(spark, folder, "conversations", "conv_id").select(
         "conv_id", "turn", valid_tokens(whitespace_tokens(F.col("text")), declared, 9).alias("valid")
     )
 

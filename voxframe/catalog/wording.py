@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxframe.catalog.base import WORDS_SQL, query, table
+from voxframe.catalog.base import WORDS_SQL, query, table, texts
 from voxframe.functions.text import (
     ASCII_PUNCTUATION,
     PROMPT_MARKER,
@@ -47,7 +47,7 @@ def spell_digits(run: str) -> str:
     sql=rf"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(replace(lower(nfc_normalize(text)), 'ё', 'е'), '[\p{{P}}_]', ' ', 'g'), '\s+', ' ', 'g'))) AS normal_md5 FROM documents""",
 )
 def asr_normal_forms(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.md5(asr_normal_form(F.col("text"))).alias("normal_md5"))
+    return texts(spark, folder).select("doc_id", F.md5(asr_normal_form(F.col("text"))).alias("normal_md5"))
 
 
 _PUNCTUATION = (WIDE_PUNCTUATION + ASCII_PUNCTUATION).replace("'", "")
@@ -70,12 +70,12 @@ SELECT doc_id, md5({_drop("t")}) AS normal_md5 FROM v""",
 )
 def meeting_normal_forms(spark, folder):
     text = F.when(F.col("lang") == "de", F.concat(F.lit("<sil>"), "text", F.lit("<%>Ａｂ、"))).otherwise(F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", F.md5(meeting_normal_form(text)).alias("normal_md5"))
+    return texts(spark, folder).select("doc_id", F.md5(meeting_normal_form(text)).alias("normal_md5"))
 
 
 @query("texts_without_punctuation", "STR-03", sql=f"SELECT doc_id, md5({_drop('text')}) AS text_md5 FROM documents")
 def texts_without_punctuation(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.md5(remove_punctuation(F.col("text"))).alias("text_md5"))
+    return texts(spark, folder).select("doc_id", F.md5(remove_punctuation(F.col("text"))).alias("text_md5"))
 
 
 @query(
@@ -86,7 +86,7 @@ FROM (SELECT doc_id, 'm²（' || text || '）——【x】³`' AS t FROM documen
 )
 def symbols_replaced(spark, folder):
     text = F.concat(F.lit("m²（"), "text", F.lit("）——【x】³`"))
-    return table(spark, folder, "documents").select("doc_id", F.md5(remove_brackets(replace_corner_marks(text))).alias("text_md5"))
+    return texts(spark, folder).select("doc_id", F.md5(remove_brackets(replace_corner_marks(text))).alias("text_md5"))
 
 
 _KEEP = r"'([\x00-\x1f\x21-\x7f]) ([\x00-\x1f\x21-\x7f])'"
@@ -98,7 +98,7 @@ _KEEP = r"'([\x00-\x1f\x21-\x7f]) ([\x00-\x1f\x21-\x7f])'"
     sql=rf"""SELECT doc_id, md5(replace(replace(regexp_replace(regexp_replace(text, {_KEEP}, '\1' || chr(57344) || '\2', 'g'), {_KEEP}, '\1' || chr(57344) || '\2', 'g'), ' ', ''), chr(57344), ' ')) AS text_md5 FROM documents""",
 )
 def loose_blanks_removed(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.md5(remove_loose_blanks(F.col("text"))).alias("text_md5"))
+    return texts(spark, folder).select("doc_id", F.md5(remove_loose_blanks(F.col("text"))).alias("text_md5"))
 
 
 def _spelled_sql(column: str) -> str:
@@ -110,7 +110,7 @@ def _spelled_sql(column: str) -> str:
 
 @query("digit_runs_spelled", "STR-06", sql=f"SELECT doc_id, md5({_spelled_sql('text')}) AS text_md5 FROM documents")
 def digit_runs_spelled(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.md5(rewrite_digit_runs(F.col("text"), spell_digits)).alias("text_md5"))
+    return texts(spark, folder).select("doc_id", F.md5(rewrite_digit_runs(F.col("text"), spell_digits)).alias("text_md5"))
 
 
 @query(
@@ -120,7 +120,7 @@ def digit_runs_spelled(spark, folder):
 )
 def markers_stripped(spark, folder):
     marked = F.concat(F.lit("[FIL]"), "source", F.lit("[SPK]"))
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         "doc_id", F.md5(strip_markers(F.col("text"), ["the", "que"])).alias("text_md5"), strip_markers(marked).alias("source")
     )
 
@@ -148,12 +148,12 @@ def yo_restored(spark, folder):
         .when(n == 2, F.lit("счет-сЧет "))
         .otherwise(F.lit("пересчет "))
     )
-    return table(spark, folder, "documents").select("doc_id", restore_yo(F.concat(text, "source")).alias("text"))
+    return texts(spark, folder).select("doc_id", restore_yo(F.concat(text, "source")).alias("text"))
 
 
 @query("frontend_sentence_rows", "STR-10", "UDT-01")
 def frontend_sentence_rows(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder)
     pieces = docs.select("doc_id", F.posexplode(frontend_sentences(F.col("text"), spell_digits)).alias("position", "sentence"))
     return pieces.select("doc_id", "position", F.md5("sentence").alias("sentence_md5"))
 
@@ -166,7 +166,7 @@ SELECT doc_id, md5(regexp_replace(t, '[.?!;: ]|["”]', '', 'g')) AS joined_md5
 )
 def sentence_concatenation(spark, folder):
     """Joined again, the sentences give the text back, except for stops without words before them."""
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder)
     joined = F.array_join(split_sentences(F.col("text"), F.lit(False)), "")
     return docs.select("doc_id", F.md5(F.regexp_replace(joined, '[.?!;: ]|["”]', "")).alias("joined_md5"))
 
@@ -183,7 +183,7 @@ def routed_normal_forms(spark, folder):
         .register("de", remove_punctuation)
         .register("en", F.lower)
     )
-    return table(spark, folder, "documents").select("doc_id", F.md5(registry.apply(F.col("text"), F.col("lang"))).alias("text_md5"))
+    return texts(spark, folder).select("doc_id", F.md5(registry.apply(F.col("text"), F.col("lang"))).alias("text_md5"))
 
 
 _P, _M = PROMPT_PREFIX, PROMPT_MARKER
@@ -204,7 +204,7 @@ def prompt_prefixes(spark, folder):
         .when(n == 2, F.concat("source", F.lit(_M), "lang"))
         .otherwise(F.col("source"))
     )
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         "doc_id", ensure_prompt_prefix(text).alias("ensured"), strip_prompt_prefix(text).alias("stripped")
     )
 
@@ -216,7 +216,7 @@ def prompt_prefixes(spark, folder):
 )
 def speech_token_strings(spark, folder):
     tokens = F.transform(words(F.col("text")), lambda w: F.char_length(w))
-    return table(spark, folder, "conversations").select("conv_id", "turn", F.md5(token_string(tokens)).alias("tokens_md5"))
+    return texts(spark, folder, "conversations", "conv_id").select("conv_id", "turn", F.md5(token_string(tokens)).alias("tokens_md5"))
 
 
 @query(
@@ -231,7 +231,7 @@ def speech_token_ids(spark, folder):
     tokens = F.transform(words(F.col("text")), lambda w: F.char_length(w) * 500)
     text = F.concat(token_string(tokens), F.lit("<|eos1|><|s_1|>"))
     ids = token_ids(text, 6000, 6500)
-    return table(spark, folder, "conversations").select(
+    return texts(spark, folder, "conversations", "conv_id").select(
         "conv_id", "turn", F.array_join(F.transform(ids, lambda i: i.cast("string")), ",").alias("ids")
     )
 
@@ -261,6 +261,6 @@ def redacted_documents(spark, folder):
 )
 def character_tokens(spark, folder):
     characters = joined_characters(words(F.col("text")))
-    return table(spark, folder, "conversations").select(
+    return texts(spark, folder, "conversations", "conv_id").select(
         "conv_id", "turn", F.size(characters).alias("n"), F.md5(F.array_join(characters, " ")).alias("characters_md5")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,15 @@ def _int(value: int | Column) -> Column:
     return F.lit(value) if isinstance(value, int) else value.cast("int")
 
 
+def each_with(whole: Column, items: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """``[make(whole, item) for item in items]`` with ``whole`` computed once per row.
+
+    Inside a lambda an expression over the row is evaluated again for every element;
+    repeating its value beside the elements avoids that.
+    """
+    return F.zip_with(F.array_repeat(whole, F.size(items)), items, make)
+
+
 def indices(n: Column | int) -> Column:
     """``[0, n)`` as an array; empty for n below 1."""
     size = _int(n)
@@ -36,7 +45,7 @@ def l2_norm(values: Column) -> Column:
 def l2_normalize(values: Column) -> Column:
     """Unit vector; the zero vector stays zero."""
     norm = F.greatest(l2_norm(values), F.lit(NORM_FLOOR))
-    return F.transform(values, lambda v: v.cast("double") / norm)
+    return each_with(norm, values, lambda n, v: v.cast("double") / n)
 
 
 def default_vectors(utterance: Column, speaker: Column, computed: Column) -> tuple[Column, Column]:
@@ -77,7 +86,7 @@ def align_two_rates(features: Column, tokens: Column, ratio: int = 2) -> tuple[C
 def limit_peak(samples: Column) -> Column:
     """Divide by the peak only when it exceeds 1."""
     peak = F.array_max(F.transform(samples, lambda v: F.abs(v.cast("double"))))
-    return F.when(peak > 1, F.transform(samples, lambda v: v.cast("double") / peak)).otherwise(_doubles(samples))
+    return F.when(peak > 1, each_with(peak, samples, lambda p, v: v.cast("double") / p)).otherwise(_doubles(samples))
 
 
 def to_mono(channels: Column) -> Column:
@@ -85,7 +94,7 @@ def to_mono(channels: Column) -> Column:
     count = F.size(channels)
     zero = F.transform(channels[0], lambda v: F.lit(0.0))
     total = F.aggregate(channels, zero, lambda acc, ch: F.zip_with(acc, ch, lambda a, b: a + b.cast("double")))
-    return F.transform(total, lambda v: v / count)
+    return each_with(count, total, lambda n, v: v / n)
 
 
 def interleave_applies(text: Column, speech: Column, coin: Column, text_block: int = 5, speech_block: int = 15) -> Column:
@@ -106,9 +115,10 @@ def interleaved_target(
     full = F.floor(F.size(text) / text_block).cast("int")
     head = F.array_repeat(F.lit(IGNORE_ID), 1 + _int(instruct_len))
     ignored = F.array_repeat(F.lit(IGNORE_ID), F.lit(text_block - 1))
-    blocks = F.transform(
+    blocks = each_with(
+        speech,
         indices(full),
-        lambda j: F.concat(ignored, F.slice(speech, j * speech_block + 1, F.lit(speech_block)), F.array(F.lit(fill_id))),
+        lambda s, j: F.concat(ignored, F.slice(s, j * speech_block + 1, F.lit(speech_block)), F.array(F.lit(fill_id))),
     )
     rest_text = F.array_repeat(F.lit(IGNORE_ID), F.size(text) - full * text_block)
     rest_speech = F.slice(speech, full * speech_block + 1, F.greatest(F.size(speech) - full * speech_block, F.lit(0)))
@@ -125,7 +135,7 @@ def equal_chunks(values: Column, size: int, lookahead: int = 0) -> Column:
     """Chunks of ``size`` (+ look-ahead) while that much is left; the last chunk takes the rest."""
     n = F.size(values)
     whole = F.greatest(F.floor((n - lookahead) / size), F.lit(0)).cast("int")
-    chunks = F.transform(indices(whole), lambda i: F.slice(values, i * size + 1, F.lit(size + lookahead)))
+    chunks = each_with(values, indices(whole), lambda v, i: F.slice(v, i * size + 1, F.lit(size + lookahead)))
     rest = F.slice(values, whole * size + 1, F.greatest(n - whole * size, F.lit(0)))
     return F.concat(chunks, F.array(rest))
 
@@ -134,14 +144,15 @@ def doubling_chunks(values: Column, first: int = 25, lookahead: int = 0) -> Colu
     """Like :func:`equal_chunks` with chunk i of size ``first * 2**i``, starting at ``first * (2**i - 1)``."""
     n = F.size(values)
     # Chunk i is emitted while first * (2**(i+1) - 1) + lookahead <= n; sizes are ints, so 31 steps cover all.
-    fits = F.filter(
-        F.sequence(F.lit(0), F.lit(30)), lambda i: (F.pow(F.lit(2.0), i + 1) - 1) * first + lookahead <= n
+    fits = each_with(
+        n, F.sequence(F.lit(0), F.lit(30)), lambda size, i: (F.pow(F.lit(2.0), i + 1) - 1) * first + lookahead <= size
     )
-    whole = F.size(fits)
+    whole = F.size(F.filter(fits, lambda fit: fit))
     offset = lambda i: (F.pow(F.lit(2.0), i) - 1) * first
-    chunks = F.transform(
+    chunks = each_with(
+        values,
         indices(whole),
-        lambda i: F.slice(values, offset(i).cast("int") + 1, (F.pow(F.lit(2.0), i) * first).cast("int") + lookahead),
+        lambda v, i: F.slice(v, offset(i).cast("int") + 1, (F.pow(F.lit(2.0), i) * first).cast("int") + lookahead),
     )
     begin = offset(whole).cast("int")
     return F.concat(chunks, F.array(F.slice(values, begin + 1, F.greatest(n - begin, F.lit(0)))))
@@ -150,7 +161,9 @@ def doubling_chunks(values: Column, first: int = 25, lookahead: int = 0) -> Colu
 def contains_run(values: Column, run: Column) -> Column:
     """Whether ``run`` occurs as a contiguous part of ``values``."""
     starts = indices(F.size(values) - F.size(run) + 1)
-    return F.exists(starts, lambda i: F.slice(values, i + 1, F.size(run)) == run)
+    both = F.struct(values.alias("values"), run.alias("run"))
+    found = each_with(both, starts, lambda b, i: F.slice(b["values"], i + 1, F.size(b["run"])) == b["run"])
+    return F.exists(found, lambda f: f)
 
 
 def cross_fade(incoming: Column, outgoing: Column, window: Column) -> Column:
@@ -166,17 +179,17 @@ def cross_fade(incoming: Column, outgoing: Column, window: Column) -> Column:
 
 def linear_resize(values: Column, size: int | Column) -> Column:
     """Linear interpolation to ``size`` points with half-pixel centres."""
-    n = F.size(values)
     target = _int(size)
 
-    def point(i: Column) -> Column:
+    def point(v: Column, i: Column) -> Column:
+        n = F.size(v)
         at = F.greatest((i + 0.5) * n / target - 0.5, F.lit(0.0))
         low = F.least(F.floor(at).cast("int"), n - 1)
         high = F.least(low + 1, n - 1)
         share = at - low
-        return F.get(values, low) * (1 - share) + F.get(values, high) * share
+        return F.get(v, low) * (1 - share) + F.get(v, high) * share
 
-    return F.transform(indices(target), point)
+    return each_with(values, indices(target), point)
 
 
 def valid_tokens(tokens: Column, declared: Column | None = None, most: int = TOKEN_MAX) -> Column:

@@ -19,10 +19,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxframe.functions.arrays import each_with
+
 _CODE_BASE = 0x10000  # first code point above the surrogates' plane
-_FIELD = 21  # bits per packed counter
-_SUB, _DEL, _INS = 1 << (2 * _FIELD), 1 << _FIELD, 1
-_MASK = (1 << _FIELD) - 1
+_WHOLE_TABLE_CELLS = 1 << 22  # larger cost tables are kept in part only
 
 COUNT_FIELDS = ["substitutions", "deletions", "insertions", "reference_units"]
 COUNTS = T.StructType([T.StructField(n, T.IntegerType()) for n in COUNT_FIELDS])
@@ -40,9 +40,7 @@ ALIGNMENT = T.StructType(
 
 def _encoded(tokens: Column, vocabulary: Column) -> Column:
     """One code point per token, numbered within the pair's own vocabulary."""
-    codes = F.transform(
-        tokens, lambda w: F.lpad(F.hex(F.array_position(vocabulary, w) + _CODE_BASE), 8, "0")
-    )
+    codes = each_with(vocabulary, tokens, lambda v, w: F.lpad(F.hex(F.array_position(v, w) + _CODE_BASE), 8, "0"))
     return F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
 
 
@@ -60,13 +58,6 @@ def text_distance(reference: Column, hypothesis: Column) -> Column:
 # ---- path-dependent results -------------------------------------------------
 
 
-def _coded(reference: Sequence[str], hypothesis: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    codes: dict[str, int] = {}
-    ref = np.array([codes.setdefault(t, len(codes)) for t in reference], dtype=np.int32)
-    hyp = np.array([codes.setdefault(t, len(codes)) for t in hypothesis], dtype=np.int32)
-    return ref, hyp
-
-
 def _cost_row(above: np.ndarray, equal: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Next row of the cost table; a running minimum resolves the left neighbour."""
     best = above + 1
@@ -74,65 +65,46 @@ def _cost_row(above: np.ndarray, equal: np.ndarray, columns: np.ndarray) -> np.n
     return np.minimum.accumulate(best - columns) + columns
 
 
-def _split_counts(
-    reference: Sequence[str], hypothesis: Sequence[str], span: tuple[int, int] | None = None
-) -> tuple[int, int, int, int, int]:
-    """Substitutions, deletions, insertions and the first and last hypothesis index aligned to the span."""
-    ref, hyp = _coded(reference, hypothesis)
-    width = len(hyp) + 1
-    columns = np.arange(width, dtype=np.int64)
-    cost = columns.copy()
-    packed = columns * _INS
-    first = np.full(width, -1, dtype=np.int64)
-    last = first.copy()
-    for row, code in enumerate(ref):
-        equal = hyp == code
-        above, cost = cost, _cost_row(cost, equal, columns)
-        inserted = np.zeros(width, dtype=bool)
-        inserted[1:] = ~equal & (cost[1:] == cost[:-1] + 1)
-        diagonal = np.zeros(width, dtype=bool)
-        diagonal[1:] = equal | (~inserted[1:] & (cost[1:] != above[1:] + 1))
-        fresh = packed + _DEL
-        fresh[1:] = np.where(diagonal[1:], packed[:-1] + np.where(equal, 0, _SUB), fresh[1:])
-        anchor = np.maximum.accumulate(np.where(inserted, 0, columns))
-        packed = fresh[anchor] + (columns - anchor) * _INS
-        if span is not None:
-            inside = span[0] <= row < span[1]
-            first_now, last_now = first.copy(), last.copy()
-            came_first, came_last = first[:-1], last[:-1]
-            if inside:
-                came_first = np.where(came_first < 0, columns[:-1], came_first)
-                came_last = columns[:-1]
-            first_now[1:] = np.where(diagonal[1:], came_first, first_now[1:])
-            last_now[1:] = np.where(diagonal[1:], came_last, last_now[1:])
-            first, last = first_now[anchor], last_now[anchor]
-    total = int(packed[-1])
-    return total >> (2 * _FIELD), (total >> _FIELD) & _MASK, total & _MASK, int(first[-1]), int(last[-1])
+def _shared_end(reference: Sequence[str], hypothesis: Sequence[str]) -> int:
+    count = 0
+    for a, b in zip(reversed(reference), reversed(hypothesis)):
+        if a != b:
+            break
+        count += 1
+    return count
 
 
 def _path(reference: Sequence[str], hypothesis: Sequence[str]) -> tuple[list[str], list, list]:
-    """The preferred path. Every k-th cost row is kept and the rows between are recomputed on the way back."""
-    ref, hyp = _coded(reference, hypothesis)
-    rows, width = len(ref), len(hyp) + 1
-    columns = np.arange(width, dtype=np.int64)
-    step = max(1, int(np.sqrt(rows)))
-    kept = {0: columns.copy()}
-    cost = kept[0]
+    """The preferred path: operations with the reference and hypothesis positions they touch.
+
+    A common end is all equal pairs, because the way back prefers them. Of a large cost
+    table only every k-th row is kept; the rows between are computed again on the way back.
+    """
+    reference, hypothesis = list(reference), list(hypothesis)
+    tail = _shared_end(reference, hypothesis)
+    rows, last = len(reference) - tail, len(hypothesis) - tail
+    codes: dict[str, int] = {}
+    ref = [codes.setdefault(t, len(codes)) for t in reference[:rows]]
+    hyp = [codes.setdefault(t, len(codes)) for t in hypothesis[:last]]
+    hyp_codes = np.array(hyp, dtype=np.int32)
+    columns = np.arange(last + 1, dtype=np.int32)
+    step = 1 if rows * last <= _WHOLE_TABLE_CELLS else int(np.sqrt(rows))
+    kept = {0: columns}
+    cost = columns
     for i in range(1, rows + 1):
-        cost = _cost_row(cost, hyp == ref[i - 1], columns)
+        cost = _cost_row(cost, hyp_codes == ref[i - 1], columns)
         if i % step == 0:
             kept[i] = cost
-    ops: list[str] = []
-    ref_at: list[int | None] = []
-    hyp_at: list[int | None] = []
-    i, j = rows, width - 1
+    steps: list[tuple[str, int | None, int | None]] = []
+    i, j = rows, last
     block_start, block = -1, []
     while i or j:
         start = max(i - 1, 0) // step * step
         if start != block_start:
             block_start, block = start, [kept[start]]
             for k in range(start + 1, min(start + step, rows) + 1):
-                block.append(_cost_row(block[-1], hyp == ref[k - 1], columns))
+                known = kept.get(k)
+                block.append(_cost_row(block[-1], hyp_codes == ref[k - 1], columns) if known is None else known)
         here = block[i - start]
         if i and j and ref[i - 1] == hyp[j - 1]:
             op = "equal"
@@ -144,17 +116,24 @@ def _path(reference: Sequence[str], hypothesis: Sequence[str]) -> tuple[list[str
             op = "substitution"
         i -= op != "insertion"
         j -= op != "deletion"
-        ops.append(op)
-        ref_at.append(None if op == "insertion" else i)
-        hyp_at.append(None if op == "deletion" else j)
-    return ops[::-1], ref_at[::-1], hyp_at[::-1]
+        steps.append((op, None if op == "insertion" else i, None if op == "deletion" else j))
+    steps.reverse()
+    steps += [("equal", rows + k, last + k) for k in range(tail)]
+    return [s[0] for s in steps], [s[1] for s in steps], [s[2] for s in steps]
+
+
+def _tally(ops: Sequence[str], units: int) -> tuple[int, int, int, int]:
+    return ops.count("substitution"), ops.count("deletion"), ops.count("insertion"), units
+
+
+def _counts(reference: Sequence[str], hypothesis: Sequence[str]) -> tuple[int, int, int, int]:
+    return _tally(_path(reference, hypothesis)[0], len(reference))
 
 
 @F.pandas_udf(COUNTS)
 def edit_counts(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
     """S/D/I and reference length of two token arrays."""
-    rows = [(*_split_counts(r, h)[:3], len(r)) for r, h in zip(reference, hypothesis)]
-    return pd.DataFrame(rows, columns=COUNT_FIELDS)
+    return pd.DataFrame([_counts(r, h) for r, h in zip(reference, hypothesis)], columns=COUNT_FIELDS)
 
 
 @F.pandas_udf(ALIGNMENT)
@@ -167,20 +146,17 @@ _SCORE_PARTS = ["utterance_word", "utterance_character", "number_word", "number_
 _SCORE = T.StructType([T.StructField(f"{p}_{n}", T.IntegerType()) for p in _SCORE_PARTS for n in COUNT_FIELDS])
 
 
-def _counts(reference: Sequence[str], hypothesis: Sequence[str]) -> tuple[int, int, int, int]:
-    return (*_split_counts(reference, hypothesis)[:3], len(reference))
-
-
 @F.pandas_udf(_SCORE)
 def _flat_scores(reference: pd.Series, hypothesis: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
     rows = []
     for ref, hyp, a, b in zip(reference, hypothesis, start, end):
         a, b = int(a), int(b)
-        subs, dels, inss, first, last = _split_counts(ref, hyp, (a, b))
-        heard = hyp[first : last + 1] if first >= 0 else hyp[:0]
+        ops, ref_at, hyp_at = _path(ref, hyp)
+        touched = [h for r, h in zip(ref_at, hyp_at) if r is not None and a <= r < b and h is not None]
+        heard = hyp[touched[0] : touched[-1] + 1] if touched else hyp[:0]
         said = ref[a:b]
         rows.append(
-            (subs, dels, inss, len(ref))
+            _tally(ops, len(ref))
             + _counts("".join(ref), "".join(hyp))
             + _counts(said, heard)
             + _counts("".join(said), "".join(heard))

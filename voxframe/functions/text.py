@@ -49,7 +49,7 @@ _NFKC_STABLE = r"[\x00-\x7F¡«»¿À-ÿЀ-џ–—‘’“”一-鿿]*"
 
 def words(text: Column) -> Column:
     """Whitespace tokens of a text, Unicode blanks included; empty array for blank text."""
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(text, r"(?U)[\s\x1C-\x1F]+"), lambda w: w != "")
 
 
 def whitespace_token_count(text: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxframe.functions.arrays import pad_right
+from voxframe.functions.arrays import each_with, pad_right
 from voxframe.functions.hashing import stable_key
 from voxframe.operators.ordering import contiguous_slice, running_total, spread_sorted, with_ordinal
 
@@ -151,7 +151,7 @@ def padded(rows: Column, field: str, fill: int | float = 0) -> Column:
     arrays = F.transform(rows, lambda r: r[field])
     longest = F.array_max(F.transform(arrays, lambda a: F.size(a)))
     complete = F.forall(arrays, lambda a: a.isNotNull())
-    return F.when(complete, F.transform(arrays, lambda a: pad_right(a, longest, fill)))
+    return F.when(complete, each_with(longest, arrays, lambda n, a: pad_right(a, n, fill)))
 
 
 def field_lengths(rows: Column, field: str) -> Column:

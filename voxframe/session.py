@@ -43,3 +43,16 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def balanced(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a small scan over the cores before expensive work on each row.
+
+    A small table is often one file and so one task. A scan that already has a
+    partition for every core is left where it is, so large tables are not moved.
+    Meant for scans: counting the partitions of a shuffled result would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(3 * cores, *keys)
