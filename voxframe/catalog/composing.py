@@ -13,6 +13,7 @@ from voxframe.operators.filters import length_drop_reason
 from voxframe.operators.packing import budget_batches, epoch_order
 from voxframe.plans.batches import padded_batches
 from voxframe.plans.stages import StageRegistry
+from voxframe.session import materialize
 
 
 def _kept(df, least_frames, most_tokens):
@@ -21,6 +22,7 @@ def _kept(df, least_frames, most_tokens):
 
 
 def _packed(df, budget, seed):
+    df = materialize(df, "tokenized")  # tokens are made once; only ids and lengths are put in order
     ordered = epoch_order(df.select("doc_id", "frames"), "doc_id", seed)
     batches = budget_batches(ordered, "ordinal", "doc_id", ["frames"], budget, 500)
     members = batches.select("window", "batch", F.explode("rows").alias("m")).select("window", "batch", "m.place", "m.doc_id")

@@ -31,6 +31,11 @@ def each_with(whole: Column, items: Column, make: Callable[[Column, Column], Col
     return F.zip_with(F.array_repeat(whole, F.size(items)), items, make)
 
 
+def once(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(value)`` with ``value`` computed once, also where the planner would copy it, as in a pushed filter."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def indices(n: Column | int) -> Column:
     """``[0, n)`` as an array; empty for n below 1."""
     size = _int(n)

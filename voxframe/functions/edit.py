@@ -5,15 +5,15 @@ paths is taken; here the path is the one found walking back from the end and
 preferring an equal pair, then an insertion, a deletion, a substitution.
 
 The distance alone stays in the JVM. The split and the alignment need the path and
-run in Arrow batches, one numpy row operation per reference token; neither keeps
-the whole cost table, so long texts are handled whole.
+run in Arrow batches on bit vectors, one step per hypothesis token; of a very large
+cost table only a part is kept at a time, so long texts are handled whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from math import isqrt
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from voxframe.functions.arrays import each_with
 
 _CODE_BASE = 0x10000  # first code point above the surrogates' plane
-_WHOLE_TABLE_CELLS = 1 << 22  # larger cost tables are kept in part only
+_WHOLE_TABLE_BITS = 1 << 28  # larger cost tables (two bits or more per cell) are kept in part only
 
 COUNT_FIELDS = ["substitutions", "deletions", "insertions", "reference_units"]
 COUNTS = T.StructType([T.StructField(n, T.IntegerType()) for n in COUNT_FIELDS])
@@ -58,11 +58,20 @@ def text_distance(reference: Column, hypothesis: Column) -> Column:
 # ---- path-dependent results -------------------------------------------------
 
 
-def _cost_row(above: np.ndarray, equal: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Next row of the cost table; a running minimum resolves the left neighbour."""
-    best = above + 1
-    np.minimum(best[1:], above[:-1] + ~equal, out=best[1:])
-    return np.minimum.accumulate(best - columns) + columns
+def _columns(masks: list[int], up: int, down: int, full: int) -> Iterator[tuple[int, int, int]]:
+    """Columns of the cost table as bit vectors over the reference (Hyyro's form of Myers' algorithm).
+
+    Yields where the cost grows from the column before, and where it grows and falls
+    from the reference token before, for one hypothesis token after the other.
+    """
+    for mask in masks:
+        zero = ((((mask & up) + up) ^ up) | mask | down) & full
+        grows = (down | ~(zero | up)) & full
+        falls = up & zero
+        shifted = ((grows << 1) | 1) & full
+        up = ((falls << 1) | ~(zero | shifted)) & full
+        down = shifted & zero
+        yield grows, up, down
 
 
 def _shared_end(reference: Sequence[str], hypothesis: Sequence[str]) -> int:
@@ -78,45 +87,41 @@ def _path(reference: Sequence[str], hypothesis: Sequence[str]) -> tuple[list[str
     """The preferred path: operations with the reference and hypothesis positions they touch.
 
     A common end is all equal pairs, because the way back prefers them. Of a large cost
-    table only every k-th row is kept; the rows between are computed again on the way back.
+    table only every k-th column is kept; those between are computed again on the way back.
     """
     reference, hypothesis = list(reference), list(hypothesis)
     tail = _shared_end(reference, hypothesis)
-    rows, last = len(reference) - tail, len(hypothesis) - tail
-    codes: dict[str, int] = {}
-    ref = [codes.setdefault(t, len(codes)) for t in reference[:rows]]
-    hyp = [codes.setdefault(t, len(codes)) for t in hypothesis[:last]]
-    hyp_codes = np.array(hyp, dtype=np.int32)
-    columns = np.arange(last + 1, dtype=np.int32)
-    step = 1 if rows * last <= _WHOLE_TABLE_CELLS else int(np.sqrt(rows))
-    kept = {0: columns}
-    cost = columns
-    for i in range(1, rows + 1):
-        cost = _cost_row(cost, hyp_codes == ref[i - 1], columns)
-        if i % step == 0:
-            kept[i] = cost
+    i, j = len(reference) - tail, len(hypothesis) - tail
+    rows, last = i, j
+    places: dict[str, int] = {}
+    for at in range(rows):
+        places[reference[at]] = places.get(reference[at], 0) | (1 << at)
+    masks = [places.get(token, 0) for token in hypothesis[:last]]
+    full = (1 << rows) - 1
+    step = max(1, last if rows * last <= _WHOLE_TABLE_BITS else isqrt(last))
+    kept = {0: (full, 0)}
+    if step < last:
+        for column, (_, up, down) in enumerate(_columns(masks, full, 0, full), 1):
+            if column % step == 0:
+                kept[column] = (up, down)
     steps: list[tuple[str, int | None, int | None]] = []
-    i, j = rows, last
-    block_start, block = -1, []
+    start, block = -1, []
     while i or j:
-        start = max(i - 1, 0) // step * step
-        if start != block_start:
-            block_start, block = start, [kept[start]]
-            for k in range(start + 1, min(start + step, rows) + 1):
-                known = kept.get(k)
-                block.append(_cost_row(block[-1], hyp_codes == ref[k - 1], columns) if known is None else known)
-        here = block[i - start]
-        if i and j and ref[i - 1] == hyp[j - 1]:
-            op = "equal"
-        elif j and here[j] == here[j - 1] + 1:
-            op = "insertion"
-        elif i and here[j] == block[i - start - 1][j] + 1:
-            op = "deletion"
+        if j and (j - 1) // step * step != start:
+            start = (j - 1) // step * step
+            block = list(_columns(masks[start : start + step], *kept[start], full))
+        if i and j and reference[i - 1] == hypothesis[j - 1]:
+            i, j = i - 1, j - 1
+            steps.append(("equal", i, j))
+        elif j and (i == 0 or block[j - 1 - start][0] >> (i - 1) & 1):
+            j -= 1
+            steps.append(("insertion", None, j))
+        elif j == 0 or block[j - 1 - start][1] >> (i - 1) & 1:
+            i -= 1
+            steps.append(("deletion", i, None))
         else:
-            op = "substitution"
-        i -= op != "insertion"
-        j -= op != "deletion"
-        steps.append((op, None if op == "insertion" else i, None if op == "deletion" else j))
+            i, j = i - 1, j - 1
+            steps.append(("substitution", i, j))
     steps.reverse()
     steps += [("equal", rows + k, last + k) for k in range(tail)]
     return [s[0] for s in steps], [s[1] for s in steps], [s[2] for s in steps]

@@ -353,7 +353,7 @@ def frontend_sentences(
     chinese = F.replace(F.replace(chinese, F.lit("."), F.lit("。")), F.lit(" - "), F.lit("，"))
     chinese = F.regexp_replace(remove_brackets(chinese), "[，,、]+$", "。")
     cjk = has_cjk(trimmed)
-    cleaned = F.when(cjk, chinese).otherwise(rewrite_digit_runs(trimmed, spell))
+    cleaned = F.when(cjk, chinese).otherwise(rewrite_digit_runs(F.when(~cjk, trimmed), spell))
     sentences = F.filter(split_sentences(cleaned, cjk, count_tokens), lambda s: ~only_punctuation(s))
     return F.when(has_markup(text) | (text == ""), F.array(text)).otherwise(sentences)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxframe.functions.arrays import canonical_hash, canonical_json
+from voxframe.functions.arrays import canonical_hash, canonical_json, once
 from voxframe.functions.text import ensure_prompt_prefix, token_string
 
 # ---- fixed values -----------------------------------------------------------
@@ -62,7 +62,10 @@ def with_instruct(df: DataFrame, instruct: str | None) -> DataFrame:
 
 def text_limit_exclusion(tokens: Column, most: int = MOST_TEXT_TOKENS) -> Column:
     """Why a row's text is unusable, or null. The row itself is kept."""
-    return F.when(tokens == 0, F.lit("text_token_length=0")).when(tokens > most, F.lit(f"text_token_length>{most}"))
+    return once(
+        tokens,
+        lambda n: F.when(n == 0, F.lit("text_token_length=0")).when(n > most, F.lit(f"text_token_length>{most}")),
+    )
 
 
 def phase_of(exclusion: Column, agreement: Column, reserved: Column, boundary: float = PHASE_BOUNDARY) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxframe.functions.arrays import once
 from voxframe.functions.signal import least_pcm_bytes
 from voxframe.operators.columns import PHASE_BOUNDARY
 
@@ -26,18 +27,27 @@ def length_drop_reason(
     The counts are numbers, not arrays. Token ratios are not tested without frames;
     speech and rejected tokens only when they are precomputed.
     """
-    ratio = F.try_divide(text_tokens, frames)
-    reason = (
-        F.when(frames < least_frames, "frames<min")
-        .when(frames > most_frames, "frames>max")
-        .when(text_tokens < least_tokens, "tokens<min")
-        .when(text_tokens > most_tokens, "tokens>max")
+    given = F.struct(
+        frames.alias("frames"),
+        text_tokens.alias("tokens"),
+        (F.lit(1) if speech_tokens is None else speech_tokens).alias("speech"),
+        (F.lit(1) if rejected_tokens is None else rejected_tokens).alias("rejected"),
     )
-    if speech_tokens is not None:
-        reason = reason.when(speech_tokens == 0, "no speech tokens")
-    if rejected_tokens is not None:
-        reason = reason.when(rejected_tokens == 0, "no rejected tokens")
-    return reason.when(ratio < least_ratio, "ratio<min").when(ratio > most_ratio, "ratio>max")
+
+    def first_broken(v: Column) -> Column:
+        ratio = F.try_divide(v["tokens"], v["frames"])
+        return (
+            F.when(v["frames"] < least_frames, "frames<min")
+            .when(v["frames"] > most_frames, "frames>max")
+            .when(v["tokens"] < least_tokens, "tokens<min")
+            .when(v["tokens"] > most_tokens, "tokens>max")
+            .when(v["speech"] == 0, "no speech tokens")
+            .when(v["rejected"] == 0, "no rejected tokens")
+            .when(ratio < least_ratio, "ratio<min")
+            .when(ratio > most_ratio, "ratio>max")
+        )
+
+    return once(given, first_broken)
 
 
 def rate_acceptable(rate: Column, target: int, least: int = 16000) -> Column:

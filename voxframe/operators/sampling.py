@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxframe.functions.hashing import stable_key
 from voxframe.operators.ordering import with_ordinal
+from voxframe.session import materialize
 
 # ---- fixed values -----------------------------------------------------------
 SEED = 1986
@@ -62,14 +63,15 @@ def extreme_rows(df: DataFrame, phase: str, key: str, length: str, seed: int = S
 
 def require_extremes(extremes: DataFrame, key: str, rows: int = 4) -> DataFrame:
     """Check a selection of extremes: lengths differ in every phase and all ids are distinct."""
-    facts = extremes.agg(
+    kept = materialize(extremes, "extremes")
+    facts = kept.agg(
         F.bool_and("lengths_differ").alias("differ"), F.count_distinct(key).alias("ids"), F.count(F.lit(1)).alias("rows")
     ).first()
     if not facts["differ"]:
         raise ValueError("a phase lacks distinct short and long rows")
     if facts["ids"] != rows or facts["rows"] != rows:
         raise ValueError(f"the selection needs {rows} distinct rows")
-    return extremes
+    return kept
 
 
 def worst_rows(df: DataFrame, utterance: str, number: str, key: str, count: int = 20) -> DataFrame:
