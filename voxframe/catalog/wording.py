@@ -151,7 +151,30 @@ def yo_restored(spark, folder):
     return texts(spark, folder).select("doc_id", restore_yo(F.concat(text, "source")).alias("text"))
 
 
-@query("frontend_sentence_rows", "STR-10", "UDT-01")
+def _count_sql(text: str) -> str:
+    return rf"len(list_filter(string_split_regex({text}, '\s+'), lambda w: w <> ''))"
+
+
+_FLUSH = f"{_count_sql('cur || ps[k + 1]')} > 80 AND {_count_sql('cur')} > 60"
+# Sentences in SQL: pieces end at a stop, and a recursive walk joins them greedily.
+SENTENCES_SQL = rf"""t AS (SELECT doc_id, {_spelled_sql(r"regexp_replace(text, '^\s+|\s+$', '', 'g')")} AS t FROM documents),
+c AS (SELECT doc_id, CASE WHEN right(t, 1) IN ('.', '?', '!', ';', ':') THEN t ELSE t || '.' END AS t FROM t),
+p AS (SELECT doc_id, regexp_extract_all(t, '[^.?!;:]+[.?!;:]["”]?') AS ps FROM c),
+g AS (SELECT doc_id, ps, 1 AS k, ps[1] AS cur, NULL::VARCHAR AS done FROM p
+ UNION ALL SELECT doc_id, ps, k + 1, CASE WHEN {_FLUSH} THEN ps[k + 1] ELSE cur || ps[k + 1] END, CASE WHEN {_FLUSH} THEN cur END FROM g WHERE k < len(ps)),
+d AS (SELECT doc_id, list(done ORDER BY k) FILTER (done IS NOT NULL) AS ds FROM g GROUP BY 1),
+s AS (SELECT doc_id, CASE WHEN ds IS NULL THEN [cur] WHEN {_count_sql('cur')} < 20 THEN ds[:-2] || [ds[-1] || cur] ELSE ds || [cur] END AS ss
+ FROM g JOIN d USING (doc_id) WHERE k = len(ps)),
+kept AS (SELECT doc_id, list_filter(ss, lambda x: NOT regexp_full_match(x, '[\p{{P}}\p{{S}}]*')) AS ss FROM s)"""
+
+
+@query(
+    "frontend_sentence_rows",
+    "STR-10",
+    "UDT-01",
+    sql=f"""WITH RECURSIVE {SENTENCES_SQL} SELECT doc_id, (i - 1)::INTEGER AS position, md5(ss[i]) AS sentence_md5
+FROM (SELECT doc_id, ss, unnest(range(1, len(ss) + 1)) AS i FROM kept)""",
+)
 def frontend_sentence_rows(spark, folder):
     docs = texts(spark, folder)
     pieces = docs.select("doc_id", F.posexplode(frontend_sentences(F.col("text"), spell_digits)).alias("position", "sentence"))
