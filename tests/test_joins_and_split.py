@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from voxframe.operators.aggregates import dataset_digest, digest_prefixes, exact_percentiles, exclusion_counts, reconciled_counts
+from voxframe.operators.aggregates import dataset_digest, digest_prefixes, exact_percentiles, exclusion_counts, grouped_lists, reconciled_counts
 from voxframe.operators.columns import phase_of
 from voxframe.operators.joins import enrich, reconciled_rows, round_robin, strict_join
 from voxframe.operators.ordering import running_total, spread_sorted, with_ordinal, with_rank
@@ -206,3 +206,13 @@ def test_round_robin_and_schema(spark):
 def test_assign_ranks_needs_no_filler_when_even(spark):
     batches = spark.createDataFrame([(0, b, 1) for b in range(16)], "window long, batch int, n long")
     assert assign_ranks(batches, equal_steps=True).count() == 16
+
+
+def test_lists_of_a_hot_group_with_copies(spark):
+    data = [("hot", i % 40) for i in range(500)] + [("hot", 7)] * 300 + [("cold", 1)]
+    df = spark.createDataFrame(data, "g string, v int").repartition(6)
+    rows = grouped_lists(df, "g", "v", 64, "vs").collect()
+    assert all(len(r["vs"]) <= 64 for r in rows)
+    for g in ("hot", "cold"):
+        joined = [v for r in sorted(rows, key=lambda r: r["part"]) if r["g"] == g for v in r["vs"]]
+        assert joined == sorted(v for k, v in data if k == g)

@@ -12,7 +12,6 @@ from voxframe.operators.sampling import (
     best_by_loss,
     extreme_rows,
     longest_first,
-    require_extremes,
     retained,
     stratified_by_length,
     worst_rows,
@@ -30,8 +29,7 @@ SELECT phase, 'short' AS extreme, source_relative_path, speech_token_len, length
 UNION ALL SELECT phase, 'long', source_relative_path, speech_token_len, lengths_differ FROM r WHERE b = 1""",
 )
 def phase_extremes(spark, folder):
-    extremes = extreme_rows(token_cache(spark, folder), "phase", "source_relative_path", "speech_token_len")
-    return require_extremes(extremes, "source_relative_path")
+    return extreme_rows(token_cache(spark, folder), "phase", "source_relative_path", "speech_token_len")
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxframe.functions.arrays import canonical_hash
-from voxframe.operators.ordering import running_total, spread_sorted, with_rank
+from voxframe.operators.ordering import running_total, spread_sorted
 
 # ---- fixed values -----------------------------------------------------------
 EXCLUSION_REASONS = ["text_token_length=0", "text_token_length>200"]
@@ -30,14 +30,21 @@ def mean_vectors(df: DataFrame, by: Sequence[str], vector: str, out: str = "mean
 
 
 def grouped_lists(df: DataFrame, by: str, value: str, chunk: int = 10000, out: str = "values") -> DataFrame:
-    """Sorted values per group as lists of at most ``chunk``; a big group takes several ``part`` rows."""
-    ranked = with_rank(df.select(by, value), [by], value)
-    part = F.floor(F.col("rank") / chunk).cast("int")
-    return (
-        ranked.groupBy(by, part.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.struct("rank", value))).alias("_rows"))
-        .select(by, "part", F.col(f"_rows.{value}").alias(out))
+    """Sorted values per group as lists of at most ``chunk``; a big group takes several ``part`` rows.
+
+    Copies of a value are counted before anything is ordered and written out again inside
+    the lists, so neither a hot group nor a hot value meets in one task.
+    """
+    counted = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_total(spread_sorted(counted, by, value), "_n", "_end", [by])
+    placed = placed.withColumn("_start", F.col("_end") - F.col("_n"))
+    whole = lambda column: F.floor(column / chunk)
+    parts = placed.withColumn("part", F.explode(F.sequence(whole(F.col("_start")), whole(F.col("_end") - 1))))
+    copies = F.least("_end", (F.col("part") + 1) * chunk) - F.greatest("_start", F.col("part") * chunk)
+    lists = parts.groupBy(by, F.col("part").cast("int").alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("_start", F.col(value), copies.cast("int").alias("_copies")))).alias("_rows")
     )
+    return lists.select(by, "part", F.flatten(F.transform("_rows", lambda r: F.array_repeat(r[value], r["_copies"]))).alias(out))
 
 
 def split_counts(plan: DataFrame) -> DataFrame:
@@ -226,7 +233,8 @@ def latency_summary(df: DataFrame, seconds: str, by: Sequence[str] = (), approxi
         if by:
             basic = basic.join(percentiles, list(by))
         else:
-            basic = basic.withColumn("_one", F.lit(1)).join(percentiles.withColumn("_one", F.lit(1)), "_one").drop("_one")
+            found = percentiles.first()
+            basic = basic.withColumns({name: F.lit(found[name]) for name in percentiles.columns})
     scaled = {f"p{p:g}_ms": F.col(f"p{p:g}") * 1000 for p in LATENCY_PERCENTILES}
     return basic.withColumns(scaled).drop(*[f"p{p:g}" for p in LATENCY_PERCENTILES])
 

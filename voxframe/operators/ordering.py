@@ -3,8 +3,8 @@
 A window without ``partitionBy`` sends the whole table to one task, and a window
 over a hot key sends that key's rows to one task. Everything here works on a
 table that is range-partitioned by the full sort key instead, so a hot group is
-spread over several partitions; only one small row per (partition, group) is
-needed to carry a count, a sum or a last row from one partition to the next.
+spread over several partitions; one small row per (partition, group) carries a count,
+a sum or a last row from one partition to the next.
 
 The sort key must identify a row (end it with a unique id), otherwise equal rows
 could swap places between runs.
@@ -13,7 +13,6 @@ could swap places between runs.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +28,6 @@ def _column(key: str | Column) -> Column:
     return F.col(key) if isinstance(key, str) else key
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
-
-
 def spread_sorted(df: DataFrame, *keys: str | Column, partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by ``keys``; add ``_part`` and ``_pos`` and write once."""
     order = [_column(k) for k in keys]
@@ -48,32 +43,23 @@ def spread_sorted(df: DataFrame, *keys: str | Column, partitions: int | None = N
     return materialize(numbered, "sorted")
 
 
-def _carried(summary: DataFrame, value: str, within: Sequence[str]) -> DataFrame:
-    """Exclusive prefix sum of ``value`` over the partitions of each group."""
+def _prefix(summary: DataFrame, value: str, within: Sequence[str]) -> DataFrame:
+    """Sum of ``value`` over the earlier partitions of each group, as ``_carry``.
+
+    One row per (partition, group) comes in. Without groups that is one row per range
+    partition, so the window without ``partitionBy`` stays small.
+    """
     window = Window.partitionBy(*within).orderBy(PART) if within else Window.orderBy(PART)
     before = window.rowsBetween(Window.unboundedPreceding, -1)
     return summary.withColumn("_carry", F.coalesce(F.sum(value).over(before), F.lit(0)))
 
 
-def _attach(frame: DataFrame, summary: DataFrame, within: Sequence[str]) -> DataFrame:
-    """Join one summary row per (partition, group) to its rows.
-
-    Without groups the summary has one row per range partition, a number fixed by
-    the partition count, so it may be broadcast. With groups it may be large.
-    """
-    if not within:
-        return frame.join(F.broadcast(summary), PART)
-    keys = [PART, *within]
-    side = summary.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in summary.columns if c not in keys])
-    condition = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
-    return frame.join(side, condition).drop(*[f"_k_{k}" for k in keys])
-
-
 def ordinals_of(frame: DataFrame, out: str = "ordinal") -> DataFrame:
     """0-based global ordinal of a table made by :func:`spread_sorted`."""
     sizes = frame.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"))
-    carry = _carried(sizes, "_n", ()).drop("_n")
-    return _attach(frame, carry, ()).withColumn(out, F.col(POS) + F.col("_carry")).drop("_carry")
+    # One row per range partition, a number fixed by the partition count: safe to broadcast.
+    offsets = F.broadcast(_prefix(sizes, "_n", ()).drop("_n"))
+    return frame.join(offsets, PART).withColumn(out, F.col(POS) + F.col("_carry")).drop("_carry")
 
 
 def with_ordinal(df: DataFrame, *keys: str | Column, out: str = "ordinal", partitions: int | None = None) -> DataFrame:
@@ -81,12 +67,24 @@ def with_ordinal(df: DataFrame, *keys: str | Column, out: str = "ordinal", parti
     return ordinals_of(spread_sorted(df, *keys, partitions=partitions), out).drop(PART, POS)
 
 
+def running_total(frame: DataFrame, value: str, out: str, within: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sum of ``value`` in sorted order, per group when ``within`` is given.
+
+    What a group brings along from earlier partitions enters as one extra row before the
+    group's first row of the partition; only groups that cross a boundary have one.
+    """
+    summary = frame.groupBy(PART, *within).agg(F.sum(value).alias("_n"))
+    carried = _prefix(summary, "_n", within).where(F.col("_carry") != 0)
+    extra = carried.select(PART, *within, F.lit(-1).cast("bigint").alias(POS), F.col("_carry").alias("_term"))
+    rows = frame.withColumn("_term", F.col(value)).unionByName(extra, allowMissingColumns=True)
+    upto = Window.partitionBy(PART, *within).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn(out, F.sum("_term").over(upto)).where(F.col(POS) >= 0).drop("_term")
+
+
 def ranks_of(frame: DataFrame, within: Sequence[str], out: str = "rank") -> DataFrame:
     """0-based position inside each group of a table sorted by (within, order)."""
-    summary = frame.groupBy(PART, *within).agg(F.min(POS).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    carry = _carried(summary, "_n", within).drop("_n")
-    ranked = _attach(frame, carry, within)
-    return ranked.withColumn(out, F.col(POS) - F.col("_first") + F.col("_carry")).drop("_first", "_carry")
+    counted = running_total(frame.withColumn("_one", F.lit(1)), "_one", out, within)
+    return counted.withColumn(out, F.col(out) - 1).drop("_one")
 
 
 def with_rank(
@@ -97,24 +95,20 @@ def with_rank(
     return ranks_of(frame, within, out).drop(PART, POS)
 
 
-def running_total(frame: DataFrame, value: str, out: str, within: Sequence[str] = ()) -> DataFrame:
-    """Inclusive running sum of ``value`` in sorted order, per group when ``within`` is given."""
-    summary = frame.groupBy(PART, *within).agg(F.sum(value).alias("_n"))
-    carry = _carried(summary, "_n", within).drop("_n")
-    local = Window.partitionBy(PART, *within).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = frame.withColumn("_local", F.sum(value).over(local))
-    return _attach(summed, carry, within).withColumn(out, F.col("_local") + F.col("_carry")).drop("_local", "_carry")
-
-
 def previous_row(frame: DataFrame, columns: Sequence[str], out: str, within: Sequence[str] = ()) -> DataFrame:
-    """Struct of ``columns`` of the preceding row in sorted order; null for a group's first row."""
-    packed = F.struct(*columns)
-    local = Window.partitionBy(PART, *within).orderBy(POS)
-    lagged = frame.withColumn("_local", F.lag(packed).over(local))
-    last = frame.groupBy(PART, *within).agg(F.max_by(packed, POS).alias("_last"))
+    """Struct of ``columns`` of the preceding row in sorted order; null for a group's first row.
+
+    The last row of a group's earlier partition enters as one extra row, as in
+    :func:`running_total`.
+    """
+    packed = frame.withColumn("_packed", F.struct(*columns))
+    last = packed.groupBy(PART, *within).agg(F.max_by("_packed", POS).alias("_last"))
     order = Window.partitionBy(*within).orderBy(PART) if within else Window.orderBy(PART)
-    carry = last.withColumn("_carry", F.lag("_last").over(order)).drop("_last")
-    return _attach(lagged, carry, within).withColumn(out, F.coalesce("_local", "_carry")).drop("_local", "_carry")
+    carried = last.withColumn("_packed", F.lag("_last").over(order)).where(F.col("_packed").isNotNull())
+    extra = carried.select(PART, *within, F.lit(-1).cast("bigint").alias(POS), "_packed")
+    rows = packed.unionByName(extra, allowMissingColumns=True)
+    before = F.lag("_packed").over(Window.partitionBy(PART, *within).orderBy(POS))
+    return rows.withColumn(out, before).where(F.col(POS) >= 0).drop("_packed")
 
 
 def contiguous_slice(ordinal: Column, total: Column | int, parts: Column | int) -> Column:
