@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxframe.catalog.aggregating import DISTANCE_SQL
-from voxframe.catalog.base import TURNS_SQL, WORDS_SQL, query, table, texts, turn_pairs
+from voxframe.catalog.base import TURNS_SQL, WORDS_SQL, query, texts, turn_pairs
 from voxframe.functions.edit import distance, text_distance, token_distance
 from voxframe.functions.spans import number_span
 from voxframe.functions.text import words

@@ -24,6 +24,7 @@ from voxframe.operators.joins import (
     unexpected,
 )
 from voxframe.plans.split import joined_sidecars, split_plan
+from voxframe.session import materialize
 
 
 def _line_totals(spark, folder):
@@ -39,7 +40,7 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""",
 )
 def strict_one_to_one_join(spark, folder):
     """Orders that have lines against line totals: both sides hold each key once."""
-    totals = _line_totals(spark, folder)
+    totals = materialize(_line_totals(spark, folder), "totals")
     orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", "key").join(totals.select("key"), "key", "left_semi")
     return strict_join(orders, totals, "key", ["o_orderpriority"], ["lines", "quantity"])
 
@@ -116,7 +117,7 @@ def plan_archive_reconciliation(spark, folder):
     sql=f"WITH {PLAN_SQL} SELECT source_relative_path, md5(text) AS text_md5, instruct, text_token_count::INTEGER AS text_token_count FROM plan WHERE phase IN (1, 2)",
 )
 def cache_plan_rows(spark, folder):
-    plan = split_plan(utterance_rows(spark, folder), reserve=5).where("phase in (1, 2)")
+    plan = materialize(split_plan(utterance_rows(spark, folder), reserve=5), "plan").where("phase in (1, 2)")
     cache = plan.select("source_relative_path", "text", "instruct")
     joined = reconciled_rows(cache, plan, "source_relative_path", ["text", "instruct"], ["text_token_count"])
     return joined.select("source_relative_path", F.md5("text").alias("text_md5"), "instruct", "text_token_count")

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxframe.catalog.base import TIDY_SQL, query, shard_path, table, tidy
+from voxframe.catalog.base import TIDY_SQL, query, table, tidy
 from voxframe.catalog.derived import write_archives, write_paired_files, write_sidecar_archives
-from voxframe.functions.hashing import stable_key
 from voxframe.operators.ordering import with_ordinal
 from voxframe.operators.sampling import lowest_scores
 from voxframe.session import scratch_path

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxframe.operators.aggregates import mean_vectors
-from voxframe.operators.joins import optional, two_hop
+from voxframe.operators.joins import optional
 from voxframe.session import materialize
 from voxframe.sources.sinks import ROWS_PER_SHARD, shard_files, shard_index, sharded, write_shards
 
@@ -24,11 +24,6 @@ def with_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
     return rows.join(own, "utt", "left").join(speakers, "spk", "left")
 
 
-def with_speaker_vector(rows: DataFrame, owners: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Speaker record by way of the utterance's speaker."""
-    return two_hop(rows, owners, vectors, "utt", "spk")
-
-
 def with_tokens(rows: DataFrame, tokens: DataFrame | None, rejected: DataFrame | None) -> DataFrame:
     """Speech tokens and rejected tokens where they exist."""
     out = optional(rows, tokens, "utt", "speech_token", "array<int>")

@@ -45,6 +45,12 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/voxframe-{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def balanced(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a small scan over the cores before expensive work on each row.
 
