@@ -24,6 +24,7 @@ def keyed(spark, rows, value):
         ([("a", "x")], [("a", 1.0), ("a", 2.0)], "duplicate_right"),
         ([("a", "x"), ("b", "y")], [("a", 1.0)], "missing_right"),
         ([("a", "x")], [("a", 1.0), ("b", 2.0)], "missing_left"),
+        ([("a", "x"), (None, "y")], [("a", 1.0), (None, 2.0)], "missing_(left|right): null"),
     ],
 )
 def test_strict_join_stops(spark, left, right, message):

@@ -48,7 +48,7 @@ def issue_counts(reconciled: DataFrame) -> DataFrame:
 
 def fail_on_issue(df: DataFrame, what: str, issue: str = "issue", key: str | None = None) -> DataFrame:
     """Pass rows through; the first row with an issue stops the job."""
-    detail = [F.lit(": "), F.col(key).cast("string")] if key else []
+    detail = [F.lit(": "), F.coalesce(F.col(key).cast("string"), F.lit("null"))] if key else []
     message = F.concat(F.lit(f"{what}: "), F.col(issue), *detail)
     return df.where(F.when(F.col(issue).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))).drop(issue)
 
@@ -69,7 +69,9 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str, mandatory: Sequence[str])
     """Left join with columns that must be found; a missing value stops the job."""
     joined = df.join(lookup, key, "left")
     found = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in mandatory))
-    message = F.concat(F.lit(f"no {', '.join(mandatory)} for key "), F.col(key).cast("string"))
+    message = F.concat(
+        F.lit(f"no {', '.join(mandatory)} for key "), F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    )
     return joined.where(F.when(found, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 

@@ -12,6 +12,8 @@ from voxframe.operators.filters import reservable
 from voxframe.operators.joins import strict_join
 from voxframe.operators.sampling import RESERVED_PROMPTS, SEED, reserved_prompts
 
+MOST_BROADCAST_IDS = 10_000
+
 
 def joined_sidecars(texts: DataFrame, agreements: DataFrame, key: str = "source_relative_path") -> DataFrame:
     """Text from one sidecar, agreement from the other; any key defect stops the job."""
@@ -38,8 +40,10 @@ def split_plan(
     """
     limited = with_text_limits(rows)
     eligible = limited.where(reservable(F.col("agreement"), F.col("model_limit_exclusion")))
-    chosen = reserved_prompts(eligible, key, reserve, seed, strict)
-    marked = limited.join(chosen.select(key, "reservation_score"), key, "left")
+    chosen = reserved_prompts(eligible, key, reserve, seed, strict).select(key, "reservation_score")
+    if reserve <= MOST_BROADCAST_IDS:
+        chosen = F.broadcast(chosen)  # at most ``reserve`` ids, so the texts need not be shuffled
+    marked = limited.join(chosen, key, "left")
     reserved = F.col("reservation_score").isNotNull()
     return marked.withColumn("reserved", reserved).withColumn(
         "phase", phase_of(F.col("model_limit_exclusion"), F.col("agreement"), F.col("reserved"))
