@@ -31,3 +31,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from voxframe.llm.languages import identified
 
     return identified(_table(spark, folder, "documents"))
+
+
+@_query("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near copies of every document."""
+    from voxframe.llm.jaccard import near_duplicate_classes
+
+    return near_duplicate_classes(_table(spark, folder, "documents"))
