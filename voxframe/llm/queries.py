@@ -6,6 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxframe.llm.decontaminate import CONTAMINATION_SQL, contamination
+from voxframe.llm.jaccard import near_duplicate_classes
+from voxframe.llm.languages import identified
+from voxframe.llm.pieces import Vocabulary, piece_digests
+from voxframe.llm.privacy import personal_data_digests
+
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
 SQL: dict[str, str] = {}
@@ -25,17 +31,38 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op2_benchmark_decontamination", CONTAMINATION_SQL)
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie inside benchmark passages."""
+    return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @_query("op3_language_id")
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learnt from four fifths of them."""
-    from voxframe.llm.languages import identified
-
     return identified(_table(spark, folder, "documents"))
 
 
 @_query("op4_ngram_jaccard_join")
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Class of near copies of every document."""
-    from voxframe.llm.jaccard import near_duplicate_classes
-
     return near_duplicate_classes(_table(spark, folder, "documents"))
+
+
+def piece_vocabulary(name: str = "piece_bpe_32k.model") -> Vocabulary:
+    """Vocabulary of an installed public tokenizer."""
+    import public_tokenizers
+
+    return Vocabulary.from_model(public_tokenizers.path(name))
+
+
+@_query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and what they decode to."""
+    return piece_digests(_table(spark, folder, "documents"), piece_vocabulary())
+
+
+@_query("op8_pii")
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document."""
+    return personal_data_digests(_table(spark, folder, "documents"))
