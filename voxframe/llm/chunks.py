@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from voxframe.session import materialize
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Fingerprints that one bucket holds on average.
 BUCKET_SIZE = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -173,8 +173,13 @@ def with_answers(
         return pd.DataFrame({"chunk": part["chunk"], "bucket": part["bucket"], "n": part["n"], "kinds": blobs})
 
     sent = each_chunk(chunks, send, "bucket long, chunk long, n int, hashes binary, counts binary")
-    answers = sent.groupBy("bucket").applyInPandas(answer, "chunk long, bucket long, n int, kinds binary")
-    per_chunk = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "kinds"))).alias("answers"))
+    return answered(chunks, sent, answer, "kinds", "answers", label)
+
+
+def answered(chunks: DataFrame, sent: DataFrame, answer: Callable[[pd.DataFrame], pd.DataFrame], part: str, column: str, label: str) -> DataFrame:
+    """Let ``answer`` treat what was sent to every bucket, and give each chunk its answers, in the order of buckets."""
+    answers = sent.groupBy("bucket").applyInPandas(answer, f"chunk long, bucket long, n int, {part} binary")
+    per_chunk = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", part))).alias(column))
     return chunks.join(materialize(per_chunk, label), "chunk", "left")
 
 
@@ -185,6 +190,38 @@ def kinds_of(answers: list[dict] | None) -> np.ndarray:
     return np.concatenate([np.frombuffer(pa.decompress(a["kinds"], decompressed_size=a["n"], codec="zstd", asbytes=True), np.uint8) for a in answers])
 
 
+def smallest_in_windows(keys: np.ndarray, width: int) -> np.ndarray:
+    """Least of ``width`` consecutive keys from every start."""
+    if len(keys) < width:
+        return np.zeros(0, keys.dtype)
+    least, have = keys, 1
+    while have < width:
+        step = min(have, width - have)
+        least = np.minimum(least[:-step], least[step:])
+        have += step
+    return least
+
+
+_LOW = np.uint64(0xFFF)
+
+
+def anchored_runs(grams: np.ndarray, width: int, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor: the anchor's hash, and the first and the last window of the run.
+
+    A window starts at every gram and spans ``width`` of them; its anchor is the least. Equal windows have anchors of
+    equal hash, wherever they are. ``valid`` tells which windows count. The low bits of a hash give way to the place.
+    """
+    place = np.arange(len(grams), dtype=np.uint64) & _LOW
+    least = smallest_in_windows((grams & ~_LOW) | place, width)[: len(valid)]
+    starts = np.flatnonzero(valid[: len(least)])
+    least = least[starts]
+    cut = np.ones(len(starts), bool)
+    cut[1:] = (least[1:] != least[:-1]) | (np.diff(starts) > 1)
+    first = np.flatnonzero(cut)
+    last = np.append(first[1:], len(starts)) - 1 if len(starts) else first
+    return least[first] & ~_LOW, starts[first], starts[last]
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word ``[^\\x20\\x09-\\x0D]+`` and the document it belongs to."""
     blank = (data == 32) | ((data >= 9) & (data <= 13))

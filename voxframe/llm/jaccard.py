@@ -10,8 +10,11 @@ index a prefix that survives the loss of any ``e`` members:
   the loss of ``c - 2``, so the prefix is extended by one for every class it touches. The number of classes grows with the
   set, which keeps the pairs of a set linear in its size; sets of neighbouring size levels share one numbering.
 
-Sets with equal members are one node from the start. Nodes that share an index key are first compared with one leader of
-the key; keys whose nodes are connected after that are done, the others are compared across the components only.
+Of two sets, the smaller is listed under a shorter prefix, as the larger one has to share more of it. Members that are
+seen once count for nothing in common, which rules out most pairs by three numbers.
+
+Sets with equal members are one node from the start. Nodes that share an index key are first compared with a few leaders
+of the key; keys whose nodes are connected after that are done, the others are compared across the components only.
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ SHINGLE_WORDS = 5
 THRESHOLD = 75
 #: A shingle in more documents than this is frequent.
 RARE = 64
+#: Rounds of comparing with leaders, and leaders of a key in each; they save comparisons and change no result.
+_ROUNDS = 2
+_LEADERS = 4
 _SMALLEST_LEVEL = 32  # smaller sets index frequent shingles alone
 
 
@@ -84,53 +90,60 @@ def _set_id(value: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(size > 0, mixed(a ^ mixed(b + size.astype(np.uint64))).view(np.int64), 0)
 
 
-def index_keys(value: np.ndarray, kind: np.ndarray, threshold: int, levels: np.ndarray) -> np.ndarray:
-    """Index keys of one set from its members and their classes (0 once, 1 rare, 2 frequent)."""
+def index_keys(value: np.ndarray, kind: np.ndarray, threshold: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of one set from its members and their classes (0 once, 1 rare, 2 frequent).
+
+    Gives the keys under which a set looks for smaller ones, and which of them it is also listed under for larger ones.
+    """
     n = len(value)
     lose = n - -(-threshold * n // 100)
+    # a set no smaller than this one shares at least this much
+    lose_listed = n - -(-2 * threshold * n // (100 + threshold))
     ranked = np.lexsort((value, kind))
     once, rare = int((kind == 0).sum()), int((kind < 2).sum())
     if once > lose:
-        return np.zeros(0, np.uint64)
-    alone = value[ranked[once : min(rare, lose + 1)]]
-    if rare > lose:
-        return alone
-    common = value[ranked[rare:]]
-    if n < levels[0]:
-        near = n * 100 // threshold >= levels[0]  # a similar set may be of the first level
-        singles = common[: lose + 1 - rare]
-        if not near:
-            return np.concatenate([alone, singles])
-        return np.concatenate([alone, singles, mixed(_full_pairs(common, rare, lose, int(levels[0]) // 4, 0))])
-    level = int(np.searchsorted(levels, n, side="right")) - 1
-    parts = [alone]
-    if level == 0:
-        parts.append(common[: lose + 1 - rare])  # for similar sets below the first level
-    for scheme in (level, level + 1):
-        parts.append(mixed(_full_pairs(common, rare, lose, int(levels[scheme]) // 4, scheme)))
-    return np.concatenate(parts)
-
-
-def _full_pairs(common: np.ndarray, rare: int, lose: int, classes: int, scheme: int) -> np.ndarray:
-    """Pairs within hash classes of the shortest prefix that survives the loss of ``lose`` members."""
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    keys, listed = [value[ranked[once : min(rare, lose + 1)]]], [np.arange(once, min(rare, lose + 1)) <= lose_listed]
+    if rare <= lose:
+        common = value[ranked[rare:]]
+        level = int(np.searchsorted(levels, n, side="right")) - 1
+        if level < 1:  # singly, for similar sets below the first level
+            keys.append(common[: lose + 1 - rare])
+            listed.append(np.arange(rare, rare + len(keys[-1])) <= lose_listed)
+        for scheme in (level, level + 1):
+            if scheme >= 0 and (level >= 0 or n * 100 // threshold >= levels[0]):
+                pairs, own = _full_pairs(common, rare, lose, lose_listed, int(levels[scheme]) // 4, scheme)
+                keys.append(mixed(pairs))
+                listed.append(own)
+    return np.concatenate(keys), np.concatenate(listed)
+
+
+def _full_pairs(common: np.ndarray, rare: int, lose: int, lose_listed: int, classes: int, scheme: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within hash classes of the shortest prefix that survives the loss of ``lose`` members.
+
+    Also tells which of them are of the prefix that survives the loss of ``lose_listed``.
+    """
     cell = (mixed(common + np.uint64(scheme + 1)) % np.uint64(classes)).astype(np.int64)
     _, at = np.unique(cell, return_index=True)
     fresh = np.ones(len(cell), np.int64)
     fresh[at] = 0  # the first of a class adds nothing
-    enough = np.flatnonzero(rare + np.cumsum(fresh) >= lose + 1)
+    survives = rare + np.cumsum(fresh)
+    enough = np.flatnonzero(survives >= lose + 1)
     if not len(enough):
         raise ValueError("a set is too small for its number of classes")
     end = int(enough[0]) + 1
+    short = 0 if rare > lose_listed else int(np.searchsorted(survives, lose_listed + 1)) + 1
     order = np.argsort(cell[:end], kind="stable")
-    cell, members = cell[order], common[order]
-    pairs, step = [], 1
+    cell, members, place = cell[order], common[order], order
+    pairs, listed, step = [np.zeros(0, np.uint64)], [np.zeros(0, bool)], 1
     while step < end:
         same = cell[step:] == cell[:-step]
         if not same.any():
             break
-        pairs.append((members[:-step][same] * np.uint64(3)) ^ mixed(members[step:][same]))
+        pairs.append(((members[:-step][same] * np.uint64(3)) ^ mixed(members[step:][same])) + np.uint64(scheme))
+        listed.append(place[step:][same] < short)
         step += 1
-    return np.concatenate(pairs) + np.uint64(scheme) if pairs else np.zeros(0, np.uint64)
+    return np.concatenate(pairs), np.concatenate(listed)
 
 
 def near_duplicate_classes(
@@ -152,41 +165,51 @@ def near_duplicate_classes(
         value, offsets = shingle_sets(documents, words)
         kind = kinds_of(answers)[np.searchsorted(np.unique(value), value)] if len(value) else np.zeros(0, np.uint8)
         ids = _set_id(value, offsets)
-        out: dict[str, list] = {"set_id": ids.tolist(), "n": np.diff(offsets).tolist(), "keys": [], "members": []}
+        keys, own, members = [], [], []
         met: set[int] = set()
         for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-            keys = np.zeros(0, np.uint64)
+            found, listed = np.zeros(0, np.uint64), np.zeros(0, bool)
             if b > a and ids[i] not in met:  # a set that is repeated in the chunk is indexed once
                 met.add(ids[i])
-                keys = np.unique(index_keys(value[a:b], kind[a:b], threshold, levels))
-            out["keys"].append(keys.view(np.int64))
-            out["members"].append(pack_sorted(value[a:b]) if len(keys) else None)
-        out["key"] = documents.column("key").combine_chunks()
-        return pa.table({"key": out["key"], "set_id": pa.array(out["set_id"], pa.int64()), "n": pa.array(out["n"], pa.int64()), "keys": pa.array(out["keys"], pa.list_(pa.int64())), "members": pa.array(out["members"], pa.binary())})
+                found, listed = index_keys(value[a:b], kind[a:b], threshold, levels)
+            keys.append(found[~listed].view(np.int64))
+            own.append(found[listed].view(np.int64))
+            members.append(pack_sorted(value[a:b]) if len(found) else None)
+        shareable = np.diff(np.concatenate([[0], np.cumsum(kind > 0)])[offsets])
+        longs = pa.list_(pa.int64())
+        return pa.table(
+            {
+                "key": documents.column("key").combine_chunks(),
+                "set_id": pa.array(ids, pa.int64()),
+                "n": pa.array(np.diff(offsets), pa.int64()),
+                "c": pa.array(shareable, pa.int64()),
+                "keys": pa.array(keys, longs),
+                "listed": pa.array(own, longs),
+                "members": pa.array(members, pa.binary()),
+            }
+        )
 
     kind = docs.schema[key].dataType.simpleString()
     answered = with_answers(chunks, distinct, (2, rare + 1), "jaccard-counts", density=0.17)
-    sets = materialize(each_chunk(answered, signed, f"key {kind}, set_id long, n long, keys array<long>, members binary", "answers"), "jaccard-sets")
-    posted = sets.where("size(keys) > 0").dropDuplicates(["set_id"])
-    postings = posted.select("set_id", "n", F.explode("keys").alias("k"))
-    members = sets.where("members IS NOT NULL").select("set_id", "n", "members")
-    shared = postings.groupBy("k").agg(F.min_by("set_id", F.struct("n", "set_id")).alias("leader"), F.min("n").alias("leader_n"), F.count("*").alias("times"))
-    shared = shared.where("times > 1").drop("times")
+    schema = f"key {kind}, set_id long, n long, c long, keys array<long>, listed array<long>, members binary"
+    sets = materialize(each_chunk(answered, signed, schema, "answers"), "jaccard-sets")
+    members = sets.where("members IS NOT NULL").dropDuplicates(["set_id"])
+    posted = members.select("set_id", "n", "c", F.explode(F.array(F.struct(F.lit(False).alias("own"), F.col("keys").alias("ks")), F.struct(F.lit(True).alias("own"), F.col("listed").alias("ks")))).alias("p"))
+    postings = posted.select("set_id", "n", "c", "p.own", F.explode("p.ks").alias("k"))
+    members = members.select("set_id", "n", "members")
+    shared = postings.groupBy("k").agg(F.count("*").alias("times"), F.max("own").alias("any_own")).where("times > 1 AND any_own").select("k")
     held = materialize(postings.join(shared, "k"), "jaccard-postings")
-    fits = f"100 * least(n, leader_n) >= {threshold} * greatest(n, leader_n)"
-    to_leader = held.where(f"set_id <> leader AND {fits}").groupBy("set_id", "leader").agg(F.count("*").alias("keys"))
-    chosen = to_leader.groupBy("set_id").agg(F.max_by("leader", F.struct("keys", "leader")).alias("b")).select(F.col("set_id").alias("a"), "b")
-    links = materialize(_linked(chosen, members, threshold), "jaccard-links")
-    # What is left: keys whose nodes are in several components.
-    found = components(links)
-    placed = held.select("k", "set_id", "n").join(found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    open_keys = placed.groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("k")
-    rest = materialize(placed.join(open_keys, "k", "left_semi"), "jaccard-rest")
-    a, b = rest.toDF("a_k", "a", "a_n", "a_c"), rest.toDF("b_k", "b", "b_n", "b_c")
-    apart = (F.col("a_k") == F.col("b_k")) & (F.col("a_c") < F.col("b_c")) & F.expr(f"100 * least(a_n, b_n) >= {threshold} * greatest(a_n, b_n)")
-    pairs = a.join(b, apart).select("a", "b").distinct()
-    more = materialize(_linked(pairs, members, threshold), "jaccard-links")
-    nodes = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    links, rest = None, held.withColumn("component", F.col("set_id"))
+    for turn in range(_ROUNDS):
+        links, found = _led(rest, links, members, threshold, turn)
+        rest = materialize(_open(held.join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))), "jaccard-rest")
+    # What is left, across components: a set that looks for smaller ones, and those listed under its keys.
+    listed = rest.where("own").select("k", F.struct("n", "set_id", "c", "component").alias("y"))
+    across = rest.select("k", F.struct("n", "set_id", "c", "component").alias("x")).join(listed, "k")
+    smaller = "struct(y.n, y.set_id) < struct(x.n, x.set_id) AND x.component <> y.component"
+    pairs = across.where(f"{smaller} AND {_may_link('x.n', 'x.c', 'y.n', 'y.c', threshold)}").select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+    more = materialize(_linked(pairs.distinct(), members, threshold), "jaccard-links")
+    nodes = components(found.select(F.col("set_id").alias("a"), F.col("component").alias("b")).union(more))
     rows = sets.select("key", "n", "set_id").join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
     rows = rows.withColumn("class", F.when(F.col("n") > 0, F.coalesce("component", "set_id")))
     smallest = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("least"))
@@ -194,6 +217,37 @@ def near_duplicate_classes(
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
 
 
+def _may_link(n: str, c: str, m: str, d: str, threshold: int) -> str:
+    """Whether sets of ``n`` and ``m`` members, ``c`` and ``d`` of them seen elsewhere, can reach the threshold."""
+    return f"100 * least({n}, {m}) >= {threshold} * greatest({n}, {m}) AND {100 + threshold} * least({c}, {d}) >= {threshold} * ({n} + {m})"
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """Postings of the keys whose nodes are in several components."""
+    mixed_keys = placed.groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("own").alias("any_own"))
+    return placed.join(mixed_keys.where("lo < hi AND any_own").select("k"), "k", "left_semi")
+
+
+def _led(rest: DataFrame, links: DataFrame | None, members: DataFrame, threshold: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Compare every set with a few leaders of its keys: all links so far, and ``set_id, component`` of linked sets.
+
+    The leaders of a key are its smallest sets under a few hash orders, from the largest component if there is one.
+    """
+    sizes = rest.select("set_id", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
+    ranked = rest.join(sizes, "component")
+    orders = [F.struct(-F.col("size"), F.xxhash64("component"), F.xxhash64("set_id", F.lit(_LEADERS * turn + i))) for i in range(_LEADERS)]
+    node = F.struct("set_id", "n", "c", "component")
+    leaders = ranked.groupBy("k").agg(*[F.min_by(node, order).alias(f"l{i}") for i, order in enumerate(orders)])
+    tried = rest.join(leaders, "k").select("set_id", "n", "c", "component", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"l{i}").alias("l")) for i in range(_LEADERS)])).alias("t"))
+    able = tried.where(f"component <> t.l.component AND {_may_link('n', 'c', 't.l.n', 't.l.c', threshold)}")
+    counted = able.groupBy("set_id", F.col("t.i").alias("i"), F.col("t.l.set_id").alias("leader")).agg(F.count("*").alias("keys"))
+    best = counted.groupBy("set_id", "i").agg(F.max_by("leader", F.struct("keys", "leader")).alias("b"))
+    pairs = best.select(F.greatest("set_id", "b").alias("a"), F.least("set_id", "b").alias("b")).distinct()
+    new = _linked(pairs, members, threshold)
+    links = materialize(new if links is None else links.union(new), "jaccard-links")
+    return links, components(links).withColumnRenamed("node", "set_id")
+
+
 def _linked(pairs: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
     """The pairs whose sets reach the threshold, compared member by member."""
 
