@@ -11,6 +11,8 @@ from voxframe.llm.jaccard import near_duplicate_classes
 from voxframe.llm.languages import identified
 from voxframe.llm.pieces import Vocabulary, piece_digests
 from voxframe.llm.privacy import personal_data_digests
+from voxframe.llm.suffix_array import repeat_digests
+from voxframe.llm.suffix_tree import repeated_word_digests
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -31,6 +33,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the strings of 50 bytes that a smaller document has."""
+    return repeat_digests(_table(spark, folder, "documents"))
+
+
 @_query("op2_benchmark_decontamination", CONTAMINATION_SQL)
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie inside benchmark passages."""
@@ -66,3 +74,9 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document."""
     return personal_data_digests(_table(spark, folder, "documents"))
+
+
+@_query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the sequences of 20 words that start earlier."""
+    return repeated_word_digests(_table(spark, folder, "documents"))
