@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voxframe.llm.chat import conversation_digests, formatted
 from voxframe.llm.decontaminate import CONTAMINATION_SQL, contamination
 from voxframe.llm.jaccard import near_duplicate_classes
 from voxframe.llm.languages import identified
@@ -80,3 +81,15 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the sequences of 20 words that start earlier."""
     return repeated_word_digests(_table(spark, folder, "documents"))
+
+
+#: A conversation that says nothing but control strings.
+CONTROL_ROWS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@_query("op5_chat_formatting")
+def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one more, formatted and read back."""
+    more = spark.createDataFrame(CONTROL_ROWS, "conv_id long, turn long, role string, text string")
+    turns = _table(spark, folder, "conversations").select(more.columns)
+    return conversation_digests(formatted(turns.unionByName(more)))
