@@ -10,6 +10,7 @@ from voxframe.llm.chat import conversation_digests, formatted
 from voxframe.llm.decontaminate import CONTAMINATION_SQL, contamination
 from voxframe.llm.jaccard import near_duplicate_classes
 from voxframe.llm.languages import identified
+from voxframe.llm.neighbours import nearest
 from voxframe.llm.pieces import Vocabulary, piece_digests
 from voxframe.llm.privacy import personal_data_digests
 from voxframe.llm.suffix_array import repeat_digests
@@ -93,3 +94,10 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     more = spark.createDataFrame(CONTROL_ROWS, "conv_id long, turn long, role string, text string")
     turns = _table(spark, folder, "conversations").select(more.columns)
     return conversation_digests(formatted(turns.unionByName(more)))
+
+
+@_query("op7_nearest_neighbours")
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    vectors = _table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
