@@ -10,8 +10,8 @@ index a prefix that survives the loss of any ``e`` members:
   the loss of ``c - 2``, so the prefix is extended by one for every class it touches. The number of classes grows with the
   set, which keeps the pairs of a set linear in its size; sets of neighbouring size levels share one numbering.
 
-Of two sets, the smaller is listed under a shorter prefix, as the larger one has to share more of it. Members that are
-seen once count for nothing in common, which rules out most pairs by three numbers.
+What two sets must share follows from their sizes, and what their prefixes may lose from that; a key beyond either prefix
+makes no pair. So sets of one size meet in much shorter prefixes than the index has to hold for smaller partners.
 
 Sets with equal members are one node from the start. Nodes that share an index key are first compared with a few leaders
 of the key; keys whose nodes are connected after that are done, the others are compared across the components only.
@@ -93,35 +93,34 @@ def _set_id(value: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def index_keys(value: np.ndarray, kind: np.ndarray, threshold: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index keys of one set from its members and their classes (0 once, 1 rare, 2 frequent).
 
-    Gives the keys under which a set looks for smaller ones, and which of them it is also listed under for larger ones.
+    With each key comes the loss that the prefix before it survives: a prefix that is to survive ``lose`` members ends
+    with the last key whose number is no larger.
     """
     n = len(value)
     lose = n - -(-threshold * n // 100)
-    # a set no smaller than this one shares at least this much
-    lose_listed = n - -(-2 * threshold * n // (100 + threshold))
     ranked = np.lexsort((value, kind))
     once, rare = int((kind == 0).sum()), int((kind < 2).sum())
     if once > lose:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    keys, listed = [value[ranked[once : min(rare, lose + 1)]]], [np.arange(once, min(rare, lose + 1)) <= lose_listed]
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    keys, before = [value[ranked[once : min(rare, lose + 1)]]], [np.arange(once, min(rare, lose + 1))]
     if rare <= lose:
         common = value[ranked[rare:]]
         level = int(np.searchsorted(levels, n, side="right")) - 1
         if level < 1:  # singly, for similar sets below the first level
             keys.append(common[: lose + 1 - rare])
-            listed.append(np.arange(rare, rare + len(keys[-1])) <= lose_listed)
+            before.append(np.arange(rare, rare + len(keys[-1])))
         for scheme in (level, level + 1):
             if scheme >= 0 and (level >= 0 or n * 100 // threshold >= levels[0]):
-                pairs, own = _full_pairs(common, rare, lose, lose_listed, int(levels[scheme]) // 4, scheme)
+                pairs, survived = _full_pairs(common, rare, lose, int(levels[scheme]) // 4, scheme)
                 keys.append(mixed(pairs))
-                listed.append(own)
-    return np.concatenate(keys), np.concatenate(listed)
+                before.append(survived)
+    return np.concatenate(keys), np.concatenate(before)
 
 
-def _full_pairs(common: np.ndarray, rare: int, lose: int, lose_listed: int, classes: int, scheme: int) -> tuple[np.ndarray, np.ndarray]:
+def _full_pairs(common: np.ndarray, rare: int, lose: int, classes: int, scheme: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within hash classes of the shortest prefix that survives the loss of ``lose`` members.
 
-    Also tells which of them are of the prefix that survives the loss of ``lose_listed``.
+    Also tells the loss that the prefix before the later member of each pair survives.
     """
     cell = (mixed(common + np.uint64(scheme + 1)) % np.uint64(classes)).astype(np.int64)
     _, at = np.unique(cell, return_index=True)
@@ -132,18 +131,18 @@ def _full_pairs(common: np.ndarray, rare: int, lose: int, lose_listed: int, clas
     if not len(enough):
         raise ValueError("a set is too small for its number of classes")
     end = int(enough[0]) + 1
-    short = 0 if rare > lose_listed else int(np.searchsorted(survives, lose_listed + 1)) + 1
+    before = np.append(rare, survives[:-1])
     order = np.argsort(cell[:end], kind="stable")
-    cell, members, place = cell[order], common[order], order
-    pairs, listed, step = [np.zeros(0, np.uint64)], [np.zeros(0, bool)], 1
+    cell, members, before = cell[order], common[order], before[order]
+    pairs, survived, step = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 1
     while step < end:
         same = cell[step:] == cell[:-step]
         if not same.any():
             break
         pairs.append(((members[:-step][same] * np.uint64(3)) ^ mixed(members[step:][same])) + np.uint64(scheme))
-        listed.append(place[step:][same] < short)
+        survived.append(before[step:][same])
         step += 1
-    return np.concatenate(pairs), np.concatenate(listed)
+    return np.concatenate(pairs), np.concatenate(survived)
 
 
 def near_duplicate_classes(
@@ -165,37 +164,37 @@ def near_duplicate_classes(
         value, offsets = shingle_sets(documents, words)
         kind = kinds_of(answers)[np.searchsorted(np.unique(value), value)] if len(value) else np.zeros(0, np.uint8)
         ids = _set_id(value, offsets)
-        keys, own, members = [], [], []
+        keys, before, members = [], [], []
         met: set[int] = set()
         for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-            found, listed = np.zeros(0, np.uint64), np.zeros(0, bool)
+            found, survived = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             if b > a and ids[i] not in met:  # a set that is repeated in the chunk is indexed once
                 met.add(ids[i])
-                found, listed = index_keys(value[a:b], kind[a:b], threshold, levels)
-            keys.append(found[~listed].view(np.int64))
-            own.append(found[listed].view(np.int64))
+                found, survived = index_keys(value[a:b], kind[a:b], threshold, levels)
+            keys.append(found.view(np.int64))
+            before.append(survived)
             members.append(pack_sorted(value[a:b]) if len(found) else None)
-        shareable = np.diff(np.concatenate([[0], np.cumsum(kind > 0)])[offsets])
         longs = pa.list_(pa.int64())
         return pa.table(
             {
                 "key": documents.column("key").combine_chunks(),
                 "set_id": pa.array(ids, pa.int64()),
                 "n": pa.array(np.diff(offsets), pa.int64()),
-                "c": pa.array(shareable, pa.int64()),
                 "keys": pa.array(keys, longs),
-                "listed": pa.array(own, longs),
+                "survived": pa.array(before, longs),
                 "members": pa.array(members, pa.binary()),
             }
         )
 
     kind = docs.schema[key].dataType.simpleString()
     answered = with_answers(chunks, distinct, (2, rare + 1), "jaccard-counts", density=0.17)
-    schema = f"key {kind}, set_id long, n long, c long, keys array<long>, listed array<long>, members binary"
+    schema = f"key {kind}, set_id long, n long, keys array<long>, survived array<long>, members binary"
     sets = materialize(each_chunk(answered, signed, schema, "answers"), "jaccard-sets")
     members = sets.where("members IS NOT NULL").dropDuplicates(["set_id"])
-    posted = members.select("set_id", "n", "c", F.explode(F.array(F.struct(F.lit(False).alias("own"), F.col("keys").alias("ks")), F.struct(F.lit(True).alias("own"), F.col("listed").alias("ks")))).alias("p"))
-    postings = posted.select("set_id", "n", "c", "p.own", F.explode("p.ks").alias("k"))
+    # What may be lost to a set no smaller; of two sets, the smaller has its key in this part of its prefix.
+    own = F.expr(f"r * {100 + threshold} <= n * {100 - threshold}")
+    posted = members.select("set_id", "n", F.explode(F.arrays_zip(F.col("keys").alias("k"), F.col("survived").alias("r"))).alias("p"))
+    postings = posted.select("set_id", "n", "p.k", "p.r").withColumn("own", own)
     members = members.select("set_id", "n", "members")
     shared = postings.groupBy("k").agg(F.count("*").alias("times"), F.max("own").alias("any_own")).where("times > 1 AND any_own").select("k")
     held = materialize(postings.join(shared, "k"), "jaccard-postings")
@@ -204,10 +203,10 @@ def near_duplicate_classes(
         links, found = _led(rest, links, members, threshold, turn)
         rest = materialize(_open(held.join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))), "jaccard-rest")
     # What is left, across components: a set that looks for smaller ones, and those listed under its keys.
-    listed = rest.where("own").select("k", F.struct("n", "set_id", "c", "component").alias("y"))
-    across = rest.select("k", F.struct("n", "set_id", "c", "component").alias("x")).join(listed, "k")
+    listed = rest.where("own").select("k", F.struct("n", "set_id", "r", "component").alias("y"))
+    across = rest.select("k", F.struct("n", "set_id", "r", "component").alias("x")).join(listed, "k")
     smaller = "struct(y.n, y.set_id) < struct(x.n, x.set_id) AND x.component <> y.component"
-    pairs = across.where(f"{smaller} AND {_may_link('x.n', 'x.c', 'y.n', 'y.c', threshold)}").select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+    pairs = across.where(f"{smaller} AND {_may_link('x.n', 'x.r', 'y.n', 'y.r', threshold)}").select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
     more = materialize(_linked(pairs.distinct(), members, threshold), "jaccard-links")
     nodes = components(found.select(F.col("set_id").alias("a"), F.col("component").alias("b")).union(more))
     rows = sets.select("key", "n", "set_id").join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -217,9 +216,10 @@ def near_duplicate_classes(
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
 
 
-def _may_link(n: str, c: str, m: str, d: str, threshold: int) -> str:
-    """Whether sets of ``n`` and ``m`` members, ``c`` and ``d`` of them seen elsewhere, can reach the threshold."""
-    return f"100 * least({n}, {m}) >= {threshold} * greatest({n}, {m}) AND {100 + threshold} * least({c}, {d}) >= {threshold} * ({n} + {m})"
+def _may_link(n: str, r: str, m: str, q: str, threshold: int) -> str:
+    """Whether a key lies in the prefixes in which sets of ``n`` and ``m`` members that reach the threshold meet."""
+    share = f"{threshold} * ({n} + {m})"
+    return f"100 * least({n}, {m}) >= {threshold} * greatest({n}, {m}) AND {100 + threshold} * least({n} - {r}, {m} - {q}) >= {share}"
 
 
 def _open(placed: DataFrame) -> DataFrame:
@@ -236,10 +236,10 @@ def _led(rest: DataFrame, links: DataFrame | None, members: DataFrame, threshold
     sizes = rest.select("set_id", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
     ranked = rest.join(sizes, "component")
     orders = [F.struct(-F.col("size"), F.xxhash64("component"), F.xxhash64("set_id", F.lit(_LEADERS * turn + i))) for i in range(_LEADERS)]
-    node = F.struct("set_id", "n", "c", "component")
+    node = F.struct("set_id", "n", "r", "component")
     leaders = ranked.groupBy("k").agg(*[F.min_by(node, order).alias(f"l{i}") for i, order in enumerate(orders)])
-    tried = rest.join(leaders, "k").select("set_id", "n", "c", "component", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"l{i}").alias("l")) for i in range(_LEADERS)])).alias("t"))
-    able = tried.where(f"component <> t.l.component AND {_may_link('n', 'c', 't.l.n', 't.l.c', threshold)}")
+    tried = rest.join(leaders, "k").select("set_id", "n", "r", "component", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"l{i}").alias("l")) for i in range(_LEADERS)])).alias("t"))
+    able = tried.where(f"component <> t.l.component AND {_may_link('n', 'r', 't.l.n', 't.l.r', threshold)}")
     counted = able.groupBy("set_id", F.col("t.i").alias("i"), F.col("t.l.set_id").alias("leader")).agg(F.count("*").alias("keys"))
     best = counted.groupBy("set_id", "i").agg(F.max_by("leader", F.struct("keys", "leader")).alias("b"))
     pairs = best.select(F.greatest("set_id", "b").alias("a"), F.least("set_id", "b").alias("b")).distinct()
