@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxframe.llm.chat import conversation_digests, formatted
 from voxframe.llm.decontaminate import CONTAMINATION_SQL, contamination
 from voxframe.llm.jaccard import near_duplicate_classes
 from voxframe.llm.languages import identified
 from voxframe.llm.neighbours import nearest
+from voxframe.llm.pages import extracted
 from voxframe.llm.pieces import Vocabulary, piece_digests
 from voxframe.llm.privacy import personal_data_digests
 from voxframe.llm.suffix_array import repeat_digests
@@ -101,3 +103,10 @@ def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth vector."""
     vectors = _table(spark, folder, "embeddings")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+@_query("op9_html_extraction")
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = extracted(_table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
