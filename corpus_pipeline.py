@@ -1,23 +1,66 @@
-"""Training-data pipeline over ``documents``: each stage works on all rows its predecessor kept."""
+"""Training-data pipeline over ``documents``: each stage works on all rows its predecessor kept.
+
+Texts without a language go, one document of each group of near copies stays, documents with benchmark passages go,
+personal data is generalised, and what is left is encoded. A stage that drops rows joins on the key alone; rows whose key
+is null are kept together with their result as long as no other row says otherwise.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxframe.llm.decontaminate import contamination
+from voxframe.llm.jaccard import near_duplicate_classes
 from voxframe.llm.languages import UNDETERMINED, identified
+from voxframe.llm.pieces import piece_digests
+from voxframe.llm.privacy import sanitised
+from voxframe.llm.queries import piece_vocabulary
 from voxframe.session import materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in which a language is found; the rejected ones go."""
+    """Documents in which a language is found; null texts and texts without a letter go."""
     rejected = identified(docs).where(F.col("lang_pred") == UNDETERMINED).select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, rejected)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each class of near copies."""
+    classes = near_duplicate_classes(docs)
+    return _without(docs, classes.where(F.col("component_id") < F.col("doc_id")).select("doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of ``benchmark``."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, contamination(docs, items).where("contaminated").select("doc_id"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts generalised; ``n_chars`` follows the text."""
+    clean = sanitised(docs)
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of all documents and what they decode to, as digests."""
+    return piece_digests(docs, piece_vocabulary())
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    return docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
-STAGES = [("language_id", language_id)]
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("sentencepiece", sentencepiece),
+]
 
-#: Models and tokenizers have no SQL form; the stages are tested against brute-force versions.
+#: Language models, tokens and classes of near copies have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
