@@ -61,6 +61,10 @@ SPANS = [
     ("нет числа", "25", "нет двадцать пять числа", None, "hard number is absent from raw text"),
     ("слово 25", "много", "слово двадцать пять", None, "hard number contains no digit groups"),
     (None, "25", "двадцать пять", None, "missing required string: text"),
+    ("а 25 б", "25", "в двадцать пять г", (0, 4), None),
+    ("а х 25 б", "25", "а у двадцать пять б", (1, 4), None),
+    ("раз 25 два 25 три", "25", "раз двадцать пять два двадцать пять три", (1, 6), None),
+    ("а 25 б", "25", "а б", None, "unanchorable number span"),
 ]
 
 

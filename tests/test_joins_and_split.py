@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from voxframe.operators.aggregates import dataset_digest, digest_prefixes, exact_percentiles, exclusion_counts, grouped_lists, reconciled_counts
+from voxframe.operators.aggregates import dataset_digest, exact_percentiles, exclusion_counts, grouped_lists, reconciled_counts
 from voxframe.operators.columns import phase_of
 from voxframe.operators.joins import enrich, reconciled_rows, round_robin, strict_join
 from voxframe.operators.ordering import running_total, spread_sorted, with_ordinal, with_rank
@@ -10,7 +10,7 @@ from voxframe.operators.quality import require_schema
 from voxframe.operators.sampling import lowest_scores, require_extremes, extreme_rows, reserved_prompts
 from voxframe.operators.sequences import active_levels, longest_streaks
 from voxframe.plans.batches import packed_epoch
-from voxframe.plans.split import split_plan
+from voxframe.plans.split import joined_sidecars, split_plan
 
 
 def keyed(spark, rows, value):
@@ -48,6 +48,45 @@ def test_strict_join_is_independent_of_order(spark):
     assert sorted(once.collect()) == sorted(again.collect()) and once.count() == 50
 
 
+@pytest.mark.parametrize("action", ["collect", "count"])
+@pytest.mark.parametrize("filtered", [False, True])
+@pytest.mark.parametrize("empty, message", [("left", "missing_left"), ("right", "missing_right")])
+def test_an_empty_side_stops(spark, empty, message, filtered, action):
+    full = lambda value: keyed(spark, [("a", "1"), ("b", "2")], f"{value} string")
+    none = lambda value: full(value).where(f"{value} = '9'") if filtered else keyed(spark, [], f"{value} string")
+    left = none("t") if empty == "left" else full("t")
+    right = none("v") if empty == "right" else full("v")
+    with pytest.raises(Exception, match=message):
+        getattr(strict_join(left, right, "k", ["t"], ["v"]), action)()
+    with pytest.raises(Exception, match=message):
+        getattr(reconciled_rows(left.withColumnRenamed("t", "v"), right, "k", ["v"], []), action)()
+
+
+def test_two_empty_sides_are_no_error(spark):
+    left, right = keyed(spark, [], "text string"), keyed(spark, [], "agreement double")
+    assert strict_join(left, right, "k", ["text"], ["agreement"]).collect() == []
+    with pytest.raises(ValueError, match="0 rows, 3 were expected"):
+        joined_sidecars(left, right, "k", expected=3)
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_agreement_must_be_finite(spark, bad):
+    texts = keyed(spark, [("a", "x"), ("b", "y")], "text string")
+    agreements = keyed(spark, [("a", 0.5), ("b", bad)], "agreement double")
+    with pytest.raises(Exception, match="agreement is not finite: b"):
+        joined_sidecars(texts, agreements, "k").collect()
+    rows = texts.join(agreements, "k")
+    with pytest.raises(Exception, match="agreement is not finite: b"):
+        split_plan(rows, "k", reserve=0).collect()
+
+
+def test_a_short_reservation_stops(spark):
+    rows = spark.createDataFrame([("a", "x", 0.99)], "source_relative_path string, text string, agreement double")
+    with pytest.raises(ValueError, match="fewer than 20"):
+        split_plan(rows)
+    assert split_plan(rows, strict=False).where("reserved").count() == 1
+
+
 def test_missing_mandatory_and_changed_rows_stop(spark):
     with pytest.raises(Exception, match="no t for key b"):
         enrich(keyed(spark, [("a", 1), ("b", 2)], "n int"), keyed(spark, [("a", "x")], "t string"), "k", ["t"]).collect()
@@ -126,7 +165,6 @@ def test_digest_ignores_order_and_sees_copies(spark):
     one = dataset_digest(df, ["a", "b"]).first()
     assert one == dataset_digest(df.orderBy(F.desc("b")).repartition(9), ["b", "a"]).first()
     assert one["digest"] != dataset_digest(df.union(df.limit(1)), ["a", "b"]).first()["digest"]
-    assert digest_prefixes(10) == [2] and digest_prefixes(10**12) == [8, 6, 4, 2]
 
 
 def test_packing_two_long_rows(spark):

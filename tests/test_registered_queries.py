@@ -9,10 +9,14 @@ from tests.oracle import compare
 from voxframe.catalog import REGISTRY
 
 
+# Queries whose right answer on the smallest tables has no rows.
+MAY_BE_EMPTY: set[str] = set()
+
+
 @pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_sql(name, spark, duck, small):
     verdict = compare(spark, duck, REGISTRY[name], small)
-    assert verdict in ("", "EMPTY"), verdict
+    assert verdict == "" or verdict == "EMPTY" and name in MAY_BE_EMPTY, verdict
 
 
 def test_every_inventory_row_has_a_query():

@@ -68,18 +68,25 @@ def test_redaction(spark):
     assert one(spark, given, T.redact_json) == wanted
 
 
-def test_sentences_join_and_merge():
+def sentences(spark, text, cjk=False, counter=None):
+    return one(spark, text, lambda c: T.split_sentences(c, F.lit(cjk), counter))
+
+
+@pytest.mark.parametrize("counter", [None, lambda s: len(s.split())])
+def test_sentences_join_and_merge(spark, counter):
     length = lambda s: len(s.split())
     piece = " ".join(["w"] * 30) + ". "
     text = (piece * 5).strip()
-    made = T.sentences_of(text, length, False)
+    made = sentences(spark, text, counter=counter)
     assert [length(s) for s in made] == [90, 60] and "".join(made) == text
-    assert [length(s) for s in T.sentences_of(text + " " + "x " * 10 + ".", length, False)] == [90, 71]
-    assert T.sentences_of("a b", length, False) == ["a b."]
-    assert T.sentences_of('He said "go." Then left', length, False) == ['He said "go." Then left.']
-    assert T.sentences_of("你好。“好！”再见", len, True) == ["你好。“好！”再见。"]
+    assert [length(s) for s in sentences(spark, text + " " + "x " * 10 + ".", counter=counter)] == [90, 71]
+    assert sentences(spark, "a b", counter=counter) == ["a b."]
+    assert sentences(spark, "", counter=counter) == [] and sentences(spark, "?!", counter=counter) == []
+    assert sentences(spark, '."a. b.."c', counter=counter) == ['a. b."c.']
+    assert sentences(spark, 'He said "go." Then left', counter=counter) == ['He said "go." Then left.']
+    assert sentences(spark, "你好。“好！”再见", True, counter) == ["你好。“好！”再见。"]
     long = "一二三四五六七八九十" * 7 + "。"
-    assert T.sentences_of(long + long + "短。", len, True) == [long, long + "短。"]
+    assert sentences(spark, long + long + "短。", True, counter) == [long, long + "短。"]
 
 
 def test_frontend_routes(spark):

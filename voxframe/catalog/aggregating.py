@@ -282,12 +282,14 @@ def mean_latencies(spark, folder):
     "JSN-01",
     sql="""WITH h AS (SELECT sha256('{"o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority || '"}') AS h FROM orders),
 leaf AS (SELECT h, count(*) AS n FROM h GROUP BY 1),
-l4 AS (SELECT h[1:4] AS h, sum(n) AS n, sha256(string_agg(h || ':' || n, ',' ORDER BY h || ':' || n)) AS d FROM leaf GROUP BY 1),
+l8 AS (SELECT h[1:8] AS h, sum(n) AS n, sha256(string_agg(h || ':' || n, ',' ORDER BY h || ':' || n)) AS d FROM leaf GROUP BY 1),
+l6 AS (SELECT h[1:6] AS h, sum(n) AS n, sha256(string_agg(h || ':' || d, ',' ORDER BY h || ':' || d)) AS d FROM l8 GROUP BY 1),
+l4 AS (SELECT h[1:4] AS h, sum(n) AS n, sha256(string_agg(h || ':' || d, ',' ORDER BY h || ':' || d)) AS d FROM l6 GROUP BY 1),
 l2 AS (SELECT h[1:2] AS h, sum(n) AS n, sha256(string_agg(h || ':' || d, ',' ORDER BY h || ':' || d)) AS d FROM l4 GROUP BY 1)
 SELECT sha256(string_agg(h || ':' || d, ',' ORDER BY h || ':' || d)) AS digest, sum(n)::BIGINT AS rows FROM l2""",
 )
 def table_digest(spark, folder):
-    return dataset_digest(table(spark, folder, "orders"), ["o_orderpriority", "o_custkey"], [4, 2])
+    return dataset_digest(table(spark, folder, "orders"), ["o_orderpriority", "o_custkey"])
 
 
 @query(

@@ -146,7 +146,7 @@ g AS (SELECT conv_id, turn, segment::BIGINT AS segment, bool_or(op <> 'equal') A
 SELECT *, CASE WHEN is_error THEN '(' || ref || '->' || hyp || ')' ELSE ref END AS shown FROM g""",
 )
 def merged_error_segments(spark, folder):
-    return error_segments(_aligned(spark, folder), ["conv_id", "turn"])
+    return error_segments(turn_pairs(spark, folder), ["conv_id", "turn"], "ref", "hyp")
 
 
 _NORMAL = r"trim(regexp_replace(regexp_replace(replace(lower({0}), 'ё', 'е'), '[\p{{P}}_]', ' ', 'g'), '\s+', ' ', 'g'))"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voxframe.catalog.aligning import COUNTS_SQL
 from voxframe.catalog.base import UTTERANCES_SQL, query, table, turn_pairs, utterance_rows
 from voxframe.catalog.writing import CACHE_SQL, token_cache
 from voxframe.functions.edit import token_distance
@@ -114,18 +115,17 @@ def cache_audit(spark, folder):
 @query(
     "published_row_differences",
     "DQ-07",
-    sql="SELECT NULL::BIGINT AS conv_id, NULL::BIGINT AS turn, NULL::INTEGER AS errors, NULL::VARCHAR AS only_in WHERE false"
-    " UNION ALL SELECT conv_id, turn, -1, 'published' FROM conversations a WHERE role = 'system' AND EXISTS (SELECT 1 FROM conversations b WHERE b.conv_id = a.conv_id AND b.turn = a.turn + 1)",
+    sql=f"""WITH RECURSIVE {COUNTS_SQL}, d AS (SELECT conv_id, turn, substitutions + deletions + insertions AS errors FROM counts JOIN conversations USING (conv_id, turn) WHERE role = 'system')
+SELECT conv_id, turn, -1 AS errors, 'published' AS only_in FROM d UNION ALL SELECT conv_id, turn, errors, 'recomputed' FROM d""",
 )
 def published_row_differences(spark, folder):
-    """Scores published, spoiled for system turns, and recomputed; the recomputed side is checked elsewhere."""
+    """Scores published, spoiled for system turns, and recomputed."""
     pairs = turn_pairs(spark, folder)
     scored = pairs.select("conv_id", "turn", "category", token_distance(F.col("ref"), F.col("hyp")).alias("errors"))
     spoiled = scored.withColumn("errors", F.when(F.col("category") == "system", -1).otherwise(F.col("errors")))
     path = scratch_path(spark, "published-scores")
     spoiled.drop("category").write.parquet(path)
-    differences = table_differences(spark.read.parquet(path), scored.drop("category"))
-    return differences.where("only_in = 'published'")
+    return table_differences(spark.read.parquet(path), scored.drop("category"))
 
 
 @query(

@@ -117,7 +117,7 @@ def plan_archive_reconciliation(spark, folder):
     sql=f"WITH {PLAN_SQL} SELECT source_relative_path, md5(text) AS text_md5, instruct, text_token_count::INTEGER AS text_token_count FROM plan WHERE phase IN (1, 2)",
 )
 def cache_plan_rows(spark, folder):
-    plan = materialize(split_plan(utterance_rows(spark, folder), reserve=5), "plan").where("phase in (1, 2)")
+    plan = materialize(split_plan(utterance_rows(spark, folder), reserve=5, strict=False), "plan").where("phase in (1, 2)")
     cache = plan.select("source_relative_path", "text", "instruct")
     joined = reconciled_rows(cache, plan, "source_relative_path", ["text", "instruct"], ["text_token_count"])
     return joined.select("source_relative_path", F.md5("text").alias("text_md5"), "instruct", "text_token_count")

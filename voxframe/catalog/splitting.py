@@ -33,7 +33,7 @@ SELECT count(*) FILTER (model_limit_exclusion IS NULL AND agreement IS NOT NULL
 FROM plan""",
 )
 def split_plan_counts(spark, folder):
-    return split_summary(utterance_rows(spark, folder), reserve=RESERVE)
+    return split_summary(utterance_rows(spark, folder), reserve=RESERVE, strict=False)
 
 
 @query(
@@ -48,7 +48,7 @@ SELECT source_relative_path, agreement, text_token_count::INTEGER AS text_token_
 FROM plan""",
 )
 def split_plan_rows(spark, folder):
-    return split_plan(utterance_rows(spark, folder), reserve=RESERVE).select(
+    return split_plan(utterance_rows(spark, folder), reserve=RESERVE, strict=False).select(
         "source_relative_path",
         "agreement",
         "text_token_count",
@@ -66,7 +66,7 @@ def split_plan_rows(spark, folder):
 SELECT model_limit_exclusion AS reason, count(*) AS rows FROM plan WHERE model_limit_exclusion IS NOT NULL GROUP BY 1""",
 )
 def exclusion_reason_counts(spark, folder):
-    return exclusion_counts(split_plan(utterance_rows(spark, folder), reserve=RESERVE))
+    return exclusion_counts(split_plan(utterance_rows(spark, folder), reserve=RESERVE, strict=False))
 
 
 @query(
@@ -76,7 +76,7 @@ def exclusion_reason_counts(spark, folder):
 SELECT count(*) AS total, count(*) FILTER (model_limit_exclusion IS NOT NULL) AS excluded FROM plan""",
 )
 def reconciled_split_counts(spark, folder):
-    counts = split_counts(split_plan(utterance_rows(spark, folder), reserve=RESERVE))
+    counts = split_counts(split_plan(utterance_rows(spark, folder), reserve=RESERVE, strict=False))
     parts = ["phase1", "phase2", "null_agreement", "reserved", "excluded"]
     return reconciled_counts(counts, "total", parts).select("total", "excluded")
 
@@ -101,7 +101,7 @@ SELECT phase::INTEGER AS phase, source_relative_path, score, place::INTEGER AS p
   FROM plan WHERE phase IS NOT NULL) WHERE place <= 32""",
 )
 def sampled_rows_per_phase(spark, folder):
-    plan = split_plan(utterance_rows(spark, folder), reserve=RESERVE).where(F.col("phase").isNotNull())
+    plan = split_plan(utterance_rows(spark, folder), reserve=RESERVE, strict=False).where(F.col("phase").isNotNull())
     return lowest_per_group(plan.select("phase", "source_relative_path"), "phase", "source_relative_path", 32)
 
 

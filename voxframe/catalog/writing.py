@@ -11,6 +11,7 @@ from voxframe.operators.sets import union_all
 from voxframe.plans.corpus import build_shards, with_tokens, with_vectors
 from voxframe.plans.split import split_plan
 from voxframe.session import scratch_path
+from voxframe.sources.manifests import key_members
 from voxframe.sources.sinks import (
     PHASE_ROWS,
     cache_manifest,
@@ -49,13 +50,29 @@ def written_manifest(spark, folder):
 FROM (SELECT user_id, 'e' || event_id AS utt FROM events) GROUP BY user_id""",
 )
 def speaker_manifest(spark, folder):
-    """All of a speaker's utterances on one line up to the list size, which no test user exceeds."""
+    """All of a speaker's utterances on one line."""
     path = scratch_path(spark, "spk2utt")
-    events = table(spark, folder, "events").select(
+    write_lines(grouped_manifest_lines(_spoken(spark, folder), "spk", "utt"), path)
+    return spark.read.text(path)
+
+
+def _spoken(spark, folder):
+    return table(spark, folder, "events").select(
         F.concat(F.lit("user"), "user_id").alias("spk"), F.concat(F.lit("e"), "event_id").alias("utt")
     )
-    write_lines(grouped_manifest_lines(events, "spk", "utt", 100000), path)
-    return spark.read.text(path)
+
+
+@query(
+    "speaker_manifest_parts",
+    "SNK-01",
+    "AGG-02",
+    sql="SELECT 'user' || user_id AS spk, 'e' || event_id AS utt FROM events",
+)
+def speaker_manifest_parts(spark, folder):
+    """Written in parts far smaller than a speaker's list, every member is read back."""
+    path = scratch_path(spark, "spk2utt-parts")
+    write_lines(grouped_manifest_lines(_spoken(spark, folder), "spk", "utt", 7), path)
+    return key_members(spark, path, parts=True).toDF("spk", "utt")
 
 
 @query(
@@ -129,7 +146,7 @@ def shard_file_list(spark, folder):
 
 def token_cache(spark, folder):
     """Plan rows with tokens: the word lengths of the text stand in for speech tokens."""
-    plan = split_plan(utterance_rows(spark, folder), reserve=5)
+    plan = split_plan(utterance_rows(spark, folder), reserve=5, strict=False)
     tokens = whitespace_tokens(F.col("text"))
     with_tokens = plan.withColumn("speech_token", tokens).withColumn("speech_token_len", F.size(tokens))
     return phase_rows(with_tokens.withColumn("shard", shard_of(F.col("source_relative_path")) % 16))
@@ -174,7 +191,7 @@ SELECT source_relative_path, reserved, phase::INTEGER AS phase, text_token_count
 )
 def split_plan_lines(spark, folder):
     """JSON lines by shard, read back and parsed; the keys come in sorted order."""
-    plan = split_plan(utterance_rows(spark, folder), reserve=5)
+    plan = split_plan(utterance_rows(spark, folder), reserve=5, strict=False)
     path = scratch_path(spark, "plan-lines")
     write_plan_lines(plan_lines(plan.withColumn("shard", shard_of(F.col("source_relative_path")) % 16), _PLAN_COLUMNS), path)
     schema = "agreement double, phase int, reserved boolean, source_relative_path string, text_token_count int"

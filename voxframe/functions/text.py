@@ -269,49 +269,50 @@ class NormalizerRegistry:
         return out
 
 
-def _pieces(text: str, stops: Sequence[str]) -> list[str]:
-    """Cut after each stop character; a quote right behind the stop stays with it."""
-    pieces, start = [], 0
-    position = 0
-    while position < len(text):
-        if text[position] in stops:
-            quoted = position + 1 < len(text) and text[position + 1] in CLOSING_QUOTES
-            body = text[start:position]
-            if body:
-                pieces.append(body + text[position] + (text[position + 1] if quoted else ""))
-            elif quoted and pieces:
-                pieces[-1] += text[position + 1]
-            start = position + (2 if quoted else 1)
-        position += 1
-    return pieces
-
-
-def sentences_of(
-    text: str,
-    length: Callable[[str], int],
-    cjk: bool,
-    most: int = 80,
-    least: int = 60,
-    merge: int = 20,
-    split_commas: bool = False,
-) -> list[str]:
-    """Sentences of a paragraph, greedily joined up to ``most`` and with a short tail merged."""
-    if not text:
-        return []
-    stops = (CJK_STOPS if cjk else LATIN_STOPS) + (COMMAS if split_commas else [])
-    closed = text if text[-1] in stops else text + ("。" if cjk else ".")
-    done: list[str] = []
-    current = ""
-    for piece in _pieces(closed, stops):
-        if length(current + piece) > most and length(current) > least:
-            done.append(current)
-            current = ""
-        current += piece
-    if current and done and length(current) < merge:
-        done[-1] += current
-    elif current:
-        done.append(current)
-    return done
+def _class(characters: Sequence[str]) -> str:
+    return "[" + "".join("\\" + c for c in characters) + "]"
+
+
+def sentence_pieces(text: Column, cjk: Column, split_commas: bool = False) -> Column:
+    """Pieces of a paragraph, each closed by a stop and the quotes behind it.
+
+    The paragraph is closed with a stop of its own if it has none. Stops without text before
+    them are no pieces; a quote behind such a stop belongs to the piece before.
+    """
+    quote = _class(CLOSING_QUOTES)
+
+    def cut(stops: Sequence[str], full_stop: str) -> Column:
+        stop = _class(stops)
+        closed = F.when(F.right(text, F.lit(1)).isin(*stops), text).otherwise(F.concat(text, F.lit(full_stop)))
+        begun = F.regexp_replace(closed, f"^(?:{stop}{quote}?)+", "")
+        body = stop.replace("[", "[^", 1)
+        found = F.regexp_extract_all(begun, F.lit(f"{body}++{stop}{quote}?(?:{stop}{quote}?)*+"), F.lit(0))
+        # only the first stop stays
+        return F.transform(found, lambda p: F.regexp_replace(p, f"(?<={stop}|{stop}{quote}){stop}", ""))
+
+    more = COMMAS if split_commas else []
+    return F.when(cjk, cut(CJK_STOPS + more, "。")).otherwise(cut(LATIN_STOPS + more, "."))
+
+
+def _joined(pieces: Column, length: Callable[[Column], Column], most: int, least: int, merge: int) -> Column:
+    """Pieces joined while they stay within ``most``, but to more than ``least``; a short tail joins what is before it."""
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+
+    def add(state: Column, piece: Column) -> Column:
+        longer = F.concat(state["open"], piece)
+        full = (length(longer) > most) & (length(state["open"]) > least)
+        return F.struct(
+            F.when(full, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"]).alias("done"),
+            F.when(full, piece).otherwise(longer).alias("open"),
+        )
+
+    def close(state: Column) -> Column:
+        done, tail = state["done"], state["open"]
+        short = (F.size(done) > 0) & (length(tail) < merge)
+        grown = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(F.element_at(done, -1), tail)))
+        return F.when(tail == "", done).when(short, grown).otherwise(F.concat(done, F.array(tail)))
+
+    return F.aggregate(pieces, start, add, close)
 
 
 def split_sentences(
@@ -323,20 +324,30 @@ def split_sentences(
     merge: int = 20,
     split_commas: bool = False,
 ) -> Column:
-    """Array of sentences; CJK text is measured in characters, other text by ``count_tokens``."""
-    measure = count_tokens or (lambda s: len(s.split()))
+    """Array of sentences; CJK text is measured in characters, other text in words or by ``count_tokens``.
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series, flags: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if t is None else sentences_of(t, len if f else measure, bool(f), most, least, merge, split_commas)
-                for t, f in zip(texts, flags)
-            ],
-            dtype=object,
-        )
+    An empty text has no sentence. Only an injected counter leaves the JVM.
+    """
+    pieces = F.when(text == "", F.array().cast("array<string>")).otherwise(sentence_pieces(text, cjk, split_commas))
+    by_length = _joined(pieces, F.char_length, most, least, merge)
+    if count_tokens is None:
+        return F.when(cjk, by_length).otherwise(_joined(pieces, whitespace_token_count, most, least, merge))
 
-    return split(text, cjk)
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def counted(rows: pd.Series) -> pd.Series:
+        def join(parts: Sequence[str]) -> list[str]:
+            sentences = [""]
+            for part in parts:
+                if count_tokens(sentences[-1] + part) > most and count_tokens(sentences[-1]) > least:
+                    sentences.append("")
+                sentences[-1] += part
+            if len(sentences) > 1 and count_tokens(sentences[-1]) < merge:
+                sentences[-2:] = ["".join(sentences[-2:])]
+            return [s for s in sentences if s]
+
+        return rows.map(join, na_action="ignore")
+
+    return F.when(cjk, by_length).otherwise(counted(F.when(~cjk, pieces)))
 
 
 def frontend_sentences(

@@ -20,6 +20,7 @@ COMPLETE_MS_EDGES = [10, 25, 50, 100, 200, 400, 800, 1500, 3000, 5000, 10000, 20
 RTF_EDGES = [0.05, 0.1, 0.2, 0.4, 0.8, 1.0, 1.5, 2.0, 3.0, 5.0, 10.0]
 DURATION_SEC_EDGES = [0.1, 0.25, 0.5, 1, 2, 3, 5, 8, 12, 20, 30, 45, 60]
 LATENCY_PERCENTILES = [50, 90, 95, 99]
+DIGEST_LEVELS = (8, 6, 4, 2)
 # -----------------------------------------------------------------------------
 
 
@@ -295,24 +296,17 @@ def all_exact(df: DataFrame, check: Sequence[str], correct: str, target: str) ->
     return df.groupBy(*check).agg(F.bool_and(F.col(correct) == F.col(target)).alias("all_exact"), F.count(F.lit(1)).alias("samples"))
 
 
-def digest_prefixes(rows: int, group: int = 4096) -> list[int]:
-    """Prefix lengths, longest first, that keep about ``group`` hashes together at the leaves."""
-    longest = 2
-    while rows > group * 16**longest:
-        longest += 2
-    return list(range(longest, 0, -2))
-
-
-def dataset_digest(df: DataFrame, columns: Sequence[str], prefixes: Sequence[int] | None = None) -> DataFrame:
+def dataset_digest(df: DataFrame, columns: Sequence[str], levels: Sequence[int] = DIGEST_LEVELS) -> DataFrame:
     """Order-independent digest of a table as a hash tree.
 
     Rows are hashed, equal rows counted, and hashes with a common prefix digested
-    together, level by level. The prefix lengths follow from the row count unless given.
+    together, level by level. The prefix lengths are part of the digest's definition and
+    the same for every table: the first leaves few rows to a group up to some 10**12 rows,
+    and every other node has at most 256 children.
     """
-    prefixes = digest_prefixes(df.count()) if prefixes is None else prefixes
     level = df.groupBy(canonical_hash(columns).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
     level = level.select("_h", F.concat_ws(":", "_h", "_n").alias("_leaf"), "_n")
-    for length in [*prefixes, 0]:
+    for length in [*levels, 0]:
         level = (
             level.groupBy(F.substring("_h", 1, length).alias("_h"))
             .agg(

@@ -65,6 +65,13 @@ def rejection_sampling_usable(seconds: Column, limit: float = 30) -> Column:
     return seconds < limit
 
 
+def finite(value: Column, key: Column) -> Column:
+    """The value, or null; NaN and infinities stop the job with the row's key."""
+    odd = F.isnan(value.cast("double")) | (F.abs(value.cast("double")) == float("inf"))
+    message = F.concat(F.lit("agreement is not finite: "), F.coalesce(key.cast("string"), F.lit("null")))
+    return F.when(F.coalesce(odd, F.lit(False)), F.raise_error(message).cast("double")).otherwise(value)
+
+
 def reservable(agreement: Column, exclusion: Column, boundary: float = PHASE_BOUNDARY) -> Column:
     """Rows that may be reserved as prompts."""
     return F.coalesce(agreement >= boundary, F.lit(False)) & exclusion.isNull()

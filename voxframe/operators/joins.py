@@ -58,11 +58,30 @@ def strict_join(
 ) -> DataFrame:
     """1:1 join; a duplicate or unmatched key on either side stops the job.
 
-    The audited keys, the left and the right rows all meet in one partitioning by key,
-    so wide rows are shuffled and sorted once.
+    Both tables empty is no error; one empty side is, as every key of the other is unmatched.
     """
-    sound = fail_on_issue(reconcile(left, right, key), "strict join", key=key).select(key)
-    return left.select(key, *left_columns).join(sound, key).join(right.select(key, *right_columns), key)
+    paired = fail_on_issue(_paired(left, right, key, left_columns, right_columns), "strict join", key=key)
+    return paired.select(key, *[F.col("_l")[c].alias(c) for c in left_columns], *[F.col("_r")[c].alias(c) for c in right_columns])
+
+
+def _paired(left: DataFrame, right: DataFrame, key: str, left_columns: Sequence[str], right_columns: Sequence[str]) -> DataFrame:
+    """One row per key of either side with one record of each, ``_l`` and ``_r``, and the ``issue`` of the key.
+
+    Each input is read once. Copies of a key are combined on the map side, and the checks lie
+    on the rows of one full outer join, so an empty side cannot make the planner skip them.
+    """
+
+    def one(df: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
+        record = F.struct(*[F.col(c) for c in columns]) if columns else F.struct(F.lit(True).alias("_there"))
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(f"_n{side}"), F.first(record).alias(f"_{side}"))
+
+    issue = (
+        F.when(F.col("_nl").isNull(), "missing_left")
+        .when(F.col("_nr").isNull(), "missing_right")
+        .when(F.col("_nl") > 1, "duplicate_left")
+        .when(F.col("_nr") > 1, "duplicate_right")
+    )
+    return one(left, left_columns, "l").join(one(right, right_columns, "r"), key, "full_outer").withColumn("issue", issue)
 
 
 def enrich(df: DataFrame, lookup: DataFrame, key: str, mandatory: Sequence[str]) -> DataFrame:
@@ -106,9 +125,12 @@ def mismatches(left: DataFrame, right: DataFrame, key: str, columns: Sequence[st
 
 def reconciled_rows(cache: DataFrame, plan: DataFrame, key: str, equal: Sequence[str], added: Sequence[str]) -> DataFrame:
     """Cache rows with plan columns added; key sets and the ``equal`` columns must agree, else the job stops."""
-    what = "cache and plan disagree"
-    sound = fail_on_issue(reconcile(cache, plan, key), what, key=key).select(key)
-    return fail_on_issue(_compared(cache.join(sound, key), plan, key, equal, added), what, key=key)
+    kept = [c for c in cache.columns if c != key]
+    paired = _paired(cache, plan, key, kept, [*dict.fromkeys([*equal, *added])])
+    differs = [F.when(~F.col("_l")[c].eqNullSafe(F.col("_r")[c]), F.lit(f"{c} differs")) for c in equal]
+    checked = fail_on_issue(paired.withColumn("issue", F.coalesce("issue", *differs)), "cache and plan disagree", key=key)
+    columns = [F.col(key) if c == key else F.col("_l")[c].alias(c) for c in cache.columns]
+    return checked.select(*columns, *[F.col("_r")[c].alias(c) for c in added])
 
 
 def matched_and_unmatched(hypotheses: DataFrame, labels: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

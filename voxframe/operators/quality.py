@@ -103,13 +103,16 @@ def audit_differences(manifest: DataFrame, recomputed: DataFrame, keys: Sequence
 
 
 def table_differences(published: DataFrame, recomputed: DataFrame) -> DataFrame:
-    """Rows only in the published or only in the recomputed table, copies counted."""
+    """Rows only in the published or only in the recomputed table, copies counted.
+
+    Both tables are read once: equal rows cancel in one grouped sum.
+    """
     columns = published.columns
-    again = recomputed.select(*columns)
-    return (
-        published.exceptAll(again).withColumn("only_in", F.lit("published"))
-        .unionByName(again.exceptAll(published).withColumn("only_in", F.lit("recomputed")))
-    )
+    sides = published.withColumn("_n", F.lit(1)).union(recomputed.select(*columns).withColumn("_n", F.lit(-1)))
+    left = sides.groupBy(*columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    side = F.when(F.col("_n") > 0, "published").otherwise("recomputed")
+    copies = F.array_repeat(side, F.abs("_n").cast("int"))
+    return left.select(*columns, F.explode(copies).alias("only_in"))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str], seed: int, schema_version: int) -> str:

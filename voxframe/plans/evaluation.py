@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxframe.functions.arrays import indices, once
 from voxframe.functions.edit import alignment, distance, edit_counts, row_scores
 from voxframe.operators.aggregates import error_summary
 
@@ -53,45 +54,51 @@ def with_edit_counts(pairs: DataFrame, reference: str, hypothesis: str) -> DataF
     return pairs.withColumn("_counts", edit_counts(F.col(reference), F.col(hypothesis))).select(*pairs.columns, "_counts.*")
 
 
-def aligned_rows(pairs: DataFrame, keys: Sequence[str], reference: str, hypothesis: str) -> DataFrame:
-    """One row per alignment step: position, operation, reference and hypothesis token (null where absent)."""
-    aligned = pairs.select(*keys, reference, hypothesis, alignment(F.col(reference), F.col(hypothesis)).alias("_a"))
-    steps = F.arrays_zip(F.col("_a.op").alias("op"), F.col("_a.ref_at").alias("r"), F.col("_a.hyp_at").alias("h"))
-    exploded = aligned.select(*keys, reference, hypothesis, F.posexplode(steps).alias("pos", "s"))
-    return exploded.select(
-        *keys,
-        "pos",
-        F.col("s.op").alias("op"),
-        F.get(F.col(reference), F.col("s.r")).alias("ref"),
-        F.get(F.col(hypothesis), F.col("s.h")).alias("hyp"),
+def _steps(reference: str, hypothesis: str) -> Column:
+    """Alignment of each row as an array of ``(op, ref, hyp)`` with the tokens themselves, null where absent."""
+    found = alignment(F.col(reference), F.col(hypothesis))
+    places = once(found, lambda a: F.arrays_zip(a["op"].alias("op"), a["ref_at"].alias("r"), a["hyp_at"].alias("h")))
+    return F.transform(
+        places,
+        lambda s: F.struct(s["op"].alias("op"), F.get(F.col(reference), s["r"]).alias("ref"), F.get(F.col(hypothesis), s["h"]).alias("hyp")),
     )
 
 
-def error_segments(aligned: DataFrame, keys: Sequence[str]) -> DataFrame:
+def aligned_rows(pairs: DataFrame, keys: Sequence[str], reference: str, hypothesis: str) -> DataFrame:
+    """One row per alignment step: position, operation, reference and hypothesis token (null where absent).
+
+    The tokens are placed in the steps first, so no row carries the whole texts along.
+    """
+    steps = pairs.select(*keys, _steps(reference, hypothesis).alias("_steps"))
+    return steps.select(*keys, F.posexplode("_steps").alias("pos", "s")).select(*keys, "pos", "s.op", "s.ref", "s.hyp")
+
+
+def error_segments(pairs: DataFrame, keys: Sequence[str], reference: str, hypothesis: str) -> DataFrame:
     """Runs of successive errors merged into one segment; equal tokens stay single.
 
-    The window runs over one utterance's alignment, which its text bounds.
+    A segment is a slice of the row's own alignment, so nothing is shuffled.
     """
-    from pyspark.sql import Window
 
-    order = Window.partitionBy(*keys).orderBy("pos")
-    is_error = F.col("op") != "equal"
-    opens = ~is_error | ~F.coalesce(F.lag(is_error).over(order), F.lit(False))
-    numbered = aligned.withColumn("_open", opens.cast("int")).withColumn(
-        "segment", F.sum("_open").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    side = lambda c: F.array_join(
-        F.transform(
-            F.filter(F.sort_array(F.collect_list(F.struct("pos", F.col(c).alias("t")))), lambda s: s["t"].isNotNull()),
-            lambda s: s["t"],
-        ),
-        " ",
-    )
-    star = lambda c: F.when(side(c) == "", "*").otherwise(side(c))
-    grouped = numbered.groupBy(*keys, "segment").agg(
-        F.max(is_error).alias("is_error"), star("ref").alias("ref"), star("hyp").alias("hyp")
-    )
-    shown = F.when(F.col("is_error"), F.concat(F.lit("("), F.col("ref"), F.lit("->"), F.col("hyp"), F.lit(")"))).otherwise(
-        F.col("ref")
+    def sliced(steps: Column) -> Column:
+        wrong = lambda i: F.get(steps, i)["op"] != "equal"
+        starts = F.filter(indices(F.size(steps)), lambda i: (i == 0) | ~wrong(i) | ~F.coalesce(wrong(i - 1), F.lit(False)))
+        return once(
+            starts,
+            lambda at: F.transform(at, lambda i, k: F.slice(steps, i + 1, F.coalesce(F.get(at, k + 1), F.size(steps)) - i)),
+        )
+
+    def side(part: str) -> Column:
+        tokens = F.filter(F.transform("s", lambda t: t[part]), lambda t: t.isNotNull())
+        return F.when(F.size(tokens) == 0, "*").otherwise(F.array_join(tokens, " "))
+
+    segments = pairs.select(*keys, once(_steps(reference, hypothesis), sliced).alias("_segments"))
+    rows = segments.select(*keys, F.posexplode("_segments").alias("k", "s"))
+    named = rows.select(
+        *keys,
+        (F.col("k") + 1).cast("bigint").alias("segment"),
+        (F.get("s", F.lit(0))["op"] != "equal").alias("is_error"),
+        side("ref").alias("ref"),
+        side("hyp").alias("hyp"),
     )
-    return grouped.select(*keys, "segment", "is_error", "ref", "hyp", shown.alias("shown"))
+    shown = F.when(F.col("is_error"), F.concat(F.lit("("), F.col("ref"), F.lit("->"), F.col("hyp"), F.lit(")"))).otherwise(F.col("ref"))
+    return named.withColumn("shown", shown)

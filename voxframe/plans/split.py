@@ -8,16 +8,27 @@ from pyspark.sql import functions as F
 from voxframe.functions.text import whitespace_token_count
 from voxframe.operators.aggregates import split_counts
 from voxframe.operators.columns import phase_of, text_limit_exclusion
-from voxframe.operators.filters import reservable
+from voxframe.operators.filters import finite, reservable
 from voxframe.operators.joins import strict_join
 from voxframe.operators.sampling import RESERVED_PROMPTS, SEED, reserved_prompts
+from voxframe.session import materialize
 
-MOST_BROADCAST_IDS = 10_000
 
+def joined_sidecars(
+    texts: DataFrame, agreements: DataFrame, key: str = "source_relative_path", expected: int | None = None
+) -> DataFrame:
+    """Text from one sidecar, agreement from the other; any key defect or non-finite agreement stops the job.
 
-def joined_sidecars(texts: DataFrame, agreements: DataFrame, key: str = "source_relative_path") -> DataFrame:
-    """Text from one sidecar, agreement from the other; any key defect stops the job."""
-    return strict_join(texts, agreements, key, ["text"], ["agreement"])
+    With ``expected`` the joined rows, and so the rows of either sidecar, must be that many.
+    """
+    joined = strict_join(texts, agreements, key, ["text"], ["agreement"]).withColumn("agreement", finite(F.col("agreement"), F.col(key)))
+    if expected is None:
+        return joined
+    written = materialize(joined, "sidecars")
+    rows = written.count()
+    if rows != expected:
+        raise ValueError(f"the sidecars hold {rows} rows, {expected} were expected")
+    return written
 
 
 def with_text_limits(rows: DataFrame) -> DataFrame:
@@ -31,18 +42,17 @@ def split_plan(
     key: str = "source_relative_path",
     reserve: int = RESERVED_PROMPTS,
     seed: int = SEED,
-    strict: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Rows with exclusion, reservation and phase. The input needs ``text`` and ``agreement``.
 
-    The reserved ids are at most ``reserve`` rows, picked by a top-k that each task
-    limits first; marking them is a join against that handful.
+    A non-finite agreement stops the job, and so do too few rows to reserve unless
+    ``strict`` is false. The reserved ids are at most ``reserve`` rows, picked by a top-k
+    that each task limits first; marking them is a join against that handful.
     """
-    limited = with_text_limits(rows)
+    limited = with_text_limits(rows.withColumn("agreement", finite(F.col("agreement"), F.col(key))))
     eligible = limited.where(reservable(F.col("agreement"), F.col("model_limit_exclusion")))
     chosen = reserved_prompts(eligible, key, reserve, seed, strict).select(key, "reservation_score")
-    if reserve <= MOST_BROADCAST_IDS:
-        chosen = F.broadcast(chosen)  # at most ``reserve`` ids, so the texts need not be shuffled
     marked = limited.join(chosen, key, "left")
     reserved = F.col("reservation_score").isNotNull()
     return marked.withColumn("reserved", reserved).withColumn(
@@ -50,6 +60,8 @@ def split_plan(
     )
 
 
-def split_summary(rows: DataFrame, key: str = "source_relative_path", reserve: int = RESERVED_PROMPTS, seed: int = SEED) -> DataFrame:
+def split_summary(
+    rows: DataFrame, key: str = "source_relative_path", reserve: int = RESERVED_PROMPTS, seed: int = SEED, strict: bool = True
+) -> DataFrame:
     """Counts of a split plan as one row."""
-    return split_counts(split_plan(rows, key, reserve, seed))
+    return split_counts(split_plan(rows, key, reserve, seed, strict))

@@ -70,6 +70,19 @@ def key_values(spark: SparkSession, path: str, free_text: bool = False) -> DataF
     )
 
 
+def key_members(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """``(utt, member)`` rows of ``key member member ...`` lines.
+
+    With ``parts`` a key reads ``key/part`` and loses its last component, so the members of
+    all parts come under one key.
+    """
+    fields = F.filter(F.split("value", r"(?U)\s+"), lambda w: w != "")
+    name = F.get(fields, F.lit(0))
+    key = F.regexp_replace(name, r"/[0-9]+$", "") if parts else name
+    rows = spark.read.text(path).where(F.size(fields) > 1)
+    return rows.select(key.alias("utt"), F.explode(F.slice(fields, F.lit(2), F.size(fields) - 1)).alias("member"))
+
+
 def optional_key_values(spark: SparkSession, path: str, free_text: bool = False) -> DataFrame | None:
     """Like :func:`key_values`, or None when the manifest is not there."""
     return key_values(spark, path, free_text) if path_exists(spark, path) else None

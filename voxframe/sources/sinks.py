@@ -38,10 +38,20 @@ def manifest_lines(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.select(F.concat_ws(" ", key, value).alias("value"))
 
 
-def grouped_manifest_lines(df: DataFrame, key: str, member: str, chunk: int = 10000) -> DataFrame:
-    """``key member member ...`` lines, members sorted; a very large group takes several lines."""
-    lists = grouped_lists(df, key, member, chunk, "members")
-    return lists.select(F.concat_ws(" ", F.col(key), F.array_join("members", " ")).alias("value"), key, "part")
+def grouped_manifest_lines(df: DataFrame, key: str, member: str, chunk: int | None = None) -> DataFrame:
+    """``key member member ...`` lines, members sorted: one line for each key.
+
+    A line is one record however many members it has. With ``chunk`` a line holds at most
+    that many and its key reads ``key/part``, so that no reader takes one part for the
+    whole; ``key_members`` puts the parts together again.
+    """
+    if chunk is None:
+        lists = df.groupBy(key).agg(F.sort_array(F.collect_list(member)).alias("members"))
+        name = F.col(key).cast("string")
+    else:
+        lists = grouped_lists(df, key, member, chunk, "members")
+        name = F.concat(F.col(key).cast("string"), F.lit("/"), F.col("part").cast("string"))
+    return lists.select(F.concat_ws(" ", name, F.array_join("members", " ")).alias("value"))
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
