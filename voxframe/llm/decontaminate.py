@@ -19,18 +19,36 @@ GRAM = 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _mixed_case_words(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), _BETWEEN), lambda w: w != "")
+
+
 def item_words(text: Column) -> Column:
     """Runs of ASCII digits, lower-case letters and all other letters, after A-Z are lower-cased; none for null."""
-    lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
+    # only words that have something to lower are mapped letter by letter
+    return F.transform(
+        _mixed_case_words(text), lambda w: F.when(F.lower(w) == w, w).otherwise(F.translate(w, string.ascii_uppercase, string.ascii_lowercase))
+    )
 
 
 def _grams(words: Column, length: int) -> Column:
-    """Hash of ``length`` consecutive words from every start; empty where there are too few."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    at = F.sequence(F.lit(0), F.size(words) - length)
-    grams = _once(hashes, lambda h: F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(length)])))
-    return F.when(F.size(words) >= length, grams).otherwise(F.array().cast("array<bigint>"))
+    """Hash of ``length`` consecutive words from every start; empty where there are too few.
+
+    Hashes of shorter runs are joined pairwise.
+    """
+
+    def grown(known: dict[int, Column], have: int) -> Column:
+        if have == length:
+            return known[have]
+        more = max(n for n in known if n <= length - have)
+        joined = F.zip_with(known[have], F.slice(known[more], have + 1, F.size(words)), lambda x, y: F.xxhash64(x, y))
+        return _once(joined, lambda c: grown({**known, have + more: c}, have + more))
+
+    grams = _once(F.transform(words, lambda w: F.xxhash64(w)), lambda h: grown({1: h}, 1))
+    return F.when(F.size(words) >= length, F.slice(grams, F.lit(1), F.size(words) - length + 1)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _once(value: Column, use) -> Column:
@@ -49,7 +67,7 @@ def _kept(words: Column, window: int) -> Column:
         at = F.sequence(F.lit(0), F.size(g) - width)
         return F.transform(at, lambda i: F.least(*[F.get(g, i + k) for k in range(width)]))
 
-    found = _once(_grams(words, gram), lambda g: F.when(F.size(g) >= width, smallest(g)).otherwise(F.array().cast("array<bigint>")))
+    found = _once(_once(words, lambda w: _grams(w, gram)), lambda g: F.when(F.size(g) >= width, smallest(g)).otherwise(F.array().cast("array<bigint>")))
     return F.array_distinct(found)
 
 
@@ -66,7 +84,7 @@ def _places(rows: DataFrame, window: int, *carried: str) -> DataFrame:
     """
     gram = min(GRAM, window)
     reach = window - gram
-    listed = F.transform(_grams(F.col("words"), gram), lambda g, i: F.struct(g.alias("kept"), i.cast("int").alias("at")))
+    listed = F.transform(_once(F.col("words"), lambda w: _grams(w, gram)), lambda g, i: F.struct(g.alias("kept"), i.cast("int").alias("at")))
     places = F.filter(listed, lambda p: F.array_contains(F.col("hashes"), p["kept"]))
     out = rows.select(*carried, "words", F.explode(places).alias("p")).select(*carried, "words", "p.kept", "p.at")
     before = F.reverse(F.slice("words", F.greatest(F.col("at") - reach, F.lit(0)) + 1, F.least(F.col("at"), F.lit(reach))))
@@ -119,7 +137,7 @@ def contamination(
         met = met.where(F.col("back") + gram + F.col("on") >= length)
         hit = met.select("key", "mark", "item", F.struct((F.col("at") - F.col("back")).cast("int").alias("start"), (F.col("at") + gram + F.col("on")).cast("int").alias("end")).alias("span"))
         spans = hit if spans is None else spans.union(hit)
-    counted = texts.select("key", "mark", F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
+    counted = texts.select("key", "mark", F.size(_mixed_case_words(F.col("text"))).cast("long").alias("n_words"))
     if spans is None:
         found = counted.withColumns({"n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>")})
     else:
