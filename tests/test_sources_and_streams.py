@@ -214,13 +214,19 @@ def test_rebatching_over_several_batches(spark, tmp_path):
 
 
 def test_journal_rules(spark):
-    base = [(i, "id", f"item{i}", "h", f"{i}.wav", "00", 1.0, 2.0, "f1") for i in range(5)]
+    base = [(i, "id", f"item{i}", "h", f"{i}.wav", "0a" * 32, 1.0, 2.0, "f1") for i in range(5)]
     kinds = "benchmark_id int, evaluation_identity_sha256 string, item_sha256 string, hypothesis string, audio_path string, audio_sha256 string, generation_latency_seconds double, asr_latency_seconds double, source string"
     good = with_record_hash(spark.createDataFrame(base, kinds), RECORD_FIELDS)
-    stale = with_record_hash(spark.createDataFrame([(1, "old", "item1", "h", "1.wav", "00", 1.0, 2.0, "f1")], kinds), RECORD_FIELDS)
+    stale = with_record_hash(spark.createDataFrame([(1, "old", "item1", "h", "1.wav", "0a" * 32, 1.0, 2.0, "f1")], kinds), RECORD_FIELDS)
     spoiled = good.withColumn("record_sha256", F.when(F.col("benchmark_id") == 2, "x").otherwise(F.col("record_sha256")))
     expected = spark.createDataFrame([(i, f"item{i}") for i in range(4)], "benchmark_id int, expected_item_sha256 string")
     kept = usable_records(spoiled.unionByName(stale), expected, "id")
     assert sorted(r["benchmark_id"] for r in kept.collect()) == [0, 3]  # 1 twice, 2 bad hash, 4 unexpected
+    paths = expected.withColumn("expected_audio_path", F.lit("0.wav"))
+    assert [r["benchmark_id"] for r in usable_records(spoiled, paths, "id").collect()] == [0]
+    bad = [(None, "0a" * 32, 1.0, 2.0), ("h", "0A" * 32, 1.0, 2.0), ("h", "0a", 1.0, 2.0), ("h", "0a" * 32, -1.0, 2.0), ("h", "0a" * 32, float("nan"), 2.0), ("h", "0a" * 32, 1.0, float("inf")), ("h", "0a" * 32, 1.0, None)]
+    rows = [(i, "id", f"item{i}", h, f"{i}.wav", a, g, s, "f1") for i, (h, a, g, s) in enumerate(bad)]
+    wanted = spark.createDataFrame([(i, f"item{i}") for i in range(len(bad))], "benchmark_id int, expected_item_sha256 string")
+    assert usable_records(with_record_hash(spark.createDataFrame(rows, kinds), RECORD_FIELDS), wanted, "id").count() == 0
     marked = spoiled.withColumn("malformed", F.col("benchmark_id") == 3)
     assert usable_records(marked, expected, "id", source="source").count() == 0

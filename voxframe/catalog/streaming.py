@@ -212,7 +212,7 @@ def idempotent_journal(spark, folder):
             F.sha2(F.col("doc_id").cast("string"), 256).alias("item_sha256"),
             F.col("source").alias("hypothesis"),
             F.concat(F.col("doc_id"), F.lit(".wav")).alias("audio_path"),
-            F.lit("00").alias("audio_sha256"),
+            F.sha2(F.col("source"), 256).alias("audio_sha256"),
             (F.col("n_chars") / 100.0).alias("generation_latency_seconds"),
             F.lit(0.5).alias("asr_latency_seconds"),
             "lang",
@@ -222,7 +222,7 @@ def idempotent_journal(spark, folder):
     records.write.parquet(incoming)
     records.where("lang = 'de'").write.mode("append").parquet(incoming)
     journal = drain(spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 2).parquet(incoming), "append")
-    expected = docs.select(F.col("doc_id").alias("benchmark_id"), F.sha2(F.col("doc_id").cast("string"), 256).alias("expected_item_sha256"))
+    expected = docs.select(F.col("doc_id").alias("benchmark_id"), F.sha2(F.col("doc_id").cast("string"), 256).alias("expected_item_sha256"), F.concat(F.col("doc_id"), F.lit(".wav")).alias("expected_audio_path"))
     kept = usable_records(journal, expected, _IDENTITY)
     return kept.select("benchmark_id", "hypothesis", "generation_latency_seconds")
 

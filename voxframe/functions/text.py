@@ -43,6 +43,11 @@ CLOSING_QUOTES = ['"', "”"]
 SECRET_WORDS = ["TOKEN", "KEY", "SECRET"]
 # -----------------------------------------------------------------------------
 
+# Decimal digits, and the superscript, subscript and circled ones that count as digits as well.
+_DIGIT = r"\p{Nd}²³¹⁰⁴-⁹₀-₉①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿❶-❾➀-➈➊-➒" + (
+    r"\x{1369}-\x{1371}\x{19DA}\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}"
+)
+
 # Characters that NFKC leaves alone and never composes; other text goes to Python.
 _NFKC_STABLE = r"[\x00-\x7F¡«»¿À-ÿЀ-џ–—‘’“”一-鿿]*"
 
@@ -122,25 +127,23 @@ def remove_loose_blanks(text: Column) -> Column:
 
 
 def rewrite_digit_runs(text: Column, spell: Callable[[str], str]) -> Column:
-    """Replace every maximal run of digits by ``spell(run)``; the speller is supplied by the caller."""
-
-    @F.pandas_udf(T.StringType())
-    def rewrite(values: pd.Series) -> pd.Series:
-        def one(value: str) -> str:
-            out, run = [], ""
-            for char in value:
-                if char.isdigit():
-                    run += char
-                    continue
-                if run:
-                    out.append(spell(run))
-                    run = ""
-                out.append(char)
-            return "".join(out) + (spell(run) if run else "")
-
-        return values.map(one, na_action="ignore")
-
-    return F.coalesce(rewrite(F.when(text.rlike(r"[\p{N}]"), text)), text)
+    """Replace every maximal run of digits by ``spell(run)``; the speller is supplied by the caller.
+
+    Only the distinct runs of a text travel to the speller; the text is put together in the JVM.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def spelled(runs: pd.Series) -> pd.Series:
+        return runs.map(lambda found: [spell(run) for run in found], na_action="ignore")
+
+    def rewritten(row: Column) -> Column:
+        said = F.map_from_arrays(row["runs"], row["spelled"])
+        return F.array_join(F.transform(row["pieces"], lambda piece: F.coalesce(said[piece], piece)), "")
+
+    pieces = F.regexp_extract_all(text, F.lit(f"[{_DIGIT}]+|[^{_DIGIT}]+"), F.lit(0))
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(f"[{_DIGIT}]+"), F.lit(0)))
+    row = F.struct(pieces.alias("pieces"), runs.alias("runs"), spelled(F.when(text.rlike(f"[{_DIGIT}]"), runs)).alias("spelled"))
+    return F.when(text.rlike(f"[{_DIGIT}]"), F.get(F.transform(F.array(row), rewritten), F.lit(0))).otherwise(text)
 
 
 def strip_markers(text: Column, markers: Sequence[str] = ("[FIL]", "[SPK]")) -> Column:

@@ -9,10 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from voxframe.functions.arrays import each_with, pad_right
 from voxframe.functions.hashing import stable_key
@@ -60,27 +58,31 @@ def static_batches(df: DataFrame, ordinal: str, columns: Sequence[str], size: in
     return df.groupBy(F.floor(F.col(ordinal) / size).alias("batch")).agg(rows.alias("rows"))
 
 
-def _greedy(lengths: Sequence[Sequence[int]], budget: int) -> list[int]:
-    """Batch number of each row; a batch closes when its padded size with the next row would exceed the budget."""
-    numbers: list[int] = []
-    number, held, longest = 0, 0, [0] * len(lengths)
-    for row in zip(*lengths):
-        grown = [max(a, b) for a, b in zip(longest, row)]
-        if held and (held + 1) * sum(grown) > budget:
-            number, held, grown = number + 1, 0, list(row)
-        held, longest = held + 1, grown
-        numbers.append(number)
-    return numbers
-
-
 def batch_numbers(lengths: Sequence[Column], budget: int) -> Column:
-    """Batch number of each element of parallel length arrays, closed greedily under a padded-size budget."""
+    """Batch number of each element of parallel length arrays.
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def pack(*arrays: pd.Series) -> pd.Series:
-        return pd.Series([_greedy(rows, budget) for rows in zip(*arrays)], dtype=object)
+    A batch is closed when its padded size with the next row, rows times the sum of the
+    longest of each length, would exceed the budget.
+    """
+    names = [f"l{i}" for i in range(len(lengths))]
+    rows = F.arrays_zip(*[c.cast("array<bigint>").alias(n) for n, c in zip(names, lengths)])
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(
+        F.array().cast("array<int>").alias("numbers"), F.lit(0).alias("number"), F.lit(0).alias("held"), *[zero.alias(n) for n in names]
+    )
 
-    return pack(*lengths)
+    def place(state: Column, row: Column) -> Column:
+        padded = sum((F.greatest(state[n], row[n]) for n in names), zero)
+        full = (state["held"] > 0) & ((state["held"] + 1) * padded > budget)
+        number = state["number"] + full.cast("int")
+        return F.struct(
+            F.concat(state["numbers"], F.array(number)).alias("numbers"),
+            number.alias("number"),
+            F.when(full, 1).otherwise(state["held"] + 1).alias("held"),
+            *[F.when(full, row[n]).otherwise(F.greatest(state[n], row[n])).alias(n) for n in names],
+        )
+
+    return F.aggregate(rows, start, place, lambda state: state["numbers"])
 
 
 def budget_batches(

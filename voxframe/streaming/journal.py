@@ -27,11 +27,24 @@ def with_record_hash(records: DataFrame, fields: list[str] = RECORD_FIELDS) -> D
 
 
 def record_valid(identity: str, item_hash: Column, fields: list[str] = RECORD_FIELDS) -> Column:
-    """Record of the current identity and item whose own hash is right."""
+    """Sound record of the current identity and item whose own hash is right.
+
+    The hypothesis is there, even if empty, the audio hash is a SHA-256 in lower-case hex,
+    and both latencies are finite and not negative.
+    """
+
+    def latency(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return value.isNotNull() & ~F.isnan(value) & (value >= 0) & (value < float("inf"))
+
     checks = (
         (F.col("evaluation_identity_sha256") == identity)
         & (F.col("item_sha256") == item_hash)
         & (F.col("record_sha256") == canonical_hash(fields))
+        & F.col("hypothesis").isNotNull()
+        & F.col("audio_sha256").rlike("^[0-9a-f]{64}$")
+        & latency("generation_latency_seconds")
+        & latency("asr_latency_seconds")
     )
     return F.coalesce(checks, F.lit(False))
 
@@ -39,7 +52,8 @@ def record_valid(identity: str, item_hash: Column, fields: list[str] = RECORD_FI
 def usable_records(records: DataFrame, expected: DataFrame, identity: str, key: str = "benchmark_id", source: str | None = None) -> DataFrame:
     """Records to reuse: expected, valid, and the only copy of their id.
 
-    ``expected`` holds the id and its ``expected_item_sha256``. Any second copy of an id
+    ``expected`` holds the id and its ``expected_item_sha256``, and may hold the
+    ``expected_audio_path``. Any second copy of an id
     discards them all, whether valid or not. With ``source``, a file that holds a
     malformed line (``malformed`` true) is discarded whole.
     """
@@ -49,4 +63,6 @@ def usable_records(records: DataFrame, expected: DataFrame, identity: str, key:
     known = records.join(expected, key)
     repeated = known.groupBy(key).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1).select(key)
     valid = record_valid(identity, F.col("expected_item_sha256"))
-    return known.where(valid).join(repeated, key, "left_anti").drop("expected_item_sha256")
+    if "expected_audio_path" in expected.columns:
+        valid = valid & F.coalesce(F.col("audio_path") == F.col("expected_audio_path"), F.lit(False))
+    return known.where(valid).join(repeated, key, "left_anti").drop("expected_item_sha256", "expected_audio_path")
