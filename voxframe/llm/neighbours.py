@@ -28,6 +28,8 @@ PART_SIZE, LEAST_PARTS, MOST_PARTS = 1000, 8, 64
 MASS = 0.96
 #: Vectors in a block of candidates, and queries in a block.
 BLOCK, QUERIES = 16_384, 4096
+#: Tasks that the parts of one block of queries are dealt to.
+LANES = 8
 
 
 @dataclass(frozen=True)
@@ -173,9 +175,11 @@ def nearest(
     item = F.struct("key", "v")
     left = filed.withColumn("block", F.pmod(F.xxhash64("key"), blocks[F.col("part")])).groupBy("part", "block").agg(F.collect_list(item).alias("vectors"))
     right = sent.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(many))).groupBy("part", "share").agg(F.collect_list(item).alias("queries"))
-    pairs = left.repartition("part", "block").join(right.hint("shuffle_hash"), "part").select("vectors", "queries")
+    pairs = left.repartition("part", "block").join(right.hint("shuffle_hash"), "part")
+    # The parts of a share of queries go to a few tasks, which pass on the nearest of all they have seen.
+    pairs = pairs.select("share", F.pmod("part", F.lit(LANES)).alias("lane"), "vectors", "queries").repartition("share", "lane").sortWithinPartitions("share")
     kind = vectors.schema[key].dataType.simpleString()
-    found = pairs.repartition(F.rand(5)).mapInArrow(_comparer(k, dimension), f"query_id {kind}, key {kind}, score double")
+    found = pairs.select("vectors", "queries", "share").mapInArrow(_comparer(k, dimension), f"query_id {kind}, key {kind}, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "key")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("key").alias(key), "score")
@@ -218,32 +222,48 @@ def _routed(rows: DataFrame, router: Router, mass: float, k: int = 0, sizes: lis
 
 
 def _comparer(k: int, dimension: int):
-    """Compare every query of a block with every vector of a block and keep the ``k`` nearest."""
+    """Compare every query of a block with every vector of a block and keep the ``k`` nearest of all blocks."""
+
+    def compared(vectors: pa.Array, queries: pa.Array) -> Iterator[tuple[object, np.ndarray, np.ndarray]]:
+        number, own = (x.field("key").to_numpy(zero_copy_only=False) for x in (vectors, queries))
+        x, q = _matrix(vectors.field("v"), dimension), _matrix(queries.field("v"), dimension)
+        by = np.argsort(number, kind="stable")
+        number, x = number[by], x[by]
+        spread = np.abs(x).max() * dimension * 1e-13
+        for at in range(0, len(q), 256):
+            part = q[at : at + 256] @ x.T
+            part[own[at : at + 256, None] == number[None, :]] = -np.inf
+            kth = -np.partition(-part, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
+            margin = np.abs(q[at : at + 256]).max(1) * spread
+            for j in range(len(part)):
+                near = np.flatnonzero((part[j] >= kth[j] - margin[j]) & (part[j] > -np.inf))
+                exact = (x[near] * q[at + j]).sum(1)  # equal vectors give equal scores
+                top = np.argsort(-exact, kind="stable")[:k]  # by key among equals
+                yield own[at + j], number[near[top]], exact[top]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[object, tuple[np.ndarray, np.ndarray]] = {}
+        share = kind = None
+
+        def flush() -> pa.RecordBatch:
+            asked = [q for q, (keys, _) in best.items() for _ in keys]
+            keys, scores = (np.concatenate([b[i] for b in best.values()]) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(asked, kind), pa.array(keys, kind), pa.array(scores)], ["query_id", "key", "score"])
+
         for batch in batches:
+            kind = batch.column(0).type.value_type.field("key").type
             for i in range(batch.num_rows):
-                vectors, queries = batch.column(0)[i].values, batch.column(1)[i].values
-                keys, asked = vectors.field("key"), queries.field("key")
-                number, own = keys.to_numpy(zero_copy_only=False), asked.to_numpy(zero_copy_only=False)
-                x, q = _matrix(vectors.field("v"), dimension), _matrix(queries.field("v"), dimension)
-                by = np.argsort(number, kind="stable")
-                number, x = number[by], x[by]
-                spread = np.abs(x).max() * dimension * 1e-13
-                rows, found, scores = [], [], []
-                for at in range(0, len(q), 256):
-                    part = q[at : at + 256] @ x.T
-                    part[own[at : at + 256, None] == number[None, :]] = -np.inf
-                    kth = -np.partition(-part, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
-                    margin = np.abs(q[at : at + 256]).max(1) * spread
-                    for j in range(len(part)):
-                        near = np.flatnonzero((part[j] >= kth[j] - margin[j]) & (part[j] > -np.inf))
-                        exact = (x[near] * q[at + j]).sum(1)  # equal vectors give equal scores
-                        top = np.argsort(-exact, kind="stable")[:k]  # by key among equals
-                        rows += [at + j] * len(top)
-                        found.append(number[near[top]])
-                        scores.append(exact[top])
-                if rows:
-                    yield pa.RecordBatch.from_arrays([asked.take(pa.array(rows)), pa.array(np.concatenate(found), keys.type), pa.array(np.concatenate(scores))], ["query_id", "key", "score"])
+                if batch.column(2)[i].as_py() != share:
+                    if best:
+                        yield flush()
+                    best, share = {}, batch.column(2)[i].as_py()
+                for query, keys, scores in compared(batch.column(0)[i].values, batch.column(1)[i].values):
+                    if query in best:
+                        keys, scores = np.concatenate([best[query][0], keys]), np.concatenate([best[query][1], scores])
+                        order = np.lexsort((keys, -scores))[:k]
+                        keys, scores = keys[order], scores[order]
+                    best[query] = keys, scores
+        if best:
+            yield flush()
 
     return run
