@@ -3,7 +3,8 @@
 Values that the patterns find are the protected entities. A term beside an entity discloses it as far as the corpus
 ties them together: with ``IC(e) = log2(N / df(e))`` and ``PMI(t, e) = log2(N * co(t, e) / (df(t) * df(e)))``, counted in
 documents, the share ``PMI / IC`` of the entity's information that the term gives away is 1 where the term appears with
-the entity alone. Terms that reach ``DISCLOSURE`` in at least ``SUPPORT`` different contexts are generalised as well.
+the entity alone. Terms that reach ``DISCLOSURE`` in at least ``SUPPORT`` different contexts are generalised as well;
+near copies of one passage are one context, so a text that is merely repeated gives nothing away by that.
 """
 
 from __future__ import annotations
@@ -114,16 +115,33 @@ def _entities(texts: DataFrame) -> DataFrame:
     return rows.select("key", "mark", "kind", "start", "end", F.concat("kind", F.lit(":"), F.lower("found")).alias("entity"), "before", "after")
 
 
+def _shared() -> Column:
+    """Share of an entity's information that a term gives away, from ``n_docs``, ``df_e``, ``df_t`` and ``co``; null for none."""
+    information = F.log2(F.col("n_docs") / F.col("df_e"))
+    shared = F.log2(F.col("n_docs") * F.col("co") / (F.greatest("df_t", "co") * F.col("df_e")))
+    return F.when(information > 0, shared / information)
+
+
 def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
     """Spans of terms near an entity that disclose it: ``key, mark, start, end``."""
-    after = F.transform(_terms(F.col("after")), lambda t: F.struct(t["term"].alias("term"), (F.col("end") + t["at"]).alias("start"), t["size"].alias("size"), F.xxhash64("after").alias("context")))
     low = F.col("start") - F.length("before")
-    before = F.transform(_terms(F.col("before")), lambda t: F.struct(t["term"].alias("term"), (low + t["at"]).alias("start"), t["size"].alias("size"), F.xxhash64("before").alias("context")))
-    near = entities.select("key", "mark", "entity", F.explode(F.concat(before, after)).alias("t")).select("key", "mark", "entity", "t.*")
+    rows = entities.select("key", "mark", "entity", "end", low.alias("low"), _terms(F.col("before")).alias("b"), _terms(F.col("after")).alias("a"))
+
+    def placed(side: str, offset: str) -> Column:
+        # Contexts are told apart by their least term hash, so near copies of one passage are one context.
+        least = F.array_min(F.transform(side, lambda t: F.xxhash64(t["term"])))
+        return F.transform(side, lambda t: F.struct(t["term"].alias("term"), (F.col(offset) + t["at"]).alias("start"), t["size"].alias("size"), least.alias("context")))
+
+    near = rows.select("key", "mark", "entity", F.explode(F.concat(placed("b", "low"), placed("a", "end"))).alias("t")).select("key", "mark", "entity", "t.*")
     near = materialize(near, "privacy-terms")
     tied = near.select("entity", "term", "key", "mark", "context").distinct().groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
     tied = tied.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("co")).where(F.col("contexts") >= SUPPORT)
-    tied = materialize(tied, "privacy-pairs")
+    entity_docs = entities.groupBy("entity").agg(F.count_distinct("key", "mark").alias("df_e"))
+    size = texts.agg(F.count("*").cast("double").alias("n_docs"))
+    # A term is in no fewer documents than it is near entities of any kind: that bound rules out the common words.
+    seen = near.select("term", "key", "mark").distinct().groupBy("term").agg(F.count("*").alias("df_t"))
+    bounded = tied.join(seen, "term").join(entity_docs, "entity").join(F.broadcast(size))  # one row
+    tied = materialize(bounded.where(_shared() >= DISCLOSURE).drop("df_t"), "privacy-pairs")
     # Document frequencies, of the terms in question only. A bitmap of fixed size keeps most other words out.
     asked = tied.select("term").distinct()
     bits = asked.select(F.pmod(F.xxhash64("term"), F.lit(_BITS)).alias("bit")).distinct()
@@ -131,13 +149,7 @@ def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
     words = texts.select(F.explode(words).alias("term")).withColumn("bit", F.pmod(F.xxhash64("term"), F.lit(_BITS)))
     words = words.join(F.broadcast(bits), "bit", "left_semi")
     term_docs = words.groupBy("term").agg(F.count("*").alias("df_t")).join(asked, "term", "left_semi")
-    entity_docs = entities.groupBy("entity").agg(F.count_distinct("key", "mark").alias("df_e"))
-    size = texts.agg(F.count("*").cast("double").alias("n_docs"))
-    rated = tied.join(term_docs, "term").join(entity_docs, "entity").join(F.broadcast(size))  # one row
-    df_t, co = F.greatest("df_t", "co"), F.col("co")
-    information = F.log2(F.col("n_docs") / F.col("df_e"))
-    share = F.log2(F.col("n_docs") * co / (df_t * F.col("df_e"))) / information
-    flagged = rated.where((information > 0) & (share >= DISCLOSURE)).select("entity", "term")
+    flagged = tied.join(term_docs, "term").where(_shared() >= DISCLOSURE).select("entity", "term")
     return near.join(flagged, ["entity", "term"]).select("key", "mark", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
 
 
