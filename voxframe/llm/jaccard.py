@@ -174,12 +174,14 @@ def near_duplicate_classes(
             keys.append(found.view(np.int64))
             before.append(survived)
             members.append(pack_sorted(value[a:b]) if len(found) else None)
+        once = np.diff(np.concatenate([[0], np.cumsum(kind == 0)])[offsets])
         longs = pa.list_(pa.int64())
         return pa.table(
             {
                 "key": documents.column("key").combine_chunks(),
                 "set_id": pa.array(ids, pa.int64()),
                 "n": pa.array(np.diff(offsets), pa.int64()),
+                "once": pa.array(once, pa.int64()),
                 "keys": pa.array(keys, longs),
                 "survived": pa.array(before, longs),
                 "members": pa.array(members, pa.binary()),
@@ -188,13 +190,13 @@ def near_duplicate_classes(
 
     kind = docs.schema[key].dataType.simpleString()
     answered = with_answers(chunks, distinct, (2, rare + 1), "jaccard-counts", density=0.17)
-    schema = f"key {kind}, set_id long, n long, keys array<long>, survived array<long>, members binary"
+    schema = f"key {kind}, set_id long, n long, once long, keys array<long>, survived array<long>, members binary"
     sets = materialize(each_chunk(answered, signed, schema, "answers"), "jaccard-sets")
     members = sets.where("members IS NOT NULL").dropDuplicates(["set_id"])
     # What may be lost to a set no smaller; of two sets, the smaller has its key in this part of its prefix.
     own = F.expr(f"r * {100 + threshold} <= n * {100 - threshold}")
-    posted = members.select("set_id", "n", F.explode(F.arrays_zip(F.col("keys").alias("k"), F.col("survived").alias("r"))).alias("p"))
-    postings = posted.select("set_id", "n", "p.k", "p.r").withColumn("own", own)
+    posted = members.select("set_id", "n", "once", F.explode(F.arrays_zip(F.col("keys").alias("k"), F.col("survived").alias("r"))).alias("p"))
+    postings = posted.select("set_id", "n", "once", "p.k", "p.r").withColumn("own", own)
     members = members.select("set_id", "n", "members")
     shared = postings.groupBy("k").agg(F.count("*").alias("times"), F.max("own").alias("any_own")).where("times > 1 AND any_own").select("k")
     held = materialize(postings.join(shared, "k"), "jaccard-postings")
@@ -231,11 +233,13 @@ def _open(placed: DataFrame) -> DataFrame:
 def _led(rest: DataFrame, links: DataFrame | None, members: DataFrame, threshold: int, turn: int) -> tuple[DataFrame, DataFrame]:
     """Compare every set with a few leaders of its keys: all links so far, and ``set_id, component`` of linked sets.
 
-    The leaders of a key are its smallest sets under a few hash orders, from the largest component if there is one.
+    The leaders of a key come from the largest component and have few members that no other document has, as the text
+    that others were copied from: the fewest, and the first under a few hash orders among those with about as few.
     """
     sizes = rest.select("set_id", "component").distinct().groupBy("component").agg(F.count("*").alias("size"))
     ranked = rest.join(sizes, "component")
-    orders = [F.struct(-F.col("size"), F.xxhash64("component"), F.xxhash64("set_id", F.lit(_LEADERS * turn + i))) for i in range(_LEADERS)]
+    own = [F.col("once") if i == 0 else F.floor(F.log2(F.col("once") + 1)) for i in range(_LEADERS)]
+    orders = [F.struct(-F.col("size"), F.xxhash64("component"), own[i].alias("own"), F.xxhash64("set_id", F.lit(_LEADERS * turn + i))) for i in range(_LEADERS)]
     node = F.struct("set_id", "n", "r", "component")
     leaders = ranked.groupBy("k").agg(*[F.min_by(node, order).alias(f"l{i}") for i, order in enumerate(orders)])
     tried = rest.join(leaders, "k").select("set_id", "n", "r", "component", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"l{i}").alias("l")) for i in range(_LEADERS)])).alias("t"))
