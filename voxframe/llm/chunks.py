@@ -34,9 +34,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that what is made of one stays small; memory is given back at the end."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -112,7 +120,7 @@ def each_chunk(chunks: DataFrame, work: Callable[..., pa.Table | None], schema:
     """Apply ``work(chunk id, documents, *columns)`` to every chunk and union the tables it returns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for i in range(batch.num_rows):
                 more = [batch.column(2 + k)[i].as_py() for k in range(len(columns))]
                 out = work(batch.column(0)[i].as_py(), unpack(batch.column(1)[i].as_py()), *more)

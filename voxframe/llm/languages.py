@@ -17,12 +17,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxframe.llm.chunks import slices
+
 ORDER = 3
 #: Bounds of the training sample: rows for each language, and characters of a sampled row.
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 20_000
 UNDETERMINED = "und"
-_BLOCK = 1 << 20  # bytes looked up at once
+_BLOCK = 1 << 18  # bytes looked up at once
 _START = 10  # a text is coded as if it followed line feeds
 
 
@@ -181,7 +183,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.languages, UNDETERMINED], object)
-        for batch in batches:
+        for batch in slices(batches):
             lower = pc.utf8_lower(pc.fill_null(batch.column(1), "")).cast(pa.large_string())
             letters = pc.match_substring_regex(lower, r"\p{L}").to_numpy(zero_copy_only=False)
             offsets = np.frombuffer(lower.buffers()[1], np.int64)[lower.offset : lower.offset + len(lower) + 1]
