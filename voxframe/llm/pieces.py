@@ -4,11 +4,13 @@ The pieces of a text follow from merging neighbours, best score first, the leftm
 the only split into pieces in which every piece and every pair of neighbours merges back to itself. It is found by taking
 the longest piece at each place, shorter ones if a pair of neighbours does not keep, and stepping back where no piece is
 left; a bit for each place that led nowhere keeps the search linear. Pieces never hold a blank after another character,
-so runs of blanks with the word behind them are encoded apart, and frequent ones from a bounded memory.
+so runs of blanks with the word behind them are encoded apart, and frequent ones from a bounded memory; so are letters and other
+characters if the vocabulary never joins them.
 """
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -19,11 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxframe.llm.chunks import slices
+
 BLANK = "▁"
 #: Words kept in memory by a worker, and the longest of them.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 REMEMBERED_LENGTH = 48
+#: Pairs of neighbouring pieces kept in memory by a worker.
+REMEMBERED_PAIRS = 300_000
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+# Letters apart from other characters, for vocabularies in which no piece joins them.
+_RUN = re.compile(rf"{BLANK}*(?:[^\W\d_²³¹]+|(?:[^\w{BLANK}]+|[\d_²³¹]+)+)|{BLANK}+")
 
 
 @dataclass(frozen=True)
@@ -59,13 +67,15 @@ class Encoder:
     def __post_init__(self) -> None:
         v = self.vocabulary
         hidden = v.special | set(v.byte)
+        self.raw = {p: i.to_bytes(4, "little") for i, p in enumerate(v.pieces) if i not in hidden}
+        self.raw_bytes = [i.to_bytes(4, "little") for i in v.byte]
         self.scores = {p: s for i, (p, s) in enumerate(zip(v.pieces, v.scores)) if i not in hidden}
-        self.ids = {p: i for i, p in enumerate(v.pieces) if i not in hidden}
+        self.word = _RUN if all(_RUN.fullmatch(p) for p in self.scores) else _WORD
         # Pieces that merging never reaches are no candidates.
-        self.reached = {p for p in self.scores if self.merge(p) == [p]}
+        self.reached = {p: p for p in self.scores if self.merge(p) == [p]}
         self.longest = ahocorasick.Automaton()
         for piece in self.reached:
-            self.longest.add_word(piece, piece)
+            self.longest.add_word(piece, len(piece))
         self.longest.make_automaton()
 
     def merge(self, text: str) -> list[str]:
@@ -87,7 +97,7 @@ class Encoder:
         pair = (left, right)
         known = self._pairs.get(pair)
         if known is None:
-            if len(self._pairs) > 2_000_000:
+            if len(self._pairs) >= REMEMBERED_PAIRS:
                 self._pairs.clear()
             known = self._pairs[pair] = self.merge(left + right) == [left, right]
         return known
@@ -95,43 +105,46 @@ class Encoder:
     def split(self, word: str) -> list[str]:
         """Pieces of a word; a character without a piece stands for itself."""
         size = len(word)
-        best = [1] * size  # length of the longest piece that starts here
-        for last, piece in self.longest.iter(word):
-            start = last + 1 - len(piece)
-            best[start] = max(best[start], len(piece))
-        failed = bytearray(size // 8 + 1)
-        reached = self.reached
+        best = [1] * size  # length of the longest piece that starts here: matches come by their ends
+        for last, length in self.longest.iter(word):
+            best[last + 1 - length] = length
+        failed = None  # a bit for each place from which no split keeps
+        reached, pairs = self.reached, self._pairs
         parts: list[str] = []
+        before = None
         at, length = 0, best[0] if size else 0
         while at < size:
             while length:
-                piece = word[at : at + length]
                 stop = at + length
-                if (length == 1 or piece in reached) and not failed[stop >> 3] >> (stop & 7) & 1 and (not parts or self.keeps(parts[-1], piece)):
-                    break
+                piece = word[at:stop]
+                piece = reached.get(piece) or (piece if length == 1 else None)  # one object for each piece
+                if piece is not None and not (failed and failed[stop >> 3] >> (stop & 7) & 1):
+                    if before is None:
+                        break
+                    known = pairs.get((before, piece))
+                    if self.keeps(before, piece) if known is None else known:
+                        break
                 length -= 1
             if length:
                 parts.append(piece)
-                at += length
-                length = best[at] if at < size else 0
+                before, at = piece, stop
+                if at < size:
+                    length = best[at]
             else:
-                if not parts:
+                if before is None:
                     raise ValueError("no split of the word keeps")
+                failed = failed or bytearray(size // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                gone = parts.pop()
-                at -= len(gone)
-                length = len(gone) - 1
+                parts.pop()
+                length = len(before) - 1
+                at -= length + 1
+                before = parts[-1] if parts else None
         return parts
 
-    def word_ids(self, word: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.split(word):
-            number = self.ids.get(piece)
-            if number is None:
-                out += [self.vocabulary.byte[b] for b in piece.encode("utf-8")]
-            else:
-                out.append(number)
-        return out
+    def word_ids(self, word: str) -> bytes:
+        """Ids of a word, four bytes each."""
+        raw = self.raw
+        return b"".join([raw[p] if p in raw else b"".join([self.raw_bytes[b] for b in p.encode("utf-8")]) for p in self.split(word)])
 
 
 class _Words(dict):
@@ -142,7 +155,7 @@ class _Words(dict):
         self.encoder = encoder
 
     def __missing__(self, word: str) -> bytes:
-        value = np.array(self.encoder.word_ids(word), np.int32).tobytes()
+        value = self.encoder.word_ids(word)
         if len(word) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -155,7 +168,7 @@ class _Words(dict):
             return b""
         if self.encoder.vocabulary.dummy_blank:
             text = " " + text
-        return b"".join(map(self.__getitem__, _WORD.findall(text.replace(" ", BLANK))))
+        return b"".join(map(self.__getitem__, self.encoder.word.findall(text.replace(" ", BLANK))))
 
 
 _ENCODERS: dict[int, _Words] = {}
@@ -183,11 +196,12 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(shared.value, hash(shared.value.pieces))
         last = np.array([shared.value.end] if end else [], np.int32).tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             rows = [words.text(t or "") + last for t in batch.column(1).to_pylist()]
             offsets = np.cumsum([0, *(len(r) // 4 for r in rows)])
             ids = pa.array(np.frombuffer(b"".join(rows), np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)], ["key", "ids"])
+        words.clear()  # an idle worker keeps no words
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -197,24 +211,25 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text:
 def decoded(rows: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", ids: str = "ids", text: str = "text") -> DataFrame:
     """``key``, ``ids`` and the decoded ``text`` of every row.
 
-    Special pieces say nothing, byte pieces are read as UTF-8 with U+FFFD for what is none, blanks become spaces, and one
-    leading space is dropped. Null ids give an empty text.
+    Special pieces say nothing, byte pieces are read as UTF-8 with U+FFFD for each byte that is none, blanks become spaces,
+    and one leading space is dropped. Null ids give an empty text.
     """
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
+        codecs.register_error("each_byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
         said = [b"" if i in v.special else p.replace(BLANK, " ").encode("utf-8") for i, p in enumerate(v.pieces)]
         for b, i in enumerate(v.byte):
             said[i] = bytes([b])
         table = pa.array(said, pa.large_binary())
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
             spoken = table.take(lists.flatten())
             cuts = np.frombuffer(spoken.buffers()[1], np.int64)[: len(spoken) + 1] if len(spoken) else np.zeros(1, np.int64)
             raw = memoryview(spoken.buffers()[2]) if len(spoken) and spoken.buffers()[2] is not None else memoryview(b"")
             ends = np.cumsum([0, *(lists.value_lengths().fill_null(0).to_pylist())])
-            texts = [str(raw[a:b], "utf-8", "replace") for a, b in zip(cuts[ends[:-1]].tolist(), cuts[ends[1:]].tolist())]
+            texts = [str(raw[a:b], "utf-8", "each_byte") for a, b in zip(cuts[ends[:-1]].tolist(), cuts[ends[1:]].tolist())]
             if v.dummy_blank:
                 texts = [t.removeprefix(" ") for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["key", "ids", "text"])
