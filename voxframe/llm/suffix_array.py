@@ -19,33 +19,34 @@ from pyspark.sql import functions as F
 from voxframe.llm.chunks import anchored_runs, answered, chunked, each_chunk, kinds_of, mixed, text_buffers, with_answers, word_hashes
 
 LENGTH = 50
-GRAM = 12
+GRAM = 26
 #: Anchors in so many documents are split: each window around them goes to a bucket of its own.
 HOT = 1000
-#: Bytes of text that a bucket compares at once.
-BATCH = 4 << 20
+#: Bytes of text that come to a bucket, about, and that it compares at once.
+BUCKET, BATCH = 2 << 20, 1 << 20
 _LAST = np.iinfo(np.int64).max
+_FACTORS = mixed(np.arange(1, GRAM // 8 + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all suffixes in the order of their first ``depth`` symbols, by doubling."""
+    """Starts of all suffixes in the order of their first ``depth`` symbols, by doubling; symbols are below 511."""
     n = len(symbols)
-    rank = symbols.astype(np.int64)
-    known = 1
-    order = np.argsort(rank, kind="stable")
+    known = min(depth, 7)  # seven symbols of nine bits fill a number
+    padded = np.zeros(n + known, np.int64)
+    padded[:n] = symbols + 1
+    value = np.zeros(n, np.int64)
+    for i in range(known):
+        value = (value << 9) | padded[i : n + i]
     while True:
+        order = np.argsort(value)
         if known >= depth:
             return order
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.diff(value[order], prepend=value[order[0]]) != 0)
         step = min(known, depth - known)
         following = np.zeros(n, np.int64)
-        following[: n - step] = rank[step:] + 1 if n > step else 0
-        pair = rank * (int(rank.max()) + 2) + following
-        order = np.argsort(pair, kind="stable")
-        fresh = np.ones(n, np.int64)
-        fresh[1:] = pair[order[1:]] != pair[order[:-1]]
-        fresh[0] = 0
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh)
+        following[: max(n - step, 0)] = rank[step:] + 1
+        value = rank * (n + 2) + following
         known += step
 
 
@@ -60,7 +61,7 @@ def parted_suffixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     n = len(symbols)
     order = suffix_order(symbols, length)
     before = symbols[order - 1]  # the transform; the first suffix is preceded by the end
-    stable = np.argsort(before, kind="stable")
+    stable = np.argsort(before.astype(np.uint16), kind="stable")
     back = np.empty(n, np.int64)
     back[stable] = np.arange(n)  # where the suffix one symbol longer is
     parted = np.zeros(n + 1, bool)
@@ -77,9 +78,9 @@ def parted_suffixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
             member = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide) + wide_low[owner]
             to = back[member]
             key = owner * 512 + before[member]
-            by = np.argsort(key, kind="stable")
+            by = np.argsort(key)
             first = np.flatnonzero(np.diff(key[by], prepend=-1))
-            begin = to[by][first]
+            begin = np.minimum.reduceat(to[by], first)
             new_low.append(begin)
             new_high.append(begin + np.diff(np.append(first, len(by))))
         low, high = np.concatenate(new_low), np.concatenate(new_high)
@@ -94,21 +95,32 @@ def parted_suffixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
 def _byte_grams(data: np.ndarray) -> np.ndarray:
     """Hash of ``GRAM`` bytes from every start; the text is padded behind."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(24, np.uint8)])
-    eight = np.empty(n + 8, np.uint64)
+    padded = np.concatenate([data, np.zeros(GRAM + 16, np.uint8)])
+    eight = np.empty(n + GRAM, np.uint64)
     for shift in range(8):
-        part = padded[shift : shift + 8 * ((n + 16 - shift) // 8)].view(np.uint64)
+        part = padded[shift : shift + 8 * ((len(padded) - shift) // 8)].view(np.uint64)
         target = eight[shift::8]
         target[:] = part[: len(target)]
-    return mixed(eight[:n] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(eight[GRAM - 8 : n + GRAM - 8]))
+    out = eight[:n] * _FACTORS[0]
+    for i, at in enumerate((*range(8, GRAM - 8, 8), GRAM - 8)):
+        out += eight[at : at + n] * _FACTORS[i + 1]
+    out ^= out >> np.uint64(32)
+    out *= _FACTORS[0]  # the high bits, which are compared, depend on all
+    return out
 
 
 def _runs(documents: pa.Table) -> tuple[np.ndarray, ...]:
     data, offsets = text_buffers(documents.column("text"))
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    valid = owner[: max(len(data) - LENGTH + 1, 0)] == owner[LENGTH - 1 :] if len(data) >= LENGTH else np.zeros(0, bool)
+    valid = np.ones(max(len(data) - LENGTH + 1, 0), bool)
+    for end in offsets[1:].tolist():  # windows that would leave their document
+        valid[max(end - LENGTH + 1, 0) : end] = False
     anchor, first, last = anchored_runs(_byte_grams(data), LENGTH - GRAM + 1, valid)
-    return data, offsets, owner, anchor, first, last
+    return data, offsets, anchor, first, last
+
+
+def _owner(offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The document that each byte belongs to."""
+    return np.searchsorted(offsets, at, side="right") - 1
 
 
 def _stretches(documents: pa.Table, answers: list[dict] | None) -> tuple[np.ndarray, ...]:
@@ -116,7 +128,7 @@ def _stretches(documents: pa.Table, answers: list[dict] | None) -> tuple[np.ndar
 
     Gives for every shared run its stretch, and for every stretch the route, first window, last window and smallest key.
     """
-    data, offsets, owner, anchor, first, last = _runs(documents)
+    data, offsets, anchor, first, last = _runs(documents)
     keys = documents.column("key").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False).astype(np.int64)
     kind = kinds_of(answers)[np.searchsorted(np.unique(anchor), anchor)] if len(anchor) else np.zeros(0, np.uint8)
     one = np.flatnonzero(kind == 1)
@@ -127,14 +139,15 @@ def _stretches(documents: pa.Table, answers: list[dict] | None) -> tuple[np.ndar
     content = word_hashes(data, first, last + LENGTH)
     route = np.concatenate([anchor[one], content[len(one) :]])
     # a stretch is the same if route and content are
-    number = np.lexsort((keys[owner[first]], content, route))
+    key = keys[_owner(offsets, first)]
+    number = np.lexsort((key, content, route))
     fresh = np.ones(len(number), bool)
     r, c = route[number], content[number]
     fresh[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1])
     stretch = np.empty(len(number), np.int64)
     stretch[number] = np.cumsum(fresh) - 1
     head = number[fresh]  # has the smallest key
-    return data, offsets, owner, keys, first, last, stretch, route[head], first[head], last[head], keys[owner[first[head]]]
+    return data, offsets, key, first, last, stretch, route[head], first[head], last[head], key[head]
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
@@ -221,16 +234,16 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     chunks = chunked(docs, key, text, "bytes-chunks")
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
-    width = max(int(total * 0.7) // BATCH, 7).bit_length()
+    width = max(int(total * 0.7) // BUCKET, 7).bit_length()
 
     def anchors(documents: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        _, _, owner, anchor, first, _ = _runs(documents)
+        _, offsets, anchor, first, _ = _runs(documents)
         keys = documents.column("key").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False)
-        pairs = np.unique(np.stack([anchor.view(np.int64), keys[owner[first]]], 1), axis=0) if len(anchor) else np.zeros((0, 2), np.int64)
+        pairs = np.unique(np.stack([anchor.view(np.int64), keys[_owner(offsets, first)]], 1), axis=0) if len(anchor) else np.zeros((0, 2), np.int64)
         return np.unique(np.ascontiguousarray(pairs[:, 0]).view(np.uint64), return_counts=True)
 
     def send(chunk: int, documents: pa.Table, answers: list[dict] | None) -> pa.Table | None:
-        data, _, _, _, _, _, _, route, first, last, least = _stretches(documents, answers)
+        data, _, _, _, _, _, route, first, last, least = _stretches(documents, answers)
         if not len(route):
             return None
         bucket = (route >> np.uint64(64 - width)).astype(np.int64)
@@ -249,22 +262,24 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         return pa.table(rows, pa.schema(kinds))
 
     def cut(chunk: int, documents: pa.Table, answers: list[dict] | None, masks: list[dict] | None) -> pa.Table:
-        data, offsets, owner, keys, first, last, stretch, _, _, _, least = _stretches(documents, answers)
+        data, offsets, key, first, last, stretch, _, _, _, least = _stretches(documents, answers)
         bits = np.zeros(len(least), np.uint64)
         if masks:
             bits = np.concatenate([np.frombuffer(pa.decompress(m["masks"], decompressed_size=8 * m["n"], codec="zstd", asbytes=True), np.uint64) for m in masks])
         change = np.zeros(len(data) + 1, np.int32)
-        smallest = keys[owner[first]] == least[stretch]
+        smallest = key == least[stretch]
         hit = np.where(smallest, bits[stretch], ~np.uint64(0))  # all windows, if a smaller key in the chunk has them
         for i in range(LENGTH - GRAM + 1):
-            at = first[(hit >> np.uint64(i)) & np.uint64(1) == 1] + i
-            at = at[at <= last[(hit >> np.uint64(i)) & np.uint64(1) == 1]]
+            at = first[((hit >> np.uint64(i)) & np.uint64(1) == 1) & (first + i <= last)] + i
             np.add.at(change, at, 1)
             np.add.at(change, at + LENGTH, -1)
         gone = np.cumsum(change[:-1]) > 0
-        starts = np.flatnonzero(gone & (np.append(True, ~gone[:-1]) | np.isin(np.arange(len(data)), offsets[:-1]))) if len(data) else np.zeros(0, np.int64)
-        ends = np.flatnonzero(gone & (np.append(~gone[1:], True) | np.isin(np.arange(len(data)) + 1, offsets[1:]))) + 1 if len(data) else starts
-        home = owner[starts] if len(starts) else starts
+        edge = np.zeros(len(data) + 1, bool)  # a removed run ends with its document
+        edge[offsets] = True
+        turn = np.diff(gone, prepend=False)
+        starts = np.flatnonzero(gone & (turn | edge[:-1]))
+        ends = np.flatnonzero(gone & (np.append(turn[1:], True) | edge[1:])) + 1 if len(data) else starts
+        home = _owner(offsets, starts)
         base = offsets[home]
         spans = pa.StructArray.from_arrays([pa.array(starts - base, pa.int64()), pa.array(ends - base, pa.int64())], ["start", "end"])
         cuts = np.concatenate([[0], np.cumsum(np.bincount(home, minlength=len(offsets) - 1))]).astype(np.int32)
@@ -273,7 +288,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(lengths.astype(np.int64).tobytes()), pa.py_buffer(left.tobytes())])
         return pa.table({"key": documents.column("key"), "n_bytes": pa.array(np.diff(offsets), pa.int64()), "removed": pa.ListArray.from_arrays(pa.array(cuts), spans), "kept": kept.cast(pa.binary())})
 
-    counted = with_answers(chunks, anchors, (2, HOT), "bytes-anchors", density=0.05)
+    counted = with_answers(chunks, anchors, (2, HOT), "bytes-anchors", density=0.08)
     sent = each_chunk(counted, send, "bucket long, chunk long, n int, size long, payload binary", "answers")
     told = answered(counted, sent, _answer, "masks", "masks", "bytes-windows")
     kind = docs.schema[key].dataType.simpleString()
