@@ -286,6 +286,21 @@ def test_terms_that_disclose(spark):
     assert "[TERM] writes [EMAIL]" in sanitised(docs).where("doc_id = 0").first()["text"]
 
 
+def test_terms_far_from_the_entity_and_without_it(spark):
+    """A disclosing term goes wherever it stands; co-occurrence is counted in documents, and short names are terms."""
+    random.seed(9)
+    filler = lambda n: " ".join("".join(random.choice("klmnopqrst") for _ in range(7)) for _ in range(n))
+    rows = [(i, f"Ann {filler(40)} ann@ex.org {filler(40)} 李明 {filler(3)} Ann.") for i in range(4)]
+    rows += [(4, f"{filler(6)} ann {filler(6)}"), (5, f"{filler(60)} 李明"), (None, f"ANN {filler(5)}"), (6, "org ex")]
+    rows += [(i, filler(20)) for i in range(7, 200)]
+    rows += [(300 + i, f"{filler(3)} ex {filler(3)} org") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in personal_data_digests(docs).collect():
+        text = dict(rows)[r["doc_id"]]
+        terms = [text[int(a) : int(b)] for kind, a, b in (s.split(":") for s in r["spans"].split(",") if s) if kind == "term"]
+        assert terms == re.findall(r"(?i)\bann\b(?!@)|李明", text), text
+
+
 # ---- parts --------------------------------------------------------------------------------
 
 

@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and terms that disclose the protected values, in DataFrame functions only.
 
-Values that the patterns find are the protected entities. A term beside an entity discloses it as far as the corpus
-ties them together: with ``IC(e) = log2(N / df(e))`` and ``PMI(t, e) = log2(N * co(t, e) / (df(t) * df(e)))``, counted in
-documents, the share ``PMI / IC`` of the entity's information that the term gives away is 1 where the term appears with
-the entity alone. Terms that reach ``DISCLOSURE`` in at least ``SUPPORT`` different contexts are generalised as well;
-near copies of one passage are one context, so a text that is merely repeated gives nothing away by that.
+Values that the patterns find are the protected entities. A term in the same documents discloses an entity as far as the
+corpus ties them together: with ``IC(e) = log2(N / df(e))`` and ``PMI(t, e) = log2(N * co(t, e) / (df(t) * df(e)))``,
+counted in whole documents, the share ``PMI / IC`` of the entity's information that the term gives away is 1 where the term
+appears with the entity alone. Terms that reach ``DISCLOSURE`` in at least ``SUPPORT`` different contexts are generalised
+wherever they stand, in documents without the entity too. The words near the entity and those near the term are the
+context; near copies of one passage are one, so a text that is merely repeated gives nothing away by that.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ PATTERNS = {
 }
 _MARKS = {"email": "@", "ip": ".", "phone": "+"}  # a text without it has no match
 KINDS = [*PATTERNS, "term"]
-#: Code points of text to either side of an entity, and least length of a term in it.
+#: Code points to either side of an entity, and terms to either side of a term, that tell contexts apart.
 REACH = 80
-TERM = r"[\p{L}\p{N}]{4,}"
+NEAR = 6
+TERM = r"[\p{L}\p{N}]+"
 DISCLOSURE = 0.8
 SUPPORT = 3
 _BITS = 65_536
@@ -66,17 +68,10 @@ def _valid(kind: Column, found: Column) -> Column:
     )
 
 
-def _terms(context: Column) -> Column:
-    """Terms of a short context with their offsets: ``(term, at, size)``."""
-    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<term:string,at:int,size:int>>").alias("all"))
-
-    def add(state: Column, p: Column) -> Column:
-        at = state["end"] + F.length(p["before"])
-        size = F.length(p["found"])
-        found = F.struct(F.lower(p["found"]).alias("term"), at.alias("at"), size.alias("size"))
-        return F.struct((at + size).alias("end"), F.concat(state["all"], F.array(found)).alias("all"))
-
-    return F.aggregate(_pieces(context, TERM), start, add, lambda s: s["all"])
+def _context(before: Column, after: Column) -> Column:
+    """Least hash of the terms around an entity, so near copies of one passage agree."""
+    terms = F.regexp_extract_all(F.concat(before, F.lit(" "), after), F.lit(TERM), F.lit(0))
+    return F.array_min(F.transform(terms, lambda t: F.xxhash64(F.lower(t))))
 
 
 def _described(kind: str) -> Callable[[Column, Column], Column]:
@@ -101,7 +96,7 @@ def _of_kind(kind: str) -> Callable[[Column], Column]:
 
 
 def _entities(texts: DataFrame) -> DataFrame:
-    """Every valid match: ``key, mark, kind, start, end, entity`` and the text near it, ``before`` and ``after``."""
+    """Every valid match: ``key, mark, kind, start, end, entity, found`` and the text near it, ``before`` and ``after``."""
     lists = []
     for kind, pattern in PATTERNS.items():
         has = F.contains("text", F.lit(_MARKS[kind])) if kind in _MARKS else F.lit(True)
@@ -112,7 +107,7 @@ def _entities(texts: DataFrame) -> DataFrame:
     # Rows that repeat key and text are the same document.
     rows = rows.dropDuplicates(["key", "mark", "kind", "i"]).withColumn("end", F.sum(F.col("gap") + F.length("found")).over(so_far))
     rows = rows.withColumn("start", F.col("end") - F.length("found")).where(_valid(F.col("kind"), F.col("found")))
-    return rows.select("key", "mark", "kind", "start", "end", F.concat("kind", F.lit(":"), F.lower("found")).alias("entity"), "before", "after")
+    return rows.select("key", "mark", "kind", "start", "end", F.concat("kind", F.lit(":"), F.lower("found")).alias("entity"), "found", "before", "after")
 
 
 def _shared() -> Column:
@@ -122,35 +117,74 @@ def _shared() -> Column:
     return F.when(information > 0, shared / information)
 
 
+def _same(k: str = "k", m: str = "m") -> Column:
+    """One document: the same key, null too, and the same mark."""
+    return F.col("key").eqNullSafe(F.col(k)) & (F.col("mark") == F.col(m))
+
+
+def _placed(docs: DataFrame, texts: DataFrame, entities: DataFrame) -> DataFrame:
+    """Every term of the whole texts of ``docs``, outside entities: ``key, mark, term, start, end, context``."""
+    spans = entities.groupBy("key", "mark").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")).withColumnsRenamed({"key": "k2", "mark": "m2"})
+    rows = texts.join(docs.withColumnsRenamed({"key": "k", "mark": "m"}), _same(), "left_semi").dropDuplicates(["key", "mark"])
+    rows = rows.join(spans, _same("k2", "m2"), "left")
+    start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("end"))
+
+    def blank(state: Column, span: Column) -> Column:
+        low, high = F.greatest(state["end"], span["start"].cast("long")), F.greatest(state["end"], span["end"].cast("long"))
+        plain = F.substring(F.col("text"), (state["end"] + 1).cast("int"), (low - state["end"]).cast("int"))
+        return F.struct(F.concat(state["done"], plain, F.repeat(F.lit(" "), (high - low).cast("int"))).alias("done"), high.alias("end"))
+
+    rest = lambda s: F.concat(s["done"], F.substring(F.col("text"), (s["end"] + 1).cast("int"), F.length("text")))
+    masked = F.when(F.size("spans") > 0, F.aggregate("spans", start, blank, rest)).otherwise(F.col("text"))
+    pieces = F.transform(_pieces(F.col("masked"), TERM), lambda p: F.struct(F.length(p["before"]).alias("gap"), p["found"].alias("found")))
+    words = rows.select("key", "mark", masked.alias("masked")).select("key", "mark", F.posexplode(pieces).alias("i", "p"))
+    words = words.select("key", "mark", "i", "p.gap", F.length("p.found").alias("size"), F.lower("p.found").alias("term")).withColumn("h", F.xxhash64("term"))
+    order = Window.partitionBy("key", "mark").orderBy("i")
+    words = words.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # The term itself is no part of its context.
+    context = F.least(F.min("h").over(order.rowsBetween(-NEAR, -1)), F.min("h").over(order.rowsBetween(1, NEAR)))
+    return words.select("key", "mark", "term", (F.col("end") - F.col("size")).alias("start"), "end", context.alias("context"))
+
+
 def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
-    """Spans of terms near an entity that disclose it: ``key, mark, start, end``."""
-    low = F.col("start") - F.length("before")
-    rows = entities.select("key", "mark", "entity", "end", low.alias("low"), _terms(F.col("before")).alias("b"), _terms(F.col("after")).alias("a"))
-
-    def placed(side: str, offset: str) -> Column:
-        # Contexts are told apart by their least term hash, so near copies of one passage are one context.
-        least = F.array_min(F.transform(side, lambda t: F.xxhash64(t["term"])))
-        return F.transform(side, lambda t: F.struct(t["term"].alias("term"), (F.col(offset) + t["at"]).alias("start"), t["size"].alias("size"), least.alias("context")))
-
-    near = rows.select("key", "mark", "entity", F.explode(F.concat(placed("b", "low"), placed("a", "end"))).alias("t")).select("key", "mark", "entity", "t.*")
-    near = materialize(near, "privacy-terms")
-    tied = near.select("entity", "term", "key", "mark", "context").distinct().groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
-    tied = tied.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("co")).where(F.col("contexts") >= SUPPORT)
-    entity_docs = entities.groupBy("entity").agg(F.count_distinct("key", "mark").alias("df_e"))
-    size = texts.agg(F.count("*").cast("double").alias("n_docs"))
-    # A term is in no fewer documents than it is near entities of any kind: that bound rules out the common words.
-    seen = near.select("term", "key", "mark").distinct().groupBy("term").agg(F.count("*").alias("df_t"))
-    bounded = tied.join(seen, "term").join(entity_docs, "entity").join(F.broadcast(size))  # one row
-    tied = materialize(bounded.where(_shared() >= DISCLOSURE).drop("df_t"), "privacy-pairs")
+    """All spans of terms that disclose an entity, in whatever document: ``key, mark, start, end``."""
+    size = texts.select("key", "mark").distinct().agg(F.count("*").cast("double").alias("n_docs"))
+    # Documents of one text are one context: the first stands for all of them, with their number.
+    alike = entities.select("key", "mark").distinct().groupBy("mark").agg(F.min("key").alias("key"), F.count("*").alias("copies"))
+    alike = materialize(alike, "privacy-documents")
+    own = entities.join(alike.withColumnsRenamed({"key": "k", "mark": "m"}), _same())
+    own = own.withColumn("context", _context(F.col("before"), F.col("after"))).groupBy("mark", "entity", "copies").agg(F.min("context").alias("beside"))
+    asked = own.groupBy("entity").agg(F.sum("copies").alias("df_e"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).drop("texts")
+    asked = materialize(own.join(asked, "entity"), "privacy-asked")
+    held = alike.join(asked.select("mark").distinct(), "mark", "left_semi").select("key", "mark")
+    terms = _placed(held, texts, entities).groupBy("mark", "term").agg(F.min("context").alias("context"))
+    terms = materialize(terms.join(alike.select("mark", "copies"), "mark"), "privacy-terms")
+    # A term is in no fewer documents than in these: that bound rules out the common words before they meet an entity.
+    seen = terms.groupBy("term").agg(F.sum("copies").alias("df_t"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).drop("texts")
+    most = asked.agg(F.max("df_e").cast("double").alias("most")).join(size)  # one row
+    usual = F.pow("most", F.lit(DISCLOSURE)) * F.pow("n_docs", F.lit(1 - DISCLOSURE)) + 1
+    seen = seen.join(F.broadcast(most), F.col("df_t") <= usual).select("term", "df_t", "n_docs")
+    pairs = terms.drop("copies").join(seen, "term").join(asked, "mark").withColumn("co", F.least("df_t", "df_e")).where(_shared() >= DISCLOSURE)
+    places = pairs.groupBy("entity", "term", "beside", "context").agg(F.sum("copies").alias("co"), *[F.first(c).alias(c) for c in ("df_e", "df_t", "n_docs")])
+    tied = places.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("co").alias("co"), *[F.first(c).alias(c) for c in ("df_e", "df_t", "n_docs")])
+    tied = materialize(tied.where((F.col("contexts") >= SUPPORT) & (_shared() >= DISCLOSURE)).drop("df_t"), "privacy-pairs")
     # Document frequencies, of the terms in question only. A bitmap of fixed size keeps most other words out.
-    asked = tied.select("term").distinct()
-    bits = asked.select(F.pmod(F.xxhash64("term"), F.lit(_BITS)).alias("bit")).distinct()
+    known = tied.select("term").distinct()
+    bits = known.select(F.pmod(F.xxhash64("term"), F.lit(_BITS)).alias("bit")).distinct()
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
-    words = texts.select(F.explode(words).alias("term")).withColumn("bit", F.pmod(F.xxhash64("term"), F.lit(_BITS)))
-    words = words.join(F.broadcast(bits), "bit", "left_semi")
-    term_docs = words.groupBy("term").agg(F.count("*").alias("df_t")).join(asked, "term", "left_semi")
-    flagged = tied.join(term_docs, "term").where(_shared() >= DISCLOSURE).select("entity", "term")
-    return near.join(flagged, ["entity", "term"]).select("key", "mark", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
+    words = texts.select("key", "mark", F.explode(words).alias("term")).withColumn("bit", F.pmod(F.xxhash64("term"), F.lit(_BITS)))
+    words = words.join(F.broadcast(bits), "bit", "left_semi").select("key", "mark", "term").distinct()
+    words = materialize(words.join(known, "term", "left_semi"), "privacy-words")
+    # A document with the term inside its entities alone is no document of the term.
+    inside = entities.select("key", "mark", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("found"), F.lit(TERM), F.lit(0)))).alias("term")).distinct()
+    inside = inside.join(known, "term", "left_semi").select(F.col("key").alias("k"), F.col("mark").alias("m"), F.col("term").alias("t"))
+    doubtful = words.join(inside, _same() & (F.col("term") == F.col("t")), "left_semi").select("key", "mark").distinct()
+    sure = words.join(doubtful.toDF("k", "m"), _same(), "left_anti").select("key", "mark", "term")
+    outside = _placed(doubtful, texts, entities).select("key", "mark", "term").distinct().join(known, "term", "left_semi")
+    term_docs = sure.unionByName(outside).groupBy("term").agg(F.count("*").alias("df_t"))
+    flagged = materialize(tied.join(term_docs, "term").where(_shared() >= DISCLOSURE).select("term").distinct(), "privacy-flagged")
+    where = words.join(flagged, "term", "left_semi").select("key", "mark").distinct()
+    return _placed(where, texts, entities).join(flagged, "term", "left_semi").select("key", "mark", "start", "end")
 
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
