@@ -14,7 +14,7 @@ from voxframe.llm import queries
 from voxframe.llm.decontaminate import contamination
 from voxframe.llm.graphs import components
 from voxframe.llm.jaccard import near_duplicate_classes
-from voxframe.llm.languages import fit_languages, identified, identify, text_bits
+from voxframe.llm.languages import SAMPLE_CHARS, fit_languages, identified, identify, text_bits, training_sample
 from voxframe.llm.privacy import personal_data_digests, sanitised
 from voxframe.llm.suffix_array import parted_suffixes, repeat_digests, without_repeats
 from voxframe.llm.suffix_tree import repeated_suffixes, repeated_word_digests, without_repeated_words
@@ -259,6 +259,18 @@ def test_language_ties_go_to_the_first_name(spark):
     assert row["lang_pred"] == "w" and row["score"] == pytest.approx(0.5)
 
 
+def test_training_sample_is_bounded_and_whole(spark):
+    """A key that many rows share, repeated rows and long texts stay within the bounds; a language of long texts is learnt."""
+    rows = [(1, f"text number {i}", "en") for i in range(50)] + [(1, "same", "en")] * 30 + [(1, "x" * (SAMPLE_CHARS + 5), "en"), (1, "mot", "fr")]
+    rows += [(i, "zyx wvu " * 4000 + str(i), "zz") for i in range(2, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = training_sample(docs, rows=10).collect()
+    assert Counter(r["label"] for r in found) == {"en": 10, "fr": 1, "zz": 3}
+    assert all(len(r["sample"]) <= SAMPLE_CHARS for r in found) and {len(r["sample"]) for r in found if r["label"] == "zz"} == {SAMPLE_CHARS}
+    assert sum(r["sample"] == "same" for r in training_sample(docs).collect()) == 1
+    assert {r["lang_pred"] for r in identified(docs, folds=10**6).where("doc_id > 1").collect()} == {"zz"}
+
+
 def test_personal_data_of_odd_rows(spark, odd, none):
     assert all(r["spans"] == "" for r in personal_data_digests(odd).collect())
     assert personal_data_digests(none).collect() == [] and sanitised(odd).count() == len(odd_rows())

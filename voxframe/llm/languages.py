@@ -54,16 +54,20 @@ def is_held_out(key: Column, folds: int = 5) -> Column:
 def training_sample(
     docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
 ) -> DataFrame:
-    """At most ``rows`` labelled texts of each language, none longer than ``chars``, in the order of a hash of the key.
+    """At most ``rows`` labelled texts of each language, in the order of a hash of the key.
 
-    Rows without label, key or text, and empty texts, are left out. Keys are ranked without their texts; a limit per
-    language applies in every task before the shuffle.
+    Of a text longer than ``chars`` a slice of that length is taken, at a place that its hash chooses. Rows without label,
+    key or text, and empty texts, are left out; rows that repeat key, label and text are one. Rows are ranked without
+    their texts; a limit per language applies in every task before the shuffle.
     """
     fit = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) > 0) & F.col(key).isNotNull())
-    ranked = fit.where(F.length(text) <= chars).select(key, label, F.xxhash64(F.col(key).cast("string")).alias("_h"))
-    order = Window.partitionBy(label).orderBy("_h", key)
-    keys = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows).select(key).distinct()
-    return fit.select(key, F.col(label).alias("label"), F.col(text).alias("sample")).join(keys, key, "left_semi").select("label", "sample")
+    fit = fit.select(F.col(key).alias("key"), F.col(label).alias("label"), F.col(text).cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
+    at = F.pmod(F.xxhash64("mark"), F.greatest(F.length("text") - chars + 1, F.lit(1))) + 1
+    order = Window.partitionBy("label").orderBy("_h", "key", "mark")
+    ranked = fit.select("key", "label", "mark", F.xxhash64(F.col("key").cast("string")).alias("_h")).distinct()
+    chosen = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows).select("key", "label", "mark")
+    found = fit.select("key", "label", "mark", F.substring("text", at.cast("int"), F.lit(chars)).alias("sample")).join(chosen, ["key", "label", "mark"], "left_semi")
+    return found.dropDuplicates(["key", "label", "mark"]).select("label", "sample")
 
 
 def fit_languages(sample: list[tuple[str, str]]) -> LanguageModel:
