@@ -1,8 +1,8 @@
 """Training-data pipeline over ``documents``: each stage works on all rows its predecessor kept.
 
 Texts without a language go, one document of each group of near copies stays, documents with benchmark passages go,
-personal data is generalised, and what is left is encoded. A stage that drops rows joins on the key alone; rows whose key
-is null are kept together with their result as long as no other row says otherwise.
+personal data is generalised, and what is left is encoded. A stage that drops rows decides by key and text together, a
+null key being a key like others.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from voxframe.llm.decontaminate import contamination
 from voxframe.llm.jaccard import near_duplicate_classes
-from voxframe.llm.languages import UNDETERMINED, identified
+from voxframe.llm.languages import UNDETERMINED, identify, learnt
 from voxframe.llm.pieces import piece_digests
 from voxframe.llm.privacy import sanitised
 from voxframe.llm.queries import piece_vocabulary
@@ -21,20 +21,23 @@ from voxframe.session import materialize
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; null texts and texts without a letter go."""
-    rejected = identified(docs).where(F.col("lang_pred") == UNDETERMINED).select("doc_id")
-    return _without(docs, rejected)
+    found = identify(_marked(docs), learnt(docs), "row")
+    return _without(docs, found.where(F.col("lang_pred") == UNDETERMINED))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near copies."""
-    classes = near_duplicate_classes(docs)
-    return _without(docs, classes.where(F.col("component_id") < F.col("doc_id")).select("doc_id"))
+    """One row of each class of near copies, of the smallest id; a null id comes last. Rows without a word stay."""
+    classes = materialize(near_duplicate_classes(_marked(docs), "row"), "pipeline-classes")
+    later = classes.where(F.col("component_id") < F.col("row")).select("row")
+    repeated = classes.where("n_shingles > 0 AND component_id = row").groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row")
+    one = _without(docs, repeated, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_mark")).agg(F.min(F.struct(*docs.columns)).alias("_one"))
+    return _without(docs, later.union(repeated)).union(one.select("_one.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, contamination(docs, items).where("contaminated").select("doc_id"))
+    return _without(docs, contamination(_marked(docs), items, "row").where("contaminated"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +51,14 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return piece_digests(docs, piece_vocabulary())
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
+def _marked(docs: DataFrame) -> DataFrame:
+    """``row, text``: the row's key and a hash of its text, null keys after all others."""
+    return docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("mark")).alias("row"), "text")
+
+
+def _without(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
+    named = gone.select(F.col("row.doc_id").alias("_key"), F.col("row.mark").alias("_mark")).distinct()
+    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("_key")) & (F.xxhash64("text") == F.col("_mark")), how).select(docs.columns)
 
 
 STAGES = [

@@ -232,6 +232,21 @@ def test_stages(spark, small):
     assert stages["sentencepiece"](spark, private, small).count() == clean.count()
 
 
+def test_stages_decide_by_row(spark, small):
+    """Null ids and repeated ids: one row of each class stays, and a bad text takes no other text of its id along."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    words = lambda c: " ".join(f"{c}{'abcdefghij'[i % 10]}{'klmnopq'[i % 7]}" for i in range(60))
+    leak = spark.read.parquet(f"{small}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    rows = [(None, "12 34"), (1, "56 78"), (1, words("x")), (1, words("x")), (2, words("x")), (None, words("y")), (None, words("y")), (3, words("z")), (None, leak), (3, leak)]
+    given = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], docs.schema)
+    stages = dict(corpus_pipeline.STAGES)
+    texts = lambda frame: sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=repr)
+    assert texts(stages["language_id"](spark, given, small)) == sorted(rows[2:], key=repr)
+    single = stages["near_duplicates"](spark, given.where("length(text) > 20"), small)
+    assert texts(single) == sorted([(1, words("x")), (None, words("y")), (3, words("z")), (3, leak)], key=repr) and single.columns == docs.columns
+    assert texts(stages["decontamination"](spark, given, small)) == sorted(rows[:8], key=repr)
+
+
 def test_run_and_empty_table(spark, small):
     assert corpus_pipeline.run(spark, small).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)

@@ -206,8 +206,13 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
     return rows.mapInArrow(score, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
+def learnt(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", folds: int = 5) -> LanguageModel:
+    """The model of the rows that are not held out."""
+    sample = training_sample(docs.where(~is_held_out(F.col(key), folds)), key, text, label).collect()  # bounded by its two limits
+    return fit_languages([(row["label"], row["sample"]) for row in sample])
+
+
 def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", folds: int = 5) -> DataFrame:
     """Fit on the rows that are not held out and identify all rows: ``key, held_out, lang_pred, score``."""
-    sample = training_sample(docs.where(~is_held_out(F.col(key), folds)), key, text, label).collect()  # bounded by its two limits
-    found = identify(docs, fit_languages([(row["label"], row["sample"]) for row in sample]), key, text)
+    found = identify(docs, learnt(docs, key, text, label, folds), key, text)
     return found.select(key, is_held_out(F.col(key), folds).alias("held_out"), "lang_pred", "score")
