@@ -66,7 +66,8 @@ def training_sample(
     order = Window.partitionBy("label").orderBy("_h", "key", "mark")
     ranked = fit.select("key", "label", "mark", F.xxhash64(F.col("key").cast("string")).alias("_h")).distinct()
     chosen = ranked.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows).select("key", "label", "mark")
-    found = fit.select("key", "label", "mark", F.substring("text", at.cast("int"), F.lit(chars)).alias("sample")).join(chosen, ["key", "label", "mark"], "left_semi")
+    sliced = fit.select("key", "label", "mark", F.substring("text", at.cast("int"), F.lit(chars)).alias("sample"))
+    found = sliced.join(F.broadcast(chosen), ["key", "label", "mark"], "left_semi")  # no more rows than the sample
     return found.dropDuplicates(["key", "label", "mark"]).select("label", "sample")
 
 
