@@ -15,6 +15,7 @@ from voxframe.llm.neighbours import nearest
 from voxframe.llm.pages import extracted
 from voxframe.llm.pieces import Vocabulary, piece_digests
 from voxframe.llm.privacy import personal_data_digests
+from voxframe.llm.spelling import spelling_variants
 from voxframe.llm.suffix_array import repeat_digests
 from voxframe.llm.suffix_tree import repeated_word_digests
 
@@ -110,3 +111,9 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     found = extracted(_table(spark, folder, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@_query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words one letter apart, each with the far more frequent one that it is a variant of."""
+    return spelling_variants(_table(spark, folder, "documents"))
