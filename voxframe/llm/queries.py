@@ -14,6 +14,7 @@ from voxframe.llm.languages import identified
 from voxframe.llm.neighbours import nearest
 from voxframe.llm.pages import extracted
 from voxframe.llm.pieces import Vocabulary, piece_digests
+from voxframe.llm.prefix_trie import TRIE_SQL, conversation_trie
 from voxframe.llm.privacy import personal_data_digests
 from voxframe.llm.spelling import spelling_variants
 from voxframe.llm.suffix_array import repeat_digests
@@ -117,3 +118,9 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Words one letter apart, each with the far more frequent one that it is a variant of."""
     return spelling_variants(_table(spark, folder, "documents"))
+
+
+@_query("op12_conversation_prefix_trie", TRIE_SQL)
+def op12_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, with shared openings."""
+    return conversation_trie(_table(spark, folder, "conversations"))
