@@ -12,6 +12,7 @@ from voxframe.llm.decontaminate import CONTAMINATION_SQL, contamination
 from voxframe.llm.jaccard import near_duplicate_classes
 from voxframe.llm.languages import identified
 from voxframe.llm.neighbours import nearest
+from voxframe.llm.outliers import quality_digests
 from voxframe.llm.pages import extracted
 from voxframe.llm.pieces import Vocabulary, piece_digests
 from voxframe.llm.prefix_trie import TRIE_SQL, conversation_trie
@@ -124,3 +125,9 @@ def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 def op12_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Nodes of the prefix trie of all conversations, with shared openings."""
     return conversation_trie(_table(spark, folder, "conversations"))
+
+
+@_query("op11_quality_outliers")
+def op11_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality counts of every document, and whether it is kept."""
+    return quality_digests(_table(spark, folder, "documents"))
