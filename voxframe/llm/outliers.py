@@ -126,43 +126,36 @@ def _medians(cells: DataFrame, value) -> DataFrame:
 
 def _kept_share(binned: DataFrame) -> DataFrame:
     """Centre, inverse scatter and log determinant of the nearest share, per ``stratum, start`` of rows with a ``bin``."""
-    sums = {f"s{i}": F.sum(F.col("n") * F.col(STATISTICS[i])) for i in range(_P)}
-    sums |= {f"s{i}{j}": F.sum(F.col("n") * F.col(STATISTICS[i]) * F.col(STATISTICS[j])) for i, j in _PAIRS}
-    bins = binned.groupBy("stratum", "start", "bin").agg(F.sum("n").alias("n"), *[c.alias(k) for k, c in sums.items()])
+    sums = {f"s{i}": f"sum(n * {x}) AS s{i}" for i, x in enumerate(STATISTICS)}
+    sums |= {f"s{i}{j}": f"sum(n * {STATISTICS[i]} * {STATISTICS[j]}) AS s{i}{j}" for i, j in _PAIRS}
+    bins = binned.groupBy("stratum", "start", "bin").agg(F.sum("n").alias("n"), *map(F.expr, sums.values()))
     within = Window.partitionBy("stratum", "start")  # no more rows than there are bins
     bins = bins.withColumns({"before": F.sum("n").over(within.orderBy("bin")) - F.col("n"), "all": F.sum("n").over(within)})
     kept = bins.where(F.col("before") < F.ceil(COVERED * F.col("all")))
-    kept = kept.groupBy("stratum", "start").agg(F.sum("n").alias("n"), F.max("all").alias("all"), *[F.sum(k).alias(k) for k in sums])
-    centre = F.array(*[F.col(f"s{i}") / F.col("n") for i in range(_P)])
-    spread = lambda i, j: F.col(f"s{max(i, j)}{min(i, j)}") / F.col("n") - F.get("centre", F.lit(i)) * F.get("centre", F.lit(j)) + (SPREAD**2 if i == j else 0)
-    matrix = F.array(*[spread(i, j) for i in range(_P) for j in range(_P)])
-    kept = kept.withColumn("centre", centre).select("stratum", "start", "centre", matrix.alias("matrix"))
-    return kept.select("stratum", "start", "centre", _inverse(F.col("matrix")).alias("i")).select("stratum", "start", "centre", "i.inverse", "i.logdet")
+    kept = kept.groupBy("stratum", "start").agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in sums])
+    centre = ", ".join(f"s{i} / n" for i in range(_P))
+    kept = kept.selectExpr("*", f"array({centre}) AS centre")
+    spread = [f"s{max(i, j)}{min(i, j)} / n - centre[{i}] * centre[{j}] + {float(SPREAD**2) if i == j else 0.0}D" for i in range(_P) for j in range(_P)]
+    kept = kept.selectExpr("stratum", "start", "centre", f"array({', '.join(spread)}) AS matrix")
+    return kept.select("stratum", "start", "centre", _inverse("matrix").alias("i")).select("stratum", "start", "centre", "i.inverse", "i.logdet")
 
 
-def _inverse(matrix: Column) -> Column:
+def _inverse(matrix: str) -> Column:
     """Inverse, row by row in one array, and log determinant of a positive definite matrix, by sweeping out each row."""
-    begin = F.struct(matrix.alias("inverse"), F.lit(0.0).alias("logdet"))
-
-    def sweep(state: Column, k: Column) -> Column:
-        at = lambda i, j: F.get(state["inverse"], i * _P + j)
-        pivot = F.greatest(at(k, k), F.lit(1e-9))
-
-        def cell(x: Column, place: Column) -> Column:
-            i, j = F.floor(place / _P).cast("int"), place % _P
-            plain = x - at(i, k) * at(k, j) / pivot
-            return F.when((i == k) & (j == k), 1 / pivot).when(i == k, x / pivot).when(j == k, -x / pivot).otherwise(plain)
-
-        return F.struct(F.transform(state["inverse"], cell).alias("inverse"), (state["logdet"] + F.log(pivot)).alias("logdet"))
-
-    return F.aggregate(F.array(*[F.lit(k) for k in range(_P)]), begin, sweep)
+    pivot, row, place = f"s.inverse[k * {_P} + k]", f"s.inverse[k * {_P} + p % {_P}]", f"p div {_P}"
+    cell = f"""CASE WHEN {place} = k AND p % {_P} = k THEN 1 / x WHEN {place} = k THEN x / {pivot}
+        WHEN p % {_P} = k THEN -x / {pivot} ELSE x - s.inverse[int({place}) * {_P} + k] * {row} / {pivot} END"""
+    return F.expr(
+        f"""aggregate(array({", ".join(map(str, range(_P)))}), named_struct('inverse', {matrix}, 'logdet', 0.0D),
+        (s, k) -> named_struct('inverse', transform(s.inverse, (x, p) -> {cell}), 'logdet', s.logdet + ln({pivot})))"""
+    )
 
 
 def _distance() -> Column:
     """Squared Mahalanobis distance of a vector from ``centre`` by ``inverse``."""
-    off = [F.col(name) - F.get("centre", F.lit(i)) for i, name in enumerate(STATISTICS)]
-    rows = [sum((F.get("inverse", F.lit(i * _P + j)) * off[j] for j in range(_P)), F.lit(0.0)) for i in range(_P)]
-    return F.greatest(sum((o * r for o, r in zip(off, rows)), F.lit(0.0)), F.lit(0.0))
+    off = [f"({name} - centre[{i}])" for i, name in enumerate(STATISTICS)]
+    rows = [" + ".join(f"inverse[{i * _P + j}] * {off[j]}" for j in range(_P)) for i in range(_P)]
+    return F.expr(f"greatest(0.0D, {' + '.join(f'{o} * ({r})' for o, r in zip(off, rows))})")
 
 
 def _bin(distance: Column) -> Column:
