@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from voxframe.catalog.base import query, table
 from voxframe.operators.ordering import order_breaks, spread_sorted, with_ordinal
+from voxframe.operators.greedy import greedy_batches
 from voxframe.operators.packing import (
     assign_ranks,
     budget_batches,
@@ -135,6 +136,25 @@ def dynamic_frame_batches(spark, folder):
     return batches.select("window", "batch", "n", "padded_size", docs_list.alias("docs"))
 
 
+@query(
+    "whole_order_batches",
+    "WIN-08",
+    sql="""WITH RECURSIVE o AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY sha256('1986' || chr(0) || '0' || chr(0) || doc_id), doc_id) - 1 AS i FROM documents),
+p AS (SELECT i, doc_id, n_chars, 0 AS batch, 1 AS held, n_chars AS longest FROM o WHERE i = 0
+    UNION ALL SELECT o.i, o.doc_id, o.n_chars, CASE WHEN greatest(longest, o.n_chars) * (held + 1) > 12000 THEN batch + 1 ELSE batch END,
+        CASE WHEN greatest(longest, o.n_chars) * (held + 1) > 12000 THEN 1 ELSE held + 1 END,
+        CASE WHEN greatest(longest, o.n_chars) * (held + 1) > 12000 THEN o.n_chars ELSE greatest(longest, o.n_chars) END
+    FROM p JOIN o ON o.i = p.i + 1)
+SELECT batch::BIGINT AS batch, count(*) AS n, max(n_chars) * count(*) AS padded_size, string_agg(doc_id::VARCHAR, ',' ORDER BY i) AS docs FROM p GROUP BY 1""",
+)
+def whole_order_batches(spark, folder):
+    """One greedy packing over the whole seeded order, on blocks of a few hundred rows at once."""
+    docs = epoch_order(table(spark, folder, "documents").select("doc_id", "n_chars"), "doc_id", 1986)
+    batches = greedy_batches(docs, "ordinal", "doc_id", ["n_chars"], 12000, 512)
+    docs_list = F.array_join(F.transform("rows", lambda r: r["doc_id"].cast("string")), ",")
+    return batches.select("batch", "n", "padded_size", docs_list.alias("docs"))
+
+
 _PACKED = "WITH RECURSIVE " + _greedy_sql(
     "SELECT o_orderkey AS key, o_orderkey % 97 + 1 AS a, o_custkey % 211 + 1 AS b, row_number() OVER (ORDER BY sha256('1986' || chr(0) || '0' || chr(0) || o_orderkey), o_orderkey) - 1 AS i FROM orders",
     "greatest(ma, a) + greatest(mb, b)",
