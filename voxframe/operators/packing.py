@@ -58,31 +58,29 @@ def static_batches(df: DataFrame, ordinal: str, columns: Sequence[str], size: in
     return df.groupBy(F.floor(F.col(ordinal) / size).alias("batch")).agg(rows.alias("rows"))
 
 
-def batch_numbers(lengths: Sequence[Column], budget: int) -> Column:
-    """Batch number of each element of parallel length arrays.
+def batch_starts(lengths: Sequence[Column], budget: int) -> Column:
+    """Places, from 0, at which batches start in parallel length arrays.
 
     A batch is closed when its padded size with the next row, rows times the sum of the
-    longest of each length, would exceed the budget.
+    longest of each length, would exceed the budget. The fold carries the open batch; only
+    a closed one adds to the list.
     """
     names = [f"l{i}" for i in range(len(lengths))]
     rows = F.arrays_zip(*[c.cast("array<bigint>").alias(n) for n, c in zip(names, lengths)])
     zero = F.lit(0).cast("bigint")
-    start = F.struct(
-        F.array().cast("array<int>").alias("numbers"), F.lit(0).alias("number"), F.lit(0).alias("held"), *[zero.alias(n) for n in names]
-    )
+    start = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("at"), F.lit(0).alias("held"), *[zero.alias(n) for n in names])
 
     def place(state: Column, row: Column) -> Column:
         padded = sum((F.greatest(state[n], row[n]) for n in names), zero)
-        full = (state["held"] > 0) & ((state["held"] + 1) * padded > budget)
-        number = state["number"] + full.cast("int")
+        fits = (state["held"] > 0) & ((state["held"] + 1) * padded <= budget)
         return F.struct(
-            F.concat(state["numbers"], F.array(number)).alias("numbers"),
-            number.alias("number"),
-            F.when(full, 1).otherwise(state["held"] + 1).alias("held"),
-            *[F.when(full, row[n]).otherwise(F.greatest(state[n], row[n])).alias(n) for n in names],
+            F.when(fits, state["starts"]).otherwise(F.concat(state["starts"], F.array(state["at"]))).alias("starts"),
+            (state["at"] + 1).alias("at"),
+            F.when(fits, state["held"] + 1).otherwise(1).alias("held"),
+            *[F.when(fits, F.greatest(state[n], row[n])).otherwise(row[n]).alias(n) for n in names],
         )
 
-    return F.aggregate(rows, start, place, lambda state: state["numbers"])
+    return F.aggregate(rows, start, place, lambda state: state["starts"])
 
 
 def budget_batches(
@@ -92,21 +90,20 @@ def budget_batches(
 
     Windows of the order are sorted by total length; inside one, a batch closes before
     ``rows * (sum of the longest of each length)`` would exceed the budget, and at the
-    window's end. A first row beyond the budget gets a batch of its own.
+    window's end. A first row beyond the budget gets a batch of its own. A window is
+    shuffled once; its batches are slices of it.
     """
     total = sum((F.col(c) for c in lengths), F.lit(0))
     fields = F.struct(total.alias("_total"), F.col(ordinal).alias("_ordinal"), F.col(key), *lengths)
     windows = df.groupBy(F.floor(F.col(ordinal) / window).alias("window")).agg(F.sort_array(F.collect_list(fields)).alias("_rows"))
-    numbers = batch_numbers([F.col(f"_rows.{c}") for c in lengths], budget)
-    paired = F.arrays_zip(F.col("_rows").alias("row"), numbers.alias("batch"))
-    flat = windows.select("window", F.posexplode(paired).alias("place", "p")).select(
-        "window", "place", F.col("p.batch").alias("batch"), "p.row.*"
-    )
-    members = F.sort_array(F.collect_list(F.struct("place", key, *lengths)))
-    size = sum((F.max(c) for c in lengths), F.lit(0)) * F.count(F.lit(1))
-    return flat.groupBy("window", "batch").agg(
-        F.count(F.lit(1)).alias("n"), size.alias("padded_size"), members.alias("rows")
-    )
+    windows = windows.withColumn("_starts", batch_starts([F.col(f"_rows.{c}") for c in lengths], budget))
+    opened = windows.select("window", "_rows", "_starts", F.posexplode("_starts").alias("batch", "_from"))
+    upto = F.coalesce(F.get("_starts", F.col("batch") + 1), F.size("_rows"))
+    cut = opened.select("window", "batch", "_from", F.slice("_rows", F.col("_from") + 1, upto - F.col("_from")).alias("_rows"))
+    members = F.transform("_rows", lambda r, i: F.struct((F.col("_from") + i).alias("place"), *[r[c].alias(c) for c in (key, *lengths)]))
+    longest = sum((F.array_max(F.col(f"_rows.{c}")) for c in lengths), F.lit(0))
+    n = F.size("_rows").cast("bigint")
+    return cut.select("window", "batch", n.alias("n"), (longest * n).alias("padded_size"), members.alias("rows"))
 
 
 def assign_ranks(batches: DataFrame, ranks: int = RANKS, equal_steps: bool = False) -> DataFrame:
