@@ -213,6 +213,44 @@ def test_rebatching_over_several_batches(spark, tmp_path):
     assert {r["block"]: r["tokens"] for r in table.collect()} == blocks
 
 
+def _chunks(spark, tmp_path, batches, stamped=False):
+    """Blocks per key of ``batches``, lists of ``(key, position, tokens, final, second)`` that arrive one after the other."""
+    schema = "key string, position int, tokens array<int>, final boolean, second long"
+    folder, made = str(tmp_path / "in"), spark.createDataFrame([], schema).withColumn("ts", F.timestamp_seconds("second"))
+    blocks = {}
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, schema).withColumn("ts", F.timestamp_seconds("second")).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(made.schema).parquet(folder).withWatermark("ts", "0 seconds")
+        time = {"event_time": "ts", "patience_seconds": 60} if stamped else {}
+        with _settings(spark, ROCKSDB):
+            got = drain(rebatched(stream, "key", **time), "append", checkpoint=str(tmp_path / "state"), target=str(tmp_path / "out"))
+    for r in got.orderBy("key", "block").collect():
+        blocks.setdefault(r["key"], []).append((r["block"], r["tokens"]))
+    return blocks
+
+
+def test_chunks_in_any_order(spark, tmp_path):
+    rows = [("k", p, list(range(p * 3, p * 3 + 3)), p == 4, 0) for p in range(5)] + [("m", p, [p], p == 1, 0) for p in range(2)]
+    want = {"k": [(0, [0, 1, 2, 3, 4]), (1, [5, 6, 7, 8, 9]), (2, [10, 11, 12, 13, 14])], "m": [(0, [0, 1])]}
+    order = [4, 2, 6, 1, 3, 0, 5]
+    batches = [[rows[i] for i in order[a:b]] for a, b in ((0, 2), (2, 5), (5, 7))]
+    # a repeated chunk, one beyond the end, one without tokens and one after the end
+    batches[1] += [rows[2], ("k", 9, [99], True, 0), ("n", 1, None, True, 0)]
+    batches.append([rows[0], ("n", 0, [7], None, 0)])
+    assert _chunks(spark, tmp_path, batches) == want | {"n": [(0, [7])]}
+
+
+def test_a_key_that_never_ends_is_flushed_by_its_timer(spark, tmp_path):
+    batches = [
+        [("k", 0, [1, 2, 3], False, 100), ("k", 2, [7, 8, 9], False, 100), ("e", 0, [1], True, 100)],
+        [("x", 0, [5], True, 400)],  # event time passes the patience of k
+        [("k", 1, [4], True, 401), ("x", 1, [6], False, 401)],  # too late
+        [("x", 2, [6], False, 900), ("y", 0, [1], True, 900)],
+    ]
+    found = _chunks(spark, tmp_path, batches, stamped=True)
+    assert found["k"] == [(0, [1, 2, 3, 7, 8]), (1, [9])] and found["e"] == [(0, [1])] and found["x"] == [(0, [5])]
+
+
 def test_journal_rules(spark):
     base = [(i, "id", f"item{i}", "h", f"{i}.wav", "0a" * 32, 1.0, 2.0, "f1") for i in range(5)]
     kinds = "benchmark_id int, evaluation_identity_sha256 string, item_sha256 string, hypothesis string, audio_path string, audio_sha256 string, generation_latency_seconds double, asr_latency_seconds double, source string"

@@ -166,6 +166,22 @@ def rebatched_token_stream(spark, folder):
     return _shown_blocks(blocks)
 
 
+@query("disordered_token_stream", "STM-06", sql=_BLOCKS)
+def disordered_token_stream(spark, folder):
+    """The same turns, dealt out over files that arrive one after the other, the end before the beginning."""
+    incoming = scratch_path(spark, "turns")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    ends = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    rows = turns.join(ends, "conv_id").select("conv_id", F.col("turn").alias("position"), whitespace_tokens(F.col("text")).alias("tokens"), (F.col("turn") == F.col("last")).alias("final"))
+    rows = rows.withColumn("part", F.pmod(-F.col("position") - F.xxhash64("conv_id") % 2, F.lit(3)))
+    for part in range(3):
+        rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(incoming)
+    stream = spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(incoming)
+    with _settings(spark, ROCKSDB):
+        blocks = drain(rebatched(stream, "conv_id"), "append")
+    return _shown_blocks(blocks)
+
+
 @query("rebatched_token_table", "STM-06", sql=_BLOCKS)
 def rebatched_token_table(spark, folder):
     turns = table(spark, folder, "conversations")
