@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +35,21 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, so that what is made of one stays small; memory is given back at the end."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 4 << 20, text: int = 1) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows and, but for a single longer text, ``size`` bytes, or elements, of column ``text``.
+
+    So what is made of a batch stays small; memory is given back at the end.
+    """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        column = batch.column(text)
+        lengths = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.binary_length(column)
+        ends = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            base = int(ends[at - 1]) if at else 0
+            stop = min(max(int(np.searchsorted(ends, base + size, side="right")), at + 1), at + rows)
+            yield batch.slice(at, stop - at)
+            at = stop
     pa.default_memory_pool().release_unused()
 
 

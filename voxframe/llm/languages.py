@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxframe.llm.chunks import slices
 
@@ -177,19 +178,25 @@ def text_bits(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> np
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``lang_pred`` and ``score`` of every row, from the whole text alone.
+    """``key``, ``lang_pred`` and ``score`` of every row, as :func:`with_language` gives them."""
+    return with_language(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), model, "text", ["key"]).withColumnRenamed("key", key)
+
+
+def with_language(docs: DataFrame, model: LanguageModel, text: str = "text", kept: list[str] | None = None) -> DataFrame:
+    """The ``kept`` columns of every row (all, if not given), its language and a score, from the whole text alone.
 
     The score is the probability of the language if all are equally likely beforehand. A null text, an empty one, one
     without a letter, or a model without languages gives ``und`` and 0.0. Ties go to the first name in order. Repeated
-    rows are scored each for itself; other columns are not read.
+    rows are scored each for itself; other columns are passed on as they are.
     """
+    kept = docs.columns if kept is None else kept
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        names = np.array([*model.languages, UNDETERMINED], object)
-        for batch in slices(batches):
-            lower = pc.utf8_lower(pc.fill_null(batch.column(1), "")).cast(pa.large_string())
+        labels = np.array([*model.languages, UNDETERMINED], object)
+        for batch in slices(batches, text=len(kept)):
+            lower = pc.utf8_lower(pc.fill_null(batch.column(len(kept)), "")).cast(pa.large_string())
             letters = pc.match_substring_regex(lower, r"\p{L}").to_numpy(zero_copy_only=False)
             offsets = np.frombuffer(lower.buffers()[1], np.int64)[lower.offset : lower.offset + len(lower) + 1]
             raw = lower.buffers()[2]
@@ -200,11 +207,11 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
                 best = np.where(letters, bits.argmin(1), len(model.languages))
                 odds = np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000.0)).sum(1)
                 chance = np.where(letters, 1.0 / odds, 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[best], pa.string()), pa.array(chance)], ["key", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(labels[best], pa.string()), pa.array(chance)], [*kept, "lang_pred", "score"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(score, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    rows = docs.select(*kept, F.col(text).cast("string").alias("text to score"))
+    schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(scored, schema)
 
 
 def learnt(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", folds: int = 5) -> LanguageModel:
