@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from voxframe.llm.decontaminate import contamination
 from voxframe.llm.jaccard import near_duplicate_classes
-from voxframe.llm.languages import UNDETERMINED, identify, learnt
+from voxframe.llm.languages import UNDETERMINED, learnt, with_language
 from voxframe.llm.pieces import piece_digests
 from voxframe.llm.privacy import sanitised
 from voxframe.llm.queries import piece_vocabulary
@@ -21,8 +21,8 @@ from voxframe.session import materialize
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; null texts and texts without a letter go."""
-    found = identify(_marked(docs), learnt(docs), "row")
-    return _without(docs, found.where(F.col("lang_pred") == UNDETERMINED))
+    found = with_language(docs.select(F.struct(*docs.columns).alias("row"), "text"), learnt(docs), kept=["row"])
+    return found.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,8 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
-    named = gone.select(F.col("row.doc_id").alias("_key"), F.col("row.mark").alias("_mark")).distinct()
+    # written first: where the list is small, which its size on disk tells the planner, no text is shuffled
+    named = materialize(gone.select(F.col("row.doc_id").alias("_key"), F.col("row.mark").alias("_mark")).distinct(), "pipeline-rows")
     return docs.join(named, F.col("doc_id").eqNullSafe(F.col("_key")) & (F.xxhash64("text") == F.col("_mark")), how).select(docs.columns)
 
 
