@@ -97,7 +97,9 @@ def shared_prefixes(turns: DataFrame) -> DataFrame:
         left = blocks[level].where(F.col("block") % 2 == 0).select("conv", (F.col("block") * span).alias("depth"), "digest")
         at_cut = left.join(started.select("conv", "depth", "name"), ["conv", "depth"])
         at_cut = materialize(at_cut, "trie-cut")
+        # written first, so that the join below has stages of its own and a very common prefix can be split in it
         names = at_cut.groupBy("depth", "name", "digest").agg(F.min("conv").alias("new"), F.count("*").alias("n_convs")).where("n_convs > 1")
+        names = materialize(names, "trie-names")
         named = at_cut.join(names, ["depth", "name", "digest"])
         found.append(materialize(named.select("conv", (F.col("depth") + span).alias("depth"), F.col("new").alias("name"), "n_convs"), "trie-shared"))
     out = spark.createDataFrame([], found[0].schema)
