@@ -125,19 +125,19 @@ def _medians(cells: DataFrame, value) -> DataFrame:
 
 
 def _kept_share(binned: DataFrame) -> DataFrame:
-    """Centre, inverse scatter and log determinant of the nearest share, per ``stratum, start`` of rows with a ``bin``."""
+    """Centre, inverse scatter and log determinant of the nearest share, per ``stratum, start`` of rows with a ``bin``; ``was`` is carried."""
     sums = {f"s{i}": f"sum(n * {x}) AS s{i}" for i, x in enumerate(STATISTICS)}
     sums |= {f"s{i}{j}": f"sum(n * {STATISTICS[i]} * {STATISTICS[j]}) AS s{i}{j}" for i, j in _PAIRS}
-    bins = binned.groupBy("stratum", "start", "bin").agg(F.sum("n").alias("n"), *map(F.expr, sums.values()))
+    bins = binned.groupBy("stratum", "start", "bin").agg(F.sum("n").alias("n"), F.max("was").alias("was"), *map(F.expr, sums.values()))
     within = Window.partitionBy("stratum", "start")  # no more rows than there are bins
     bins = bins.withColumns({"before": F.sum("n").over(within.orderBy("bin")) - F.col("n"), "all": F.sum("n").over(within)})
     kept = bins.where(F.col("before") < F.ceil(COVERED * F.col("all")))
-    kept = kept.groupBy("stratum", "start").agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in sums])
+    kept = kept.groupBy("stratum", "start").agg(F.sum("n").alias("n"), F.max("was").alias("was"), *[F.sum(k).alias(k) for k in sums])
     centre = ", ".join(f"s{i} / n" for i in range(_P))
     kept = kept.selectExpr("*", f"array({centre}) AS centre")
     spread = [f"s{max(i, j)}{min(i, j)} / n - centre[{i}] * centre[{j}] + {float(SPREAD**2) if i == j else 0.0}D" for i in range(_P) for j in range(_P)]
-    kept = kept.selectExpr("stratum", "start", "centre", f"array({', '.join(spread)}) AS matrix")
-    return kept.select("stratum", "start", "centre", _inverse("matrix").alias("i")).select("stratum", "start", "centre", "i.inverse", "i.logdet")
+    kept = kept.selectExpr("stratum", "start", "centre", "was", f"array({', '.join(spread)}) AS matrix")
+    return kept.select("stratum", "start", "centre", "was", _inverse("matrix").alias("i")).select("stratum", "start", "centre", "i.inverse", "i.logdet", "was")
 
 
 def _inverse(matrix: str) -> Column:
@@ -171,16 +171,15 @@ def scatter_estimates(cells: DataFrame) -> DataFrame:
     units = [F.abs(F.col(s) - F.get("median", F.lit(i))) / F.greatest(1.4826 * F.get("apart", F.lit(i)), F.lit(float(SPREAD))) for i, s in enumerate(STATISTICS)]
     norms = F.array(sum(units, F.lit(0.0)), sum((u * u for u in units), F.lit(0.0)), F.greatest(*units))
     started = around.select("stratum", *STATISTICS, "n", F.posexplode(norms).alias("start", "norm"))
-    state = materialize(_kept_share(started.withColumn("bin", _bin(F.col("norm")))), "quality-steps")
+    state = materialize(_kept_share(started.withColumn("bin", _bin(F.col("norm"))).withColumn("was", F.lit(None).cast("double"))).drop("was"), "quality-steps")
     for step in range(STEPS):
-        after = _kept_share(cells.join(state, "stratum").withColumn("bin", _bin(_distance())))
+        after = _kept_share(cells.join(state.withColumnRenamed("logdet", "was"), "stratum").withColumn("bin", _bin(_distance())))
         if step == TRIALS:  # from here on the better start alone
-            best = F.min(F.struct("logdet", "start", "centre", "inverse"))
-            after = after.groupBy("stratum").agg(best.alias("b")).select("stratum", "b.start", "b.centre", "b.inverse", "b.logdet")
-        after = materialize(after, "quality-steps")
-        before = state.select("stratum", "start", F.col("logdet").alias("was"))
-        moving = after.join(before, ["stratum", "start"]).where(F.col("was") - F.col("logdet") > SETTLED).limit(1).count()
-        state = after
+            best = F.min(F.struct("logdet", "start", "centre", "inverse", "was"))
+            after = after.groupBy("stratum").agg(best.alias("b")).select("stratum", "b.start", "b.centre", "b.inverse", "b.logdet", "b.was")
+        state = materialize(after, "quality-steps")
+        moving = state.where(F.col("was") - F.col("logdet") > SETTLED).limit(1).count()
+        state = state.drop("was")
         if step >= TRIALS and not moving:
             break
     # of a normal variable, the nearest share has this much of the scatter
