@@ -68,6 +68,14 @@ def test_odd_conversations(spark):
     assert chat.conversation_digests(chat.formatted(spark.createDataFrame([], schema))).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["smallint", "decimal(9,2)", "date", "binary", "boolean"])
+def test_keys_of_any_type(spark, kind):
+    keys = {"date": "DATE '2024-01-02'", "boolean": "true", "binary": "X'01'"}
+    rows = spark.sql(f"SELECT CAST({keys.get(kind, '7')} AS {kind}) AS conv_id, t AS turn, 'user' AS role, 'hi' AS text FROM VALUES (0), (1) v(t)")
+    found = chat.conversation_digests(chat.formatted(rows)).collect()
+    assert [(r["conv_id"], r["n_turns"]) for r in found] == [(rows.first()["conv_id"], 2)]
+
+
 # ---- pieces -----------------------------------------------------------------------------------
 
 
