@@ -34,6 +34,8 @@ TERM = r"[\p{L}\p{N}]+"
 DISCLOSURE = 0.8
 SUPPORT = 3
 _BITS = 65_536
+#: What a text with any match holds: it keeps most others out of what is shuffled.
+_MAY_HOLD = r"@|\+[0-9]|[0-9]\.[0-9]|[0-9](?:[\x20-]?[0-9]){13}"
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -122,11 +124,12 @@ def _same(k: str = "k", m: str = "m") -> Column:
     return F.col("key").eqNullSafe(F.col(k)) & (F.col("mark") == F.col(m))
 
 
-def _placed(docs: DataFrame, texts: DataFrame, entities: DataFrame) -> DataFrame:
-    """Every term of the whole texts of ``docs``, outside entities: ``key, mark, term, start, end, context``."""
-    spans = entities.groupBy("key", "mark").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")).withColumnsRenamed({"key": "k2", "mark": "m2"})
-    rows = texts.join(docs.withColumnsRenamed({"key": "k", "mark": "m"}), _same(), "left_semi").dropDuplicates(["key", "mark"])
-    rows = rows.join(spans, _same("k2", "m2"), "left")
+def _masked(docs: DataFrame, texts: DataFrame, entities: DataFrame) -> DataFrame:
+    """The columns of ``docs`` (``key, mark`` of documents, each once) and ``masked``, the text with blanks for entities."""
+    spans = entities.groupBy("key", "mark").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")).withColumnsRenamed({"key": "k", "mark": "m"})
+    # Written first: where the list is small, which its size on disk tells the planner, no text is shuffled for it.
+    listed = materialize(docs.join(spans, _same(), "left").select(docs.columns + ["spans"]), "privacy-listed").withColumnsRenamed({"key": "k", "mark": "m"})
+    rows = texts.join(listed, _same()).drop("k", "m").dropDuplicates(["key", "mark"])
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("end"))
 
     def blank(state: Column, span: Column) -> Column:
@@ -136,55 +139,81 @@ def _placed(docs: DataFrame, texts: DataFrame, entities: DataFrame) -> DataFrame
 
     rest = lambda s: F.concat(s["done"], F.substring(F.col("text"), (s["end"] + 1).cast("int"), F.length("text")))
     masked = F.when(F.size("spans") > 0, F.aggregate("spans", start, blank, rest)).otherwise(F.col("text"))
-    pieces = F.transform(_pieces(F.col("masked"), TERM), lambda p: F.struct(F.length(p["before"]).alias("gap"), p["found"].alias("found")))
-    words = rows.select("key", "mark", masked.alias("masked")).select("key", "mark", F.posexplode(pieces).alias("i", "p"))
-    words = words.select("key", "mark", "i", "p.gap", F.length("p.found").alias("size"), F.lower("p.found").alias("term")).withColumn("h", F.xxhash64("term"))
-    order = Window.partitionBy("key", "mark").orderBy("i")
-    words = words.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    # The term itself is no part of its context.
-    context = F.least(F.min("h").over(order.rowsBetween(-NEAR, -1)), F.min("h").over(order.rowsBetween(1, NEAR)))
-    return words.select("key", "mark", "term", (F.col("end") - F.col("size")).alias("start"), "end", context.alias("context"))
+    return rows.select(*docs.columns, masked.alias("masked"))
+
+
+def _hashes(text: str) -> Column:
+    """Hashes of all terms of a text; a term is its hash from here on."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.xxhash64(F.lower(t)))
+
+
+def _terms(masked: DataFrame) -> DataFrame:
+    """Every term of every document once, found inside the row: the columns but the text, ``term`` and its ``context``."""
+
+    def with_context(all_terms: Column) -> Column:
+        # The term itself is no part of its context.
+        near = [*range(-NEAR, 0), *range(1, NEAR + 1)]
+        return F.transform(all_terms, lambda h, i: F.struct(h.alias("term"), F.least(*[F.get(all_terms, i + d) for d in near]).alias("context")))
+
+    def first_of_each(found: Column) -> Column:
+        return F.filter(found, lambda x, i: (i == 0) | (F.get(found, i - 1)["term"] != x["term"]))
+
+    ordered = F.transform(F.array(_hashes("masked")), lambda a: F.sort_array(with_context(a)))
+    found = F.element_at(F.transform(ordered, first_of_each), 1)
+    return masked.select(*[c for c in masked.columns if c != "masked"], F.explode(found).alias("t")).select("*", "t.*").drop("t")
+
+
+def _placed(masked: DataFrame) -> DataFrame:
+    """Every occurrence of a term: ``key, mark, term, start, end``."""
+    pieces = F.transform(
+        _pieces(F.col("masked"), TERM),
+        lambda p: F.struct(F.length(p["before"]).alias("gap"), F.length(p["found"]).alias("size"), F.xxhash64(F.lower(p["found"])).alias("term")),
+    )
+    # The texts move, and not their words: the words of a document are already together for the running sum.
+    words = masked.repartition("key", "mark").select("key", "mark", F.posexplode(pieces).alias("i", "p")).select("key", "mark", "i", "p.*")
+    so_far = Window.partitionBy("key", "mark").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    words = words.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far))
+    return words.select("key", "mark", "term", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
 def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
     """All spans of terms that disclose an entity, in whatever document: ``key, mark, start, end``."""
     size = texts.select("key", "mark").distinct().agg(F.count("*").cast("double").alias("n_docs"))
+    with_any = texts.where(F.col("text").rlike(_MAY_HOLD))
     # Documents of one text are one context: the first stands for all of them, with their number.
     alike = entities.select("key", "mark").distinct().groupBy("mark").agg(F.min("key").alias("key"), F.count("*").alias("copies"))
     alike = materialize(alike, "privacy-documents")
     own = entities.join(alike.withColumnsRenamed({"key": "k", "mark": "m"}), _same())
     own = own.withColumn("context", _context(F.col("before"), F.col("after"))).groupBy("mark", "entity", "copies").agg(F.min("context").alias("beside"))
     asked = own.groupBy("entity").agg(F.sum("copies").alias("df_e"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).drop("texts")
-    asked = materialize(own.join(asked, "entity"), "privacy-asked")
-    held = alike.join(asked.select("mark").distinct(), "mark", "left_semi").select("key", "mark")
-    terms = _placed(held, texts, entities).groupBy("mark", "term").agg(F.min("context").alias("context"))
-    terms = materialize(terms.join(alike.select("mark", "copies"), "mark"), "privacy-terms")
+    asked = materialize(own.drop("copies").join(asked, "entity"), "privacy-asked")
+    held = alike.join(asked.select("mark").distinct(), "mark", "left_semi").select("key", "mark", "copies")
+    terms = materialize(_terms(_masked(held, with_any, entities)).drop("key"), "privacy-terms")
     # A term is in no fewer documents than in these: that bound rules out the common words before they meet an entity.
     seen = terms.groupBy("term").agg(F.sum("copies").alias("df_t"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).drop("texts")
     most = asked.agg(F.max("df_e").cast("double").alias("most")).join(size)  # one row
     usual = F.pow("most", F.lit(DISCLOSURE)) * F.pow("n_docs", F.lit(1 - DISCLOSURE)) + 1
-    seen = seen.join(F.broadcast(most), F.col("df_t") <= usual).select("term", "df_t", "n_docs")
-    pairs = terms.drop("copies").join(seen, "term").join(asked, "mark").withColumn("co", F.least("df_t", "df_e")).where(_shared() >= DISCLOSURE)
+    seen = materialize(seen.join(F.broadcast(most), F.col("df_t") <= usual).select("term", "df_t", "n_docs"), "privacy-seen")
+    pairs = terms.join(seen, "term").join(asked, "mark").withColumn("co", F.least("df_t", "df_e")).where(_shared() >= DISCLOSURE)
     places = pairs.groupBy("entity", "term", "beside", "context").agg(F.sum("copies").alias("co"), *[F.first(c).alias(c) for c in ("df_e", "df_t", "n_docs")])
     tied = places.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("co").alias("co"), *[F.first(c).alias(c) for c in ("df_e", "df_t", "n_docs")])
     tied = materialize(tied.where((F.col("contexts") >= SUPPORT) & (_shared() >= DISCLOSURE)).drop("df_t"), "privacy-pairs")
     # Document frequencies, of the terms in question only. A bitmap of fixed size keeps most other words out.
-    known = tied.select("term").distinct()
-    bits = known.select(F.pmod(F.xxhash64("term"), F.lit(_BITS)).alias("bit")).distinct()
-    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
-    words = texts.select("key", "mark", F.explode(words).alias("term")).withColumn("bit", F.pmod(F.xxhash64("term"), F.lit(_BITS)))
-    words = words.join(F.broadcast(bits), "bit", "left_semi").select("key", "mark", "term").distinct()
-    words = materialize(words.join(known, "term", "left_semi"), "privacy-words")
+    known = materialize(tied.select("term").distinct(), "privacy-known")
+    bits = known.select(F.pmod("term", F.lit(_BITS)).alias("bit")).distinct()
+    words = texts.select("key", "mark", F.explode(F.array_distinct(_hashes("text"))).alias("term")).withColumn("bit", F.pmod("term", F.lit(_BITS)))
+    words = words.join(F.broadcast(bits), "bit", "left_semi").join(known, "term", "left_semi").select("key", "mark", "term").distinct()
+    words = materialize(words, "privacy-words")
     # A document with the term inside its entities alone is no document of the term.
-    inside = entities.select("key", "mark", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("found"), F.lit(TERM), F.lit(0)))).alias("term")).distinct()
+    inside = entities.select("key", "mark", F.explode(F.array_distinct(_hashes("found"))).alias("term")).distinct()
     inside = inside.join(known, "term", "left_semi").select(F.col("key").alias("k"), F.col("mark").alias("m"), F.col("term").alias("t"))
-    doubtful = words.join(inside, _same() & (F.col("term") == F.col("t")), "left_semi").select("key", "mark").distinct()
+    doubtful = materialize(words.join(inside, _same() & (F.col("term") == F.col("t")), "left_semi").select("key", "mark").distinct(), "privacy-doubtful")
     sure = words.join(doubtful.toDF("k", "m"), _same(), "left_anti").select("key", "mark", "term")
-    outside = _placed(doubtful, texts, entities).select("key", "mark", "term").distinct().join(known, "term", "left_semi")
+    outside = _terms(_masked(doubtful, with_any, entities)).select("key", "mark", "term").join(known, "term", "left_semi")
     term_docs = sure.unionByName(outside).groupBy("term").agg(F.count("*").alias("df_t"))
     flagged = materialize(tied.join(term_docs, "term").where(_shared() >= DISCLOSURE).select("term").distinct(), "privacy-flagged")
     where = words.join(flagged, "term", "left_semi").select("key", "mark").distinct()
-    return _placed(where, texts, entities).join(flagged, "term", "left_semi").select("key", "mark", "start", "end")
+    return _placed(_masked(where, texts, entities)).join(flagged, "term", "left_semi").select("key", "mark", "start", "end")
 
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,7 +255,7 @@ def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     All columns and rows are kept, in their order of columns; a null text stays null.
     """
-    found = personal_data(docs, key, text).withColumnsRenamed({"key": "_k", "mark": "_m", "spans": "_spans"})
+    found = materialize(personal_data(docs, key, text), "privacy-spans").withColumnsRenamed({"key": "_k", "mark": "_m", "spans": "_spans"})
     joined = docs.join(found, F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(F.col(text)) == F.col("_m")), "left")
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("end"))
 
