@@ -125,7 +125,7 @@ def _same(k: str = "k", m: str = "m") -> Column:
 
 
 def _masked(docs: DataFrame, texts: DataFrame, entities: DataFrame) -> DataFrame:
-    """The columns of ``docs`` (``key, mark`` of documents, each once) and ``masked``, the text with blanks for entities."""
+    """The columns of ``docs`` (``key, mark`` of documents, each once) their ``text``, and ``masked``, with blanks for entities."""
     spans = entities.groupBy("key", "mark").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")).withColumnsRenamed({"key": "k", "mark": "m"})
     # Written first: where the list is small, which its size on disk tells the planner, no text is shuffled for it.
     listed = materialize(docs.join(spans, _same(), "left").select(docs.columns + ["spans"]), "privacy-listed").withColumnsRenamed({"key": "k", "mark": "m"})
@@ -139,7 +139,7 @@ def _masked(docs: DataFrame, texts: DataFrame, entities: DataFrame) -> DataFrame
 
     rest = lambda s: F.concat(s["done"], F.substring(F.col("text"), (s["end"] + 1).cast("int"), F.length("text")))
     masked = F.when(F.size("spans") > 0, F.aggregate("spans", start, blank, rest)).otherwise(F.col("text"))
-    return rows.select(*docs.columns, masked.alias("masked"))
+    return rows.select(*docs.columns, "text", masked.alias("masked"))
 
 
 def _hashes(text: str) -> Column:
@@ -176,6 +176,20 @@ def _placed(masked: DataFrame) -> DataFrame:
     return words.select("key", "mark", "term", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
+def _counted(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """``term, df_all``: documents whose whole text has the term, for all ``known`` terms; counted before anything moves."""
+    # A bitmap of fixed size keeps most other words out.
+    bits = known.select(F.pmod("term", F.lit(_BITS)).alias("bit")).distinct()
+    words = texts.select(F.explode(F.array_distinct(_hashes("text"))).alias("term")).withColumn("bit", F.pmod("term", F.lit(_BITS)))
+    rows = words.join(F.broadcast(bits), "bit", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+    # Rows that repeat key and text are the same document.
+    repeated = materialize(texts.groupBy("key", "mark").agg(F.count("*").alias("rows")).where("rows > 1"), "privacy-repeated")
+    once = texts.join(repeated.withColumnsRenamed({"key": "k", "mark": "m"}), _same()).select("key", "mark", "text", "rows").dropDuplicates(["key", "mark"])
+    more = once.select(F.explode(F.array_distinct(_hashes("text"))).alias("term"), (1 - F.col("rows")).alias("n"))
+    both = rows.unionByName(more.groupBy("term").agg(F.sum("n").alias("n"))).join(known.select("term"), "term", "left_semi")
+    return both.groupBy("term").agg(F.sum("n").alias("df_all"))
+
+
 def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
     """All spans of terms that disclose an entity, in whatever document: ``key, mark, start, end``."""
     size = texts.select("key", "mark").distinct().agg(F.count("*").cast("double").alias("n_docs"))
@@ -188,31 +202,38 @@ def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
     asked = own.groupBy("entity").agg(F.sum("copies").alias("df_e"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).drop("texts")
     asked = materialize(own.drop("copies").join(asked, "entity"), "privacy-asked")
     held = alike.join(asked.select("mark").distinct(), "mark", "left_semi").select("key", "mark", "copies")
-    terms = materialize(_terms(_masked(held, with_any, entities)).drop("key"), "privacy-terms")
+    terms = materialize(_terms(_masked(held, with_any, entities)).drop("key", "text"), "privacy-terms")
+    seen = terms.groupBy("term").agg(F.sum("copies").alias("df_held"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).drop("texts")
     # A term is in no fewer documents than in these: that bound rules out the common words before they meet an entity.
-    seen = terms.groupBy("term").agg(F.sum("copies").alias("df_t"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).drop("texts")
     most = asked.agg(F.max("df_e").cast("double").alias("most")).join(size)  # one row
     usual = F.pow("most", F.lit(DISCLOSURE)) * F.pow("n_docs", F.lit(1 - DISCLOSURE)) + 1
-    seen = materialize(seen.join(F.broadcast(most), F.col("df_t") <= usual).select("term", "df_t", "n_docs"), "privacy-seen")
-    pairs = terms.join(seen, "term").join(asked, "mark").withColumn("co", F.least("df_t", "df_e")).where(_shared() >= DISCLOSURE)
-    places = pairs.groupBy("entity", "term", "beside", "context").agg(F.sum("copies").alias("co"), *[F.first(c).alias(c) for c in ("df_e", "df_t", "n_docs")])
-    tied = places.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("co").alias("co"), *[F.first(c).alias(c) for c in ("df_e", "df_t", "n_docs")])
-    tied = materialize(tied.where((F.col("contexts") >= SUPPORT) & (_shared() >= DISCLOSURE)).drop("df_t"), "privacy-pairs")
-    # Document frequencies, of the terms in question only. A bitmap of fixed size keeps most other words out.
-    known = materialize(tied.select("term").distinct(), "privacy-known")
-    bits = known.select(F.pmod("term", F.lit(_BITS)).alias("bit")).distinct()
-    words = texts.select("key", "mark", F.explode(F.array_distinct(_hashes("text"))).alias("term")).withColumn("bit", F.pmod("term", F.lit(_BITS)))
-    words = words.join(F.broadcast(bits), "bit", "left_semi").join(known, "term", "left_semi").select("key", "mark", "term").distinct()
-    words = materialize(words, "privacy-words")
-    # A document with the term inside its entities alone is no document of the term.
+    seen = materialize(seen.join(F.broadcast(most), F.col("df_held") <= usual), "privacy-seen")
+    # The same bound with the document frequencies; documents with the term inside an entity may or may not be among them.
     inside = entities.select("key", "mark", F.explode(F.array_distinct(_hashes("found"))).alias("term")).distinct()
-    inside = inside.join(known, "term", "left_semi").select(F.col("key").alias("k"), F.col("mark").alias("m"), F.col("term").alias("t"))
-    doubtful = materialize(words.join(inside, _same() & (F.col("term") == F.col("t")), "left_semi").select("key", "mark").distinct(), "privacy-doubtful")
-    sure = words.join(doubtful.toDF("k", "m"), _same(), "left_anti").select("key", "mark", "term")
-    outside = _terms(_masked(doubtful, with_any, entities)).select("key", "mark", "term").join(known, "term", "left_semi")
-    term_docs = sure.unionByName(outside).groupBy("term").agg(F.count("*").alias("df_t"))
-    flagged = materialize(tied.join(term_docs, "term").where(_shared() >= DISCLOSURE).select("term").distinct(), "privacy-flagged")
-    where = words.join(flagged, "term", "left_semi").select("key", "mark").distinct()
+    inside = materialize(inside.join(seen.select("term"), "term", "left_semi"), "privacy-inside")
+    known = seen.join(_counted(texts, seen), "term", "left").join(inside.groupBy("term").agg(F.count("*").alias("hidden")), "term", "left")
+    known = known.na.fill(0, ["df_all", "hidden"]).withColumn("df_t", F.greatest(F.col("df_all") - F.col("hidden"), "df_held"))
+    known = materialize(known.where(F.col("df_t") <= usual).select("term", "df_t", "df_all", "hidden", "n_docs"), "privacy-known")
+    pairs = terms.join(known, "term").join(asked, "mark").withColumn("co", F.least("df_t", "df_e")).where(_shared() >= DISCLOSURE)
+    given = ("df_e", "df_t", "df_all", "hidden", "n_docs")
+    places = pairs.groupBy("entity", "term", "beside", "context").agg(F.sum("copies").alias("co"), *[F.first(c).alias(c) for c in given])
+    tied = places.groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("co").alias("co"), *[F.first(c).alias(c) for c in given])
+    tied = materialize(tied.where((F.col("contexts") >= SUPPORT) & (_shared() >= DISCLOSURE)).drop("df_t"), "privacy-pairs")
+    # Where those documents decide, each is looked into: the term inside its entities alone makes it none of the term's.
+    worst = tied.withColumn("df_t", F.col("df_all") + F.col("hidden"))
+    open_terms = worst.where((F.col("hidden") > 0) & (_shared() < DISCLOSURE)).select("term").distinct()
+    open_inside = materialize(inside.join(open_terms, "term", "left_semi"), "privacy-open")
+    texts_of = _masked(open_inside.select("key", "mark").distinct(), with_any, entities)
+    asked_of = open_inside.select(F.col("key").alias("k"), F.col("mark").alias("m"), F.col("term").alias("t"))
+    changes = []
+    for column, change in (("text", -1), ("masked", 1)):
+        found = texts_of.select("key", "mark", F.explode(F.array_distinct(_hashes(column))).alias("term"))
+        changes.append(found.join(asked_of, _same() & (F.col("term") == F.col("t")), "left_semi").select("term", F.lit(change).alias("change")))
+    changed = changes[0].union(changes[1]).groupBy("term").agg(F.sum("change").alias("change"))
+    exact = tied.join(changed, "term", "left").withColumn("df_t", F.col("df_all") + F.coalesce("change", F.lit(0)))
+    flagged = materialize(exact.where(_shared() >= DISCLOSURE).select("term").distinct(), "privacy-flagged")
+    words = texts.select("key", "mark", F.explode(F.array_distinct(_hashes("text"))).alias("term")).join(flagged, "term", "left_semi")
+    where = words.select("key", "mark").distinct()
     return _placed(_masked(where, texts, entities)).join(flagged, "term", "left_semi").select("key", "mark", "start", "end")
 
 
