@@ -124,12 +124,16 @@ def _same(k: str = "k", m: str = "m") -> Column:
     return F.col("key").eqNullSafe(F.col(k)) & (F.col("mark") == F.col(m))
 
 
-def _masked(docs: DataFrame, texts: DataFrame, entities: DataFrame) -> DataFrame:
-    """The columns of ``docs`` (``key, mark`` of documents, each once) their ``text``, and ``masked``, with blanks for entities."""
+def _masked(docs: DataFrame, texts: DataFrame, entities: DataFrame, once: bool = True) -> DataFrame:
+    """The columns of ``docs`` (``key, mark`` of documents, each once) their ``text``, and ``masked``, with blanks for entities.
+
+    Repeated rows are one, unless ``once`` is false: then no text is shuffled to find them.
+    """
     spans = entities.groupBy("key", "mark").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")).withColumnsRenamed({"key": "k", "mark": "m"})
     # Written first: where the list is small, which its size on disk tells the planner, no text is shuffled for it.
     listed = materialize(docs.join(spans, _same(), "left").select(docs.columns + ["spans"]), "privacy-listed").withColumnsRenamed({"key": "k", "mark": "m"})
-    rows = texts.join(listed, _same()).drop("k", "m").dropDuplicates(["key", "mark"])
+    rows = texts.join(listed, _same()).drop("k", "m")
+    rows = rows.dropDuplicates(["key", "mark"]) if once else rows
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("end"))
 
     def blank(state: Column, span: Column) -> Column:
@@ -164,16 +168,20 @@ def _terms(masked: DataFrame) -> DataFrame:
 
 
 def _placed(masked: DataFrame) -> DataFrame:
-    """Every occurrence of a term: ``key, mark, term, start, end``."""
+    """Every occurrence of a document's ``terms``, found inside the row: ``key, mark, start, end``."""
     pieces = F.transform(
         _pieces(F.col("masked"), TERM),
         lambda p: F.struct(F.length(p["before"]).alias("gap"), F.length(p["found"]).alias("size"), F.xxhash64(F.lower(p["found"])).alias("term")),
     )
-    # The texts move, and not their words: the words of a document are already together for the running sum.
-    words = masked.repartition("key", "mark").select("key", "mark", F.posexplode(pieces).alias("i", "p")).select("key", "mark", "i", "p.*")
-    so_far = Window.partitionBy("key", "mark").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    words = words.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far))
-    return words.select("key", "mark", "term", (F.col("end") - F.col("size")).alias("start"), "end")
+    nothing = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("found"))
+
+    def step(state: Column, p: Column) -> Column:
+        start, end = state["end"] + p["gap"], state["end"] + p["gap"] + p["size"]
+        more = F.concat(state["found"], F.array(F.struct(start.alias("start"), end.alias("end"))))
+        return F.struct(end.alias("end"), F.when(F.array_contains(F.col("terms"), p["term"]), more).otherwise(state["found"]).alias("found"))
+
+    places = F.explode(F.aggregate(pieces, nothing, step, lambda s: s["found"]))
+    return masked.select("key", "mark", places.alias("p")).select("key", "mark", "p.*").distinct()
 
 
 def _counted(texts: DataFrame, known: DataFrame) -> DataFrame:
@@ -233,8 +241,8 @@ def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
     exact = tied.join(changed, "term", "left").withColumn("df_t", F.col("df_all") + F.coalesce("change", F.lit(0)))
     flagged = materialize(exact.where(_shared() >= DISCLOSURE).select("term").distinct(), "privacy-flagged")
     words = texts.select("key", "mark", F.explode(F.array_distinct(_hashes("text"))).alias("term")).join(flagged, "term", "left_semi")
-    where = words.select("key", "mark").distinct()
-    return _placed(_masked(where, texts, entities)).join(flagged, "term", "left_semi").select("key", "mark", "start", "end")
+    where = words.groupBy("key", "mark").agg(F.collect_set("term").alias("terms"))
+    return _placed(_masked(where, texts, entities, once=False))
 
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
