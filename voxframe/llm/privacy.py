@@ -34,6 +34,8 @@ TERM = r"[\p{L}\p{N}]+"
 DISCLOSURE = 0.8
 SUPPORT = 3
 _BITS = 65_536
+#: Bits of the filter that is held against every word of every text, in numbers of 64; 32 kB whatever the data.
+_WORDS = 4096
 #: What a text with any match holds: it keeps most others out of what is shuffled.
 _MAY_HOLD = r"@|\+[0-9]|[0-9]\.[0-9]|[0-9](?:[\x20-]?[0-9]){13}"
 
@@ -167,21 +169,51 @@ def _terms(masked: DataFrame) -> DataFrame:
     return masked.select(*[c for c in masked.columns if c != "masked"], F.explode(found).alias("t")).select("*", "t.*").drop("t")
 
 
-def _placed(masked: DataFrame) -> DataFrame:
-    """Every occurrence of a document's ``terms``, found inside the row: ``key, mark, start, end``."""
+def _placed(rows: DataFrame, text: str) -> DataFrame:
+    """Every occurrence of a document's ``terms`` in a column, found inside the row: ``key, mark, term, start, end``."""
     pieces = F.transform(
-        _pieces(F.col("masked"), TERM),
+        _pieces(F.col(text), TERM),
         lambda p: F.struct(F.length(p["before"]).alias("gap"), F.length(p["found"]).alias("size"), F.xxhash64(F.lower(p["found"])).alias("term")),
     )
-    nothing = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("found"))
+    nothing = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<struct<term:bigint,start:bigint,end:bigint>>").alias("found"))
 
     def step(state: Column, p: Column) -> Column:
         start, end = state["end"] + p["gap"], state["end"] + p["gap"] + p["size"]
-        more = F.concat(state["found"], F.array(F.struct(start.alias("start"), end.alias("end"))))
+        more = F.concat(state["found"], F.array(F.struct(p["term"].alias("term"), start.alias("start"), end.alias("end"))))
         return F.struct(end.alias("end"), F.when(F.array_contains(F.col("terms"), p["term"]), more).otherwise(state["found"]).alias("found"))
 
     places = F.explode(F.aggregate(pieces, nothing, step, lambda s: s["found"]))
-    return masked.select("key", "mark", places.alias("p")).select("key", "mark", "p.*").distinct()
+    return rows.select("key", "mark", places.alias("p")).select("key", "mark", "p.*").distinct()
+
+
+def _bitmap(terms: DataFrame) -> DataFrame:
+    """One row ``bits``: a filter of fixed size that every one of the ``terms`` passes and most other words do not."""
+    bit = F.pmod("term", F.lit(64 * _WORDS))
+    set_bits = terms.select(F.floor(bit / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(term, {64 * _WORDS}) % 64 as int))").alias("bits"))
+    every = terms.sparkSession.range(_WORDS).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = set_bits.union(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits"))
+
+
+def _everywhere(texts: DataFrame, flagged: DataFrame, entities: DataFrame) -> DataFrame:
+    """Every occurrence of the flagged terms outside entities: ``key, mark, start, end``.
+
+    A text is looked through where it lies; only the places found move. Documents with entities, whose words end where an
+    entity begins, are placed again in their masked texts.
+    """
+
+    def may_be(term: Column) -> Column:
+        bit = F.pmod(term, F.lit(64 * _WORDS))
+        return F.getbit(F.get("bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
+
+    likely = F.filter(F.array_distinct(_hashes("text")), may_be)
+    hits = texts.join(F.broadcast(_bitmap(flagged))).select("key", "mark", "text", likely.alias("terms")).where(F.size("terms") > 0)
+    found = materialize(_placed(hits, "text").join(flagged, "term", "left_semi"), "privacy-places")
+    own = materialize(entities.select(F.col("key").alias("k"), F.col("mark").alias("m")).distinct(), "privacy-own")
+    again = found.join(own, _same(), "left_semi").groupBy("key", "mark").agg(F.collect_set("term").alias("terms"))
+    masked = _masked(again, texts.where(F.col("text").rlike(_MAY_HOLD)), entities, once=False)
+    places = found.join(own, _same(), "left_anti").unionByName(_placed(masked, "masked"))
+    return places.select("key", "mark", "start", "end").distinct()
 
 
 def _counted(texts: DataFrame, known: DataFrame) -> DataFrame:
@@ -240,9 +272,7 @@ def _disclosing(texts: DataFrame, entities: DataFrame) -> DataFrame:
     changed = changes[0].union(changes[1]).groupBy("term").agg(F.sum("change").alias("change"))
     exact = tied.join(changed, "term", "left").withColumn("df_t", F.col("df_all") + F.coalesce("change", F.lit(0)))
     flagged = materialize(exact.where(_shared() >= DISCLOSURE).select("term").distinct(), "privacy-flagged")
-    words = texts.select("key", "mark", F.explode(F.array_distinct(_hashes("text"))).alias("term")).join(flagged, "term", "left_semi")
-    where = words.groupBy("key", "mark").agg(F.collect_set("term").alias("terms"))
-    return _placed(_masked(where, texts, entities, once=False))
+    return _everywhere(texts, flagged, entities)
 
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
