@@ -11,6 +11,7 @@ from voxframe.operators.ordering import with_ordinal
 from voxframe.operators.sampling import lowest_scores
 from voxframe.session import scratch_path
 from voxframe.sources.archives import selected_members, sidecar_lines, tar_pairs
+from voxframe.sources.ranges import footer_index, member_index, members_by_range, pairs_by_range, rows_at
 from voxframe.sources.logs import request_events
 from voxframe.sources.manifests import (
     key_values,
@@ -234,6 +235,56 @@ def selected_archive_members(spark, folder):
     return found.select(F.concat_ws("/", shard, "member").alias("source_relative_path"), F.md5("payload").alias("payload_md5"))
 
 
+def _listed_archives(spark, written, target):
+    return written.select(F.concat(F.lit(f"{target}/"), F.format_string("shard_%06d.tar", "shard")).alias("archive"))
+
+
+@query(
+    "archive_member_index",
+    "SRC-08",
+    sql="""SELECT lpad((doc_id % 16)::VARCHAR, 6, '0') AS shard, count(*) * 2 AS members,
+sum(octet_length(encode(text)))::BIGINT AS audio_bytes FROM documents GROUP BY 1""",
+)
+def archive_member_index(spark, folder):
+    """Members and audio bytes of every archive, from headers alone."""
+    written, target = _archived_documents(spark, folder)
+    index = member_index(_listed_archives(spark, written, target))
+    audio = F.sum(F.when(F.endswith("member", F.lit(".mp3")), F.col("size")))
+    shard = F.regexp_extract("archive", r"shard_(\d{6})\.tar$", 1).alias("shard")
+    return index.groupBy(shard).agg(F.count(F.lit(1)).cast("long").alias("members"), audio.alias("audio_bytes"))
+
+
+@query(
+    "archive_pairs_by_range",
+    "SRC-08",
+    sql=f"SELECT {_ARCHIVED_PATH} AS source_relative_path, md5(text) AS payload_md5 FROM documents",
+)
+def archive_pairs_by_range(spark, folder):
+    """As ``archive_pairs``, with several tasks for one archive."""
+    written, target = _archived_documents(spark, folder)
+    index = member_index(_listed_archives(spark, written, target))
+    return pairs_by_range(index).select("source_relative_path", F.md5("payload").alias("payload_md5"))
+
+
+@query(
+    "selected_members_by_range",
+    "SRC-09",
+    sql=f"SELECT {_ARCHIVED_PATH} AS source_relative_path, md5(text) AS payload_md5 FROM documents JOIN labels USING (doc_id)",
+)
+def selected_members_by_range(spark, folder):
+    """The archived texts of all labelled documents."""
+    written, target = _archived_documents(spark, folder)
+    index = member_index(_listed_archives(spark, written, target))
+    docs = table(spark, folder, "documents").join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+    wanted = docs.select(
+        F.concat(F.lit(f"{target}/"), F.format_string("shard_%06d.tar", F.pmod("doc_id", F.lit(16)))).alias("archive"),
+        F.format_string("%d.mp3", "doc_id").alias("member"),
+    )
+    shard = F.regexp_extract("archive", r"shard_(\d{6})\.tar$", 1)
+    found = members_by_range(wanted, index)
+    return found.select(F.concat_ws("/", shard, "member").alias("source_relative_path"), F.md5("payload").alias("payload_md5"))
+
+
 @query(
     "parquet_path_list",
     "SRC-10",
@@ -305,6 +356,25 @@ def row_by_ordinal(spark, folder):
     return row_at(numbered, "ordinal", numbered.count() // 2)
 
 
+@query(
+    "rows_by_footer",
+    "SRC-14",
+    sql="""SELECT n - 1 AS ordinal, o_orderkey, o_totalprice FROM (
+SELECT *, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS n FROM orders)
+WHERE n - 1 IN (SELECT doc_id FROM labels)""",
+)
+def rows_by_footer(spark, folder):
+    """Orders by price at the ordinals that labels name, read from their row groups alone."""
+    target = scratch_path(spark, "by-price")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice").orderBy("o_totalprice", "o_orderkey")
+    orders.write.option("parquet.block.size", 1 << 16).parquet(target)
+    index = footer_index(spark, [target])
+    rows = index.agg(F.sum("rows")).first()[0] or 0
+    wanted = table(spark, folder, "labels").select(F.col("doc_id").alias("ordinal")).where(F.col("ordinal") < rows)
+    return rows_at(index, wanted, ["o_orderkey", "o_totalprice"])
+
+
+
 @query(
     "one_plan_shard",
     "SRC-15",
