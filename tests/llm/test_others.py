@@ -140,6 +140,26 @@ def test_recall(spark, small):
     assert np.mean([len(set(found[q].values()) & set(w)) / 20 for q, w in wanted.items()]) >= 0.9
 
 
+@pytest.mark.parametrize("varied", ["norms", "clusters"])
+def test_recall_of_unseen_queries(spark, varied):
+    """Queries outside the sample, on inner products that norms decide, and on clusters."""
+    drawn = np.random.default_rng(3)
+    x = drawn.normal(size=(6000, 32))
+    if varied == "norms":
+        x *= np.exp(drawn.normal(size=(6000, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+    else:
+        x += 2 * drawn.normal(size=(60, 32))[drawn.integers(0, 60, 6000)]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest(frame, frame.where("vec_id % 20 = 0"), 20, sample_size=1000).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    scores = x[::20] @ x.T
+    scores[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
+    wanted = np.argsort(-scores, axis=1)[:, :20]
+    assert len(found) == 300
+    assert np.mean([len(found[20 * i] & set(w.tolist())) / 20 for i, w in enumerate(wanted)]) >= 0.9
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     good = [(i, [1.0, 0.0]) for i in range(60)] + [(i, [0.0, float(i)]) for i in range(60, 64)]

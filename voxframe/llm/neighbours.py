@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by learned partitions.
 
-On a bounded sample, the graph of nearest neighbours is cut into balanced parts; a small network then learns the share of
-a vector's neighbours in each part. It files every vector under its likeliest part and sends a query to its several
-likeliest ones, where candidates are compared by their exact inner products. Parts are split into blocks of bounded size,
+On a bounded sample, partly of the longest vectors, the graph of nearest neighbours by inner product is cut into balanced parts. A small network learns
+the part of a vector from its direction and norm and files every vector; a second one learns in which parts, so filed, the
+nearest of a query lie, and sends a query to its several likeliest ones, where candidates are compared by their exact inner
+products. Parts are split into blocks of bounded size,
 so one part with very many vectors, or very many queries, is no task of its own.
 """
 
@@ -18,13 +19,16 @@ from pyspark.sql import functions as F
 
 from voxframe.session import materialize
 
-#: Vectors that the graph and the network are fitted on.
+#: Vectors that the graph and the networks are fitted on: so many by hash, and as many of the longest, which are nearest
+#: to most queries where norms differ.
 SAMPLE = 4096
 #: Neighbours of a vector in the graph.
 DEGREE = 16
 #: Vectors of a part, about; parts, at least and at most, as powers of two.
 PART_SIZE, LEAST_PARTS, MOST_PARTS = 1000, 8, 64
-#: A query goes to its likeliest parts until this share of its neighbours is expected there.
+#: Steps of a fit, at least, also on a small sample.
+STEPS = 200
+#: A query goes to its likeliest parts until this share of its neighbours is met there, as measured on unseen queries.
 MASS = 0.96
 #: Vectors in a block of candidates, and queries in a block.
 BLOCK, QUERIES = 16_384, 4096
@@ -33,27 +37,55 @@ LANES = 8
 
 
 @dataclass(frozen=True)
-class Router:
+class Network:
     """A network with one hidden layer; ``parts`` outputs."""
 
     w1: np.ndarray
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
-    scale: float
 
-    def logits(self, vectors: np.ndarray) -> np.ndarray:
-        x = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
-        return np.maximum(x * self.scale @ self.w1 + self.b1, 0.0) @ self.w2 + self.b2
+    def logits(self, x: np.ndarray) -> np.ndarray:
+        return np.maximum(x @ self.w1 + self.b1, 0.0) @ self.w2 + self.b2
+
+
+@dataclass(frozen=True)
+class Router:
+    """Two networks: one files a vector by its direction and norm, one sends a query by its direction."""
+
+    filer: Network
+    sender: Network
+    middle: float
+    spread: float
+    enough: float  # expected share of its neighbours up to which a query is sent on
+
+    def logits(self, vectors: np.ndarray, filing: bool) -> np.ndarray:
+        return (self.filer if filing else self.sender).logits(features(vectors, self.middle, self.spread, filing))
+
+
+def directions(vectors: np.ndarray) -> np.ndarray:
+    with_scale = vectors / np.maximum(np.abs(vectors).max(axis=1, keepdims=True, initial=0.0), 1e-300)  # squares neither vanish nor overflow
+    return with_scale / np.maximum(np.linalg.norm(with_scale, axis=1, keepdims=True), 1e-300)
+
+
+def log_norms(vectors: np.ndarray) -> np.ndarray:
+    largest = np.maximum(np.abs(vectors).max(axis=1, initial=0.0), 1e-300)
+    return np.log(largest) + np.log(np.maximum(np.linalg.norm(vectors / largest[:, None], axis=1), 1e-300))
+
+
+def features(vectors: np.ndarray, middle: float, spread: float, with_norm: bool) -> np.ndarray:
+    """Directions, and the norm on a logarithmic scale; the order of inner products with a query does not depend on its norm."""
+    norm = np.clip((log_norms(vectors) - middle) / spread, -4, 4) if with_norm else np.zeros(len(vectors))
+    return np.column_stack([directions(vectors) * np.sqrt(vectors.shape[1]), norm])
 
 
 def neighbour_graph(sample: np.ndarray, degree: int = DEGREE) -> np.ndarray:
-    """Indices of the nearest others of every sampled vector, by inner product of directions."""
-    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    """Indices of the nearest others of every sampled vector, by inner product."""
+    x = directions(sample)
     degree = min(degree, len(x) - 1)
     out = np.empty((len(x), degree), np.int64)
     for at in range(0, len(x), 512):
-        scores = x[at : at + 512] @ x.T
+        scores = x[at : at + 512] @ sample.T
         scores[np.arange(len(scores)), at + np.arange(len(scores))] = -np.inf
         out[at : at + 512] = np.argpartition(-scores, degree - 1, axis=1)[:, :degree] if degree else 0
     return out
@@ -104,38 +136,63 @@ def _half(a: np.ndarray, b: np.ndarray, n: int, vectors: np.ndarray) -> np.ndarr
     return upper
 
 
-def fit_router(sample: np.ndarray, parts: int, hidden: int = 64, epochs: int = 12) -> Router:
-    """Learn to which parts the neighbours of a vector belong. The sample is bounded by the caller."""
+def _trained(x: np.ndarray, share: np.ndarray, hidden: int, epochs: int) -> Network:
+    """Learn the ``share`` of every part from the features ``x``."""
     random = np.random.default_rng(7)
-    dimension = sample.shape[1]
-    scale = float(np.sqrt(dimension))
-    w = [random.normal(0, np.sqrt(2 / dimension), (dimension, hidden)), np.zeros(hidden), random.normal(0, np.sqrt(1 / hidden), (hidden, parts)), np.zeros(parts)]
-    if len(sample) > 1:
-        graph = neighbour_graph(sample)
-        label = balanced_parts(graph, sample / np.linalg.norm(sample, axis=1, keepdims=True), parts)
-        share = np.zeros((len(sample), parts))
-        np.add.at(share, (np.arange(len(sample)), label), graph.shape[1] / 2)
-        np.add.at(share, (np.repeat(np.arange(len(sample)), graph.shape[1]), label[graph.ravel()]), 1)
-        share /= share.sum(1, keepdims=True)
-        x = sample / np.linalg.norm(sample, axis=1, keepdims=True) * scale
-        mean, square = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w]
-        step = 0
-        for _ in range(epochs):
-            order = random.permutation(len(x))
-            for at in range(0, len(x), 256):
-                rows = order[at : at + 256]
-                inner = np.maximum(x[rows] @ w[0] + w[1], 0)
-                logits = inner @ w[2] + w[3]
-                chance = np.exp(logits - logits.max(1, keepdims=True))
-                chance /= chance.sum(1, keepdims=True)
-                off = (chance - share[rows]) / len(rows)
-                back = (off @ w[2].T) * (inner > 0)
-                step += 1
-                for i, grad in enumerate((x[rows].T @ back + 1e-4 * w[0], back.sum(0), inner.T @ off + 1e-4 * w[2], off.sum(0))):
-                    mean[i] = 0.9 * mean[i] + 0.1 * grad
-                    square[i] = 0.99 * square[i] + 0.01 * grad * grad
-                    w[i] = w[i] - 3e-3 * (mean[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.99**step)) + 1e-8)
-    return Router(*w, scale)
+    inputs, parts = x.shape[1], share.shape[1]
+    w = [random.normal(0, np.sqrt(2 / inputs), (inputs, hidden)), np.zeros(hidden), random.normal(0, np.sqrt(1 / hidden), (hidden, parts)), np.zeros(parts)]
+    mean, square = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w]
+    step = 0
+    for _ in range(max(epochs, -(-STEPS * 256 // max(len(x), 1)))):
+        order = random.permutation(len(x))
+        for at in range(0, len(x), 256):
+            rows = order[at : at + 256]
+            inner = np.maximum(x[rows] @ w[0] + w[1], 0)
+            logits = inner @ w[2] + w[3]
+            chance = np.exp(logits - logits.max(1, keepdims=True))
+            chance /= chance.sum(1, keepdims=True)
+            off = (chance - share[rows]) / len(rows)
+            back = (off @ w[2].T) * (inner > 0)
+            step += 1
+            for i, grad in enumerate((x[rows].T @ back + 1e-4 * w[0], back.sum(0), inner.T @ off + 1e-4 * w[2], off.sum(0))):
+                mean[i] = 0.9 * mean[i] + 0.1 * grad
+                square[i] = 0.99 * square[i] + 0.01 * grad * grad
+                w[i] = w[i] - 3e-3 * (mean[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.99**step)) + 1e-8)
+    return Network(*w)
+
+
+def fit_router(sample: np.ndarray, parts: int, mass: float = MASS, hidden: int = 64, epochs: int = 12) -> Router:
+    """Learn which part a vector belongs to, then in which parts, as filed by that, the nearest of a query lie.
+
+    Every fourth query is kept out of the second fit. It tells up to which expected share a query must be sent on so that
+    ``mass`` of the nearest of queries not seen before are met, and at least up to ``mass``. The sample is bounded by the caller.
+    """
+    norms = log_norms(sample)
+    middle, spread = (float(norms.mean()), max(float(norms.std()), 1e-3)) if len(sample) else (0.0, 1.0)
+    x, asked = (features(sample, middle, spread, with_norm) for with_norm in (True, False))
+    if len(sample) < 8:
+        share = np.full((len(sample), parts), 1 / parts)
+        return Router(_trained(x, share, hidden, epochs), _trained(asked, share, hidden, epochs), middle, spread, 1.0)
+    graph = neighbour_graph(sample)
+    filer = _trained(x, np.eye(parts)[balanced_parts(graph, x, parts)], hidden, epochs)
+    filed = np.round(filer.logits(x), 9).argmax(1)
+    share = np.zeros((len(sample), parts))
+    np.add.at(share, (np.repeat(np.arange(len(sample)), graph.shape[1]), filed[graph.ravel()]), 1)
+    unseen = np.arange(len(sample)) % 4 == 0
+    sender = _trained(asked[~unseen], share[~unseen] / graph.shape[1], hidden, epochs)
+    best, expected = _expected(sender.logits(asked[unseen]))
+    place = np.argsort(best, axis=1, kind="stable")  # where a part stands for a query
+    before = np.column_stack([np.zeros(len(best)), expected[:, :-1]])
+    nearest_parts = filed[graph[unseen]]
+    met = np.take_along_axis(before, np.take_along_axis(place, nearest_parts, 1), 1)
+    return Router(filer, sender, middle, spread, max(mass, float(np.nextafter(np.quantile(met, mass, method="higher"), 2.0))))
+
+
+def _expected(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parts from the likeliest on, and the share of the neighbours expected in each and those before it."""
+    best = np.argsort(-np.round(logits, 9), axis=1, kind="stable")
+    chance = np.exp(logits - logits.max(1, keepdims=True, initial=-np.inf))
+    return best, np.cumsum(np.take_along_axis(chance, best, 1), 1) / chance.sum(1, keepdims=True)
 
 
 def nearest(
@@ -155,20 +212,23 @@ def nearest(
     to at least as many parts as hold ``k`` others. Other columns are not read.
     """
     rows = _usable(vectors, key, embedding)
-    drawn = rows.select("key", "v").orderBy(F.xxhash64("key"), "key").limit(sample_size).collect()  # bounded
+    drawn = rows.orderBy(F.xxhash64("key"), "key").limit(sample_size).collect()  # bounded
     lengths = [len(r["v"]) for r in drawn]
     dimension = max(set(lengths), key=lambda n: (lengths.count(n), -n)) if lengths else 1
     rows = rows.where(F.size("v") == dimension)
-    sample = np.array([r["v"] for r in drawn if len(r["v"]) == dimension], np.float64).reshape(-1, dimension)
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    drawn += rows.orderBy(norm.desc(), "key").limit(sample_size).collect()  # bounded
+    some = {(r["key"], *r["v"]): r["v"] for r in drawn if len(r["v"]) == dimension}
+    sample = np.array(list(some.values()), np.float64).reshape(-1, dimension)
     count = rows.count()
     parts = LEAST_PARTS
     while parts < MOST_PARTS and parts * PART_SIZE < count:
         parts *= 2
-    router = fit_router(sample, parts)
-    filed = materialize(_routed(rows, router, 0.0).select("key", "v", F.get("parts", 0).alias("part")), "vectors")
+    router = fit_router(sample, parts, mass)
+    filed = materialize(_routed(rows, router, True).select("key", "v", F.get("parts", 0).alias("part")), "vectors")
     sizes = {r["part"]: r["n"] for r in filed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row per part
     asked = _usable(queries, key, embedding).where(F.size("v") == dimension).dropDuplicates(["key"])
-    sent = _routed(asked, router, mass, k, [sizes.get(p, 0) for p in range(parts)]).select("key", "v", F.explode("parts").alias("part"))
+    sent = _routed(asked, router, False, k, [sizes.get(p, 0) for p in range(parts)]).select("key", "v", F.explode("parts").alias("part"))
     # Blocks of bounded size on either side; a part's blocks meet pairwise.
     blocks = F.create_map(*[F.lit(x) for p in range(parts) for x in (p, max(1, -(-sizes.get(p, 0) // BLOCK)))])
     many = max(1, -(-queries.count() // QUERIES))
@@ -195,23 +255,21 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
 
 
-def _routed(rows: DataFrame, router: Router, mass: float, k: int = 0, sizes: list[int] | None = None) -> DataFrame:
+def _routed(rows: DataFrame, router: Router, filing: bool, k: int = 0, sizes: list[int] | None = None) -> DataFrame:
     """``key, v, parts``: the likeliest parts of every vector, best first.
 
-    As many as hold ``mass`` of its expected neighbours and, by ``sizes``, more than ``k`` vectors.
+    One for filing; for a query as many as the router holds enough and as have, by ``sizes``, more than ``k`` vectors.
     """
     shared = rows.sparkSession.sparkContext.broadcast(router)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         router = shared.value
-        dimension, parts = router.w1.shape[0], len(router.b2)
+        dimension, parts = router.filer.w1.shape[0] - 1, len(router.filer.b2)
         size = np.array(sizes or [1] * parts)
         for batch in batches:
-            logits = np.round(router.logits(_matrix(batch.column(1), dimension)), 9)
-            best = np.argsort(-logits, axis=1, kind="stable")
-            chance = np.exp(logits - logits.max(1, keepdims=True, initial=-np.inf))
-            expected = np.cumsum(np.take_along_axis(chance, best, 1), 1) / chance.sum(1, keepdims=True)
-            enough = np.maximum((expected < mass).sum(1), (np.cumsum(size[best], 1) <= k).sum(1)) + 1
+            best, expected = _expected(router.logits(_matrix(batch.column(1), dimension), filing))
+            enough = np.maximum((expected < router.enough).sum(1), (np.cumsum(size[best], 1) <= k).sum(1)) + 1
+            enough = np.ones(len(best), np.int64) if filing else enough
             taken = np.arange(parts) < enough[:, None]
             offsets = np.concatenate([[0], np.cumsum(taken.sum(1))])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(best[taken], pa.int32()))
