@@ -46,12 +46,15 @@ def drain(stream: DataFrame, mode: str, keys: Sequence[str] = (), checkpoint: st
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of the Parquet files of one table in a folder."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """Stream of the Parquet files of one table in a folder: a single file, or a folder of its own."""
+    path = f"{folder}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)  # a stream reads folders only
 
 
 def new_files(
