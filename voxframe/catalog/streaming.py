@@ -5,6 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxframe.catalog.base import WORDS_SQL, query, table
 from voxframe.catalog.reading import log_line
@@ -168,17 +169,23 @@ def rebatched_token_stream(spark, folder):
 
 @query("disordered_token_stream", "STM-06", sql=_BLOCKS)
 def disordered_token_stream(spark, folder):
-    """The same turns, dealt out over files that arrive one after the other, the end before the beginning."""
-    incoming = scratch_path(spark, "turns")
+    """The same turns, arriving in three waves of files, the end before the beginning.
+
+    Each wave is one run of the stream from the checkpoint of the one before, so the number of micro-batches does not
+    grow with the number of files.
+    """
+    dealt, incoming, target = (scratch_path(spark, n) for n in ("dealt-turns", "turns", "stream"))
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     ends = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
     rows = turns.join(ends, "conv_id").select("conv_id", F.col("turn").alias("position"), whitespace_tokens(F.col("text")).alias("tokens"), (F.col("turn") == F.col("last")).alias("final"))
-    rows = rows.withColumn("part", F.pmod(-F.col("position") - F.xxhash64("conv_id") % 2, F.lit(3)))
+    wave = F.pmod(-F.col("position") - F.xxhash64("conv_id") % 2, F.lit(3)).cast("int")
+    rows.withColumn("part", wave).write.partitionBy("part").parquet(dealt)
+    waves = spark.read.schema(T.StructType([*rows.schema, T.StructField("part", T.IntegerType())])).parquet(dealt)
     for part in range(3):
-        rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(incoming)
-    stream = spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(incoming)
-    with _settings(spark, ROCKSDB):
-        blocks = drain(rebatched(stream, "conv_id"), "append")
+        waves.where(F.col("part") == part).drop("part").write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(rows.schema).parquet(incoming)
+        with _settings(spark, ROCKSDB):
+            blocks = drain(rebatched(stream, "conv_id"), "append", checkpoint=f"{target}-checkpoint", target=target)
     return _shown_blocks(blocks)
 
 
