@@ -44,6 +44,21 @@ def test_templates_that_rewrite_history_are_refused(template):
         list(chat.turn_outputs([("user", f"t{i}") for i in range(80)], template))
 
 
+@pytest.mark.parametrize(
+    "template",
+    [
+        lambda turns: "".join(t for _, t in turns[-40:]),
+        lambda turns: f"{len(turns) // 33}" + "".join(t for _, t in turns),
+    ],
+)
+def test_templates_that_rewrite_history_late_are_refused(spark, template):
+    turns = [("user", f"t{i}") for i in range(80)]
+    with pytest.raises(chat.HistoryRewritten):
+        list(chat.turn_outputs(turns, template))
+    with pytest.raises(Exception, match="HistoryRewritten"):
+        chat.formatted(spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)], "conv_id long, turn long, role string, text string"), template).collect()
+
+
 def test_conversations(spark, small):
     rows = [r.asDict() for r in spark.read.parquet(f"{small}/conversations.parquet").collect()]
     rows += [{"conv_id": -7, "turn": i, "role": role, "text": "</s>[INST] ok [/INST]"} for i, role in enumerate(("user", "assistant"))]

@@ -2,9 +2,10 @@
 
 Successive turn prefixes of a conversation are rendered and consecutive outputs compared: what a turn adds is its span.
 A template whose output for a prefix is no prefix of the next output rewrites history, and no span could be trusted, so
-it is refused. Conversations stream through their task in order, one turn at a time. Rendering every prefix whole would
-cost the square of a conversation's length, so after ``PREFIX`` turns the prefixes start at a later turn; the last turn
-is rendered from both starts, and a template that does not give it the same output has a longer memory and is refused too.
+it is refused. Every prefix is rendered whole, from the first turn, since a template may remember any of them: the work
+on one conversation grows with the square of its turns, and its task holds that conversation, but no other. After
+``PREFIX`` turns every turn is also rendered from a later start; a template that does not give it the same output has a
+longer memory and is refused too.
 """
 
 from __future__ import annotations
@@ -70,22 +71,20 @@ def read_turn(piece: str) -> tuple[str, str, int, int]:
 
 
 def turn_outputs(turns: Iterable[Turn], template: Render, prefix: int = PREFIX) -> Iterator[str]:
-    """What each turn adds to the output, found by comparing the renderings of successive prefixes."""
+    """What each turn adds to the output, found by comparing the renderings of successive prefixes, each of them whole."""
     held: list[Turn] = []
     before = ""
-    last = ""
     for turn in turns:
-        if len(held) >= prefix:  # start anew at the last turn, which must read as it did
-            shorter = held[-prefix // 2 :]
-            shown, upto = template(shorter), template(shorter[:-1])
-            if not shown.startswith(upto) or shown[len(upto) :] != last:
-                raise HistoryRewritten("a turn reads differently when the turns before it are fewer")
-            held, before = shorter, shown
         held.append(turn)
         now = template(held)
         if not now.startswith(before):
             raise HistoryRewritten("the output for a prefix of turns is no prefix of the whole output")
         last, before = now[len(before) :], now
+        if len(held) > prefix:  # from a later start, the turn must read the same
+            shorter = held[-prefix // 2 :]
+            shown, upto = template(shorter), template(shorter[:-1])
+            if not shown.startswith(upto) or shown[len(upto) :] != last:
+                raise HistoryRewritten("a turn reads differently when the turns before it are fewer")
         yield last
 
 
@@ -97,7 +96,7 @@ def formatted(
     ``piece`` is the turn's output and ``start`` its place in the conversation's, in code points; the output is the
     pieces end to end. Turns go by ``turn``, then role, then text, nulls first; repeated rows are turns of their own. A
     null role or text is empty; a null key is a conversation of its own. Other columns are not read. A conversation is
-    put out by one task as it streams by, never held whole.
+    put out turn by turn by one task, which holds that conversation's turns.
     """
     kind = conversations.schema[key].dataType.simpleString()
 
