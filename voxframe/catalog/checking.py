@@ -21,7 +21,7 @@ from voxframe.operators.quality import (
     table_differences,
     violation_counts,
 )
-from voxframe.session import scratch_path
+from voxframe.session import materialize, scratch_path
 from voxframe.sources.sinks import cache_manifest, changed_files, file_checksums, published_or_built
 
 _SPOILED = "CASE user_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'NaN'::DOUBLE WHEN 2 THEN 'Infinity'::DOUBLE ELSE value END"
@@ -85,15 +85,19 @@ def oversized_shards(spark, folder):
     sql="SELECT 'lang=' || lang AS folder, CASE lang WHEN 'de' THEN 'changed' WHEN 'fr' THEN 'unexpected' END AS change FROM documents WHERE lang IN ('de', 'fr') GROUP BY lang UNION ALL SELECT 'lang=xx', 'missing'",
 )
 def changed_file_report(spark, folder):
-    """Checksums of files by language against a manifest with one changed, one absent and one extra entry."""
+    """Checksums of files by language against a manifest with one changed, one absent and one extra language.
+
+    Every task writes a file of its own for each language it meets; a folder is reported once.
+    """
     path = scratch_path(spark, "checksummed")
-    table(spark, folder, "documents").select("lang", "text").repartition("lang").write.partitionBy("lang").parquet(path)
-    found = file_checksums(spark, path, "*.parquet").withColumn("lang", F.regexp_extract("path", "lang=(..)/", 1))
+    table(spark, folder, "documents").select("lang", "text").write.partitionBy("lang").parquet(path)
+    hashed = materialize(file_checksums(spark, path, "*.parquet"), "checksums")
+    found = hashed.withColumn("lang", F.regexp_extract("path", "lang=(..)/", 1))
     sums = F.when(F.col("lang") == "de", "00").otherwise(F.col("sha256"))
     manifest = found.where("lang <> 'fr'").select("path", sums.alias("sha256")).unionByName(
         found.where("lang = 'en'").select(F.regexp_replace("path", "lang=en/", "lang=xx/").alias("path"), "sha256")
     )
-    return changed_files(manifest, found).select(F.regexp_extract("path", "(lang=..)/", 1).alias("folder"), "change")
+    return changed_files(manifest, found).select(F.regexp_extract("path", "(lang=..)/", 1).alias("folder"), "change").distinct()
 
 
 @query(
