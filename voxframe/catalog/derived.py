@@ -10,10 +10,12 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxframe.session import scratch_path
+from voxframe.session import balanced, scratch_path
 
 
 def _local(path: str) -> str:
@@ -24,6 +26,7 @@ def _add(archive: tarfile.TarFile, name: str, data: bytes) -> None:
     info = tarfile.TarInfo(name)
     info.size = len(data)
     archive.addfile(info, io.BytesIO(data))
+    archive.members.clear()  # the list would hold every header
 
 
 def write_paired_files(pages: DataFrame) -> str:
@@ -54,17 +57,21 @@ def write_archives(df: DataFrame, folder: str, shard: str, key: str, text: str,
     ordered = df.select(shard, key, text, payload).repartition(F.col(shard)).sortWithinPartitions(shard, key)
     local = _local(folder)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def written(number: int, rows: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([rows], pa.int32())], ["shard", "rows"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.makedirs(local, exist_ok=True)
         current, archive, rows = None, None, 0
         for batch in batches:
-            for number, name, described, content in zip(batch[shard], batch[key], batch[text], batch[payload]):
+            for row in zip(*batch.columns):  # one payload at a time
+                number, name, described, content = (value.as_py() for value in row)
                 if number != current:
                     if archive is not None:
                         archive.close()
-                        yield pd.DataFrame({"shard": [current], "rows": [rows]})
+                        yield written(current, rows)
                     current, rows = number, 0
                     archive = tarfile.open(f"{local}/shard_{number:06d}.tar", "w")
                 members = [(f"{name}.json", described.encode("utf-8")), (f"{name}{suffix}", content)]
@@ -73,17 +80,20 @@ def write_archives(df: DataFrame, folder: str, shard: str, key: str, text: str,
                 rows += 1
         if archive is not None:
             archive.close()
-            yield pd.DataFrame({"shard": [current], "rows": [rows]})
+            yield written(current, rows)
 
-    return ordered.mapInPandas(write, "shard int, rows int")
+    return ordered.mapInArrow(write, "shard int, rows int")
 
 
 def write_sidecar_archives(documents: DataFrame) -> list[str]:
-    """One ``tar.zst`` of JSON-lines members per language; returns the paths."""
+    """``tar.zst`` files of JSON-lines members; returns the paths.
+
+    Every task writes an archive of its own for each language it meets, so no language meets in one task.
+    """
     root = scratch_path(documents.sparkSession, "sidecars")
     local = _local(root)
-    lines = documents.select("lang", "doc_id", F.to_json(F.struct("doc_id", "lang", "text")).alias("line"))
-    ordered = lines.repartition("lang").sortWithinPartitions("lang", "doc_id")
+    lines = balanced(documents, "doc_id").select("lang", "doc_id", F.to_json(F.struct("doc_id", "lang", "text")).alias("line"))
+    ordered = lines.sortWithinPartitions("lang", "doc_id")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
@@ -91,6 +101,7 @@ def write_sidecar_archives(documents: DataFrame) -> list[str]:
         import zstandard
 
         os.makedirs(local, exist_ok=True)
+        task = TaskContext.get().partitionId()
         current, archive, stream, raw, part = None, None, None, None, 0
 
         def close() -> None:
@@ -104,10 +115,10 @@ def write_sidecar_archives(documents: DataFrame) -> list[str]:
                     if archive is not None:
                         close()
                     current, part = lang, 0
-                    raw = open(f"{local}/{lang}.tar.zst", "wb")
+                    raw = open(f"{local}/{lang}-{task:06d}.tar.zst", "wb")
                     stream = zstandard.ZstdCompressor().stream_writer(raw)
                     archive = tarfile.open(fileobj=stream, mode="w|")
-                    yield pd.DataFrame({"path": [f"{local}/{lang}.tar.zst"]})
+                    yield pd.DataFrame({"path": [f"{local}/{lang}-{task:06d}.tar.zst"]})
                 _add(archive, f"part{part}.jsonl", ("\n".join(group["line"]) + "\n").encode("utf-8"))
                 _add(archive, f"notes{part}.txt", b"not a sidecar")
                 part += 1

@@ -182,7 +182,7 @@ def typed_sidecar(spark, folder):
 
 @query("compressed_sidecar_lines", "SRC-07", sql="SELECT doc_id, lang, md5(text) AS text_md5 FROM documents")
 def compressed_sidecar_lines(spark, folder):
-    """One tar.zst per language, each with JSON-lines members."""
+    """Archives in tar.zst by task and language, each with JSON-lines members."""
     paths = write_sidecar_archives(table(spark, folder, "documents"))
     parsed = sidecar_lines(spark, paths).select(F.from_json("line", "doc_id bigint, lang string, text string").alias("j"))
     return parsed.select("j.doc_id", "j.lang", F.md5("j.text").alias("text_md5"))

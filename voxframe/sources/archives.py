@@ -51,6 +51,13 @@ def _member_key(member: tarfile.TarInfo, payload_suffix: str) -> tuple[str, str]
     return stem, dot + suffix
 
 
+def _members(archive: tarfile.TarFile) -> Iterator[tarfile.TarInfo]:
+    """Members as they stream by, without the list that would hold every header."""
+    while (member := archive.next()) is not None:
+        yield member
+        archive.members.clear()
+
+
 def paired_members(path: str, payload_suffix: str = ".mp3") -> Iterator[tuple[str, str, bytes]]:
     """Yield ``(path, json text, payload)`` of the adjacent pairs of one archive, in either order."""
     named = _ARCHIVE.fullmatch(path.rsplit("/", 1)[-1])
@@ -59,7 +66,7 @@ def paired_members(path: str, payload_suffix: str = ".mp3") -> Iterator[tuple[st
     finished: set[str] = set()
     half: tuple[str, str, bytes] | None = None
     with tarfile.open(path, "r|") as archive:
-        for member in archive:
+        for member in _members(archive):
             key, suffix = _member_key(member, payload_suffix)
             content = archive.extractfile(member).read()
             if half is None:
@@ -126,7 +133,7 @@ def tar_pairs(spark: SparkSession, path: str) -> DataFrame:
 def _pick(path: str, wanted: set[str]) -> Iterator[tuple[str, bytes]]:
     left = set(wanted)
     with tarfile.open(path, "r|") as archive:
-        for member in archive:
+        for member in _members(archive):
             if member.name in left:
                 yield member.name, archive.extractfile(member).read()
                 left.remove(member.name)
@@ -162,7 +169,7 @@ def _json_lines(path: str) -> Iterator[str]:
         else:
             stream = raw
         with tarfile.open(fileobj=stream, mode="r|") as archive:
-            for member in archive:
+            for member in _members(archive):
                 if not member.isfile() or not member.name.endswith(".jsonl"):
                     continue
                 for line in iter(archive.extractfile(member).readline, b""):
