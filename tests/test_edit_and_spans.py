@@ -100,3 +100,15 @@ def test_micro_and_macro(spark):
 def test_span_outside_reference_stops(spark):
     with pytest.raises(Exception, match="number span is outside"):
         scored(spark, [("c", "a b", "a", 1, 3)]).select("scores").collect()
+
+
+def test_alignment_makes_few_rows_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    random.seed(3)
+    pairs = [[[random.choice("abc") for _ in range(random.randint(0, 9))] for _ in range(2)] for _ in range(40)] + [[[], []]]
+    monkeypatch.setattr(edit, "_TOKENS_AT_ONCE", 10)
+    columns = [pa.array(side, pa.list_(pa.string())) for side in zip(*pairs)]
+    found = edit._rows(columns, edit._path, edit.ALIGNMENT).to_pylist()
+    assert [(r["op"], r["ref_at"], r["hyp_at"]) for r in found] == [edit._path(r, h) for r, h in pairs]
+    assert len(edit._rows([c.slice(0, 0) for c in columns], edit._counts, edit.COUNTS)) == 0

@@ -11,18 +11,22 @@ cost table only a part is kept at a time, so long texts are handled whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import isqrt
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from voxframe.functions.arrays import each_with
 
 _CODE_BASE = 0x10000  # first code point above the surrogates' plane
 _WHOLE_TABLE_BITS = 1 << 28  # larger cost tables (two bits or more per cell) are kept in part only
+_TOKENS_AT_ONCE = 20_000  # tokens that are Python objects at a time, about
 
 COUNT_FIELDS = ["substitutions", "deletions", "insertions", "reference_units"]
 COUNTS = T.StructType([T.StructField(n, T.IntegerType()) for n in COUNT_FIELDS])
@@ -135,38 +139,47 @@ def _counts(reference: Sequence[str], hypothesis: Sequence[str]) -> tuple[int, i
     return _tally(_path(reference, hypothesis)[0], len(reference))
 
 
-@F.pandas_udf(COUNTS)
-def edit_counts(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
+def _rows(columns: Sequence[pa.Array], make: Callable[..., tuple], kind: T.StructType) -> pa.Array:
+    """``make`` of every row as structs of ``kind``; as Python objects only a few rows, or one long one, at a time."""
+    wanted = to_arrow_type(kind)
+    sizes = sum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns if pa.types.is_list(c.type))
+    ends, parts, at = np.cumsum(sizes), [pa.array([], wanted)], 0
+    while at < len(ends):
+        stop = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _TOKENS_AT_ONCE, side="right")), at + 1)
+        found = [make(*row) for row in zip(*(c.slice(at, stop - at).to_pylist() for c in columns))]
+        fields = [pa.array(values, field.type) for values, field in zip(zip(*found), wanted)]
+        parts.append(pa.StructArray.from_arrays(fields, fields=list(wanted)))
+        at = stop
+    return pa.concat_arrays(parts)
+
+
+@F.arrow_udf(COUNTS)
+def edit_counts(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
     """S/D/I and reference length of two token arrays."""
-    return pd.DataFrame([_counts(r, h) for r, h in zip(reference, hypothesis)], columns=COUNT_FIELDS)
+    return _rows([reference, hypothesis], _counts, COUNTS)
 
 
-@F.pandas_udf(ALIGNMENT)
-def alignment(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(ALIGNMENT)
+def alignment(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
     """Operations with the 0-based reference and hypothesis positions they touch."""
-    return pd.DataFrame([_path(r, h) for r, h in zip(reference, hypothesis)], columns=ALIGNMENT.fieldNames())
+    return _rows([reference, hypothesis], _path, ALIGNMENT)
 
 
 _SCORE_PARTS = ["utterance_word", "utterance_character", "number_word", "number_character"]
 _SCORE = T.StructType([T.StructField(f"{p}_{n}", T.IntegerType()) for p in _SCORE_PARTS for n in COUNT_FIELDS])
 
 
-@F.pandas_udf(_SCORE)
-def _flat_scores(reference: pd.Series, hypothesis: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
-    rows = []
-    for ref, hyp, a, b in zip(reference, hypothesis, start, end):
-        a, b = int(a), int(b)
-        ops, ref_at, hyp_at = _path(ref, hyp)
-        touched = [h for r, h in zip(ref_at, hyp_at) if r is not None and a <= r < b and h is not None]
-        heard = hyp[touched[0] : touched[-1] + 1] if touched else hyp[:0]
-        said = ref[a:b]
-        rows.append(
-            _tally(ops, len(ref))
-            + _counts("".join(ref), "".join(hyp))
-            + _counts(said, heard)
-            + _counts("".join(said), "".join(heard))
-        )
-    return pd.DataFrame(rows, columns=_SCORE.fieldNames())
+def _scores(ref: Sequence[str], hyp: Sequence[str], a: int, b: int) -> tuple:
+    ops, ref_at, hyp_at = _path(ref, hyp)
+    touched = [h for r, h in zip(ref_at, hyp_at) if r is not None and a <= r < b and h is not None]
+    heard = hyp[touched[0] : touched[-1] + 1] if touched else hyp[:0]
+    said = ref[a:b]
+    return _tally(ops, len(ref)) + _counts("".join(ref), "".join(hyp)) + _counts(said, heard) + _counts("".join(said), "".join(heard))
+
+
+@F.arrow_udf(_SCORE)
+def _flat_scores(reference: pa.Array, hypothesis: pa.Array, start: pa.Array, end: pa.Array) -> pa.Array:
+    return _rows([reference, hypothesis, start, end], _scores, _SCORE)
 
 
 def row_scores(reference: Column, hypothesis: Column, start: Column, end: Column) -> Column:
