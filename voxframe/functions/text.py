@@ -238,15 +238,25 @@ def token_ids(text: Column, vocabulary: int = 6561, end_id: int | None = None) -
 
 
 def log_text(text: Column, limit: int = 300) -> Column:
-    """One line, trimmed, cut with a marker when longer than ``limit``."""
-    line = F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(" ")), r"(?U)^\s+|\s+$", "")
-    return F.when(F.char_length(line) > limit, F.concat(F.substring(line, 1, limit), F.lit("... [truncated]"))).otherwise(line)
+    """One line, trimmed, cut with a marker when longer than ``limit``.
+
+    Only the beginning is rewritten; of the rest it matters whether anything but blanks is left.
+    """
+    head = F.regexp_extract(text, rf"(?Us)^\s*+(.{{0,{limit}}})", 1)
+    longer = text.rlike(rf"(?Us)^\s*+.{{{limit}}}\s*+\S")
+    line = F.replace(head, F.lit("\n"), F.lit(" "))
+    return F.when(longer, F.concat(line, F.lit("... [truncated]"))).otherwise(F.regexp_replace(line, r"(?U)\s+$", ""))
 
 
 def slug(text: Column, limit: int = 48) -> Column:
-    """Lower-case file-name slug; ``empty`` when nothing is left."""
-    lowered = F.lower(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""))
-    joined = F.regexp_replace(lowered, "[^0-9a-zA-Zа-яА-ЯёЁ]+", "_")
+    """Lower-case file-name slug; ``empty`` when nothing is left.
+
+    Only as much of the text is rewritten as has ``limit`` letters and digits.
+    """
+    kept = "[0-9a-zA-Zа-яА-ЯёЁ\u0130\u212a]"  # and the two signs whose lower case begins with a Latin letter
+    other = kept.replace("[", "[^", 1)
+    head = F.regexp_extract(text, f"^{other}*+((?:{kept}{other}*+){{0,{limit}}})", 1)
+    joined = F.regexp_replace(F.lower(head), "[^0-9a-zA-Zа-яА-ЯёЁ]+", "_")
     cut = F.rtrim(F.substring(F.trim(joined, F.lit("_")), 1, limit), F.lit("_"))
     return F.when(cut == "", F.lit("empty")).otherwise(cut)
 
