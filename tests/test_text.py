@@ -107,3 +107,31 @@ def test_log_text_and_slug(spark):
 def test_only_punctuation(spark):
     assert one(spark, "", T.only_punctuation) and one(spark, "…+", T.only_punctuation)
     assert not one(spark, ".\n", T.only_punctuation) and not one(spark, ".a", T.only_punctuation)
+
+
+def test_long_runs_of_blanks_take_no_time(spark):
+    import time
+
+    text = "x" + " " * 300_000 + "y"
+    begun = time.time()
+    assert one(spark, text, T.log_text) == "x" + " " * 299 + "... [truncated]" and one(spark, text, T.slug) == "x_y"
+    assert one(spark, f" {text}.", lambda c: T.frontend_sentences(c, spell_digits)) == [f"{text}."]
+    assert time.time() - begun < 20
+
+
+@pytest.mark.parametrize("tail", ["", " ", " \n", "z", " z"])
+@pytest.mark.parametrize("size", [299, 300, 301])
+def test_only_what_is_cut_is_marked(spark, size, tail):
+    line = ("\n " + "a" * size + tail).replace("\n", " ").strip()
+    assert one(spark, "\n " + "a" * size + tail, T.log_text) == (line if len(line) <= 300 else line[:300] + "... [truncated]")
+
+
+def test_slug_takes_the_first_letters(spark):
+    assert one(spark, "--" + "a!" * 60 + "tail", T.slug) == "_".join("a" * 24) and one(spark, "\u212a9 \u0130x", T.slug) == "k9_i_x"
+
+
+def test_sentences_count_words_that_meet_once(spark):
+    text = "".join(f"{'w ' * 9}v." for _ in range(30))  # a word ends a piece and begins the next
+    count = lambda s: len(s.split())
+    wanted = one(spark, text, lambda c: T.split_sentences(c, F.lit(False), count))
+    assert one(spark, text, lambda c: T.split_sentences(c, F.lit(False))) == wanted and "".join(wanted) == text

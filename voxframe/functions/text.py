@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxframe.functions.arrays import once
+
 # ---- fixed values -----------------------------------------------------------
 PROMPT_PREFIX = "You are a helpful assistant.<|endofprompt|>"
 PROMPT_MARKER = "<|endofprompt|>"
@@ -307,25 +309,47 @@ def sentence_pieces(text: Column, cjk: Column, split_commas: bool = False) -> Co
     return F.when(cjk, cut(CJK_STOPS + more, "。")).otherwise(cut(LATIN_STOPS + more, "."))
 
 
-def _joined(pieces: Column, length: Callable[[Column], Column], most: int, least: int, merge: int) -> Column:
-    """Pieces joined while they stay within ``most``, but to more than ``least``; a short tail joins what is before it."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+def _joined(pieces: Column, length: Callable[[Column], Column], runs_on: Callable[[Column], tuple[Column, Column]], most: int, least: int, merge: int) -> Column:
+    """Pieces joined while they stay within ``most``, but to more than ``least``; a short tail joins what is before it.
+
+    Every piece is measured once. ``runs_on`` tells whether a piece begins, and whether it ends, inside a unit of length:
+    two such pieces share one unit where they meet.
+    """
+    start = F.struct(F.array(F.lit(0)).alias("starts"), F.lit(0).alias("n"), F.lit(False).alias("ends"), F.lit(0).alias("at"))
 
     def add(state: Column, piece: Column) -> Column:
-        longer = F.concat(state["open"], piece)
-        full = (length(longer) > most) & (length(state["open"]) > least)
+        grown = state["n"] + piece["n"] - (state["ends"] & piece["begins"]).cast("int")
+        full = (grown > most) & (state["n"] > least)
         return F.struct(
-            F.when(full, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"]).alias("done"),
-            F.when(full, piece).otherwise(longer).alias("open"),
+            F.when(full, F.concat(state["starts"], F.array(state["at"]))).otherwise(state["starts"]).alias("starts"),
+            F.when(full, piece["n"]).otherwise(grown).alias("n"),
+            piece["ends"].alias("ends"),
+            (state["at"] + 1).alias("at"),
         )
 
     def close(state: Column) -> Column:
-        done, tail = state["done"], state["open"]
-        short = (F.size(done) > 0) & (length(tail) < merge)
-        grown = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(F.element_at(done, -1), tail)))
-        return F.when(tail == "", done).when(short, grown).otherwise(F.concat(done, F.array(tail)))
+        starts = state["starts"]
+        return F.when((F.size(starts) > 1) & (state["n"] < merge), F.slice(starts, F.lit(1), F.size(starts) - 1)).otherwise(starts)
+
+    def cut(starts: Column) -> Column:
+        until = lambda k: F.coalesce(F.get(starts, k + 1), F.size(pieces))
+        return F.transform(starts, lambda at, k: F.array_join(F.slice(pieces, at + 1, until(k) - at), ""))
+
+    def measured(piece: Column) -> Column:
+        begins, ends = runs_on(piece)
+        return F.struct(length(piece).alias("n"), begins.alias("begins"), ends.alias("ends"))
+
+    sentences = once(F.aggregate(F.transform(pieces, measured), start, add, close), cut)
+    return F.when(pieces.isNull(), F.lit(None).cast("array<string>")).when(F.size(pieces) == 0, F.array().cast("array<string>")).otherwise(sentences)
 
-    return F.aggregate(pieces, start, add, close)
+
+def _joined_by_characters(pieces: Column, *limits: int) -> Column:
+    return _joined(pieces, F.char_length, lambda p: (F.lit(False), F.lit(False)), *limits)
+
+
+def _joined_by_words(pieces: Column, *limits: int) -> Column:
+    solid = r"[^\s\x1C-\x1F]"
+    return _joined(pieces, whitespace_token_count, lambda p: (p.rlike(f"(?U)^{solid}"), F.right(p, F.lit(1)).rlike(f"(?U){solid}")), *limits)
 
 
 def split_sentences(
@@ -341,10 +365,17 @@ def split_sentences(
 
     An empty text has no sentence. Only an injected counter leaves the JVM.
     """
-    pieces = F.when(text == "", F.array().cast("array<string>")).otherwise(sentence_pieces(text, cjk, split_commas))
-    by_length = _joined(pieces, F.char_length, most, least, merge)
+    limits = (most, least, merge)
+
+    def found(text: Column, cjk: Column) -> Column:
+        return F.when(text == "", F.array().cast("array<string>")).otherwise(sentence_pieces(text, cjk, split_commas))
+
     if count_tokens is None:
-        return F.when(cjk, by_length).otherwise(_joined(pieces, whitespace_token_count, most, least, merge))
+        joined = lambda cjk: lambda p: F.when(cjk, _joined_by_characters(p, *limits)).otherwise(_joined_by_words(p, *limits))
+        row = F.struct(text.alias("text"), cjk.alias("cjk"))
+        return once(row, lambda r: once(found(r["text"], r["cjk"]), joined(r["cjk"])))
+    pieces = found(text, cjk)
+    by_length = once(pieces, lambda p: _joined_by_characters(p, *limits))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def counted(rows: pd.Series) -> pd.Series:
@@ -372,7 +403,7 @@ def frontend_sentences(
 
     Text with control tokens, and empty text, passes through as one piece.
     """
-    trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    trimmed = F.regexp_extract(text, r"(?Us)^\s*+(.*\S)?", 1)
     chinese = replace_corner_marks(remove_loose_blanks(F.replace(trimmed, F.lit("\n"), F.lit(""))))
     chinese = F.replace(F.replace(chinese, F.lit("."), F.lit("。")), F.lit(" - "), F.lit("，"))
     chinese = F.regexp_replace(remove_brackets(chinese), "[，,、]+$", "。")
