@@ -6,18 +6,20 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.oracle import compare
-from voxframe.llm import queries
+from voxframe.llm import graphs, queries
 from voxframe.llm.decontaminate import contamination
 from voxframe.llm.graphs import components
 from voxframe.llm.jaccard import near_duplicate_classes
 from voxframe.llm.languages import SAMPLE_CHARS, fit_languages, identified, identify, text_bits, training_sample
 from voxframe.llm.privacy import personal_data_digests, sanitised
-from voxframe.llm.suffix_array import parted_suffixes, repeat_digests, without_repeats
+from voxframe.llm.suffix_array import LENGTH, _runs, parted_suffixes, repeat_digests, suffix_order, without_repeats
 from voxframe.llm.suffix_tree import repeated_suffixes, repeated_word_digests, without_repeated_words
+from voxframe.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 ODD = "doc_id long, text string, key string, chunk int, bucket int, lang string, n long"
@@ -328,6 +330,29 @@ def test_transform_parts_suffixes():
         assert all(parted[i] == (heads[i] != heads[i - 1]) for i in range(1, len(heads)) if len(heads[i]) == len(heads[i - 1]) == length)
 
 
+def test_suffixes_of_long_repeats_are_in_order():
+    random.seed(5)
+    part = [random.randrange(510) for _ in range(120)]
+    symbols = np.array(part * 4 + part[:61] + [0] * 130)
+    for depth in (1, 7, 8, 21, 50, 127, 400):
+        order = suffix_order(symbols, depth)
+        heads = [tuple(symbols[i : i + depth]) for i in order]
+        assert heads == sorted(heads) and sorted(order.tolist()) == list(range(len(symbols)))
+
+
+def test_anchors_are_spread_over_buckets():
+    random.seed(7)
+    texts = ["".join(random.choices("abcdefghij ", k=997)) for _ in range(90)]  # longer than a block
+    data, offsets, anchor, first, last = _runs(pa.table({"text": texts}))
+    whole = [i for a, b in zip(offsets[:-1], offsets[1:]) for i in range(a, b - LENGTH + 1)]
+    assert [i for a, b in zip(first, last) for i in range(a, b + 1)] == whole
+    shares = np.bincount((anchor >> np.uint64(61)).astype(int), minlength=8) / len(anchor)
+    assert shares.max() < 0.2  # an eighth; more than half came to the first before
+    _, _, again, begin, end = _runs(pa.table({"text": ["x" * 40000 + texts[3]]}))
+    known = dict(zip(anchor[(first >= 3 * 997) & (last < 4 * 997)].tolist(), range(10**6)))
+    assert set(known) == set(again[begin >= 40000].tolist()) | (set(known) & set(again.tolist()))
+
+
 def test_suffix_nodes():
     symbols = np.array([[1, 2], [1, 2], [1, 3], [1, 2]], np.uint32)
     assert repeated_suffixes(symbols, np.array([5, 4, 4, 4]), np.array([0, 2, 3, 1])).tolist() == [True, True, False, False]
@@ -344,3 +369,23 @@ def test_components(spark):
                 label[a] = label[b] = min(label[a], label[b])
     assert found == {k: v for k, v in label.items() if any(k in e and e[0] != e[1] and None not in e for e in edges)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_components_write_few_files_and_end_with_stars(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graphs, "materialize", lambda df, label: written.append(materialize(df, label)) or written[-1])
+    stars = [(1, i) for i in range(2, 40)] + [(50, i) for i in range(60, 70)]
+    assert len(components(spark.createDataFrame(stars, "a long, b long")).collect()) == 50 and len(written) == 1
+    written.clear()
+    cores = spark.sparkContext.defaultParallelism
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 9 * cores)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        chains = [(i, i + 1) for i in range(400) if i % 20]
+        found = dict(map(tuple, components(spark.createDataFrame(chains, "a long, b long")).collect()))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert found == {i: (i - 1) // 20 * 20 + 1 for i in range(1, 401)}
+    assert len(written) > 1 and max(len(w.inputFiles()) for w in written[1:]) <= cores

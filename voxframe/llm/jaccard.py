@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from voxframe.llm.chunks import chunked, each_chunk, gram_hashes, kinds_of, mixed, pack_sorted, text_buffers, unpack_sorted, with_answers, word_bounds, word_hashes
 from voxframe.llm.graphs import components
-from voxframe.session import materialize
+from voxframe.session import in_few_tasks, materialize
 
 SHINGLE_WORDS = 5
 #: Share, in hundredths, of the union that must be common.
@@ -38,6 +38,8 @@ RARE = 64
 #: Rounds of comparing with leaders, and leaders of a key in each; they save comparisons and change no result.
 _ROUNDS = 2
 _LEADERS = 4
+#: Postings for each task that compares members; it has no more than a few pairs for each of them.
+_TASK_POSTINGS = 100_000
 _SMALLEST_LEVEL = 32  # smaller sets index frequent shingles alone
 
 
@@ -197,21 +199,25 @@ def near_duplicate_classes(
     own = F.expr(f"r * {100 + threshold} <= n * {100 - threshold}")
     posted = members.select("set_id", "n", "once", F.explode(F.arrays_zip(F.col("keys").alias("k"), F.col("survived").alias("r"))).alias("p"))
     postings = posted.select("set_id", "n", "once", "p.k", "p.r").withColumn("own", own)
-    members = members.select("set_id", "n", "members")
     shared = postings.groupBy("k").agg(F.count("*").alias("times"), F.max("own").alias("any_own")).where("times > 1 AND any_own").select("k")
     held = materialize(postings.join(shared, "k"), "jaccard-postings")
-    links, rest = None, held.withColumn("component", F.col("set_id"))
+    meeting = members.select("set_id", "n", "members").join(held.select("set_id").distinct(), "set_id", "left_semi")
+    members = materialize(meeting, "jaccard-members")
+    rows = held.count()
+    found, rest = None, held.withColumn("component", F.col("set_id"))
     for turn in range(_ROUNDS):
-        links, found = _led(rest, links, members, threshold, turn)
-        rest = materialize(_open(held.join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))), "jaccard-rest")
+        links = materialize(in_few_tasks(_led(rest, members, threshold, turn), rows, _TASK_POSTINGS), "jaccard-links")
+        found = components(links if found is None else links.union(found)).toDF("set_id", "component")
+        placed = held.join(found, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+        rest = materialize(in_few_tasks(_open(placed), rows), "jaccard-rest")
     # What is left, across components: a set that looks for smaller ones, and those listed under its keys.
     listed = rest.where("own").select("k", F.struct("n", "set_id", "r", "component").alias("y"))
     across = rest.select("k", F.struct("n", "set_id", "r", "component").alias("x")).join(listed, "k")
     smaller = "struct(y.n, y.set_id) < struct(x.n, x.set_id) AND x.component <> y.component"
     pairs = across.where(f"{smaller} AND {_may_link('x.n', 'x.r', 'y.n', 'y.r', threshold)}").select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
-    more = materialize(_linked(pairs.distinct(), members, threshold), "jaccard-links")
-    nodes = components(found.select(F.col("set_id").alias("a"), F.col("component").alias("b")).union(more))
-    rows = sets.select("key", "n", "set_id").join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left")
+    more = materialize(in_few_tasks(_linked(pairs.distinct(), members, threshold), rows, _TASK_POSTINGS), "jaccard-links")
+    nodes = components(more.union(found)).toDF("set_id", "component")
+    rows = sets.select("key", "n", "set_id").join(nodes, "set_id", "left")
     rows = rows.withColumn("class", F.when(F.col("n") > 0, F.coalesce("component", "set_id")))
     smallest = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("least"))
     out = rows.join(smallest, "class", "left")
@@ -230,8 +236,8 @@ def _open(placed: DataFrame) -> DataFrame:
     return placed.join(mixed_keys.where("lo < hi AND any_own").select("k"), "k", "left_semi")
 
 
-def _led(rest: DataFrame, links: DataFrame | None, members: DataFrame, threshold: int, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Compare every set with a few leaders of its keys: all links so far, and ``set_id, component`` of linked sets.
+def _led(rest: DataFrame, members: DataFrame, threshold: int, turn: int) -> DataFrame:
+    """Compare every set with a few leaders of its keys: the links found.
 
     The leaders of a key come from the largest component and have few members that no other document has, as the text
     that others were copied from: the fewest, and the first under a few hash orders among those with about as few.
@@ -247,9 +253,7 @@ def _led(rest: DataFrame, links: DataFrame | None, members: DataFrame, threshold
     counted = able.groupBy("set_id", F.col("t.i").alias("i"), F.col("t.l.set_id").alias("leader")).agg(F.count("*").alias("keys"))
     best = counted.groupBy("set_id", "i").agg(F.max_by("leader", F.struct("keys", "leader")).alias("b"))
     pairs = best.select(F.greatest("set_id", "b").alias("a"), F.least("set_id", "b").alias("b")).distinct()
-    new = _linked(pairs, members, threshold)
-    links = materialize(new if links is None else links.union(new), "jaccard-links")
-    return links, components(links).withColumnRenamed("node", "set_id")
+    return _linked(pairs, members, threshold)
 
 
 def _linked(pairs: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
@@ -265,7 +269,6 @@ def _linked(pairs: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
                 keep.append(100 * both >= threshold * (n + m - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    once = members.dropDuplicates(["set_id"])
-    left = pairs.join(once.toDF("a", "a_n", "a_members"), "a")
-    both = left.join(once.toDF("b", "b_n", "b_members"), "b").select("a", "b", "a_n", "a_members", "b_n", "b_members")
+    left = pairs.join(members.toDF("a", "a_n", "a_members"), "a")
+    both = left.join(members.toDF("b", "b_n", "b_members"), "b").select("a", "b", "a_n", "a_members", "b_n", "b_members")
     return both.mapInArrow(verify, "a long, b long")

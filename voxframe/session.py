@@ -45,6 +45,15 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_few_tasks(df: DataFrame, rows: int, each: int = 1_000_000) -> DataFrame:
+    """``df``, whose last step has a task for every ``each`` of about ``rows`` rows, but one for every core at least.
+
+    For small tables that many rounds write and read again: a task and a file for each of many shuffle partitions
+    would cost more than the rows in them. Nothing is shuffled for it, and no tasks are added.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // each)))
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once its results are written."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/voxframe-{spark.sparkContext.applicationId}")
