@@ -224,21 +224,29 @@ def smallest_in_windows(keys: np.ndarray, width: int) -> np.ndarray:
 _LOW = np.uint64(0xFFF)
 
 
+def placed(grams: np.ndarray) -> np.ndarray:
+    """Hashes whose low bits give way to the place, so that the first of equal ones is the least."""
+    return (grams & ~_LOW) | (np.arange(len(grams), dtype=np.uint64) & _LOW)
+
+
+def runs_of_least(least: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of valid windows with one anchor, from the least placed hash of every window: the anchor's hash, first and last window."""
+    turn = least[1:] != least[:-1]
+    begins, ends = valid.copy(), valid.copy()
+    begins[1:] &= turn | ~valid[:-1]
+    ends[:-1] &= turn | ~valid[1:]
+    first = np.flatnonzero(begins)
+    return least[first] & ~_LOW, first, np.flatnonzero(ends)
+
+
 def anchored_runs(grams: np.ndarray, width: int, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor: the anchor's hash, and the first and the last window of the run.
 
     A window starts at every gram and spans ``width`` of them; its anchor is the least. Equal windows have anchors of
     equal hash, wherever they are. ``valid`` tells which windows count. The low bits of a hash give way to the place.
     """
-    place = np.arange(len(grams), dtype=np.uint64) & _LOW
-    least = smallest_in_windows((grams & ~_LOW) | place, width)[: len(valid)]
-    starts = np.flatnonzero(valid[: len(least)])
-    least = least[starts]
-    cut = np.ones(len(starts), bool)
-    cut[1:] = (least[1:] != least[:-1]) | (np.diff(starts) > 1)
-    first = np.flatnonzero(cut)
-    last = np.append(first[1:], len(starts)) - 1 if len(starts) else first
-    return least[first] & ~_LOW, starts[first], starts[last]
+    least = smallest_in_windows(placed(grams), width)[: len(valid)]
+    return runs_of_least(least, valid[: len(least)])
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxframe.llm.chunks import anchored_runs, answered, chunked, each_chunk, kinds_of, mixed, text_buffers, with_answers, word_hashes
+from voxframe.llm.chunks import answered, chunked, each_chunk, kinds_of, mixed, placed, runs_of_least, smallest_in_windows, text_buffers, with_answers, word_hashes
 
 LENGTH = 50
 GRAM = 26
@@ -25,6 +25,8 @@ HOT = 1000
 #: Bytes of text that come to a bucket, about, and that it compares at once.
 BUCKET, BATCH = 2 << 20, 1 << 20
 _LAST = np.iinfo(np.int64).max
+_BLOCK = 1 << 15  # windows whose hashes are made at once, in a core's cache; a multiple of the places told apart
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = mixed(np.arange(1, GRAM // 8 + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -37,17 +39,24 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     value = np.zeros(n, np.int64)
     for i in range(known):
         value = (value << 9) | padded[i : n + i]
+    several = max(63 // (n + 2).bit_length(), 2)  # ranks that fill a number
     while True:
         order = np.argsort(value)
         if known >= depth:
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.diff(value[order], prepend=value[order[0]]) != 0)
-        step = min(known, depth - known)
-        following = np.zeros(n, np.int64)
-        following[: max(n - step, 0)] = rank[step:] + 1
-        value = rank * (n + 2) + following
-        known += step
+        rank = np.zeros(n + several * known, np.int64)  # nothing follows the last symbol
+        ranked = value[order]
+        rank[order] = np.cumsum(np.diff(ranked, prepend=ranked[0]) != 0) + 1
+        value, reach = rank[:n].copy(), known
+        for _ in range(several - 1):
+            step = min(known, depth - reach)  # from where the next rank reaches on
+            if step <= 0:
+                break
+            at = reach - (known - step)
+            value *= n + 2
+            value += rank[at : at + n]
+            reach += step
+        known = reach
 
 
 def parted_suffixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,32 +66,36 @@ def parted_suffixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     ``level`` symbols is extended backwards. An interval whose end is met for the first time parts two suffixes with a
     common prefix of ``level - 1`` symbols, and only such intervals are extended further.
     """
-    symbols = np.append(symbols + 1, 0)  # an end below all symbols
+    symbols = np.append(symbols + 1, 0).astype(np.int16)  # an end below all symbols
     n = len(symbols)
     order = suffix_order(symbols, length)
-    before = symbols[order - 1]  # the transform; the first suffix is preceded by the end
-    stable = np.argsort(before.astype(np.uint16), kind="stable")
-    back = np.empty(n, np.int64)
-    back[stable] = np.arange(n)  # where the suffix one symbol longer is
+    head = symbols[order]
+    stable = np.argsort(symbols[order - 1], kind="stable")  # of the transform; the first suffix is preceded by the end
+    back = np.empty(n, np.int32)
+    back[stable] = np.arange(n, dtype=np.int32)  # where the suffix one symbol longer is
     parted = np.zeros(n + 1, bool)
     parted[0] = True
+    owner = np.empty(n, np.int32)  # by place, the interval that was extended to it
     low, high = np.zeros(1, np.int64), np.full(1, n, np.int64)
     for _ in range(length):
         size = high - low
         one = size == 1
-        new_low = [back[low[one]]]
+        new_low = [back[low[one]].astype(np.int64)]
         new_high = [new_low[0] + 1]
         wide_low, wide = low[~one], size[~one]
         if len(wide):
-            owner = np.repeat(np.arange(len(wide)), wide)
-            member = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide) + wide_low[owner]
+            ends = np.cumsum(wide)
+            member = np.arange(int(ends[-1])) + np.repeat(wide_low - ends + wide, wide)
             to = back[member]
-            key = owner * 512 + before[member]
-            by = np.argsort(key)
-            first = np.flatnonzero(np.diff(key[by], prepend=-1))
-            begin = np.minimum.reduceat(to[by], first)
+            owner[to] = np.repeat(np.arange(len(wide), dtype=np.int32), wide)
+            to.sort()  # places of one interval and one preceding symbol are neighbours
+            whose, by = owner[to], head[to]
+            cut = np.ones(len(to), bool)
+            cut[1:] = (whose[1:] != whose[:-1]) | (by[1:] != by[:-1])
+            first = np.flatnonzero(cut)
+            begin = to[first].astype(np.int64)
             new_low.append(begin)
-            new_high.append(begin + np.diff(np.append(first, len(by))))
+            new_high.append(begin + np.diff(np.append(first, len(to))))
         low, high = np.concatenate(new_low), np.concatenate(new_high)
         fresh = ~parted[high]
         low, high = low[fresh], high[fresh]
@@ -114,8 +127,13 @@ def _runs(documents: pa.Table) -> tuple[np.ndarray, ...]:
     valid = np.ones(max(len(data) - LENGTH + 1, 0), bool)
     for end in offsets[1:].tolist():  # windows that would leave their document
         valid[max(end - LENGTH + 1, 0) : end] = False
-    anchor, first, last = anchored_runs(_byte_grams(data), LENGTH - GRAM + 1, valid)
-    return data, offsets, anchor, first, last
+    least = np.empty(len(valid), np.uint64)
+    for at in range(0, len(valid), _BLOCK):
+        part = least[at : at + _BLOCK]
+        part[:] = smallest_in_windows(placed(_byte_grams(data[at : at + _BLOCK + LENGTH - 1])), LENGTH - GRAM + 1)[: len(part)]
+    anchor, first, last = runs_of_least(least, valid)
+    # least hashes crowd near zero; a product spreads them over the buckets and leaves their low bits empty
+    return data, offsets, anchor * _SPREAD, first, last
 
 
 def _owner(offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -154,24 +172,26 @@ def _packed(*arrays: np.ndarray) -> bytes:
     return pa.compress(b"".join(a.tobytes() for a in arrays), codec="zstd", asbytes=True)
 
 
-def _compare(pieces: list[bytes], least: np.ndarray) -> list[np.ndarray]:
-    """For each different stretch of text: the smallest key that has each of its windows."""
+def _compare(pieces: list[bytes], least: np.ndarray) -> np.ndarray:
+    """The smallest key that has each window of each of these different stretches of text, end to end."""
     sizes = np.array([len(p) for p in pieces])
     starts = np.cumsum(sizes + 1) - sizes - 1
-    symbols = np.zeros(int((sizes + 1).sum()), np.int64)  # 0 ends a stretch
-    flat = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + 1
+    symbols = np.zeros(int((sizes + 1).sum()), np.int16)  # 0 ends a stretch
     inside = np.ones(len(symbols), bool)
     inside[starts + sizes] = False
-    symbols[inside] = flat
+    symbols[inside] = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int16) + 1
     order, parted = parted_suffixes(symbols, LENGTH)
-    owner = np.repeat(np.arange(len(pieces)), sizes + 1)
-    whole = np.arange(len(symbols)) + LENGTH <= (starts + sizes)[owner]
-    key = np.where(whole, least[owner], _LAST)[order]
-    group = np.cumsum(parted) - 1
-    smallest = np.minimum.reduceat(key, np.flatnonzero(parted))
+    whole = np.arange(len(symbols)) + LENGTH <= np.repeat(starts + sizes, sizes + 1)
+    key = np.where(whole, np.repeat(least, sizes + 1), _LAST)[order]
+    first = np.flatnonzero(parted)
     found = np.empty(len(symbols), np.int64)
-    found[order] = smallest[group]
-    return [found[a : a + n - LENGTH + 1] for a, n in zip(starts, sizes)]
+    found[order] = np.repeat(np.minimum.reduceat(key, first), np.diff(np.append(first, len(key))))
+    return found[whole]
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` of every range, end to end."""
+    return np.arange(int(count.sum())) + np.repeat(start - np.cumsum(count) + count, count)
 
 
 def _answer(part: pd.DataFrame) -> pd.DataFrame:
@@ -188,39 +208,28 @@ def _answer(part: pd.DataFrame) -> pd.DataFrame:
     number = np.fromiter((distinct.setdefault(x, len(distinct)) for x in zip(route.tolist(), texts)), np.int64, len(texts))
     least = np.full(len(distinct), _LAST)
     np.minimum.at(least, number, key)
-    names = list(distinct)
-    groups = np.array([r for r, _ in names], np.uint64)
+    names = [text for _, text in distinct]
+    groups = np.array([r for r, _ in distinct], np.uint64)
+    windows = np.array([len(text) - LENGTH + 1 for text in names])
+    start = np.cumsum(windows) - windows
+    bound = np.repeat(least, windows)  # by window; alone, a stretch shares its windows with no other text
     by = np.argsort(groups, kind="stable")
     cuts = np.flatnonzero(np.diff(groups[by], prepend=~groups[by[0]]))
-    bound: list[np.ndarray | None] = [None] * len(names)  # None: the stretch's own smallest key
-    batch: list[int] = []
-    held = 0
-
-    def flush() -> None:
-        nonlocal batch, held
-        if batch:
-            for i, smallest in zip(batch, _compare([names[i][1] for i in batch], least[np.array(batch)])):
-                bound[i] = smallest
-        batch, held = [], 0
-
-    for a, b in zip(cuts, [*cuts[1:], len(by)]):
-        if b - a > 1:  # alone, a stretch shares its windows with no other text
-            members = by[a:b].tolist()
-            batch += members
-            held += sum(len(names[i][1]) for i in members)
-            if held >= BATCH:
-                flush()
-    flush()
+    count = np.diff(np.append(cuts, len(by)))
+    text = np.add.reduceat(windows[by] + LENGTH - 1, cuts)
+    cuts, count, text = cuts[count > 1], count[count > 1], text[count > 1]
+    text = np.concatenate([[0], np.cumsum(text)])
+    at = 0
+    while at < len(cuts):  # whole groups, until a batch is full
+        stop = min(int(np.searchsorted(text, text[at] + BATCH)), len(cuts))
+        members = by[_ranges(cuts[at:stop], count[at:stop])]
+        bound[_ranges(start[members], windows[members])] = _compare([names[i] for i in members.tolist()], least[members])
+        at = stop
     masks = np.zeros(len(texts), np.uint64)
-    for i, (n, k) in enumerate(zip(number.tolist(), key.tolist())):
-        smallest = bound[n]
-        if smallest is None:
-            if least[n] < k:
-                masks[i] = np.uint64((1 << (len(texts[i]) - LENGTH + 1)) - 1)
-        else:
-            less = np.flatnonzero(smallest < k)
-            if len(less):
-                masks[i] = np.bitwise_or.reduce(np.uint64(1) << less.astype(np.uint64))
+    for i in range(LENGTH - GRAM + 1):
+        has = np.flatnonzero(windows[number] > i)
+        less = bound[start[number[has]] + i] < key[has]
+        masks[has[less]] |= np.uint64(1 << i)
     cuts = np.cumsum(part["n"].to_numpy())[:-1]
     return pd.DataFrame({"chunk": part["chunk"], "bucket": part["bucket"], "n": part["n"], "masks": [_packed(x) for x in np.split(masks, cuts)]})
 
@@ -266,14 +275,14 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         bits = np.zeros(len(least), np.uint64)
         if masks:
             bits = np.concatenate([np.frombuffer(pa.decompress(m["masks"], decompressed_size=8 * m["n"], codec="zstd", asbytes=True), np.uint64) for m in masks])
-        change = np.zeros(len(data) + 1, np.int32)
         smallest = key == least[stretch]
         hit = np.where(smallest, bits[stretch], ~np.uint64(0))  # all windows, if a smaller key in the chunk has them
+        covers = np.zeros(len(data), np.int32)
         for i in range(LENGTH - GRAM + 1):
-            at = first[((hit >> np.uint64(i)) & np.uint64(1) == 1) & (first + i <= last)] + i
-            np.add.at(change, at, 1)
-            np.add.at(change, at + LENGTH, -1)
-        gone = np.cumsum(change[:-1]) > 0
+            covers[first[((hit >> np.uint64(i)) & np.uint64(1) == 1) & (first + i <= last)] + i] = 1
+        covers = np.cumsum(covers, dtype=np.int32)  # windows that are to go, up to each start
+        gone = covers > 0
+        gone[LENGTH:] = covers[LENGTH:] > covers[:-LENGTH]
         edge = np.zeros(len(data) + 1, bool)  # a removed run ends with its document
         edge[offsets] = True
         turn = np.diff(gone, prepend=False)
