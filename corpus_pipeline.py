@@ -21,8 +21,9 @@ from voxframe.session import materialize
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; null texts and texts without a letter go."""
-    found = with_language(docs.select(F.struct(*docs.columns).alias("row"), "text"), learnt(docs), kept=["row"])
-    return found.where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])  # no name meets those of the answer
+    found = with_language(numbered, learnt(docs), f"_{docs.columns.index('text')}")
+    return found.where(F.col("lang_pred") != UNDETERMINED).select(numbered.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -290,6 +290,16 @@ def test_stages_decide_by_row(spark, small):
     assert texts(stages["decontamination"](spark, given, small)) == sorted(rows[:8], key=repr)
 
 
+def test_language_stage_sends_a_text_once(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumn("score", F.lit(7)).withColumn("lang_pred", F.lit("x"))
+    sent, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **k: sent.append(self.dtypes) or plain(self, *a, **k))
+    found = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, small)
+    assert [kind for _, kind in sent[0]] == [kind for _, kind in docs.dtypes] and found.schema == docs.schema
+    spoken = QUERIES["op3_language_id"](spark, small).where("lang_pred <> 'und'").select("doc_id")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.join(spoken, "doc_id").select(docs.columns).collect()))
+
+
 def test_run_and_empty_table(spark, small):
     assert corpus_pipeline.run(spark, small).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)

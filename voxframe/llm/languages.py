@@ -187,16 +187,18 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text", kep
 
     The score is the probability of the language if all are equally likely beforehand. A null text, an empty one, one
     without a letter, or a model without languages gives ``und`` and 0.0. Ties go to the first name in order. Repeated
-    rows are scored each for itself; other columns are passed on as they are.
+    rows are scored each for itself; other columns are passed on as they are. A kept text is not sent twice.
     """
     kept = docs.columns if kept is None else kept
+    once = text in kept and isinstance(docs.schema[text].dataType, T.StringType)
+    at = kept.index(text) if once else len(kept)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         labels = np.array([*model.languages, UNDETERMINED], object)
-        for batch in slices(batches, text=len(kept)):
-            lower = pc.utf8_lower(pc.fill_null(batch.column(len(kept)), "")).cast(pa.large_string())
+        for batch in slices(batches, text=at):
+            lower = pc.utf8_lower(pc.fill_null(batch.column(at), "")).cast(pa.large_string())
             letters = pc.match_substring_regex(lower, r"\p{L}").to_numpy(zero_copy_only=False)
             offsets = np.frombuffer(lower.buffers()[1], np.int64)[lower.offset : lower.offset + len(lower) + 1]
             raw = lower.buffers()[2]
@@ -209,7 +211,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text", kep
                 chance = np.where(letters, 1.0 / odds, 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(labels[best], pa.string()), pa.array(chance)], [*kept, "lang_pred", "score"])
 
-    rows = docs.select(*kept, F.col(text).cast("string").alias("text to score"))
+    rows = docs.select(*kept) if once else docs.select(*kept, F.col(text).cast("string").alias("text to score"))
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(scored, schema)
 
