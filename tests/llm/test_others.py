@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import resource
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from voxframe.llm import chat, pages
+from voxframe.llm.chunks import slices
 from voxframe.llm.neighbours import nearest
-from voxframe.llm.pieces import decoded, encode, encoded, piece_digests
+from voxframe.llm.pieces import decoded, encode, encoded, piece_digests, read_back
 from voxframe.llm.queries import QUERIES, piece_vocabulary
 from voxframe.llm.trees import fit
 
@@ -132,6 +135,26 @@ def test_odd_pieces(spark, library):
     assert decoded(spark.createDataFrame([(1, bytes_only), (2, None)], "doc_id long, ids array<int>"), piece_vocabulary()).orderBy("doc_id").collect()[0]["text"] == library.decode(bytes_only)
 
 
+def test_one_worker_encodes_and_decodes(spark, library):
+    texts = [None, "", "  x ", "▁", "a" * 3000, "bc"]
+    rows = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)] + [(1, "", "k"), (None, "n", "k")], "doc_id long, text string, key string")
+    found = piece_digests(rows, piece_vocabulary())
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    twice = decoded(encoded(rows, piece_vocabulary()), piece_vocabulary())
+    assert sorted(read_back(rows, piece_vocabulary()).collect(), key=str) == sorted(twice.collect(), key=str)
+    assert found.count() == len(texts) + 2
+
+
+def test_workers_give_freed_memory_back():
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * resource.getpagesize() >> 20
+
+    before = resident()
+    parts = [b"x" * 60_000 for _ in range(3000)]
+    del parts[:-1]  # what stays lies above all that is free
+    assert list(slices(iter([]))) == [] and resident() < before + 60 and parts
+
+
 # ---- neighbours ---------------------------------------------------------------------------------
 
 

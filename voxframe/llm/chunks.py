@@ -8,6 +8,7 @@ Neither fingerprints nor answers ever meet in one task or on the driver.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,6 +36,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed: a Python worker outlives its task, and what it holds counts."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 4 << 20, text: int = 1) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows`` rows and, but for a single longer text, ``size`` bytes, or elements, of column ``text``.
 
@@ -50,7 +59,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 4 <<
             stop = min(max(int(np.searchsorted(ends, base + size, side="right")), at + 1), at + rows)
             yield batch.slice(at, stop - at)
             at = stop
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def pack(table: pa.Table) -> bytes:
@@ -108,6 +117,8 @@ def chunked(docs: DataFrame, key: str, text: str, label: str, size: int = CHUNK_
             held = [pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in b.columns], schema=b.schema) for b in held]
         if held:
             yield row()
+        held.clear()
+        give_back()
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     return materialize(rows.mapInArrow(gather, "chunk long, n_bytes long, payload binary"), label)
@@ -197,7 +208,13 @@ def with_answers(
 
 def answered(chunks: DataFrame, sent: DataFrame, answer: Callable[[pd.DataFrame], pd.DataFrame], part: str, column: str, label: str) -> DataFrame:
     """Let ``answer`` treat what was sent to every bucket, and give each chunk its answers, in the order of buckets."""
-    answers = sent.groupBy("bucket").applyInPandas(answer, f"chunk long, bucket long, n int, {part} binary")
+
+    def told(bucket: pd.DataFrame) -> pd.DataFrame:
+        out = answer(bucket)
+        give_back()
+        return out
+
+    answers = sent.groupBy("bucket").applyInPandas(told, f"chunk long, bucket long, n int, {part} binary")
     per_chunk = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", part))).alias(column))
     return chunks.join(materialize(per_chunk, label), "chunk", "left")
 

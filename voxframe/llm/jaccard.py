@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxframe.llm.chunks import chunked, each_chunk, gram_hashes, kinds_of, mixed, pack_sorted, text_buffers, unpack_sorted, with_answers, word_bounds, word_hashes
+from voxframe.llm.chunks import chunked, each_chunk, give_back, gram_hashes, kinds_of, mixed, pack_sorted, text_buffers, unpack_sorted, with_answers, word_bounds, word_hashes
 from voxframe.llm.graphs import components
 from voxframe.session import in_few_tasks, materialize
 
@@ -268,6 +268,7 @@ def _linked(pairs: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= threshold * (n + m - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+        give_back()
 
     left = pairs.join(members.toDF("a", "a_n", "a_members"), "a")
     both = left.join(members.toDF("b", "b_n", "b_members"), "b").select("a", "b", "a_n", "a_members", "b_n", "b_members")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxframe.llm.chunks import slices
+from voxframe.llm.chunks import give_back, slices
 
 BLANK = "▁"
 #: Words kept in memory by a worker, and the longest of them.
@@ -189,23 +189,44 @@ def encode(texts: Iterable[str], vocabulary: Vocabulary, end: bool = True) -> li
     return [np.frombuffer(words.text(t), np.int32).tolist() + last for t in texts]
 
 
+def _ids(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, end: bool) -> Iterator[pa.RecordBatch]:
+    """``key, ids`` of batches of keys and texts."""
+    words = _words(vocabulary, hash(vocabulary.pieces))
+    last = np.array([vocabulary.end] if end else [], np.int32).tobytes()
+    for batch in slices(batches):
+        rows = [words.text(t or "") + last for t in batch.column(1).to_pylist()]
+        offsets = np.cumsum([0, *(len(r) // 4 for r in rows)])
+        ids = pa.array(np.frombuffer(b"".join(rows), np.int32))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)], ["key", "ids"])
+    words.clear()  # an idle worker keeps no words
+    give_back()
+
+
+def _spoken(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """``key, ids, text`` of batches of keys and ids."""
+    codecs.register_error("each_byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
+    said = [b"" if i in vocabulary.special else p.replace(BLANK, " ").encode("utf-8") for i, p in enumerate(vocabulary.pieces)]
+    for b, i in enumerate(vocabulary.byte):
+        said[i] = bytes([b])
+    table = pa.array(said, pa.large_binary())
+    for batch in slices(batches):
+        lists = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
+        spoken = table.take(lists.flatten())
+        cuts = np.frombuffer(spoken.buffers()[1], np.int64)[: len(spoken) + 1] if len(spoken) else np.zeros(1, np.int64)
+        raw = memoryview(spoken.buffers()[2]) if len(spoken) and spoken.buffers()[2] is not None else memoryview(b"")
+        ends = np.cumsum([0, *(lists.value_lengths().fill_null(0).to_pylist())])
+        texts = [str(raw[a:b], "utf-8", "each_byte") for a, b in zip(cuts[ends[:-1]].tolist(), cuts[ends[1:]].tolist())]
+        if vocabulary.dummy_blank:
+            texts = [t.removeprefix(" ") for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["key", "ids", "text"])
+
+
 def encoded(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", end: bool = True) -> DataFrame:
     """``key`` and ``ids array<int>`` of every row; a null text is empty. Other columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # its size is the vocabulary's, not the data's
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(shared.value, hash(shared.value.pieces))
-        last = np.array([shared.value.end] if end else [], np.int32).tobytes()
-        for batch in slices(batches):
-            rows = [words.text(t or "") + last for t in batch.column(1).to_pylist()]
-            offsets = np.cumsum([0, *(len(r) // 4 for r in rows)])
-            ids = pa.array(np.frombuffer(b"".join(rows), np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)], ["key", "ids"])
-        words.clear()  # an idle worker keeps no words
-
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(work, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return rows.mapInArrow(lambda batches: _ids(batches, shared.value, end), f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def decoded(rows: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", ids: str = "ids", text: str = "text") -> DataFrame:
@@ -215,34 +236,26 @@ def decoded(rows: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", ids: s
     and one leading space is dropped. Null ids give an empty text.
     """
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        codecs.register_error("each_byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
-        said = [b"" if i in v.special else p.replace(BLANK, " ").encode("utf-8") for i, p in enumerate(v.pieces)]
-        for b, i in enumerate(v.byte):
-            said[i] = bytes([b])
-        table = pa.array(said, pa.large_binary())
-        for batch in slices(batches):
-            lists = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
-            spoken = table.take(lists.flatten())
-            cuts = np.frombuffer(spoken.buffers()[1], np.int64)[: len(spoken) + 1] if len(spoken) else np.zeros(1, np.int64)
-            raw = memoryview(spoken.buffers()[2]) if len(spoken) and spoken.buffers()[2] is not None else memoryview(b"")
-            ends = np.cumsum([0, *(lists.value_lengths().fill_null(0).to_pylist())])
-            texts = [str(raw[a:b], "utf-8", "each_byte") for a, b in zip(cuts[ends[:-1]].tolist(), cuts[ends[1:]].tolist())]
-            if v.dummy_blank:
-                texts = [t.removeprefix(" ") for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["key", "ids", "text"])
-
     kind = rows.schema[key].dataType.simpleString()
-    out = rows.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(work, f"key {kind}, ids array<int>, text string")
+    out = rows.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(lambda batches: _spoken(batches, shared.value), f"key {kind}, ids array<int>, text string")
     return out.toDF(key, ids, text)
 
 
+def read_back(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", end: bool = True) -> DataFrame:
+    """``key``, ``ids`` as :func:`encoded` gives them and the ``text`` that :func:`decoded` makes of them.
+
+    Both steps run in one Python worker for each task: two would hold the vocabulary twice, and stay when the task is over.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    out = rows.mapInArrow(lambda batches: _spoken(_ids(batches, shared.value, end), shared.value), f"key {kind}, ids array<int>, text string")
+    return out.withColumnRenamed("key", key)
+
+
 def piece_digests(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Number and digest of the ids of every text with an end, and digest of what they decode to."""
-    both = decoded(encoded(docs, vocabulary, key, text), vocabulary, key)
-    return both.select(
+    return read_back(docs, vocabulary, key, text).select(
         key,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
