@@ -16,7 +16,7 @@ from voxframe.llm.languages import UNDETERMINED, learnt, with_language
 from voxframe.llm.pieces import piece_digests
 from voxframe.llm.privacy import sanitised
 from voxframe.llm.queries import piece_vocabulary
-from voxframe.session import materialize
+from voxframe.session import materialize, may_be_listed, passing
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near copies, of the smallest id; a null id comes last. Rows without a word stay."""
-    classes = materialize(near_duplicate_classes(_marked(docs), "row"), "pipeline-classes")
+    with passing(spark):
+        classes = materialize(near_duplicate_classes(_marked(docs), "row"), "pipeline-classes", keep=True)
     later = classes.where(F.col("component_id") < F.col("row")).select("row")
     repeated = classes.where("n_shingles > 0 AND component_id = row").groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row")
     one = _without(docs, repeated, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_mark")).agg(F.min(F.struct(*docs.columns)).alias("_one"))
@@ -58,9 +59,13 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
-    # written first: where the list is small, which its size on disk tells the planner, no text is shuffled
+    # The list is written first and tells by a filter which rows may be on it: only those are shuffled, if it is too
+    # large to be broadcast.
     named = materialize(gone.select(F.col("row.doc_id").alias("_key"), F.col("row.mark").alias("_mark")).distinct(), "pipeline-rows")
-    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("_key")) & (F.xxhash64("text") == F.col("_mark")), how).select(docs.columns)
+    told = may_be_listed(docs, F.xxhash64("text"), named, "_mark")
+    on = F.col("doc_id").eqNullSafe(F.col("_key")) & (F.xxhash64("text") == F.col("_mark"))
+    met = told.where("_listed").join(named, on, how).select(docs.columns)
+    return met if how == "left_semi" else met.union(told.where("NOT _listed").select(docs.columns))
 
 
 STAGES = [

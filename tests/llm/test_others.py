@@ -3,6 +3,7 @@
 import hashlib
 import random
 import resource
+import uuid
 from pathlib import Path
 
 import numpy as np
@@ -16,6 +17,7 @@ from voxframe.llm.neighbours import nearest
 from voxframe.llm.pieces import decoded, encode, encoded, piece_digests, read_back
 from voxframe.llm.queries import QUERIES, piece_vocabulary
 from voxframe.llm.trees import fit
+from voxframe.session import checkpoint_root
 
 
 # ---- chat -----------------------------------------------------------------------------------
@@ -323,6 +325,32 @@ def test_language_stage_sends_a_text_once(spark, small, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.join(spoken, "doc_id").select(docs.columns).collect()))
 
 
+def test_stages_leave_unlisted_rows_in_place_and_drop_what_is_done(spark, monkeypatch):
+    """Only rows that may be listed meet the lists of copies and spans; tables of a finished step are deleted."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(200)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*texts, texts[3], texts[3], f"{texts[5]} mail a.b@ex.org"])] + [(None, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    met, plain = [], type(docs).join
+
+    def join(self, other, *args, **kwargs):
+        if {"_key", "_spans"} & set(other.columns):
+            met.append(self.count())
+        return plain(self, other, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs), "join", join)
+    folder = Path(f"{checkpoint_root(spark)}/voxframe-{spark.sparkContext.applicationId}".removeprefix("file:"))
+    before = set(folder.glob("*"))
+    stages = dict(corpus_pipeline.STAGES)
+    single = stages["near_duplicates"](spark, docs, "")
+    assert sorted((tuple(r) for r in single.collect()), key=repr) == sorted((r for r in rows if r[0] not in (200, 201, 202)), key=repr)
+    clean = stages["personal_data"](spark, docs, "")
+    masked = {202: f"{texts[5]} mail [EMAIL]"}
+    assert {r["doc_id"]: r["text"] for r in clean.collect()} == {i: masked.get(i, t) for i, t, *_ in rows} and clean.schema == docs.schema
+    assert len(met) == 3 and max(met) < 40
+    left = {p.name[: -len(uuid.uuid4().hex) - 1] for p in set(folder.glob("*")) - before}
+    assert left == {"pipeline-classes", "pipeline-rows", "privacy-spans"}
+
+
 def test_run_and_empty_table(spark, small):
     assert corpus_pipeline.run(spark, small).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from voxframe.llm.chunks import chunked, each_chunk, give_back, gram_hashes, kinds_of, mixed, pack_sorted, text_buffers, unpack_sorted, with_answers, word_bounds, word_hashes
 from voxframe.llm.graphs import components
-from voxframe.session import in_few_tasks, materialize
+from voxframe.session import in_few_tasks, materialize, passing
 
 SHINGLE_WORDS = 5
 #: Share, in hundredths, of the union that must be common.
@@ -157,7 +157,6 @@ def near_duplicate_classes(
     with a null component if they are linked with nothing else. Other columns are not read.
     """
     levels = _levels(threshold)
-    chunks = chunked(docs, key, text, "jaccard-chunks")
 
     def distinct(documents: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(shingle_sets(documents, words)[0], return_counts=True)
@@ -191,18 +190,23 @@ def near_duplicate_classes(
         )
 
     kind = docs.schema[key].dataType.simpleString()
-    answered = with_answers(chunks, distinct, (2, rare + 1), "jaccard-counts", density=0.17)
     schema = f"key {kind}, set_id long, n long, once long, keys array<long>, survived array<long>, members binary"
-    sets = materialize(each_chunk(answered, signed, schema, "answers"), "jaccard-sets")
-    members = sets.where("members IS NOT NULL").dropDuplicates(["set_id"])
-    # What may be lost to a set no smaller; of two sets, the smaller has its key in this part of its prefix.
-    own = F.expr(f"r * {100 + threshold} <= n * {100 - threshold}")
-    posted = members.select("set_id", "n", "once", F.explode(F.arrays_zip(F.col("keys").alias("k"), F.col("survived").alias("r"))).alias("p"))
-    postings = posted.select("set_id", "n", "once", "p.k", "p.r").withColumn("own", own)
-    shared = postings.groupBy("k").agg(F.count("*").alias("times"), F.max("own").alias("any_own")).where("times > 1 AND any_own").select("k")
-    held = materialize(postings.join(shared, "k"), "jaccard-postings")
-    meeting = members.select("set_id", "n", "members").join(held.select("set_id").distinct(), "set_id", "left_semi")
-    members = materialize(meeting, "jaccard-members")
+    spark = docs.sparkSession
+    with passing(spark):
+        with passing(spark):
+            chunks = chunked(docs, key, text, "jaccard-chunks")
+            answered = with_answers(chunks, distinct, (2, rare + 1), "jaccard-counts", density=0.17)
+            sets = materialize(each_chunk(answered, signed, schema, "answers"), "jaccard-sets", keep=True)
+        members = sets.where("members IS NOT NULL").dropDuplicates(["set_id"])
+        # What may be lost to a set no smaller; of two sets, the smaller has its key in this part of its prefix.
+        own = F.expr(f"r * {100 + threshold} <= n * {100 - threshold}")
+        posted = members.select("set_id", "n", "once", F.explode(F.arrays_zip(F.col("keys").alias("k"), F.col("survived").alias("r"))).alias("p"))
+        postings = posted.select("set_id", "n", "once", "p.k", "p.r").withColumn("own", own)
+        shared = postings.groupBy("k").agg(F.count("*").alias("times"), F.max("own").alias("any_own")).where("times > 1 AND any_own").select("k")
+        held = materialize(postings.join(shared, "k"), "jaccard-postings", keep=True)
+        meeting = members.select("set_id", "n", "members").join(held.select("set_id").distinct(), "set_id", "left_semi")
+        members = materialize(meeting, "jaccard-members", keep=True)
+        every = materialize(sets.select("key", "n", "set_id"), "jaccard-rows", keep=True)
     rows = held.count()
     found, rest = None, held.withColumn("component", F.col("set_id"))
     for turn in range(_ROUNDS):
@@ -217,7 +221,7 @@ def near_duplicate_classes(
     pairs = across.where(f"{smaller} AND {_may_link('x.n', 'x.r', 'y.n', 'y.r', threshold)}").select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
     more = materialize(in_few_tasks(_linked(pairs.distinct(), members, threshold), rows, _TASK_POSTINGS), "jaccard-links")
     nodes = components(more.union(found)).toDF("set_id", "component")
-    rows = sets.select("key", "n", "set_id").join(nodes, "set_id", "left")
+    rows = every.join(nodes, "set_id", "left")
     rows = rows.withColumn("class", F.when(F.col("n") > 0, F.coalesce("component", "set_id")))
     smallest = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("key").alias("least"))
     out = rows.join(smallest, "class", "left")

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxframe.session import materialize
+from voxframe.session import materialize, may_be_listed, passing
 
 #: The patterns, anchored so that a run of characters is tried from its start only, and possessive so that nothing is
 #: tried again; both leave the matches as they are.
@@ -314,8 +314,11 @@ def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     All columns and rows are kept, in their order of columns; a null text stays null.
     """
-    found = materialize(personal_data(docs, key, text), "privacy-spans").withColumnsRenamed({"key": "_k", "mark": "_m", "spans": "_spans"})
-    joined = docs.join(found, F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(F.col(text)) == F.col("_m")), "left")
+    with passing(docs.sparkSession):
+        found = materialize(personal_data(docs, key, text), "privacy-spans", keep=True).withColumnsRenamed({"key": "_k", "mark": "_m", "spans": "_spans"})
+    # Only texts that may have a span meet the list; the others stay where they are.
+    told = may_be_listed(docs, F.xxhash64(F.col(text)), found, "_m")
+    joined = told.where("_listed").join(found, F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(F.col(text)) == F.col("_m")), "left")
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("end"))
 
     def replace(state: Column, span: Column) -> Column:
@@ -326,4 +329,4 @@ def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     rest = lambda s: F.concat(s["done"], F.substring(F.col(text), (s["end"] + 1).cast("int"), F.length(text)))
     clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, replace, rest)).otherwise(F.col(text))
-    return joined.withColumn(text, clean).select(docs.columns)
+    return joined.withColumn(text, clean).select(docs.columns).union(told.where(~F.col("_listed")).select(docs.columns))
